@@ -1,9 +1,9 @@
 """Byte-level byte-pair encoding: pre-tokens, merges, token counts, encoding and decoding.
 
-Two operators share the merge loop. ``count_tokens`` counts without making identifiers: a pre-token
-has as many tokens as bytes, less its merges. ``encode`` makes the identifiers; texts longer than
-``CHUNK`` characters are dealt to tasks as overlapping chunks, which are pre-tokenised and encoded
-on their own and stitched where their pre-token boundaries meet again.
+``count_tokens`` counts without making identifiers: a pre-token has as many tokens as bytes, less its
+merges. ``encode`` makes the identifiers; texts longer than ``CHUNK`` characters are dealt to tasks as
+overlapping chunks, which are pre-tokenised and encoded on their own and stitched where their
+pre-token boundaries meet again. Both keep the pre-tokens that a worker has met.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,47 +27,63 @@ from rollcall.llm.common import schema, utf8
 
 CHUNK, OVERLAP = 65_536, 2_048
 #: Pre-tokens whose tokens are kept; when there are more, all are forgotten.
-CACHE = 400_000
-
-
-def merge(piece: bytes, ranks: dict) -> list[bytes]:
-    """Merge the adjacent pair of lowest rank, leftmost first, until no pair has a rank.
-
-    The symbols are a doubly linked list; a heap holds the pairs by (rank, position). An entry is
-    out of date when one of its two symbols has changed since, which its stored lengths tell.
-    """
-    n = len(piece)
-    after, before, size = list(range(1, n + 1)), list(range(-1, n - 1)), [1] * n
-    heap = []
-
-    def push(i: int) -> None:
-        j = after[i]
-        if j < n and (r := ranks.get(piece[i : j + size[j]])) is not None:
-            heap.append((r, i, size[i], size[j])) if not built else heapq.heappush(heap, (r, i, size[i], size[j]))
-
-    built = False
-    for i in range(n - 1):
-        push(i)
-    heapq.heapify(heap)
-    built = True
-    while heap:
-        _, i, a, b = heapq.heappop(heap)
-        j = after[i]
-        if size[i] != a or j >= n or size[j] != b:
-            continue
-        size[i], size[j] = a + b, 0
-        after[i] = k = after[j]
-        if k < n:
-            before[k] = i
-        push(i)
-        if before[i] >= 0:
-            push(before[i])
-    return [piece[i : i + size[i]] for i in range(n) if size[i]]
-
-
-def merge_count(piece: bytes, ranks: dict) -> int:
-    """Initial symbols minus merges."""
-    return len(piece) if len(piece) < 2 else len(merge(piece, ranks))
+CACHE = 1_000_000
+
+
+class Merges:
+    """Merge ranks by pairs of symbol numbers: 0..255 are bytes, 256 + r is what merge r makes."""
+
+    def __init__(self, pairs: list[tuple[bytes, bytes]]):
+        number = {bytes([b]): b for b in range(256)}
+        self.rank: dict[int, int] = {}
+        for r, (a, b) in enumerate(pairs):
+            self.rank.setdefault(number[a] << 32 | number[b], r)
+            number.setdefault(a + b, 256 + r)
+        # A merge whose result has been made before keeps the first number of that result.
+        self.made = [number[a + b] for a, b in pairs]
+        self.known: dict[str, int] = {}
+
+    def count(self, piece: bytes) -> int:
+        """Tokens of a pre-token: its bytes minus its merges.
+
+        The symbols are a doubly linked list; a heap holds pairs as rank and position in one number.
+        The lowest rank, leftmost first, is popped until none is left. An entry is out of date when
+        the pair at its position has another rank by now.
+        """
+        n = len(piece)
+        if n < 2:
+            return n
+        rank, symbol = self.rank, list(piece)
+        now = [rank.get(a << 32 | b, -1) for a, b in zip(symbol, symbol[1:])]  # noqa: B905
+        now.append(-1)
+        heap = [r << 32 | i for i, r in enumerate(now) if r >= 0]
+        heapq.heapify(heap)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        pop, push, left = heapq.heappop, heapq.heappush, n
+        while heap:
+            top = pop(heap)
+            i, r = top & 0xFFFFFFFF, top >> 32
+            if now[i] != r:
+                continue
+            j = after[i]
+            k = after[j]
+            symbol[i] = s = self.made[r]
+            after[i] = k
+            now[j] = -1
+            left -= 1
+            if k < n:
+                before[k] = i
+                now[i] = r = rank.get(s << 32 | symbol[k], -1)
+                if r >= 0:
+                    push(heap, r << 32 | i)
+            else:
+                now[i] = -1
+            h = before[i]
+            if h >= 0:
+                now[h] = r = rank.get(symbol[h] << 32 | s, -1)
+                if r >= 0:
+                    push(heap, r << 32 | h)
+        return left
 
 
 @lru_cache(maxsize=4)
@@ -77,8 +94,8 @@ def rank_file(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=4)
-def json_file(path: str) -> tuple[dict[bytes, int], tuple[str, ...]]:
-    """Merge ranks and special strings of a byte-level tokenizer file.
+def json_file(path: str) -> tuple[Merges, tuple[str, ...]]:
+    """Merges and special strings of a byte-level tokenizer file.
 
     A file of this kind shows each byte as one printable character: a byte that is a printable,
     non-blank character of Latin-1 stands for itself, the others for the characters from 256 on, in order.
@@ -88,11 +105,9 @@ def json_file(path: str) -> tuple[dict[bytes, int], tuple[str, ...]]:
     printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
     hidden = [b for b in range(256) if b not in set(printable)]
     byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(hidden)}
-    ranks: dict[bytes, int] = {}
-    for rank, pair in enumerate(spec["model"]["merges"]):
-        a, b = pair.split(" ") if isinstance(pair, str) else pair
-        ranks.setdefault(bytes(byte_of[c] for c in a + b), rank)
-    return ranks, tuple(t["content"] for t in spec["added_tokens"])
+    pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
+    merges = Merges([tuple(bytes(byte_of[c] for c in side) for side in pair) for pair in pairs])
+    return merges, tuple(t["content"] for t in spec["added_tokens"])
 
 
 # ---------------------------------------------------------------------------- token counts
@@ -100,10 +115,10 @@ def json_file(path: str) -> tuple[dict[bytes, int], tuple[str, ...]]:
 
 def _counter(path: str, pattern: str):
     def run(batches):
-        ranks, special = json_file(path)
+        merges, special = json_file(path)  # stays in the worker, with the pre-tokens it has met
+        known = merges.known
         find = regex.compile(pattern).findall
         parts = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        known: dict[str, int] = {}
         for batch in batches:
             counts = []
             for body in batch.column("body"):
@@ -112,8 +127,8 @@ def _counter(path: str, pattern: str):
                 total = len(texts) - 1  # the special strings between them
                 for t in texts:
                     pieces = find(t)
-                    for p in {*pieces} - known.keys():
-                        known[p] = merge_count(p.encode(), ranks)
+                    for p in {*pieces}.difference(known):
+                        known[p] = merges.count(p.encode())
                     total += sum(map(known.__getitem__, pieces))
                 counts.append(total)
                 if len(known) > CACHE:
@@ -139,24 +154,30 @@ def count_tokens(docs: DataFrame, vocabulary: str, pattern: str, limit: int = 51
 # ---------------------------------------------------------------------------- encoding and decoding
 
 
+@lru_cache(maxsize=2)
+def codec(path: str, pattern: str) -> Codec:
+    """The worker's codec."""
+    return Codec(path, pattern)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary inside a task, with the pre-tokens it has met."""
 
     def __init__(self, path: str, pattern: str):
-        self.ranks = rank_file(path)
+        ranks = rank_file(path)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, list[int]] = {}
-        self.tokens = dict(zip(self.ranks.values(), self.ranks.keys(), strict=True))
+        self.one = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece  # noqa: SLF001
+        self.tokens = {i: b for b, i in ranks.items()}
         self.names = {i: str(i) for i in self.tokens}
 
     def ids(self, pieces: list[str]) -> list[int]:
         """Identifiers of the pre-tokens, one after the other."""
-        known, ranks = self.known, self.ranks
+        known, one = self.known, self.one
         if len(known) > CACHE:
             known.clear()
-        for p in {*pieces} - known.keys():
-            b = p.encode()
-            known[p] = [ranks[b]] if b in ranks else [ranks[x] for x in merge(b, ranks)]
+        for p in {*pieces}.difference(known):
+            known[p] = one(p)
         return list(chain.from_iterable(map(known.__getitem__, pieces)))
 
     def decode(self, ids: list[int]) -> bytes:
@@ -200,12 +221,12 @@ def stitch(chunks: list[tuple[int, int, list[int], list[list[int]]]]) -> list[in
 
 def _encode(path: str, pattern: str, emit_ids: bool):
     def run(batches):
-        codec = Codec(path, pattern)
+        c = codec(path, pattern)
         for batch in batches:
             rows = []
             for body in batch.column("body"):
-                ids = codec.ids(codec.pattern.findall(body.as_py().decode()))
-                rows.append((ids if emit_ids else None, *codec.digest(ids)))
+                ids = c.ids(c.pattern.findall(body.as_py().decode()))
+                rows.append((ids if emit_ids else None, *c.digest(ids)))
             yield _encoded(batch.column("doc_id"), rows)
 
     return run
@@ -225,13 +246,13 @@ def _encode_chunks(path: str, pattern: str):
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        codec = Codec(path, pattern)
+        c = codec(path, pattern)
         of = to_arrow_schema(schema(PIECES))
         for batch in batches:
             for r in batch.to_pylist():
                 text = r["piece"]
-                ends = codec.boundaries(text)
-                ids = [codec.ids([text[a:b]]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+                ends = c.boundaries(text)
+                ids = [c.ids([text[a:b]]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
                 yield pa.RecordBatch.from_pylist([{
                     "row": r["row"], "doc_id": r["doc_id"], "chunk": r["chunk"], "start": r["start"], "stop": r["start"] + len(text),
                     "ends": [r["start"] + e for e in ends], "counts": [len(x) for x in ids], "ids": [x for y in ids for x in y], "body": r["piece"].encode(),
@@ -242,7 +263,7 @@ def _encode_chunks(path: str, pattern: str):
 
 def _stitch_document(path: str, pattern: str, emit_ids: bool):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        codec = Codec(path, pattern)
+        c = codec(path, pattern)
         pdf = pdf.sort_values("chunk")
         chunks = []
         for r in pdf.itertuples():
@@ -255,8 +276,8 @@ def _stitch_document(path: str, pattern: str, emit_ids: bool):
                 piece = r.body.decode()
                 text += piece[at - r.start :]
                 at = r.stop
-            ids = codec.ids(codec.pattern.findall(text))
-        return pd.DataFrame([(pdf["doc_id"].iloc[0], ids if emit_ids else None, *codec.digest(ids))], columns=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
+            ids = c.ids(c.pattern.findall(text))
+        return pd.DataFrame([(pdf["doc_id"].iloc[0], ids if emit_ids else None, *c.digest(ids))], columns=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
 
     return run
 
