@@ -188,7 +188,9 @@ def _round_level(rows: DataFrame, level: int, seed: int) -> DataFrame:
         pdf["p"] = p
         return pdf
 
-    return rows.groupBy("key", "g").applyInPandas(meet, rows.schema)
+    # One column names the group: rows dealt by source for a join must be dealt anew.
+    dealt = rows.withColumn("dealt", F.concat_ws("#", F.col("g").cast("string"), "key"))
+    return dealt.groupBy("dealt").applyInPandas(lambda pdf: meet(pdf.drop(columns="dealt")), rows.schema)
 
 
 def op1_mix(spark, sf_dir: str) -> DataFrame:
