@@ -62,7 +62,7 @@ VIEWS = {
 
 #: Expressions that the engines write differently.
 SPARK = {
-    "tod": "hour(e.ts) * 3600000000 + minute(e.ts) * 60000000 + CAST(extract(SECOND FROM e.ts) * 1000000 AS BIGINT)",
+    "tod": "hour(e.ts) * 3600000000 + CAST(minute(e.ts) AS BIGINT) * 60000000 + CAST(extract(SECOND FROM e.ts) * 1000000 AS BIGINT)",
     "k": "CAST(get_json_object(props, '$.k') AS INT)",
     "approval": "CAST(e.ts AS TIMESTAMP) + make_dt_interval(CAST(e.event_id % 4 AS INT) - 1)",
     "leave_from": "date_add(DATE '2024-01-01', CAST((7 * o_orderkey) % 30 AS INT))",
