@@ -10,50 +10,88 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm import bpe, exact_dedup, mixing, near_dedup, quality
-from rollcall.llm.common import materialize, new_path, ship
+from rollcall.llm.common import materialize, new_path, ship, text_hash
 
 
-def _numbered(df: DataFrame, *order) -> DataFrame:
-    """Rows that share an id, numbered; the number and the id name a row."""
-    return df.withColumn("_nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)))
+def _same(keys: list[str]) -> list:
+    """Equality of both sides' ``keys`` in which nulls are equal."""
+    return [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+
+
+def _keyed(docs: DataFrame, **keys) -> DataFrame:
+    """Rows of ``docs`` as one column, ``doc``, beside key columns: so no names clash."""
+    return docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), *(c.alias(k) for k, c in keys.items()))
+
+
+def _kept(keyed: DataFrame, decided: DataFrame, keys: list[str]) -> DataFrame:
+    """Documents that stay: of those whose ``keys`` are the same, one.
+
+    ``keyed`` has documents beside the key columns, ``decided`` has the keys and ``stays`` of each row.
+    The keys of rows that go are written first, so that Spark knows their size when it joins the texts.
+    """
+    per = decided.groupBy(*keys).agg(F.max("stays").alias("stays"), F.count_if("stays").alias("n"))
+    per = materialize(per.where("not stays or n > 1"), "decided")
+    gone, several = per.where("not stays").select(*keys), per.where("stays").select(*keys)
+    docs = keyed.alias("l")
+    if not several.head(1):
+        return docs.join(gone.alias("r"), _same(keys), "left_anti").select("doc.*")
+    left = docs.join(per.select(*keys).alias("r"), _same(keys), "left_anti")
+    again = docs.join(several.alias("r"), _same(keys), "left_semi").dropDuplicates(keys)
+    return left.unionByName(again).select("doc.*")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts. Equal rows share a verdict and all stay or go.
+
+    Null and empty texts are accepted. Null ids and repeated ids are judged by their own texts.
+    """
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = quality.classify(docs, quality.trusted_labels(labels))
-    # Rejected ones are few: the texts are joined with their ids only.
-    rejected = scored.where("not accepted").groupBy("doc_id").agg(F.min("perplexity"))
-    return docs.join(rejected.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    keys = ["doc_id", "lang", "text_hash"]
+    # Rejected ones are few: the texts are joined with their keys only.
+    rejected = scored.where("not accepted").select(*keys).distinct()
+    keyed = _keyed(docs, doc_id=F.col("doc_id"), lang=F.col("lang"), text_hash=text_hash("text"))
+    return keyed.alias("l").join(materialize(rejected, "rejected").alias("r"), _same(keys), "left_anti").select("doc.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts."""
+    """One document of each group of equal texts: the longest, then the one of the smallest id (null last)."""
     ship(spark)
     index = exact_dedup.DigestIndex(spark, new_path(spark, "digest-index"))
-    dropped = exact_dedup.dedup_batch(docs, index).where("not kept").select("doc_id").distinct()
-    out = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    found = exact_dedup.dedup_batch(docs, index)
+    length = F.length(F.coalesce("text", F.lit(""))).cast("long")
+    keyed = _keyed(docs, doc_id=F.col("doc_id"), text_sha256=exact_dedup.text_digest("text"), own_length=length)
+    out = _kept(keyed, found.withColumnRenamed("kept", "stays"), ["doc_id", "text_sha256", "own_length"])
     index.close()
     return out
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
+    """One document of each group of near duplicates: the one of the smallest id (null last)."""
     ship(spark)
-    found = near_dedup.near_duplicates(docs)
-    dropped = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    found = materialize(near_dedup.near_duplicates(docs), "components")
+    best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    best = found.groupBy("root").agg(best.alias("best")).select("root", F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"))
+    stays = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))
+    decided = found.join(best, "root").withColumn("stays", stays)
+    return _kept(_keyed(docs, doc_id=F.col("doc_id"), text_hash=text_hash("text")), decided, ["doc_id", "text_hash"])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document stands as often as the mix takes it."""
+    """The mix: a document stands as often as the mix takes it.
+
+    The mix names rows by id, source and size (nulls are equal); rows that share all three are numbered.
+    """
     ship(spark)
-    copies = mixing.mix(docs).where("copies > 0")
-    copies = _numbered(copies.select("doc_id", "source", "size", "copies"), "source", "size", "copies").select("doc_id", "_nth", "copies")
-    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD))
-    rows = _numbered(docs, "source", n_words).join(copies, ["doc_id", "_nth"])
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    keys = ["doc_id", "source", "size"]
+    alike = Window.partitionBy(*keys)
+    copies = mixing.mix(docs).select(*keys, "copies", F.row_number().over(alike.orderBy("copies")).alias("nth")).where("copies > 0")
+    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long")
+    keyed = _keyed(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=n_words, text_hash=text_hash("text"))
+    keyed = keyed.withColumn("nth", F.row_number().over(alike.orderBy("text_hash")))
+    rows = keyed.alias("l").join(copies.alias("r"), _same([*keys, "nth"]))
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

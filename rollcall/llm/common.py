@@ -67,6 +67,12 @@ def utf8(text: str | Column) -> Column:
     return F.coalesce(c, F.lit("")).cast("binary")
 
 
+def text_hash(text: str | Column) -> Column:
+    """A 64-bit hash of the text, null as empty: tells rows apart that share an id."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.xxhash64(F.coalesce(c, F.lit("")))
+
+
 def pack(a: np.ndarray) -> bytes:
     """Numbers as compressed byte planes (all first bytes, then all second bytes, ...)."""
     a = np.ascontiguousarray(a)

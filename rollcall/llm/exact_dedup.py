@@ -74,7 +74,8 @@ def groups_of(rows: DataFrame) -> DataFrame:
 def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deduplicate a batch against the index and itself, and append what is new.
 
-    Returns one row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_codepoints``.
+    Returns one row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_codepoints,
+    own_length`` (code points of the group's longest text, and of the row's own).
     A text that an earlier batch brought belongs to that batch's row: ``kept`` is false and
     ``keep_id`` is the earlier one. Within the batch, of equal texts the row with the most code
     points, then the smallest id stays. Null text counts as empty. If several rows share the winner's
@@ -87,7 +88,7 @@ def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
     known = rows.sparkSession.read.schema(index.rows().schema).parquet(index.path)
     joined = rows.withColumnRenamed("n_codepoints", "own_length").join(known, "digest")
     kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_length") == F.col("n_codepoints"))
-    return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"), "n_codepoints")
+    return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"), "n_codepoints", "own_length")
 
 
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialize, schema, utf8
+from rollcall.llm.common import materialize, schema, text_hash, utf8
 
 SEED, BITS = 42, 64
 
@@ -41,15 +41,15 @@ def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.fromiter((fingerprint(b.as_py(), width) for b in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's 64 bits as a signed long) for each row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"))
-    return rows.mapInArrow(_fingerprints(width), schema("doc_id long, fp long"))
+    """``doc_id, text_hash, fp`` (the fingerprint's 64 bits as a signed long) for each row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"), text_hash(text_col).alias("text_hash"))
+    return rows.mapInArrow(_fingerprints(width), schema("doc_id long, text_hash long, fp long"))
 
 
 def ball_links(fps: DataFrame) -> DataFrame:
@@ -90,7 +90,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """``doc_id, fp, component_id`` for each row: the smallest id reachable over fingerprints 2 bits apart or less.
+    """``doc_id, text_hash, fp, root, component_id`` for each row.
+
+    ``component_id`` is the smallest id reachable over fingerprints 2 bits apart or less, ``root`` a
+    fingerprint that names the component.
 
     Null and blank texts have fingerprint 0 and are linked like any other. Null ids get the id of
     their component, null if it holds no other. Equal rows share a component. An empty table gives
@@ -101,7 +104,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = materialize(components(ball_links(classes.select("fp"))), "roots")
     rooted = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rows.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
