@@ -161,6 +161,15 @@ def test_kneser_ney(spark):
         assert math.isclose(got[at], math.log(p(g)), rel_tol=1e-4)
 
 
+def test_slices(monkeypatch):
+    """Slices give the windows of the whole text."""
+    text, symbols = "the cat sat on the mat " * 9, quality.Symbols([ord(c) for c in "aeth s"])
+    whole = quality.windows(symbols(text), 4, 8)
+    monkeypatch.setattr(quality, "SLICE", 5)
+    assert (np.concatenate(list(quality.sliced_windows(text, symbols, 4, 8))) == whole).all()
+    assert list(quality.sliced_windows("", symbols, 4, 8)) == []
+
+
 @pytest.mark.parametrize("stage", [P.exact, P.near, P.mix, P.tokenise])
 def test_empty(spark, docs, stage):
     assert stage(spark, docs.where("false"), "").count() == 0
