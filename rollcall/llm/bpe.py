@@ -28,6 +28,8 @@ from rollcall.llm.common import schema, utf8
 CHUNK, OVERLAP = 65_536, 2_048
 #: Pre-tokens whose tokens are kept; when there are more, all are forgotten.
 CACHE = 1_000_000
+#: The same for lists of ids, which are larger and may stay in memory beside other operators' work.
+IDS_CACHE = 200_000
 
 
 class Merges:
@@ -174,7 +176,7 @@ class Codec:
     def ids(self, pieces: list[str]) -> list[int]:
         """Identifiers of the pre-tokens, one after the other."""
         known, one = self.known, self.one
-        if len(known) > CACHE:
+        if len(known) > IDS_CACHE:
             known.clear()
         for p in {*pieces}.difference(known):
             known[p] = one(p)

@@ -32,11 +32,17 @@ def scratch_dir(spark: SparkSession) -> str:
     return _own_scratch[app]
 
 
+#: Rows in an Arrow batch where the session names no number: whole texts are larger rows than Spark's 10,000 suit.
+BATCH_ROWS = 1000
+
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once for each application."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch) == "10000":
+        spark.conf.set(batch, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
