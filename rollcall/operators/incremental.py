@@ -9,6 +9,8 @@ from rollcall.functions import rules as R
 from rollcall.operators import curated, mart
 
 KEYS = ["pegawai_id", "tanggal"]
+#: Payloads keep nulls and microseconds.
+JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def manifest_check(items: DataFrame, raw: DataFrame) -> DataFrame:
@@ -38,10 +40,9 @@ def affected_keys(*sides: DataFrame) -> DataFrame:
 
 
 def capture_changes(old: DataFrame, new: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
-    """``pegawai_id, tanggal, operation, payload``: UPSERT with the new row, DELETE without."""
-    cols = [c for c in new.columns if c not in KEYS]
-    cmp = [c for c in cols if c not in ignore]
-    n = new.select(*KEYS, F.struct(*cmp).alias("_n"), F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}).alias("payload"))
+    """``pegawai_id, tanggal, operation, payload``: UPSERT with the new row, its keys too, DELETE without."""
+    cmp = [c for c in new.columns if c not in KEYS and c not in ignore]
+    n = new.select(*KEYS, F.struct(*cmp).alias("_n"), F.to_json(F.struct(*new.columns), JSON).alias("payload"))
     o = old.select(*KEYS, F.struct(*cmp).alias("_o"))
     both = n.join(o, KEYS, "full").where(~F.col("_n").eqNullSafe(F.col("_o")))
     return both.select(*KEYS, F.when(F.col("payload").isNull(), "DELETE").otherwise("UPSERT").alias("operation"), "payload")

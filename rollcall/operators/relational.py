@@ -152,11 +152,91 @@ _BUCKET = "CASE WHEN n < 5 THEN '0' || n WHEN n < 10 THEN '05-09' WHEN n < 20 TH
 _GAPS = "SELECT DATE '2023-11-01' AS month FROM {region} WHERE r_regionkey = 0 UNION ALL SELECT DISTINCT CAST(date_trunc('month', created_at) AS DATE) FROM {t_checkinout}"
 
 
+def report_join_view(reports: DataFrame, user: DataFrame, pegawai: DataFrame, departemen: DataFrame) -> DataFrame:
+    """Reports with their user's employee and department, newest first."""
+    u = user.select(F.col("id").alias("user_id"), "pegawai_id")
+    p = pegawai.select(F.col("id").alias("pegawai_id"), "nama", F.col("departemen").alias("departemen_id"))
+    d = departemen.select(F.col("id").alias("departemen_id"), "nama_departemen")
+    return reports.drop("pegawai_id").join(u, "user_id").join(p, "pegawai_id").join(d, "departemen_id").orderBy(F.desc("id"))
+
+
+def photo_counts(pegawai: DataFrame, departemen: DataFrame) -> DataFrame:
+    """By the first three characters of the department's code: employees, photos and approved photos.
+
+    Inactive employees and codes under three characters don't count; the name is that of the department whose code is the prefix.
+    """
+    d = departemen.where(F.length("kode") >= 3).select(F.col("id").alias("departemen"), F.substring("kode", 1, 3).alias("kode"))
+    rows = pegawai.where("status <> 5").join(d, "departemen").groupBy("kode").agg(F.count("*").alias("people"), F.count("foto").alias("photos"), F.count_if(F.col("is_foto_approved") == 1).alias("approved"))
+    names = departemen.select("kode", "nama_departemen")
+    return rows.join(names, "kode", "left").groupBy("kode", "nama_departemen").agg(*(F.sum(c).alias(c) for c in ("people", "photos", "approved")))
+
+
+def unit_profile(pegawai: DataFrame, departemen: DataFrame) -> DataFrame:
+    """By unit (the part of the full code before ' - ') and code prefix: employees by sex, category, platform and education.
+
+    Inactive employees and departments whose code begins with HAPUS (deleted) don't count.
+    """
+    d = departemen.where("left(kode, 5) <> 'HAPUS'").select(F.col("id").alias("departemen"), F.split_part("kode_lengkap", F.lit(" - "), F.lit(1)).alias("unit"), F.substring("kode", 1, 3).alias("kode"))
+    learnt = lambda level: F.contains(F.lower("attrs"), F.lit(f'"pendidikan":"{level}"'.lower()))
+    counts = {"male": F.col("jenis_kelamin") == 1, "female": F.col("jenis_kelamin") == 2}
+    counts |= {f"category_{k}": F.col("status") == k for k in (1, 2, 3, 4)}
+    counts |= {n: F.col("other_attr") == k for n, k in (("android", "1"), ("apple", "2"), ("web", "3"))} | {"platform_unset": F.col("other_attr").isNull()}
+    counts |= {n: learnt(x) for n, x in (("sd", "SD"), ("sltp", "SLTP"), ("slta", "SLTA"), ("d3", "D-III"), ("s1", "S-1"), ("d4", "D-IV"), ("s2", "S-2"), ("s3", "S-3"))}
+    return pegawai.where("status <> 5").join(d, "departemen").groupBy("unit", "kode").agg(F.count("unit").alias("people"), *(F.count_if(c).alias(n) for n, c in counts.items()))
+
+
+def coverage_by_department(shift: DataFrame, jadwal: DataFrame) -> DataFrame:
+    """Distinct shifts, schedules and active shifts of each department. Schedules are counted by shift first."""
+    j = jadwal.groupBy(F.col("jenis").alias("id")).agg(F.count_distinct("id").alias("schedules"))
+    return shift.join(j, "id", "left").groupBy("departemen_id").agg(
+        F.count_distinct("id").alias("shift_count"), F.coalesce(F.sum("schedules"), F.lit(0)).cast("long").alias("schedule_count"), F.count_distinct(F.when(F.col("status"), F.col("id"))).alias("active_shift_count")
+    )
+
+
+_CODE = "CASE WHEN id % 9 = 8 THEN concat('HAPUS', nama_departemen) WHEN id % 2 = 0 THEN substr(nama_departemen, 1, 3) ELSE concat(substr(nama_departemen, 1, 3), '.', CAST(id AS STRING)) END"
+_UNITS = f"SELECT id, nama_departemen, {_CODE} AS kode, concat(substr(nama_departemen, 1, 1), ' - ', nama_departemen) AS kode_lengkap FROM {{m_departemen}}"
+_STAFF = [
+    "id", "departemen", "status", "id % 2 + 1 AS jenis_kelamin", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'x' END AS foto", "id % 4 AS is_foto_approved", "CASE WHEN id % 4 > 0 THEN CAST(id % 4 AS STRING) END AS other_attr",
+    """CASE id % 5 WHEN 0 THEN '{"pendidikan":"SD"}' WHEN 1 THEN '{"pendidikan":"S-1"}' WHEN 2 THEN '{"PENDIDIKAN":"d-iii"}' WHEN 3 THEN '{}' END AS attrs""",
+]
+_STAFF_SQL = f"SELECT {', '.join(_STAFF)} FROM {{m_pegawai}}"
+_LEVELS = (("sd", "SD"), ("sltp", "SLTP"), ("slta", "SLTA"), ("d3", "D-III"), ("s1", "S-1"), ("d4", "D-IV"), ("s2", "S-2"), ("s3", "S-3"))
+
+
+def _units(t) -> DataFrame:
+    return t.spark.sql(_UNITS, m_departemen=t.m_departemen)
+
+
+def _staff(t) -> DataFrame:
+    return t.m_pegawai.selectExpr(*_STAFF)
+
+
 def _months(t) -> DataFrame:
     return t.region.where("r_regionkey = 0").select(F.lit("2023-11-01").cast("date").alias("month")).union(t.t_checkinout.select(F.to_date("created_at")))
 
 
 QUERIES = {
+    "report_join_view": (
+        lambda t: report_join_view(t.t_perizinan.select("id", "user_id", "tipe_ijin"), t.m_user, t.m_pegawai, t.m_departemen),
+        """SELECT a.id, a.user_id, a.tipe_ijin, u.pegawai_id, p.nama, p.departemen AS departemen_id, d.nama_departemen FROM {t_perizinan} a JOIN {m_user} u ON u.id = a.user_id
+           JOIN {m_pegawai} p ON p.id = u.pegawai_id JOIN {m_departemen} d ON d.id = p.departemen ORDER BY a.id DESC""",
+    ),
+    "photo_counts": (
+        lambda t: photo_counts(_staff(t), _units(t)),
+        f"""SELECT left(b.kode, 3) AS kode, d.nama_departemen, count(*) AS people, count(a.foto) AS photos, count(*) FILTER (a.is_foto_approved = 1) AS approved FROM ({_STAFF_SQL}) a JOIN ({_UNITS}) b ON b.id = a.departemen
+            LEFT JOIN ({_UNITS}) d ON d.kode = left(b.kode, 3) WHERE a.status <> 5 AND length(b.kode) >= 3 GROUP BY ALL""",
+    ),
+    "unit_profile": (
+        lambda t: unit_profile(_staff(t), _units(t)),
+        f"""SELECT split_part(b.kode_lengkap, ' - ', 1) AS unit, left(b.kode, 3) AS kode, count(*) AS people, count(*) FILTER (jenis_kelamin = 1) AS male, count(*) FILTER (jenis_kelamin = 2) AS female,
+            {', '.join(f'count(*) FILTER (status = {k}) AS category_{k}' for k in (1, 2, 3, 4))}, {', '.join(f"count(*) FILTER (other_attr = '{k}') AS {n}" for n, k in (('android', 1), ('apple', 2), ('web', 3)))},
+            count(*) FILTER (other_attr IS NULL) AS platform_unset, {', '.join(f"count(*) FILTER (attrs ILIKE '%\"pendidikan\":\"{x}\"%') AS {n}" for n, x in _LEVELS)}
+            FROM ({_STAFF_SQL}) a JOIN ({_UNITS}) b ON b.id = a.departemen WHERE a.status <> 5 AND left(b.kode, 5) <> 'HAPUS' GROUP BY ALL""",
+    ),
+    "coverage_by_department": (
+        lambda t: coverage_by_department(t.m_shift, t.m_jadwal),
+        "SELECT s.departemen_id, count(DISTINCT s.id) AS shift_count, count(DISTINCT j.id) AS schedule_count, count(DISTINCT s.id) FILTER (s.status) AS active_shift_count FROM {m_shift} s LEFT JOIN {m_jadwal} j ON j.jenis = s.id GROUP BY ALL",
+    ),
     "full_outer_diff": (
         lambda t: full_outer_diff(t.pop.where("pegawai_id % 4 <> 0"), t.pop.where("pegawai_id % 5 <> 0").withColumn("status_sumber", F.when(F.col("pegawai_id") % 7 == 0, 0).otherwise(F.col("status_sumber"))), KEYS),
         "SELECT pegawai_id, tanggal FROM {pop} WHERE (pegawai_id % 4 <> 0) <> (pegawai_id % 5 <> 0) OR (pegawai_id % 4 <> 0 AND pegawai_id % 5 <> 0 AND pegawai_id % 7 = 0)",

@@ -15,6 +15,7 @@ from rollcall.plans.sql_views import RATES, SUMS, VIEWS
 from rollcall.plans.tables import Tables
 from rollcall.sources import scans
 from rollcall.sources.adapters import duckdb_sql
+from rollcall.streaming import delivery
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -153,6 +154,6 @@ add("legacy_marts_status", lambda t: kpi.legacy_marts(t.fact)["status"], "SELECT
 add("legacy_marts_late", lambda t: kpi.legacy_marts(t.fact)["late"], "SELECT tanggal, departemen_key, lateness_status = 'LATE' AS is_late, count(*) AS n FROM {fact} GROUP BY ALL")
 add("legacy_marts_attendance", lambda t: kpi.legacy_marts(t.fact)["attendance"], f"SELECT tanggal, departemen_key, {_S6} FROM {{fact}} GROUP BY ALL")
 
-for _module in (scans, relational, incremental, profiling, checks):
+for _module in (scans, relational, incremental, profiling, checks, delivery):
     for _name, (_f, _sql) in _module.QUERIES.items():
         add(_name, _f, _sql)
