@@ -68,9 +68,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one of the smallest id (null last)."""
+    """One document of each group of near duplicates (five-word Jaccard 0.8 or more): the one of the smallest id (null last)."""
     ship(spark)
-    found = materialize(near_dedup.near_duplicates(docs), "components")
+    found = materialize(near_dedup.similar(docs), "components")
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
     best = found.groupBy("root").agg(best.alias("best")).select("root", F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"))
     stays = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))

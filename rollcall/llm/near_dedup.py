@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialize, schema, text_hash, utf8
+from rollcall.llm.common import materialize, mix64, schema, text_hash, utf8
 
 SEED, BITS = 42, 64
 
@@ -107,6 +107,167 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(rooted.join(ids, "root").select("fp", "root", "component_id"), "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
+#: Of :func:`similar`: independent fingerprints a text, bits of each, and bits of the whole sketch.
+FINGERPRINTS, SHORT = 16, 28
+SKETCH = FINGERPRINTS * SHORT
+#: Bits that two sketches, and the 36 bits beside a fingerprint, may differ in: similar texts differ in less but for one pair in thousands.
+FAR, FAR_BESIDE = SKETCH * 5 // 16, 13
+#: Fingerprints in a group, about, and the followers that one is paired with in a variant.
+GROUP, FOLLOWERS = 1 << 17, 64
+
+
+def shingle_set(body: bytes, width: int) -> np.ndarray:
+    """Distinct hashes of a text's word shingles, sorted, A-Z lowered; a shorter text is one shingle."""
+    words = body.lower().split()
+    if not words:
+        return np.zeros(0, np.uint64)
+    width = min(width, len(words))
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(words[i : i + width]), SEED) for i in range(len(words) - width + 1)), np.uint64))
+
+
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of ``SKETCH`` independent bits, as 64-bit words: each bit is set if over half the shingles have it set."""
+    ones = np.zeros(SKETCH, np.int64)
+    salts = np.arange(1, SKETCH // 64 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for i in range(0, len(hashes), 255):  # so that a byte holds a count
+        words = mix64(hashes[i : i + 255, None] + salts)
+        ones += np.add.reduce(np.unpackbits(words.view(np.uint8), axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
+
+
+def _sketches(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(b.as_py(), width) for b in batch.column(1)]
+            cls = np.fromiter((xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
+            sketches = pa.array([sketch(s).tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cls), sketches], ["doc_id", "text_hash", "cls", "sketch"])
+
+    return run
+
+
+def _windows(sketches: pa.Array) -> np.ndarray:
+    """For each fingerprint (row) the 64 bits of each sketch that begin with it; the sketch is a ring."""
+    bits = np.unpackbits(np.frombuffer(b"".join(sketches.to_pylist()), np.uint8).reshape(-1, SKETCH // 8), axis=1, bitorder="little")
+    bits = np.concatenate([bits, bits[:, :64]], axis=1)
+    return np.stack([np.packbits(bits[:, t * SHORT : t * SHORT + 64], axis=1, bitorder="little").view(np.uint64).ravel() for t in range(FINGERPRINTS)])
+
+
+def _emit(high: int):
+    """Each fingerprint goes to the group of its ``high`` leading bits, and to those one bit from it."""
+    flips = np.array([0, *(1 << b for b in range(high))], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                ids = part.column(0).to_numpy()
+                for t, w in enumerate(_windows(part.column(1)) if len(ids) else ()):
+                    lead = ((w & np.uint64((1 << SHORT) - 1)) >> np.uint64(SHORT - high)).astype(np.int64)
+                    g = (lead[:, None] ^ flips) + (t << SHORT)
+                    yield pa.RecordBatch.from_arrays([pa.array(g.ravel()), pa.array(np.repeat(w.view(np.int64), high + 1)), pa.array(np.repeat(ids, high + 1))], ["g", "w", "id"])
+
+    return run
+
+
+def _meet(high: int):
+    """Pairs of a group that meet in a variant: those in the group by a flip of a leading bit have no other flip left."""
+    low = SHORT - high
+
+    def run(table: pa.Table) -> pa.Table:
+        g, w, ids = (table.column(c).to_numpy() for c in ("g", "w", "id"))
+        order = np.argsort(ids)
+        w, ids, lead = w.view(np.uint64)[order], ids[order], int(g[0]) & ((1 << high) - 1)
+        own = (w & np.uint64((1 << SHORT) - 1)).astype(np.int64)
+        rest, home = own & ((1 << low) - 1), np.flatnonzero(own >> low == lead)
+        variant = np.concatenate([rest, *(rest[home] ^ (1 << b) for b in range(low))])
+        row = np.concatenate([np.arange(len(w)), *([home] * low)])
+        by = np.lexsort((row, variant))
+        variant, row = variant[by], row[by]
+        found = [np.zeros((0, 2), np.int64)]
+        at = np.arange(len(variant))
+        for d in range(1, FOLLOWERS + 1):
+            at = at[at + d < len(variant)]
+            at = at[variant[at] == variant[at + d]]
+            if not len(at):
+                break
+            i, j = row[at], row[at + d]
+            close = np.bitwise_count((w[i] ^ w[j]) >> np.uint64(SHORT)) <= FAR_BESIDE
+            found.append(np.unique(np.stack([ids[i[close]], ids[j[close]]], axis=1), axis=0))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
+
+
+def _near_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for c in ("sa", "sb"))
+        near = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= FAR
+        yield batch.select(["a", "b"]).filter(pa.array(near))
+
+
+def _sets(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for body in batch.column(0):
+                s = shingle_set(body.as_py(), width)
+                cls = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED)], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array([s.tobytes()], pa.binary())], ["cls", "hashes"])
+
+    return run
+
+
+def _verify(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("ha"), batch.column("hb"), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``doc_id, text_hash, root`` for each row; ``root`` names the component of texts linked by verified similarity.
+
+    Texts are linked if the Jaccard similarity of their sets of word shingles is ``similarity`` or more, which
+    is computed from the sets for every candidate. Texts of equal sets are one class. Candidates have one of
+    ``FINGERPRINTS`` independent fingerprints within distance 2, found by ball hashing as in :func:`ball_links`:
+    a variant's flipped bit among the leading ones is emitted, one among the others is made in the group.
+    A variant that over ``FOLLOWERS`` classes meet in pairs each with that many next ones only.
+
+    Null and blank texts are one class. Equal rows share a component. Other columns are ignored.
+    """
+    text = [F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"), text_hash(text_col).alias("text_hash")]
+    rows = docs.select(*text).mapInArrow(_sketches(width), schema("doc_id long, text_hash long, cls long, sketch binary"))
+    rows = materialize(rows, "sketches")
+    classes = materialize(rows.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "classes")
+    n, high = classes.count(), 0
+    while n * (high + 1) > GROUP << high and high < SHORT - 1:
+        high += 1
+    emitted = classes.select("cls", "sketch").mapInArrow(_emit(high), schema("g long, w long, id long"))
+    met = emitted.groupBy("g").applyInArrow(_meet(high), schema("a long, b long")).distinct()
+    met = materialize(met, "candidates")
+    for side, one in (("a", "sa"), ("b", "sb")):
+        met = met.join(classes.select(F.col("cls").alias(side), F.col("sketch").alias(one)), side)
+    pairs = materialize(met.select("a", "b", "sa", "sb").mapInArrow(_near_sketches, schema("a long, b long")), "pairs")
+    # One text of each class in a pair is read again for its set.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+    wanted = materialize(classes.join(wanted, "cls", "left_semi").select("text_hash").distinct(), "wanted")
+    read = docs.select(*text).join(wanted, "text_hash", "left_semi").select("body")
+    sets = read.mapInArrow(_sets(width), schema("cls long, hashes binary")).groupBy("cls").agg(F.first("hashes").alias("hashes"))
+    sets = materialize(sets, "sets")
+    for side, one in (("a", "ha"), ("b", "hb")):
+        pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("hashes").alias(one)), side)
+    links = materialize(pairs.select("a", "b", "ha", "hb").mapInArrow(_verify(similarity), schema("a long, b long")), "verified")
+    roots = materialize(components(links), "roots")
+    return rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "text_hash", F.coalesce("root", "cls").alias("root"))
+
+
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = near_duplicates(docs)
