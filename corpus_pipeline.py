@@ -47,7 +47,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.classify(docs, quality.trusted_labels(labels))
+    scored = quality.classify(docs, quality.trusted_labels(labels), toxic_ids=quality.toxic_labels(labels))
     keys = ["doc_id", "lang", "text_hash"]
     # Rejected ones are few: the texts are joined with their keys only.
     rejected = scored.where("not accepted").select(*keys).distinct()

@@ -8,7 +8,9 @@ arithmetic, and all estimates come from joins of count tables sharded by those n
 2 bytes by default) and is broadcast; documents are scored where they are read.
 
 Every document's perplexity is compared with a quantile of the perplexities of all trusted
-documents of its language.
+documents of its language. A few bad words hardly move it, so a second model of the same kind is fitted
+on text labelled as toxic, and the passage that this model finds most likelier than the first is compared
+with the worst passages of trusted documents in the same way.
 """
 
 from __future__ import annotations
@@ -32,7 +34,10 @@ PRIOR = 64
 #: Symbols worked on at once: bounds a task's memory, whatever the length of texts and batches.
 SLICE = 1 << 20
 
-SCORES = "doc_id bigint, lang string, text_hash bigint, n_symbols bigint, log_p double"
+#: And up to ``WORST_SLACK`` times this quantile of its language's trusted documents' worst passages of ``PASSAGE`` symbols.
+WORST_QUANTILE, WORST_SLACK, PASSAGE = 0.999, 1.1, 16
+
+SCORES = "doc_id bigint, lang string, text_hash bigint, n_symbols bigint, log_p double, worst double"
 
 
 def _pieces(texts: pa.Array):
@@ -162,16 +167,48 @@ def quantised(logs: np.ndarray) -> tuple[np.ndarray, float]:
     return np.rint(levels, out=levels).clip(0, 65535, out=levels).astype(np.uint16), step
 
 
+def contrast(bad: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
+    """How much likelier (in logarithms) an n-gram is by one model than by another, as 16-bit multiples of a step."""
+    ratio = bad - good
+    step = float(np.abs(ratio).max()) / 32767 or 1.0
+    ratio /= np.float32(step)
+    return np.rint(ratio, out=ratio).clip(-32767, 32767, out=ratio).astype(np.int16), step
+
+
+class Worst:
+    """The largest sum of ``width`` values in a row, fed in slices; of all values where there are fewer."""
+
+    def __init__(self, width: int):
+        self.width, self.tail, self.most = width, np.zeros(0, np.int64), None
+
+    def add(self, values: np.ndarray) -> None:
+        values = np.concatenate([self.tail, values])
+        if len(values) >= self.width:
+            sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+            most = int((sums[self.width :] - sums[: -self.width]).max())
+            self.most = most if self.most is None else max(self.most, most)
+        self.tail = values[-(self.width - 1) :] if self.width > 1 else values[:0]
+
+    def result(self) -> int:
+        return int(self.tail.sum()) if self.most is None else self.most
+
+
 def _score(symbols: Symbols, table, order: int, size: int):
     def run(batches):
-        levels, step = table.value
+        (levels, step), versus = table.value
         for batch in batches:
-            n, total = [], []
+            n, total, worst = [], [], []
             for text in batch.column("text"):
-                text = text.as_py()
+                text, below, passage = text.as_py(), 0, Worst(PASSAGE)
+                for codes in sliced_windows(text, symbols, order, size):
+                    below += int(levels[codes].sum(dtype=np.int64))
+                    if versus is not None:
+                        passage.add(versus[0][codes])
                 n.append(len(text))
-                total.append(-step * sum(int(levels[c].sum(dtype=np.int64)) for c in sliced_windows(text, symbols, order, size)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "lang", "text_hash")), pa.array(n, pa.int64()), pa.array(total, pa.float64())], ["doc_id", "lang", "text_hash", "n_symbols", "log_p"])
+                total.append(-step * below)
+                worst.append(None if versus is None else versus[1] * passage.result())
+            numbers = [pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(worst, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "lang", "text_hash")), *numbers], ["doc_id", "lang", "text_hash", "n_symbols", "log_p", "worst"])
 
     return run
 
@@ -179,12 +216,17 @@ def _score(symbols: Symbols, table, order: int, size: int):
 def classify(
     docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     sample: int = SAMPLE, quantile: float = QUANTILE, slack: float = SLACK, prior: int = PRIOR, order: int = ORDER, alphabet: int = ALPHABET,
+    toxic_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """``doc_id, lang, n_symbols, perplexity, judged, threshold, accepted, text_hash`` for each row.
+    """``doc_id, lang, n_symbols, perplexity, judged, threshold, accepted, text_hash, worst, worst_threshold`` for each row.
 
     ``judged`` is the perplexity of the document together with ``prior`` symbols of average trusted
     text; it is what thresholds are taken from and compared with.
 
+    ``toxic_ids`` holds ``id_col`` of toxic documents. With it, ``worst`` is how much likelier (in logarithms) the
+    model of a sample of them finds the document's worst passage, and a document over ``worst_threshold`` is
+    rejected, too. Without it, or without text in them, both are null.
+
     ``trusted_ids`` holds ``id_col`` of trusted documents. The model is fitted on all of them, or on
     a part drawn by a hash of the id with ``sample`` documents in expectation; thresholds come from
     all of them. A language (null is one) with under 20 trusted documents takes the threshold of all.
@@ -196,31 +238,44 @@ def classify(
     spark = docs.sparkSession
     good = trusted_ids.select(F.col(id_col).alias("good_id")).where("good_id is not null").distinct()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang"))
-    n = good.count()
-    share = F.pmod(F.xxhash64("good_id"), F.lit(1 << 20)) < (1 << 20) * (sample / n if n else 0)
-    fit = rows.join(good.where(share), F.col("doc_id") == F.col("good_id"), "left_semi").select("text")
-    # The sample is bounded, and read twice: once for the alphabet, once for the n-grams.
-    fit = materialize(fit, "trusted")
+
+    def sampled(ids: DataFrame, tag: str) -> DataFrame:
+        n = ids.count()
+        share = F.pmod(F.xxhash64("good_id"), F.lit(1 << 20)) < (1 << 20) * (sample / n if n else 0)
+        # The sample is bounded, and read twice: once for the alphabet, once for the n-grams.
+        return materialize(rows.join(ids.where(share), F.col("doc_id") == F.col("good_id"), "left_semi").select("text"), tag)
+
+    fit = sampled(good, "trusted")
     top = fit.mapInArrow(_characters, schema("cp long, n long")).groupBy("cp").agg(F.sum("n").alias("n"))
     points = [r["cp"] for r in top.orderBy(F.desc("n"), "cp").limit(alphabet - 1).collect()]
     symbols = Symbols(points)
-    grams = fit.mapInArrow(_grams(symbols, order, alphabet), schema("g long, c long")).groupBy("g").agg(F.sum("c").alias("c"))
-    table = spark.sparkContext.broadcast(quantised(dense(estimate(grams, order, alphabet), alphabet)))
+
+    def estimated(texts: DataFrame) -> list[pd.DataFrame]:
+        return estimate(texts.mapInArrow(_grams(symbols, order, alphabet), schema("g long, c long")).groupBy("g").agg(F.sum("c").alias("c")), order, alphabet)
+
+    logs, versus = dense(estimated(fit), alphabet), None
+    if toxic_ids is not None:
+        bad = estimated(sampled(toxic_ids.select(F.col(id_col).alias("good_id")).where("good_id is not null").distinct(), "toxic"))
+        if len(bad[0]):
+            versus = contrast(dense(bad, alphabet), logs)
+    table = spark.sparkContext.broadcast((quantised(logs), versus))
     scored = rows.withColumn("text_hash", text_hash("text")).mapInArrow(_score(symbols, table, order, alphabet), schema(SCORES))
     scored = materialize(scored, "perplexity")
     trusted = scored.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n_symbols > 0")
     usual = trusted.agg(F.coalesce(F.sum("log_p") / F.sum("n_symbols"), F.lit(0.0))).first()[0]
     judged = F.exp(-(F.col("log_p") + prior * usual) / F.greatest(F.col("n_symbols") + prior, F.lit(1)))
     q = F.percentile(judged, F.lit(quantile)) * slack
-    by_lang = trusted.groupBy(F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("")).alias("key")).agg(q.alias("own"), F.count("*").alias("n"))
+    w = F.percentile("worst", F.lit(WORST_QUANTILE)) * WORST_SLACK
+    by_lang = trusted.groupBy(F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("")).alias("key")).agg(q.alias("own"), w.alias("own_worst"), F.count("*").alias("n"))
     # A row for each language: written first, so that its size is known when it is joined.
     by_lang = materialize(by_lang, "thresholds")
-    overall = trusted.agg(q.alias("overall"))
-    out = scored.withColumn("key", F.coalesce(F.concat(F.lit("l"), "lang"), F.lit(""))).join(by_lang.where(F.col("n") >= LEAST_TRUSTED).select("key", "own"), "key", "left")
-    out = out.crossJoin(F.broadcast(overall)).withColumn("threshold", F.coalesce("own", "overall"))
-    accepted = F.coalesce(judged <= F.col("threshold"), F.lit(True)) | (F.col("n_symbols") == 0)
+    overall = trusted.agg(q.alias("overall"), w.alias("overall_worst"))
+    out = scored.withColumn("key", F.coalesce(F.concat(F.lit("l"), "lang"), F.lit(""))).join(by_lang.where(F.col("n") >= LEAST_TRUSTED).select("key", "own", "own_worst"), "key", "left")
+    out = out.crossJoin(F.broadcast(overall)).withColumn("threshold", F.coalesce("own", "overall")).withColumn("worst_threshold", F.coalesce("own_worst", "overall_worst"))
+    likely, clean = (F.coalesce(x, F.lit(True)) for x in (judged <= F.col("threshold"), F.col("worst") <= F.col("worst_threshold")))
+    accepted = likely & clean | (F.col("n_symbols") == 0)
     perplexity = F.exp(-F.col("log_p") / F.greatest("n_symbols", F.lit(1)))
-    return out.select("doc_id", "lang", "n_symbols", perplexity.alias("perplexity"), judged.alias("judged"), "threshold", accepted.alias("accepted"), "text_hash")
+    return out.select("doc_id", "lang", "n_symbols", perplexity.alias("perplexity"), judged.alias("judged"), "threshold", accepted.alias("accepted"), "text_hash", "worst", "worst_threshold")
 
 
 def trusted_labels(labels: DataFrame) -> DataFrame:
@@ -228,6 +283,11 @@ def trusted_labels(labels: DataFrame) -> DataFrame:
     return labels.where((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)).select("doc_id")
 
 
+def toxic_labels(labels: DataFrame) -> DataFrame:
+    """Ids of documents labelled as toxic."""
+    return labels.where(F.col("toxic") == 1).select("doc_id")
+
+
 def op8_quality(spark, sf_dir: str) -> DataFrame:
     docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
-    return classify(docs, trusted_labels(labels))
+    return classify(docs, trusted_labels(labels), toxic_ids=toxic_labels(labels))
