@@ -26,8 +26,8 @@ from rollcall.llm.common import materialize, schema, text_hash
 ALPHABET, ORDER = 64, 4
 #: Trusted documents the model is fitted on, at most (in expectation).
 SAMPLE = 20_000
-#: A document is accepted up to ``SLACK`` times this quantile of its language's trusted perplexities.
-QUANTILE, SLACK, LEAST_TRUSTED = 0.99, 1.25, 20
+#: Chosen on held-out halves of labels. A document is accepted up to ``SLACK`` times this quantile of its language's trusted perplexities.
+QUANTILE, SLACK, LEAST_TRUSTED = 0.99, 1.1, 20
 #: Symbols of average trusted text that every document is judged together with: a few symbols prove little.
 PRIOR = 64
 

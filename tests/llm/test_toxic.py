@@ -39,3 +39,18 @@ def test_worst_of_slices():
     w = quality.Worst(16)
     w.add(values[:4])
     assert w.result() == values[:4].sum()
+
+
+def test_tight_threshold(spark):
+    """What is over 1.1 times the trusted quantile goes, though it is under 1.25 times."""
+    ship(spark)
+    rng = random.Random(9)
+    words = ["".join(rng.choice(["ka", "lo", "mi", "ta", "ren", "so"]) for _ in range(3)) for _ in range(300)]
+    noise = ["".join(rng.choice("aeiklmnorst") for _ in range(6)) for _ in range(300)]
+    rows = [(i, " ".join(rng.choice(noise if rng.random() < max(0, i - 100) / 400 else words) for _ in range(250)), "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = quality.classify(docs, spark.createDataFrame([(i,) for i in range(100)], "doc_id long")).collect()
+    usual = np.quantile([r.judged for r in out if r.doc_id < 100], 0.99)
+    between = [r for r in out if 1.1 * usual < r.judged < 1.25 * usual]
+    assert between and not any(r.accepted for r in between)
+    assert all(r.accepted for r in out if r.doc_id < 100)
