@@ -28,11 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialize, mix64, pack, schema, unpack, utf8
+from rollcall.llm.common import materialize, mix64, new_path, pack, schema, unpack, utf8
 from rollcall.llm.elias_fano import ABSENT, Trie, dequantise
 
-BLOCK_TOKENS, WORD_SHARD, PAIR_SHARD, HOT_CONTEXT = 2_500_000, 1_000_000, 2_000_000, 100_000
-MU = 500.0
+BLOCK_TOKENS, WORD_SHARD, PAIR_SHARD, HOT_CONTEXT = 2_000_000, 1_000_000, 2_000_000, 100_000
+#: Chosen by :func:`leave_one_out` on training texts alone.
+MU = 200.0
 UNKNOWN = np.uint32(2**32 - 1)
 #: Local and global stand-in for a text's end, which is also the context of its first word.
 END_HASH = np.uint64(0)
@@ -188,8 +189,10 @@ def _answer_pairs(tokens: int, words: int, mu: float):
         p = (total + mu * unigram(follower, tokens, words)) / (context + mu)
         low = np.uint64(0xFFFFFFFF)
         blob = Trie.build(pairs[seen] >> np.uint64(32), pairs[seen] & low, np.log10(p[seen])).to_bytes()
-        trie = Trie.mapped(blob)
-        rows = [(b, 1, shard, pack(trie.lookup(q >> np.uint64(32), q & low)), None, 0) for b, q in zip(pdf["block"], asked, strict=True)]
+        # Each pair is looked up once, in the mapped levels as they are, whatever number of blocks ask for it.
+        codes = Trie.mapped(blob).lookup(pairs >> np.uint64(32), pairs & low)[where]
+        ends = np.cumsum([len(a) for a in asked])[:-1]
+        rows = [(b, 1, shard, pack(c), None, 0) for b, c in zip(pdf["block"], np.split(codes, ends), strict=True)]
         rows.append((None, 1, shard, blob, None, int(seen.sum())))  # the shard of the model itself
         return pd.DataFrame(rows, columns=ANSWERS.names)
 
@@ -227,6 +230,27 @@ def _score(word_shards: int, pair_shards: int, tokens: int, words: int, mu: floa
     return score
 
 
+def _bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written in buckets of ``key``: what joins it by this key moves to it, and it stays where it is."""
+    spark, path = df.sparkSession, new_path(df.sparkSession, "blocks")
+    table = f"blocks_{path.rsplit('-', 1)[1]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the name only; the files stay
+    return out
+
+
+def leave_one_out(pair_counts: np.ndarray, context_counts: np.ndarray, follower_p: np.ndarray, mu: float) -> float:
+    """Log-likelihood of the training pairs, each occurrence scored without itself: what ``MU`` is chosen by.
+
+    Arrays have one entry for each distinct pair: its count, its context's count and its follower's
+    unigram probability.
+    """
+    p = (pair_counts - 1 + mu * follower_p) / (context_counts - 1 + mu)
+    return float((pair_counts * np.log(p)).sum())
+
+
 def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", mu: float = MU) -> tuple[DataFrame, DataFrame]:
     """Train on the rows where ``train`` holds and score every row.
 
@@ -237,11 +261,11 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long"), F.coalesce(train, F.lit(False)), utf8(text_col))
-    blocks = materialize(rows.mapInArrow(_to_blocks, BLOCKS), "blocks")
+    blocks = _bucketed(rows.mapInArrow(_to_blocks, BLOCKS), "block")
     size = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     pair_shards, word_shards = size[0] // PAIR_SHARD + 1, size[1] // WORD_SHARD + 1
     asks = blocks.select("block", "words", "counts").mapInArrow(_ask_words(word_shards), WORD_ASKS)
-    words = materialize(asks.groupBy("shard").applyInPandas(_answer_words(word_shards), ANSWERS), "words")
+    words = materialize(asks.groupBy("shard").applyInPandas(_answer_words(word_shards), ANSWERS), "words")  # small: distinct words only
     total = words.where("block is null").agg(F.coalesce(F.sum("kind"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     vocabulary, tokens = int(total[0]), int(total[1])
     to_block = words.where("block is not null").groupBy("block")
