@@ -47,10 +47,15 @@ VIEWS = {
                CASE WHEN e.k % 13 = 12 THEN NULL ELSE j.jam_masuk_awal END AS jam_masuk_awal, j.jam_keluar, j.jam_keluar_akhir,
                CASE WHEN e.event_id % 19 = 0 THEN NULL ELSE e.value > 150 END AS is_manual,
                CASE WHEN e.event_id % 5 < 2 THEN NULL ELSE {approval} END AS approval_at,
+               CASE WHEN e.event_id % 23 = 0 THEN NULL WHEN e.event_id % 29 = 0 THEN 2 ELSE CAST(e.event_id % 2 AS INT) END AS is_wfh,
+               CASE WHEN e.event_id % 7 = 0 THEN NULL WHEN e.event_id % 11 = 0 THEN {later} WHEN e.event_id % 37 = 0 THEN {earlier} ELSE CAST(e.ts AS TIMESTAMP) END AS updated_at,
                CASE WHEN e.event_id % 41 = 0 THEN 'MIGRASI lama' WHEN e.event_id % 3 = 0 THEN NULL ELSE 'ok' END AS keterangan
         FROM (SELECT *, {k} AS k FROM {events}) e LEFT JOIN {m_jadwal} j ON j.id = e.k""",
     "m_jenis_ijin": "SELECT CAST(r_regionkey AS INT) AS id, r_name AS nama, CAST(r_regionkey % 2 AS INT) AS tipe_id FROM {region}",
     "m_tipe_ijin": "SELECT CAST(r_regionkey AS INT) AS id, CASE r_regionkey WHEN 0 THEN 'SICK' ELSE 'DUTY' END AS nama FROM {region} WHERE r_regionkey < 2",
+    "m_previleges": "SELECT CAST(r_regionkey AS INT) + 1 AS id, concat('Kategori ', r_name) AS previleges FROM {region} WHERE r_regionkey < 4",
+    "m_hari_libur": "SELECT CAST(n_nationkey AS INT) AS id, {holiday} AS tanggal, concat('Libur ', n_name) AS keterangan FROM {nation} WHERE n_nationkey % 3 = 0",
+    "t_libur_shift": "SELECT CAST(s_suppkey AS INT) AS id, s_nationkey AS departemen_id, CAST(s_suppkey % 150 AS INT) AS pegawai_id, {off} AS tanggal FROM {supplier}",
     "t_perizinan": """
         SELECT CAST(o_orderkey AS INT) AS id, CAST(CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_orderkey % 150 END AS INT) AS pegawai_id,
                CAST(o_orderkey % 150 AS INT) AS user_id,
@@ -65,6 +70,10 @@ SPARK = {
     "tod": "hour(e.ts) * 3600000000 + CAST(minute(e.ts) AS BIGINT) * 60000000 + CAST(extract(SECOND FROM e.ts) * 1000000 AS BIGINT)",
     "k": "CAST(get_json_object(props, '$.k') AS INT)",
     "approval": "CAST(e.ts AS TIMESTAMP) + make_dt_interval(CAST(e.event_id % 4 AS INT) - 1)",
+    "later": "CAST(e.ts AS TIMESTAMP) + make_dt_interval(1)",
+    "earlier": "CAST(e.ts AS TIMESTAMP) - make_dt_interval(1)",
+    "holiday": "date_add(DATE '2024-01-01', CAST(n_nationkey % 8 AS INT))",
+    "off": "date_add(DATE '2024-01-01', CAST(s_suppkey % 30 AS INT))",
     "leave_from": "date_add(DATE '2024-01-01', CAST((7 * o_orderkey) % 30 AS INT))",
     "leave_to": "date_add(DATE '2024-01-01', CAST((7 * o_orderkey) % 30 + o_orderkey % 4 - 1 AS INT))",
 }
@@ -72,6 +81,10 @@ DUCKDB = {
     "tod": "hour(e.ts) * 3600000000 + minute(e.ts) * 60000000 + microsecond(e.ts)",
     "k": "CAST(json_extract_string(props, '$.k') AS INT)",
     "approval": "CAST(e.ts AS TIMESTAMP) + to_days(CAST(e.event_id % 4 AS INT) - 1)",
+    "later": "CAST(e.ts AS TIMESTAMP) + to_days(1)",
+    "earlier": "CAST(e.ts AS TIMESTAMP) - to_days(1)",
+    "holiday": "DATE '2024-01-01' + CAST(n_nationkey % 8 AS INT)",
+    "off": "DATE '2024-01-01' + CAST(s_suppkey % 30 AS INT)",
     "leave_from": "DATE '2024-01-01' + CAST((7 * o_orderkey) % 30 AS INT)",
     "leave_to": "DATE '2024-01-01' + CAST((7 * o_orderkey) % 30 + o_orderkey % 4 - 1 AS INT)",
 }

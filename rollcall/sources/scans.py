@@ -89,33 +89,6 @@ def exclude_marked(df: DataFrame, prefixes: list[str], col: str = "keterangan")
     return out
 
 
-class VersionedTables:
-    """Tables that a batch publishes together: files of a new version, then one marker that lists them."""
-
-    MARK = "version long, names string"
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def version(self) -> int:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/published")  # noqa: SLF001
-        if not hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(hadoop):  # noqa: SLF001
-            return 0
-        return self.spark.read.schema(self.MARK).json(f"{self.path}/published").agg(F.max("version")).first()[0] or 0
-
-    def publish(self, tables: dict[str, DataFrame]) -> int:
-        v = self.version() + 1
-        for name, df in tables.items():
-            df.write.mode("overwrite").parquet(f"{self.path}/{name}/v{v}")  # leftovers of a failed try are replaced
-        self.spark.createDataFrame([(v, ",".join(tables))], self.MARK).coalesce(1).write.mode("append").json(f"{self.path}/published")
-        return v
-
-    def read(self, name: str) -> DataFrame:
-        marks = self.spark.read.schema(self.MARK).json(f"{self.path}/published")
-        v = marks.where(F.array_contains(F.split("names", ","), name)).agg(F.max("version")).first()[0]
-        return self.spark.read.parquet(f"{self.path}/{name}/v{v}")
-
-
 _ITEM = T.StructType([T.StructField("pegawai_id", T.IntegerType()), T.StructField("lateness_status", T.StringType()), T.StructField("absent", T.StringType())])
 
 

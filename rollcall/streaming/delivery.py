@@ -10,7 +10,6 @@ interrupted is invisible, and applying it again gives the same tables.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +19,7 @@ from pyspark.sql.types import StructType
 
 from rollcall.operators import mart
 from rollcall.operators.incremental import JSON, KEYS, upsert_changed
+from rollcall.sources.scratch import scratch
 
 CONTRACT = "ATTENDANCE_DAILY_V1"
 ITEMS = "pegawai_id INT, tanggal DATE, operation STRING, payload STRING"
@@ -31,12 +31,6 @@ class DeliveryError(ValueError):
     """A delivery or receipt that breaks the contract; nothing of it was applied."""
 
 
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path under the folder that the cluster shares; a local one only where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{base}/rollcall/{tag}-{uuid.uuid4().hex}"
-
-
 def _digest() -> list:
     """Number of items and a digest that doesn't depend on their order."""
     row = F.xxhash64(F.col("pegawai_id"), F.col("tanggal"), F.coalesce("operation", F.lit("")), F.coalesce("payload", F.lit("")))
