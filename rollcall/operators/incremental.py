@@ -95,6 +95,55 @@ def apply_delivery(fact: DataFrame, items: DataFrame, candidates: DataFrame, agg
     return {"changed": changed, "fact": after, "dirty": dirty, "agg": mart.rebuild_partitions(after, dirty, agg)}
 
 
+def mutation_guard(batches: DataFrame, daily: DataFrame, master: DataFrame) -> DataFrame:
+    """What forbids each batch (``batch_id, snapshot_date, today``): null, or the first reason.
+
+    A population snapshot must be of today, its date must not be closed and the employee master must
+    have rows. A batch without a snapshot is always allowed.
+    """
+    closed = daily.where("is_date_final").select(F.col("tanggal").alias("snapshot_date"), F.lit(True).alias("_closed")).distinct()
+    empty = master.limit(1).agg((F.count("*") == 0).alias("_empty"))  # one row
+    b = batches.join(closed, "snapshot_date", "left").crossJoin(F.broadcast(empty))
+    day = F.col("snapshot_date")
+    reason = F.when(day.isNull(), None).when(~day.eqNullSafe(F.col("today")), "SNAPSHOT_NOT_TODAY").when(R.true("_closed"), "DATE_CLOSED").when(F.col("_empty"), "EMPTY_MASTER")
+    return b.select("batch_id", day, reason.alias("refused"))
+
+
+def refuse(guarded: DataFrame) -> None:
+    """Raise for the first refused batch; call before anything of it is written."""
+    row = guarded.where("refused is not null").orderBy("batch_id").first()
+    if row:
+        raise ValueError(f"batch {row['batch_id']}: {row['refused']}")
+
+
+def late_correction(late: DataFrame, population: DataFrame, events: DataFrame, leave_days: DataFrame, daily: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Late events, enriched, count on the date on which they happened: the new daily records, and the dates and departments to be summed anew.
+
+    There is no watermark: an event of any age is taken.
+    """
+    keys = affected_keys(late)
+    after = recompute_affected(keys, population, events.unionByName(late), leave_days, daily)
+    dirty = after.join(keys, KEYS, "left_semi").select("tanggal", "departemen_id").union(daily.join(keys, KEYS, "left_semi").select("tanggal", "departemen_id")).distinct()
+    return after, dirty
+
+
+def tolerant_payload(payloads: DataFrame, col: str, fields: str, defaults: dict[str, str]) -> DataFrame:
+    """Payloads of any age as columns: fields that one lacks are null, or their default."""
+    names = [f.split()[0] for f in fields.split(", ")]
+    d = payloads.withColumn("_d", F.from_json(col, fields, JSON))
+    value = lambda n: F.coalesce(F.col("_d")[n], F.lit(defaults[n])) if n in defaults else F.col("_d")[n]
+    return d.select(*(c for c in payloads.columns if c != col and c not in names), *(value(n).alias(n) for n in names))
+
+
+def apply_in_order(outbox: DataFrame, keys: list[str]) -> DataFrame:
+    """The state after all batches: each key's payload of the highest sequence, without deleted ones, and how many versions were queued.
+
+    ``outbox`` has the keys, ``sequence, operation, payload``; every batch keeps the payload that it was made with.
+    """
+    last = outbox.groupBy(*keys).agg(F.count("*").alias("versions"), F.max_by(F.struct("operation", "payload"), "sequence").alias("_last"))
+    return last.where("_last.operation = 'UPSERT'").select(*keys, "versions", F.col("_last.payload").alias("payload"))
+
+
 def _old_daily(t) -> DataFrame:
     """An older state: without some employees, and with other leave flags for some."""
     return t.daily.where("pegawai_id % 11 <> 0").withColumn("leave_days", F.when(F.col("pegawai_id") % 13 == 0, 7).otherwise(F.col("leave_days")))
@@ -109,6 +158,43 @@ def _items(t) -> DataFrame:
     return t.t_perizinan.select(F.col("id").alias("source_id"), op.alias("operation"))
 
 
+def _batches(t) -> DataFrame:
+    day = F.dayofmonth("tanggal")
+    today = F.when(day % 3 == 0, F.date_add("tanggal", 1)).otherwise(F.col("tanggal"))
+    return t.dates.select(R.calendar_key("tanggal").alias("batch_id"), F.when(day % 7 > 0, F.col("tanggal")).alias("snapshot_date"), today.alias("today"))
+
+
+def _closed_days(t) -> DataFrame:
+    return t.date_state.select("tanggal", F.col("is_closed").alias("is_date_final"))
+
+
+def _late(t, what: int) -> DataFrame:
+    """The events of some employees come after the daily records were made."""
+    late, early = t.ev.where("event_id % 50 = 3"), t.ev.where("event_id % 50 <> 3")
+    before = curated.unified_daily(t.pop, early, curated.event_daily(early), t.lvsum, curated.unresolved_daily(early))
+    return late_correction(late, t.pop, early, t.lvday, before)[what]
+
+
+_PAYLOAD = "pegawai_id INT, tanggal DATE, lateness_status STRING, leave_days INT, note STRING"
+
+
+def _aged(t) -> DataFrame:
+    """Payloads of which those of even employees were made before the status was added."""
+    new, old = F.struct("pegawai_id", "tanggal", "lateness_status", "leave_days"), F.struct("pegawai_id", "tanggal", "leave_days")
+    return t.daily.select(F.when(F.col("pegawai_id") % 2 == 0, F.to_json(old, JSON)).otherwise(F.to_json(new, JSON)).alias("payload"))
+
+
+def _outbox(t) -> DataFrame:
+    """Three batches: all records, a later version of some, and the deletion of others."""
+    row = lambda n, op, payload, df: df.select(*KEYS, F.lit(n).alias("sequence"), F.lit(op).alias("operation"), payload.cast("string").alias("payload"))
+    first = row(1, "UPSERT", F.col("leave_days"), t.daily)
+    second = row(2, "UPSERT", F.col("leave_days") + 10, t.daily.where("pegawai_id % 3 = 0"))
+    return first.unionByName(second).unionByName(row(3, "DELETE", F.lit(None), t.daily.where("pegawai_id % 5 = 0")))
+
+
+_LATE_KEYS = "(SELECT pegawai_id, coalesce(tanggal, tanggal_event) AS tanggal FROM {ev} WHERE event_id % 50 = 3 AND pegawai_id IS NOT NULL)"
+
+
 def _delivered(t, what: str) -> DataFrame:
     base = t.fact.where("pegawai_id % 11 <> 0")
     items = t.fact.select(*KEYS, F.when(F.col("pegawai_id") % 17 == 0, "DELETE").otherwise("UPSERT").alias("operation"))
@@ -118,6 +204,23 @@ def _delivered(t, what: str) -> DataFrame:
 _DIRTY = "SELECT DISTINCT tanggal, departemen_key FROM {fact} WHERE pegawai_id % 11 = 0 AND pegawai_id % 17 <> 0 OR pegawai_id % 17 = 0 AND pegawai_id % 11 <> 0"
 
 QUERIES = {
+    "mutation_guard": (
+        lambda t: mutation_guard(_batches(t), _closed_days(t), t.m_pegawai).withColumn("master", F.lit("full")).unionByName(mutation_guard(_batches(t), _closed_days(t), t.m_pegawai.where("id < 0")).withColumn("master", F.lit("empty"))),
+        """SELECT batch_id, snapshot_date, master, CASE WHEN snapshot_date IS NULL THEN NULL WHEN day % 3 = 0 THEN 'SNAPSHOT_NOT_TODAY' WHEN coalesce(is_closed, false) THEN 'DATE_CLOSED' WHEN master = 'empty' THEN 'EMPTY_MASTER' END AS refused
+           FROM (SELECT CAST(strftime(tanggal, '%Y%m%d') AS INT) AS batch_id, CASE WHEN day(tanggal) % 7 > 0 THEN tanggal END AS snapshot_date, day(tanggal) AS day, is_closed, unnest(['full', 'empty']) AS master
+                 FROM {dates} LEFT JOIN {date_state} USING (tanggal))""",
+    ),
+    "late_correction": (lambda t: _late(t, 0), "SELECT * FROM {daily}"),
+    "late_correction_partitions": (lambda t: _late(t, 1), f"SELECT DISTINCT d.tanggal, d.departemen_id FROM {{daily}} d WHERE (d.pegawai_id, d.tanggal) IN {_LATE_KEYS}"),
+    "schema_tolerant_payload": (
+        lambda t: tolerant_payload(_aged(t), "payload", _PAYLOAD, {"lateness_status": "UNKNOWN"}),
+        "SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 2 = 0 THEN 'UNKNOWN' ELSE lateness_status END AS lateness_status, leave_days, CAST(NULL AS VARCHAR) AS note FROM {daily}",
+    ),
+    "latest_payload_per_batch": (
+        lambda t: apply_in_order(_outbox(t), KEYS),
+        """SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 3 = 0 THEN 2 ELSE 1 END AS versions, CAST(leave_days + CASE WHEN pegawai_id % 3 = 0 THEN 10 ELSE 0 END AS VARCHAR) AS payload
+           FROM {daily} WHERE pegawai_id % 5 <> 0""",
+    ),
     "manifest_build": (lambda t: _items(t).distinct(), "SELECT DISTINCT id AS source_id, CASE WHEN id % 5 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {t_perizinan}"),
     "manifest_check": (lambda t: manifest_check(_items(t), t.t_perizinan.where("id % 3 <> 0")), "SELECT id AS source_id, CASE WHEN id % 5 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {t_perizinan} WHERE (id % 5 = 0) = (id % 3 <> 0)"),
     "changed_rows": (

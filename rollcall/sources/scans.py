@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions import rules as R
+from rollcall.sources.scratch import VersionedTables, scratch
 
 
 def raw_extract(source: DataFrame, run_id: str) -> DataFrame:
@@ -29,7 +32,7 @@ def master_upsert(new: DataFrame, target: DataFrame, key: str = "id") -> DataFra
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Every value quoted: embedded line ends stay, and an empty text differs from null."""
-    df.write.csv(path, header=True, quoteAll=True, escape='"', emptyValue="", nullValue="\\N")
+    df.write.csv(path, header=True, quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"', emptyValue="", nullValue="\\N")
 
 
 def read_csv(spark: SparkSession, path: str, of: T.StructType) -> DataFrame:
@@ -37,8 +40,9 @@ def read_csv(spark: SparkSession, path: str, of: T.StructType) -> DataFrame:
 
 
 def profile_export(sections: dict[str, DataFrame]) -> DataFrame:
-    """Sections of different shapes as (section, record), each row as JSON."""
-    parts = [df.select(F.lit(name).alias("section"), F.to_json(F.struct("*")).alias("record")) for name, df in sections.items()]
+    """Sections of different shapes as (section_no, section, record), each row as JSON that keeps nulls."""
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    parts = [df.select(F.lit(i).alias("section_no"), F.lit(name).alias("section"), record.alias("record")) for i, (name, df) in enumerate(sections.items(), 1)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -54,17 +58,15 @@ def json_record(df: DataFrame, col: str, of: T.StructType) -> DataFrame:
     return df.withColumn("_r", F.from_json(col, of)).select("*", "_r.*").drop("_r", col)
 
 
-def calendar(spark: SparkSession, start: str, end: str, holidays: DataFrame | None = None) -> DataFrame:
-    """One row a day from start to end. ``holidays`` has ``id, tanggal, keterangan``."""
+def calendar(bounds: DataFrame, holidays: DataFrame) -> DataFrame:
+    """One row a day over ``bounds`` (one row of ``first, last``). ``holidays`` has ``id, tanggal, keterangan``; a day may have several."""
     d = F.col("tanggal")
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("tanggal"))
+    days = bounds.where("first <= last").select(F.explode(F.sequence("first", "last")).alias("tanggal"))
     iso = F.extract(F.lit("DOW_ISO"), d).cast("int")
     out = days.select(
         d, R.calendar_key(d).alias("key"), F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"), iso.alias("iso_dow"), F.weekofyear(d).alias("iso_week"),
         F.extract(F.lit("YEAROFWEEK"), d).cast("int").alias("iso_year"), F.quarter(d).alias("quarter"), (iso >= 6).alias("is_weekend"),
     )
-    if holidays is None:
-        return out
     h = holidays.groupBy("tanggal").agg(R.distinct_texts("keterangan").alias("holiday_label"), F.array_sort(F.collect_set("id")).alias("holiday_ids"))
     return out.join(h, "tanggal", "left").withColumn("is_holiday", F.col("holiday_ids").isNotNull())
 
@@ -101,6 +103,67 @@ def _items(t) -> DataFrame:
     return t.m_pegawai.groupBy("departemen").agg(F.to_json(F.collect_list(one)).alias("items"))
 
 
+_EV = "id, pegawai_id, checktype, CAST(created_at AS STRING) AS created_at, is_wfh, work_code, jadwal_id, jam_masuk, jam_keluar, is_manual"
+#: The sections of the export, by name: queries that both engines run.
+SECTIONS = {
+    "database_info": "SELECT 'attendance' AS database_name, count(*) AS regions FROM {region}",
+    "table_sizes": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {{{n}}}" for n in (
+        "m_pegawai", "m_departemen", "m_shift", "m_jadwal", "m_user", "m_jenis_ijin", "m_tipe_ijin", "m_hari_libur", "t_libur_shift", "t_checkinout", "t_perizinan")),
+    "employee_sample": "SELECT id AS pegawai_id, departemen AS departemen_id, status FROM {m_pegawai} ORDER BY id LIMIT 150",
+    "employee_status_distribution": "SELECT status, count(*) AS employee_count FROM {m_pegawai} GROUP BY status",
+    "department_sample": "SELECT id AS departemen_id, nama_departemen, parent FROM {m_departemen} ORDER BY id LIMIT 150",
+    "shift_sample": "SELECT id AS shift_id, nama AS shift_name, status AS is_active, departemen_id FROM {m_shift} ORDER BY id LIMIT 150",
+    "schedule_sample": """SELECT j.id AS jadwal_id, j.jenis AS shift_id, s.departemen_id, s.nama AS shift_name, s.status AS shift_is_active, j.hari, j.jam_masuk, j.jam_keluar, j.jam_masuk_awal, j.jam_keluar_akhir
+        FROM {m_jadwal} j LEFT JOIN {m_shift} s ON s.id = j.jenis ORDER BY j.id LIMIT 200""",
+    "user_employee_mapping_sample": "SELECT id AS user_id, pegawai_id FROM {m_user} WHERE pegawai_id IS NOT NULL ORDER BY id LIMIT 150",
+    "permission_kind_master": "SELECT id AS jenis_ijin_id, nama, tipe_id FROM {m_jenis_ijin}",
+    "permission_type_master": "SELECT id AS tipe_ijin_id, nama FROM {m_tipe_ijin}",
+    "public_holidays": "SELECT id, CAST(tanggal AS STRING) AS tanggal, keterangan FROM {m_hari_libur}",
+    "employee_shift_holiday_sample": "SELECT id, departemen_id, pegawai_id, CAST(tanggal AS STRING) AS tanggal FROM {t_libur_shift} ORDER BY id DESC LIMIT 100",
+    "attendance_sample_recent_id": f"SELECT {_EV} FROM {{t_checkinout}} ORDER BY id DESC LIMIT 100",
+    "permission_sample_recent_id": "SELECT id, user_id, tipe_ijin, jenis_ijin, approval, CAST(tgl_ijin AS STRING) AS tgl_ijin, CAST(tgl_ijin_sampai AS STRING) AS tgl_ijin_sampai, pegawai_id FROM {t_perizinan} ORDER BY id DESC LIMIT 100",
+    "shift_department_coverage_sample": """SELECT s.departemen_id, count(DISTINCT s.id) AS shift_count, count(DISTINCT j.id) AS schedule_count, count(DISTINCT CASE WHEN s.status THEN s.id END) AS active_shift_count
+        FROM {m_shift} s LEFT JOIN {m_jadwal} j ON j.jenis = s.id GROUP BY s.departemen_id ORDER BY s.departemen_id LIMIT 100""",
+    "transaction_time_ranges": """SELECT 't_checkinout' AS table_name, CAST(min(created_at) AS STRING) AS min_time, CAST(max(created_at) AS STRING) AS max_time FROM (SELECT created_at FROM {t_checkinout} ORDER BY id DESC LIMIT 1000) a
+        UNION ALL SELECT 't_perizinan', CAST(min(tgl_ijin) AS STRING), CAST(max(tgl_ijin) AS STRING) FROM (SELECT tgl_ijin FROM {t_perizinan} ORDER BY id DESC LIMIT 1000) b""",
+}
+
+
+def _sections(t) -> dict[str, DataFrame]:
+    names = lambda sql: set(re.findall(r"{(\w+)}", sql))
+    return {name: t.spark.sql(sql, **{n: t.table(n) for n in names(sql)}) for name, sql in SECTIONS.items()}
+
+
+_NOTES = "CASE id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'a' || chr(13) || chr(10) || '\"b\", c' WHEN 3 THEN 'x' || chr(10) ELSE nama END"
+
+
+def _csv(t) -> DataFrame:
+    rows = t.m_pegawai.select("id", F.expr(_NOTES).alias("note"))
+    path = scratch(t.spark, "csv")
+    write_csv(rows, path)
+    return read_csv(t.spark, path, rows.schema)
+
+
+def _appended(t) -> DataFrame:
+    """Two batches appended to a table that a first write had filled with something else."""
+    path = scratch(t.spark, "raw")
+    append_batch(t.m_user.where("id < 5"), path)
+    append_batch(t.m_user.where("id % 2 = 0"), path, truncate=True)
+    append_batch(t.m_user.where("id % 3 = 0"), path)
+    return t.spark.read.parquet(path)
+
+
+def _published(t) -> DataFrame:
+    """Two versions of two tables; a reader of the first snapshot keeps it."""
+    tables = VersionedTables(t.spark, scratch(t.spark, "published"))
+    tables.publish({"shift": t.m_shift.select("id", "status"), "schedule": t.m_jadwal.select("id", "jenis")})
+    first = tables.snapshot()
+    tables.publish({"shift": t.m_shift.where("status").select("id", "status")})
+    second = tables.snapshot()
+    read = lambda of, paths, label: t.spark.read.parquet(paths[of]).select(F.lit(label).alias("read"), "id")
+    return read("shift", first, "shift 1").union(read("shift", second, "shift 2")).union(read("schedule", second, "schedule 1"))
+
+
 QUERIES = {
     "raw_extract": (lambda t: raw_extract(t.m_jadwal, "run-1").drop("extracted_at"), "SELECT *, 'run-1' AS pipeline_run_id FROM {m_jadwal}"),
     "raw_extract_by_manifest": (lambda t: raw_extract_by_manifest(t.t_checkinout, t.t_perizinan.select("id")).select("id", "checktype"), "SELECT id, checktype FROM {t_checkinout} WHERE id IN (SELECT id FROM {t_perizinan})"),
@@ -110,18 +173,39 @@ QUERIES = {
         "SELECT id, CASE WHEN id % 3 = 0 THEN upper(nama) ELSE nama END AS nama FROM {m_pegawai} WHERE id % 3 = 0 OR id % 2 = 0",
     ),
     "profile_export": (
-        lambda t: profile_export({"shift": t.m_shift.groupBy("status").agg(F.count("*").alias("n")), "schedule": t.m_jadwal.groupBy("jenis").agg(F.count("*").alias("n"))}).groupBy("section").agg(F.count("*").alias("records")),
-        "SELECT 'shift' AS section, count(DISTINCT coalesce(status::TEXT, '')) AS records FROM {m_shift} UNION ALL SELECT 'schedule', count(DISTINCT jenis) FROM {m_jadwal}",
+        lambda t: profile_export(_sections(t)),
+        " UNION ALL ".join(f"SELECT {i} AS section_no, '{name}' AS section, CAST(to_json(q) AS VARCHAR) AS record FROM ({sql}) q" for i, (name, sql) in enumerate(SECTIONS.items(), 1)),
     ),
+    "raw_append_batch": (_appended, "SELECT id, pegawai_id FROM {m_user} WHERE id % 2 = 0 UNION ALL SELECT id, pegawai_id FROM {m_user} WHERE id % 3 = 0"),
+    "csv_scan_sink": (_csv, f"SELECT id, {_NOTES} AS note FROM {{m_pegawai}}"),
+    "versioned_publish": (
+        _published, "SELECT 'shift 1' AS read, id FROM {m_shift} UNION ALL SELECT 'shift 2', id FROM {m_shift} WHERE status UNION ALL SELECT 'schedule 1', id FROM {m_jadwal}"),
     "json_recordset_scan": (lambda t: json_recordset(_items(t), "items", _ITEM), "SELECT id AS pegawai_id, nama AS lateness_status, CAST(NULL AS VARCHAR) AS absent FROM {m_pegawai}"),
     "json_record_populate": (lambda t: json_record(_payloads(t), "payload", _ITEM), "SELECT tanggal, pegawai_id, lateness_status, CAST(NULL AS VARCHAR) AS absent FROM {daily}"),
     "calendar_table": (
-        lambda t: calendar(t.spark, "2023-12-20", "2024-03-10").drop("key"),
-        """SELECT CAST(d AS DATE) AS tanggal, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day, CAST(isodow(d) AS INT) AS iso_dow, CAST(week(d) AS INT) AS iso_week,
-           CAST(isoyear(d) AS INT) AS iso_year, CAST(quarter(d) AS INT) AS quarter, isodow(d) >= 6 AS is_weekend
-           FROM (SELECT unnest(generate_series(TIMESTAMP '2023-12-20', TIMESTAMP '2024-03-10', INTERVAL 1 DAY)) AS d)""",
+        lambda t: calendar(t.dates.agg(F.date_sub(F.min("tanggal"), 20).alias("first"), F.date_add(F.max("tanggal"), 40).alias("last")), t.m_hari_libur).withColumn("holiday_ids", F.array_join("holiday_ids", ",")),
+        """SELECT CAST(d AS DATE) AS tanggal, CAST(strftime(d, '%Y%m%d') AS INT) AS key, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day, CAST(isodow(d) AS INT) AS iso_dow,
+           CAST(week(d) AS INT) AS iso_week, CAST(isoyear(d) AS INT) AS iso_year, CAST(quarter(d) AS INT) AS quarter, isodow(d) >= 6 AS is_weekend, holiday_label, holiday_ids, holiday_ids IS NOT NULL AS is_holiday
+           FROM (SELECT unnest(generate_series(CAST(min(tanggal) - 20 AS TIMESTAMP), CAST(max(tanggal) + 40 AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM {dates})
+           LEFT JOIN (SELECT tanggal AS h, string_agg(DISTINCT keterangan, ';' ORDER BY keterangan) AS holiday_label, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS holiday_ids FROM {m_hari_libur} GROUP BY ALL)
+             ON h = CAST(d AS DATE)""",
     ),
     "calendar_key": (lambda t: t.dates.select("tanggal", R.calendar_key("tanggal").alias("key")), "SELECT tanggal, CAST(strftime(tanggal, '%Y%m%d') AS INT) AS key FROM {dates}"),
+    "period_start": (
+        lambda t: t.dates.select("tanggal", *(R.period_start_column(p, "tanggal").alias(f"p_{p}") for p in ("3D", "7D", "1M", "3M", "6M", "1Y"))),
+        "SELECT tanggal, tanggal - 2 AS p_3D, tanggal - 6 AS p_7D, " + ", ".join(f"CAST(tanggal - INTERVAL {n} MONTH AS DATE) + 1 AS {p}" for n, p in ((1, "p_1M"), (3, "p_3M"), (6, "p_6M"), (12, "p_1Y"))) + " FROM {dates}",
+    ),
+    "publication_status": (
+        lambda t: t.dept.groupBy(R.publication_status("is_provisional").alias("status")).agg(F.count("*").alias("n"), F.sum("fact_rows").alias("fact_rows")),
+        "SELECT CASE WHEN is_provisional THEN 'PROVISIONAL' ELSE 'FINAL' END AS status, count(*) AS n, CAST(sum(fact_rows) AS BIGINT) AS fact_rows FROM {dept} GROUP BY ALL",
+    ),
+    "legacy_pair_status": (
+        lambda t: t.evday.drop("perlu_review", "alasan_review").join(t.lvsum.select("pegawai_id", "tanggal", "has_valid_leave"), ["pegawai_id", "tanggal"], "full").select(
+            "pegawai_id", "tanggal",
+            R.legacy_pair_status(F.col("checkin_event_count"), F.col("checkout_event_count"), F.col("first_checkin_at"), F.col("last_checkout_at"), F.col("schedule_count"), F.col("has_valid_leave")).alias("status")),
+        """SELECT pegawai_id, tanggal, CASE WHEN has_valid_leave THEN 'LEAVE' WHEN checkin_event_count = 1 AND checkout_event_count = 1 AND last_checkout_at >= first_checkin_at AND schedule_count <= 1 THEN 'PAIRED'
+           ELSE 'REVIEW' END AS status FROM {evday} FULL JOIN {lvsum} USING (pegawai_id, tanggal)""",
+    ),
     "calendar_from_facts": (lambda t: calendar_from_facts(t.daily, t.dates), "SELECT DISTINCT tanggal FROM {daily} WHERE tanggal NOT IN (SELECT tanggal FROM {dates})"),
     "latest_n_by_id": (lambda t: latest_n(t.t_checkinout, 500).select("id", "checktype"), "SELECT id, checktype FROM {t_checkinout} ORDER BY id DESC LIMIT 500"),
     "exclude_marked_rows": (lambda t: exclude_marked(t.t_checkinout, ["MIGRASI"]).agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM {t_checkinout} WHERE NOT starts_with(coalesce(keterangan, ''), 'MIGRASI')"),
