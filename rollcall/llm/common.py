@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import shutil
 import tempfile
 import uuid
@@ -18,31 +19,77 @@ from pyspark.sql import types as T
 WORD = r"[^\x20\x09-\x0D]+"
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
-_own_scratch: dict[str, str] = {}
+def scratch_dir(spark: SparkSession) -> str:
+    """Folder shared by driver and executors: ``spark.checkpoint.dir``, or one below the warehouse where it is unset."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
+    return named.rstrip("/")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """Folder shared by driver and executors: ``spark.checkpoint.dir``, or one of our own where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_scratch:
-        _own_scratch[app] = "file://" + tempfile.mkdtemp(prefix="rollcall-")
-    return _own_scratch[app]
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether Spark's file systems have something at ``path``."""
+    return _file_system(spark, path, "exists")
+
+
+def bucketed(df: DataFrame, key: str, path: str | None = None, buckets: int | None = None) -> DataFrame:
+    """``df`` written in buckets of ``key``, sorted in each: what joins it by this key moves to it, and it stays where it is."""
+    spark, path = df.sparkSession, path or new_path(df.sparkSession, "buckets")
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"buckets_{uuid.uuid4().hex}"
+    df.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return _named(spark, name)
+
+
+def open_buckets(spark: SparkSession, path: str, columns: str, key: str, buckets: int) -> DataFrame:
+    """A table that :func:`bucketed` has written."""
+    name = f"buckets_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+    return _named(spark, name)
+
+
+def _named(spark: SparkSession, name: str) -> DataFrame:
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only; the files stay
+    return out
+
 
+def discard(df_or_path: DataFrame | str, spark: SparkSession | None = None) -> None:
+    """Delete a scratch table that nothing will read again: the path, or what a frame of :func:`materialize` reads."""
+    if isinstance(df_or_path, str):
+        _file_system(spark, df_or_path, "delete", True)
+        return
+    for folder in {f.rsplit("/", 1)[0] for f in df_or_path.inputFiles()}:
+        _file_system(df_or_path.sparkSession, folder, "delete", True)
+
+
+def _file_system(spark: SparkSession, path: str, method: str, *args):
+    jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc  # noqa: SLF001
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return getattr(at.getFileSystem(jsc.hadoopConfiguration()), method)(at, *args)
+
+
+class Manifest:
+    """The versions of a stored index: JSON files, the newest of which tells what is live, so a reader sees an old or a new state."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path}/manifest"
+
+    def read(self) -> tuple[int, dict]:
+        """Version and state; 0 and nothing where there is none."""
+        if not exists(self.spark, self.path):
+            return 0, {}
+        row = self.spark.read.schema("version long, state string").json(self.path).orderBy(F.desc("version")).first()
+        return (row["version"], json.loads(row["state"])) if row else (0, {})
+
+    def publish(self, state: dict) -> None:
+        row = self.spark.createDataFrame([(self.read()[0] + 1, json.dumps(state))], "version long, state string")
+        row.coalesce(1).write.mode("append").json(self.path)
 
-#: Rows in an Arrow batch where the session names no number: whole texts are larger rows than Spark's 10,000 suit.
-BATCH_ROWS = 1000
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors' Python workers, once for each application."""
-    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(batch) == "10000":
-        spark.conf.set(batch, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return
@@ -67,6 +114,13 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sliced(batches, rows: int = 1000):
+    """Arrow batches in slices of so many rows: whole texts are larger rows than the session's batches suit."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def utf8(text: str | Column) -> Column:
     """The text's UTF-8 bytes, empty for null: Python tasks get bytes without decoding."""
     c = F.col(text) if isinstance(text, str) else text

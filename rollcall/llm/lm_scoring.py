@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialize, mix64, new_path, pack, schema, unpack, utf8
+from rollcall.llm.common import bucketed, materialize, mix64, pack, schema, unpack, utf8
 from rollcall.llm.elias_fano import ABSENT, Trie, dequantise
 
 BLOCK_TOKENS, WORD_SHARD, PAIR_SHARD, HOT_CONTEXT = 2_000_000, 1_000_000, 2_000_000, 100_000
@@ -230,17 +230,6 @@ def _score(word_shards: int, pair_shards: int, tokens: int, words: int, mu: floa
     return score
 
 
-def _bucketed(df: DataFrame, key: str) -> DataFrame:
-    """``df`` written in buckets of ``key``: what joins it by this key moves to it, and it stays where it is."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, "blocks")
-    table = f"blocks_{path.rsplit('-', 1)[1]}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(n, key).sortBy(key).option("path", path).saveAsTable(table)
-    out = spark.table(table)
-    spark.sql(f"DROP TABLE {table}")  # the name only; the files stay
-    return out
-
-
 def leave_one_out(pair_counts: np.ndarray, context_counts: np.ndarray, follower_p: np.ndarray, mu: float) -> float:
     """Log-likelihood of the training pairs, each occurrence scored without itself: what ``MU`` is chosen by.
 
@@ -261,7 +250,7 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
     Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("long"), F.coalesce(train, F.lit(False)), utf8(text_col))
-    blocks = _bucketed(rows.mapInArrow(_to_blocks, BLOCKS), "block")
+    blocks = bucketed(rows.mapInArrow(_to_blocks, BLOCKS), "block")
     size = blocks.agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_words"), F.lit(0))).first()
     pair_shards, word_shards = size[0] // PAIR_SHARD + 1, size[1] // WORD_SHARD + 1
     asks = blocks.select("block", "words", "counts").mapInArrow(_ask_words(word_shards), WORD_ASKS)

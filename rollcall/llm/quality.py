@@ -1,16 +1,17 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-The model is over characters, so that it has no unknown words and a bounded size. Symbols are the
-``ALPHABET - 1`` most frequent characters of the trusted sample; all other characters are one more
-symbol. An n-gram is one number, its symbols as digits, so contexts, suffixes and continuations are
-arithmetic, and all estimates come from joins of count tables sharded by those numbers. With
-``ALPHABET ** ORDER`` fixed, the finished table of probabilities has a proven bound (2^24 numbers of
-2 bytes by default) and is broadcast; documents are scored where they are read.
-
-Every document's perplexity is compared with a quantile of the perplexities of all trusted
-documents of its language. A few bad words hardly move it, so a second model of the same kind is fitted
-on text labelled as toxic, and the passage that this model finds most likelier than the first is compared
-with the worst passages of trusted documents in the same way.
+The model is over characters, all of them: nothing is folded into an unknown symbol but what no trusted
+text has. It is estimated by joins of count tables and stays in tables, dealt to shards; no node holds it
+whole. Documents are put in blocks, written once. A block asks each shard for its distinct n-grams
+with one compressed array, and gets their probabilities back in the same order; the shards join
+the blocks' n-grams with the counts of the n-grams, their suffixes and their contexts. A shard is named
+by the n-gram's third character and a part of its second one, which the counts of the last two
+characters are copied for: so a frequent character doesn't meet in one task.
+
+A document's perplexity is compared with quantiles of the perplexities of trusted documents of its
+language that the model was not fitted on. A few bad words hardly move it, so counts of text labelled
+as toxic make a second model in the same tables, and the passage that this model finds most likelier
+than the first is compared with the worst passages of trusted documents in the same way.
 """
 
 from __future__ import annotations
@@ -18,264 +19,449 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rollcall.llm.common import materialize, schema, text_hash
+from rollcall.llm.common import bucketed, materialize, mix64, pack, schema, unpack
 
-ALPHABET, ORDER = 64, 4
-#: Trusted documents the model is fitted on, at most (in expectation).
-SAMPLE = 20_000
-#: Chosen on held-out halves of labels. A document is accepted up to ``SLACK`` times this quantile of its language's trusted perplexities.
-QUANTILE, SLACK, LEAST_TRUSTED = 0.99, 1.1, 20
+ORDER = 4
+#: Trusted and toxic documents the models are fitted on, at most (in expectation) of each, and the share of them at most.
+SAMPLE, SHARE = 20_000, 0.8
+#: A document is rejected beyond the median of its language plus ``REACH`` times the median's distance to this
+#: quantile, in logarithms, and ``WORST_REACH`` times for worst passages. Tails themselves are told by too few documents.
+QUANTILE, REACH, WORST_REACH, LEAST_TRUSTED = 0.95, 3.5, 2.5, 20
 #: Symbols of average trusted text that every document is judged together with: a few symbols prove little.
 PRIOR = 64
-
-#: Symbols worked on at once: bounds a task's memory, whatever the length of texts and batches.
-SLICE = 1 << 20
-
-#: And up to ``WORST_SLACK`` times this quantile of its language's trusted documents' worst passages of ``PASSAGE`` symbols.
-WORST_QUANTILE, WORST_SLACK, PASSAGE = 0.999, 1.1, 16
-
-SCORES = "doc_id bigint, lang string, text_hash bigint, n_symbols bigint, log_p double, worst double"
-
-
-def _pieces(texts: pa.Array):
-    """The texts in pieces of ``SLICE`` characters at most, short texts put together."""
-    held, n = [], 0
-    for text in texts:
-        text = text.as_py()
-        for i in range(0, len(text), SLICE):
-            held.append(text[i : i + SLICE])
-            n += len(held[-1])
-            if n >= SLICE:
-                yield "".join(held)
-                held, n = [], 0
-    yield "".join(held)
-
-
-def _characters(batches):
-    """Counts of characters, summed within each piece of a batch."""
+#: Symbols in a passage.
+PASSAGE = 16
+#: Characters in a block, about; parts of a third character's n-grams; n-grams of a shard that blocks ask for, about.
+BLOCK_CHARS, PARTS, SHARD = 3_000_000, 16, 1_000_000
+#: Steps of logarithms: 16 bits reach 32 below, and 32 to both sides.
+STEP, RATIO_STEP = 1 / 2048, 1 / 1024
+#: Numbers of n-grams within a block are looked up in tables of this size at most, else sorted.
+DENSE = 1 << 24
+
+BLOCKS = "block long, n_chars long, payload binary"
+ASKS = "shard int, block long, hi binary, lo binary"
+ANSWERS = "block long, shard int, good binary, ratio binary"
+SCORES = "block long, at int, doc_id bigint, lang string, n_symbols bigint, log_p double, worst double"
+GRAMS = "c1 int, c2 int, c3 int, c4 int, g bigint, b bigint"
+
+
+# ---------------------------------------------------------------------------- n-grams of texts
+
+
+def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' characters, each text after three zeros, and where each text's own characters begin."""
+    parts = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+    starts = np.cumsum(lengths + ORDER - 1) - lengths
+    out = np.zeros(int(lengths.sum()) + (ORDER - 1) * len(parts), np.uint32)
+    for at, p in zip(starts, parts, strict=True):
+        out[at : at + len(p)] = p
+    return out, starts
+
+
+def numbered(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each position from the fourth on the number of the n-gram that ends there, and a position of each number."""
+    point = np.zeros(int(symbols.max(initial=0)) + 1, bool)
+    point[symbols] = True
+    chars = (np.cumsum(point) - 1)[symbols]
+    n, now, size = int(chars.max(initial=0)) + 1, chars, int(chars.max(initial=0)) + 1
+    for _ in range(ORDER - 1):
+        code = now[:-1].astype(np.int64) * n + chars[len(chars) - len(now) + 1 :]
+        if size * n <= DENSE:
+            seen = np.zeros(size * n, bool)
+            seen[code] = True
+            now = (np.cumsum(seen, dtype=np.int32) - 1)[code]
+        else:
+            now = np.unique(code, return_inverse=True)[1]
+        size = int(now.max(initial=-1)) + 1
+    at = np.zeros(size, np.int64)
+    at[now] = np.arange(len(now)) + ORDER - 1
+    return now, at
+
+
+def grams_at(symbols: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The characters of the n-grams that end at these positions, a row for each place."""
+    return np.stack([symbols[at - k] for k in range(ORDER - 1, -1, -1)]).astype(np.int64)
+
+
+def in_texts(symbols: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Which positions from the fourth on are texts' own characters, not zeros before them."""
+    own = np.ones(len(symbols), bool)
+    own[(starts[:, None] - np.arange(1, ORDER)).ravel()] = False
+    return own[ORDER - 1 :]
+
+
+def _counted(batches):
+    """Arrow batches of (text, toxic) to counts of n-grams in trusted and in toxic texts."""
     for batch in batches:
-        for piece in _pieces(batch.column(0)):
-            cp, n = np.unique(np.frombuffer(piece.encode("utf-32-le", "surrogatepass"), np.uint32), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(cp.astype(np.int64)), pa.array(n.astype(np.int64))], ["cp", "n"])
-
-
-class Symbols:
-    """Characters to symbols: the given code points, in order, are 1, 2, ...; all others are 0."""
-
-    def __init__(self, code_points: list[int]):
-        self.points = np.array(sorted(code_points), np.uint32)
-        order = {c: i + 1 for i, c in enumerate(code_points)}
-        self.numbers = np.array([order[int(c)] for c in self.points] or [0], np.int64)
-
-    def __call__(self, text: str) -> np.ndarray:
-        cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        if not len(self.points):
-            return np.zeros(len(cp), np.int64)
-        at = np.minimum(np.searchsorted(self.points, cp), len(self.points) - 1)
-        return np.where(self.points[at] == cp, self.numbers[at], 0)
-
-
-def windows(symbols: np.ndarray, order: int, size: int) -> np.ndarray:
-    """The number of the n-gram that ends at each symbol; before the text there are symbols 0."""
-    codes = np.zeros(len(symbols), np.int64)
-    padded = np.concatenate([np.zeros(order - 1, np.int64), symbols])
-    for k in range(order):
-        codes = codes * size + padded[k : k + len(symbols)]
-    return codes
-
-
-def sliced_windows(text: str, symbols: Symbols, order: int, size: int):
-    """:func:`windows` of a text, in slices of ``SLICE`` symbols at most."""
-    for i in range(0, len(text), SLICE):
-        back = min(i, order - 1)
-        yield windows(symbols(text[i - back : i + SLICE]), order, size)[back:]
-
-
-def _grams(symbols: Symbols, order: int, size: int):
-    def counted(slices: list[np.ndarray]) -> pa.RecordBatch:
-        g, n = np.unique(np.concatenate([np.zeros(0, np.int64), *slices]), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(g), pa.array(n.astype(np.int64))], ["g", "c"])
-
-    def run(batches):
-        for batch in batches:
+        for bad in (False, True):
+            texts = [t for t, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if x == bad]
+            for part in _portions(texts):
+                symbols, starts = code_points(part)
+                number, at = numbered(symbols)
+                n = np.bincount(number[in_texts(symbols, starts)], minlength=len(at))
+                some = np.flatnonzero(n)
+                c, n = grams_at(symbols, at[some]), n[some].astype(np.int64)
+                columns = [*c.astype(np.int32), *((np.zeros_like(n), n) if bad else (n, np.zeros_like(n)))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["c1", "c2", "c3", "c4", "g", "b"])
+
+
+def _portions(texts: list[str]):
+    """Texts put together up to ``BLOCK_CHARS`` characters; a longer one is on its own."""
+    held, n = [], 0
+    for t in texts:
+        held.append(t)
+        n += len(t)
+        if n >= BLOCK_CHARS:
+            yield held
             held, n = [], 0
-            for text in batch.column(0):
-                for codes in sliced_windows(text.as_py(), symbols, order, size):
-                    held.append(codes)
-                    n += len(codes)
-                    if n >= SLICE:
-                        yield counted(held)
-                        held, n = [], 0
-            yield counted(held)
+    if held:
+        yield held
 
-    return run
+
+# ---------------------------------------------------------------------------- estimates
 
 
-def _discounts(counts: DataFrame) -> tuple[float, float, float]:
+def _discounts(counts: DataFrame, of: str) -> tuple[float, float, float]:
     """Modified Kneser-Ney discounts for counts 1, 2, and 3 or more, from the counts of counts."""
-    n = counts.agg(*(F.coalesce(F.sum((F.col("c") == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4))).first()
+    n = counts.agg(*(F.coalesce(F.sum((F.col(of) == k).cast("long")), F.lit(0)) for k in (1, 2, 3, 4))).first()
     n1, n2, n3, n4 = (float(x) for x in n)
     y = n1 / (n1 + 2 * n2) if n1 + 2 * n2 else 0.0
     d = [k - (k + 1) * y * b / a if a else 0.5 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
     return tuple(min(max(x, 0.05), k - 0.05) for k, x in zip((1, 2, 3), d, strict=True))
 
 
-def estimate(grams: DataFrame, order: int = ORDER, size: int = ALPHABET) -> list[pd.DataFrame]:
-    """For each order from 1: seen n-grams ``g`` with discounted probability ``p``, joined with their
-    context's ``rest`` (the mass that goes to the shorter context). At most ``size ** order`` rows each.
+def estimate(grams: DataFrame) -> DataFrame:
+    """The model's tables as one: ``kind, c1..c4, pg, pb``, from counts of n-grams in trusted (g) and toxic (b) text.
 
-    Counts of the highest order are occurrences; those below are numbers of distinct left neighbours.
+    Kind n from 1 to 4 are n-grams, right-aligned in c1..c4, with their discounted probabilities; kind
+    10 + n are contexts of n-grams, in the places that they have in an n-gram, with the mass that goes to
+    the shorter context. Counts of the highest order are occurrences; those below are numbers of distinct
+    left neighbours.
     """
-    tables = []
-    counts = grams
-    for n in range(order, 0, -1):
+    out, counts, names = [], grams, [f"c{i}" for i in range(1, ORDER + 1)]
+    for n in range(ORDER, 0, -1):
         counts = materialize(counts, f"grams{n}")
-        d1, d2, d3 = _discounts(counts)
-        c = F.col("c")
-        rows = counts.withColumn("h", F.floor(F.col("g") / size)).withColumn("d", F.when(c == 1, d1).when(c == 2, d2).otherwise(d3))
-        contexts = rows.groupBy("h").agg(F.sum("c").alias("total"), F.sum("d").alias("freed"))
-        p = rows.join(contexts, "h").select("g", "h", ((c - F.col("d")) / F.col("total")).alias("p"), (F.col("freed") / F.col("total")).alias("rest"))
-        tables.append(p.toPandas())
-        counts = counts.groupBy((F.col("g") % size ** (n - 1)).cast("long").alias("g")).agg(F.count("*").alias("c"))
-    return tables[::-1]
-
-
-def dense(tables: list[pd.DataFrame], size: int = ALPHABET) -> np.ndarray:
-    """Natural logarithms of all interpolated probabilities of the highest order, by n-gram number."""
-    below = np.full(size, 1.0 / size)
-    for n, t in enumerate(tables, 1):
-        rest = np.ones(size ** (n - 1))
-        rest[t["h"].to_numpy(np.int64)] = t["rest"].to_numpy()
-        table = np.tile(below, size if n > 1 else 1)
-        by_context = table.reshape(-1, size)
-        by_context *= rest[:, None]
-        table[t["g"].to_numpy(np.int64)] += t["p"].to_numpy()
-        below = table
-    return np.log(below, out=below).astype(np.float32)
-
-
-def quantised(logs: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logarithms, all 0 or less, as 16-bit multiples of a step below zero; none is off by over half a step.
-
-    Whole numbers add up exactly, so a document's score doesn't depend on how its text was sliced.
+        own, context = names[ORDER - n :], names[ORDER - n : -1]
+        freed = {}
+        for m in ("g", "b"):
+            d1, d2, d3 = _discounts(counts, m)
+            c = F.col(m)
+            freed[m] = F.when(c == 0, 0.0).when(c == 1, d1).when(c == 2, d2).otherwise(d3)
+        sums = counts.groupBy(*context).agg(*(a for m in freed for a in (F.sum(m).alias(f"t{m}"), F.sum(freed[m]).alias(f"f{m}"))))
+        p = [F.when(F.col(m) > 0, (F.col(m) - freed[m]) / F.col(f"t{m}")).otherwise(0.0).alias(f"p{m}") for m in freed]
+        rest = [F.when(F.col(f"t{m}") > 0, F.col(f"f{m}") / F.col(f"t{m}")).otherwise(1.0).alias(f"p{m}") for m in freed]
+        place = lambda have: [F.col(c) if c in have else F.lit(0).alias(c) for c in names]
+        joined = counts.join(sums, context) if context else counts.crossJoin(F.broadcast(sums))  # one row
+        out += [joined.select(F.lit(n).alias("kind"), *place(own), *p), sums.select(F.lit(10 + n).alias("kind"), *place(context), *rest)]
+        if n > 1:
+            counts = counts.groupBy(*own[1:]).agg(F.count_if(F.col("g") > 0).alias("g"), F.count_if(F.col("b") > 0).alias("b"))
+    tables = out[0]
+    for t in out[1:]:
+        tables = tables.unionByName(t)
+    return tables
+
+
+def _shard(c3, c2, shards: int):
+    """The shard of an n-gram, the same for numbers, arrays and columns."""
+    return (c3 * 31 + (c2 % PARTS) * 7919) % shards
+
+
+def dealt(tables: DataFrame, shards: int) -> DataFrame:
+    """The model's rows with the shards that need them: ``shard, kind, hi, lo, pg, pb``.
+
+    What is told by the third character alone is copied for each of its parts; probabilities of single
+    characters, which are few, for every shard.
     """
-    step = float(-logs.min()) / 65535 or 1.0
-    levels = logs / np.float32(-step)
-    return np.rint(levels, out=levels).clip(0, 65535, out=levels).astype(np.uint16), step
+    own = tables.where("kind in (3, 4, 13, 14)").withColumn("shard", _shard(F.col("c3"), F.col("c2"), shards))
+    parts = tables.where("kind in (2, 12)").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    parts = parts.withColumn("shard", _shard(F.col("c3"), F.col("part"), shards)).drop("part")
+    single = tables.where("kind in (1, 11)").withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    key = lambda a, b: F.shiftleft(F.col(a).cast("long"), 21) + F.col(b)
+    rows = own.unionByName(parts).unionByName(single)
+    return rows.select(F.col("shard").cast("int").alias("shard"), "kind", key("c1", "c2").alias("hi"), key("c3", "c4").alias("lo"), "pg", "pb")
+
+
+class Tables:
+    """A shard's rows in a task: probabilities and masses by kind and n-gram."""
+
+    def __init__(self, rows: pd.DataFrame):
+        self.of, self.known = {}, 0
+        for kind, t in rows.groupby("kind"):
+            key = self.key(t["hi"].to_numpy(np.int64), t["lo"].to_numpy(np.int64))
+            order = np.argsort(key)
+            self.of[int(kind)] = key[order], t["pg"].to_numpy()[order], t["pb"].to_numpy()[order]
+        self.symbols = len(self.of[1][0]) if 1 in self.of else 0
+
+    @staticmethod
+    def key(hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        return mix64(mix64(hi.astype(np.uint64) + np.uint64(1)) ^ lo.astype(np.uint64))
+
+    def find(self, kind: int, hi: np.ndarray, lo: np.ndarray, missing: float) -> tuple[np.ndarray, np.ndarray]:
+        if kind not in self.of:
+            return (np.full(len(hi), missing),) * 2
+        keys, pg, pb = self.of[kind]
+        want = self.key(hi, lo)
+        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+        hit = keys[at] == want
+        return np.where(hit, pg[at], missing), np.where(hit, pb[at], missing)
+
+    def logs(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logarithms of the interpolated probabilities of n-grams by both models.
+
+        The shortest model gives each symbol that it has, and one more for all others, the same share.
+        """
+        low21, none = np.int64((1 << 21) - 1), np.zeros_like(hi)
+        c2, c3, c4 = hi & low21, lo >> 21, lo & low21
+        steps = ((1, none, c4, 11, none, none), (2, none, lo, 12, none, c3 << 21), (3, c2, lo, 13, c2, c3 << 21), (4, hi, lo, 14, hi, c3 << 21))
+        good = bad = np.full(len(hi), 1.0 / (self.symbols + 1))
+        for kind, a, b, context, x, y in steps:
+            (pg, pb), (rg, rb) = self.find(kind, a, b, 0.0), self.find(context, x, y, 1.0)
+            good, bad = pg + rg * good, pb + rb * bad
+        return np.log(good), np.log(bad)
+
+
+# ---------------------------------------------------------------------------- blocks of documents
+
+
+def _to_blocks(batches):
+    """Rows, the last column of which is the text, as blocks: compressed Arrow streams of about ``BLOCK_CHARS`` characters."""
+    block, held, n = TaskContext.get().partitionId() << 32, [], 0
+
+    def row():
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
+            out.write_table(pa.Table.from_batches(held).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([n]), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["block", "n_chars", "payload"])
 
+    for batch in batches:
+        lengths = np.array([len(t) for t in batch.column(batch.num_columns - 1).to_pylist()], np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            upto = begin + int(np.searchsorted(np.cumsum(lengths[begin:]), BLOCK_CHARS - n)) + 1
+            held.append(batch.slice(begin, upto - begin))
+            n += int(lengths[begin:upto].sum())
+            begin = min(upto, batch.num_rows)
+            if n >= BLOCK_CHARS:
+                yield row()
+                block, held, n = block + 1, [], 0
+    if held:
+        yield row()
+
+
+def _rows(payload: bytes) -> pa.Table:
+    return pa.ipc.open_stream(payload).read_all()
+
+
+class _Block:
+    """A block's n-grams: number at each position, and the order in which shards are asked for them."""
+
+    def __init__(self, table: pa.Table, shards: int):
+        self.symbols, self.starts = code_points(table.column(table.num_columns - 1).to_pylist())
+        self.number, at = numbered(self.symbols)
+        c = grams_at(self.symbols, at)
+        hi, lo = c[0] << 21 | c[1], c[2] << 21 | c[3]
+        shard = _shard(c[2], c[1], shards)
+        self.order = np.lexsort((lo, hi, shard))
+        self.shard, self.hi, self.lo = shard[self.order], hi[self.order], lo[self.order]
+
+
+def _ask(shards: int):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                b = _Block(_rows(row["payload"]), shards)
+                if not len(b.shard):
+                    continue
+                cuts = np.append(np.flatnonzero(np.diff(b.shard, prepend=-1)), len(b.shard))
+                parts = [(int(b.shard[i]), row["block"], pack(np.diff(b.hi[i:j], prepend=0)), pack(b.lo[i:j])) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+                columns = [pa.array(list(x), k) for x, k in zip(zip(*parts, strict=True), (pa.int32(), pa.int64(), pa.binary(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["shard", "block", "hi", "lo"])
 
-def contrast(bad: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, float]:
-    """How much likelier (in logarithms) an n-gram is by one model than by another, as 16-bit multiples of a step."""
-    ratio = bad - good
-    step = float(np.abs(ratio).max()) / 32767 or 1.0
-    ratio /= np.float32(step)
-    return np.rint(ratio, out=ratio).clip(-32767, 32767, out=ratio).astype(np.int16), step
-
-
-class Worst:
-    """The largest sum of ``width`` values in a row, fed in slices; of all values where there are fewer."""
-
-    def __init__(self, width: int):
-        self.width, self.tail, self.most = width, np.zeros(0, np.int64), None
+    return run
 
-    def add(self, values: np.ndarray) -> None:
-        values = np.concatenate([self.tail, values])
-        if len(values) >= self.width:
-            sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
-            most = int((sums[self.width :] - sums[: -self.width]).max())
-            self.most = most if self.most is None else max(self.most, most)
-        self.tail = values[-(self.width - 1) :] if self.width > 1 else values[:0]
 
-    def result(self) -> int:
-        return int(self.tail.sum()) if self.most is None else self.most
+def _answer(asks: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+    tables, rows = Tables(model), []
+    for a in asks.itertuples():
+        good, bad = tables.logs(np.cumsum(unpack(a.hi, np.int64)), unpack(a.lo, np.int64))
+        levels = np.rint(-good / STEP).clip(0, 65535).astype(np.uint16)
+        ratio = np.rint((bad - good) / RATIO_STEP).clip(-32767, 32767).astype(np.int16)
+        rows.append((a.block, a.shard, pack(levels), pack(ratio)))
+    return pd.DataFrame(rows, columns=["block", "shard", "good", "ratio"])
+
+
+def worst_passages(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int = PASSAGE) -> np.ndarray:
+    """For each text, at ``starts`` in ``values``, the largest sum of ``width`` values in a row; of all where there are fewer."""
+    sums = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    out = sums[starts + lengths] - sums[starts]
+    long = np.flatnonzero(lengths > width)
+    if len(long):
+        windows = np.append(sums[width:] - sums[:-width], np.iinfo(np.int64).min)
+        edges = np.stack([starts[long], starts[long] + lengths[long] - width + 1], axis=1).ravel()
+        out[long] = np.maximum.reduceat(windows, edges)[::2]
+    return out
+
+
+def _score(shards: int):
+    def run(blocks: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        answers, out = answers.sort_values("shard"), []
+        for row in blocks.itertuples():
+            table = _rows(row.payload)
+            b = _Block(table, shards)
+            levels, ratio = np.zeros(len(b.order), np.uint16), np.zeros(len(b.order), np.int16)
+            if len(b.order):
+                levels[b.order] = np.concatenate([unpack(x, np.uint16) for x in answers["good"]])
+                ratio[b.order] = np.concatenate([unpack(x, np.int16) for x in answers["ratio"]])
+            skipped = ORDER - 1  # numbers begin at the fourth position
+            begin = b.starts - skipped
+            lengths = np.diff(np.append(b.starts, len(b.symbols) + skipped)) - skipped
+            sums = np.concatenate([[0], np.cumsum(levels[b.number], dtype=np.int64)])
+            below = sums[begin + lengths] - sums[begin]
+            worst = worst_passages(ratio[b.number], begin, lengths) * RATIO_STEP
+            out.append(pd.DataFrame({
+                "block": row.block, "at": np.arange(len(lengths), dtype=np.int32), "doc_id": pd.array(table.column("own_id").to_pylist(), "Int64"), "lang": table.column("own_lang").to_pandas(),
+                "n_symbols": lengths, "log_p": -STEP * below, "worst": worst,
+            }))
+        return pd.concat(out) if out else pd.DataFrame(columns=[f.split()[0] for f in SCORES.split(", ")])
 
+    return run
 
-def _score(symbols: Symbols, table, order: int, size: int):
-    def run(batches):
-        (levels, step), versus = table.value
-        for batch in batches:
-            n, total, worst = [], [], []
-            for text in batch.column("text"):
-                text, below, passage = text.as_py(), 0, Worst(PASSAGE)
-                for codes in sliced_windows(text, symbols, order, size):
-                    below += int(levels[codes].sum(dtype=np.int64))
-                    if versus is not None:
-                        passage.add(versus[0][codes])
-                n.append(len(text))
-                total.append(-step * below)
-                worst.append(None if versus is None else versus[1] * passage.result())
-            numbers = [pa.array(n, pa.int64()), pa.array(total, pa.float64()), pa.array(worst, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "lang", "text_hash")), *numbers], ["doc_id", "lang", "text_hash", "n_symbols", "log_p", "worst"])
 
-    return run
+# ---------------------------------------------------------------------------- the classifier
+
+
+def _language(lang: Column) -> Column:
+    """The language as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("l"), lang), F.lit(""))
+
+
+class _Judged:
+    """Documents in blocks with their scores and thresholds."""
+
+    def __init__(
+        self, docs: DataFrame, trusted_ids: DataFrame, toxic_ids: DataFrame | None, id_col: str, text_col: str, lang_col: str, sample: int, quantile: float, reach: float, worst_reach: float, prior: int, payload: bool,
+    ):
+        spark = docs.sparkSession
+        own = [F.col(id_col).cast("long").alias("own_id"), F.col(lang_col).alias("own_lang"), F.coalesce(F.col(text_col), F.lit("")).alias("own_text")]
+        ids = lambda df: df.select(F.col(id_col).cast("long").alias("label_id")).where("label_id is not null").distinct()
+        good, bad = ids(trusted_ids), None if toxic_ids is None else ids(toxic_ids)
+        texts = docs.select(own[0], own[2])
+        fits = []
+        for labelled, toxic in ((good, False), (bad, True)):
+            if labelled is None:
+                continue
+            n = labelled.count()
+            share = min(sample / n, SHARE) if n else 0
+            drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 20)) < share * (1 << 20)
+            # Bounded by ``sample``, in expectation: their ids can be broadcast.
+            wanted = materialize(labelled.where(drawn), "fitted")
+            fits.append(texts.join(F.broadcast(wanted), F.col("own_id") == F.col("label_id"), "left_semi").select("own_text", F.lit(toxic).alias("toxic")))
+            if not toxic:
+                self.held = labelled.select("label_id", (~drawn).alias("held"))
+        fit = fits[0] if len(fits) == 1 else fits[0].unionByName(fits[1])
+        grams = fit.mapInArrow(_counted, schema(GRAMS)).groupBy("c1", "c2", "c3", "c4").agg(F.sum("g").alias("g"), F.sum("b").alias("b"))
+        tables = materialize(estimate(grams), "model")
+
+        carried = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)] if payload else []
+        rows = docs.select(*carried, *own)
+        self.fields = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema)] if payload else []
+        self.blocks = bucketed(rows.mapInArrow(_to_blocks, schema(BLOCKS)), "block")
+        shards = (self.blocks.agg(F.coalesce(F.sum("n_chars"), F.lit(0))).first()[0] // 8) // SHARD + int(spark.conf.get("spark.sql.shuffle.partitions"))
+        asks = self.blocks.mapInArrow(_ask(shards), schema(ASKS))
+        answers = asks.groupBy("shard").cogroup(dealt(tables, shards).groupBy("shard")).applyInPandas(_answer, schema(ANSWERS))
+        scored = self.blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score(shards), schema(SCORES))
+        self.scored = materialize(scored, "perplexity")
+        self._thresholds(quantile, reach, worst_reach, prior, bad is not None)
+
+    def _thresholds(self, quantile: float, reach: float, worst_reach: float, prior: int, toxic: bool) -> None:
+        trusted = self.scored.join(self.held, F.col("doc_id") == F.col("label_id")).where("n_symbols > 0")
+        usual = trusted.agg(F.coalesce(F.sum("log_p") / F.sum("n_symbols"), F.lit(0.0))).first()[0]
+        n = F.greatest(F.col("n_symbols") + prior, F.lit(1))
+        self.judged = -(F.col("log_p") + prior * usual) / n  # the logarithm of the perplexity that is judged
+        mean = trusted.select(_language(F.col("lang")).alias("key"), "held", self.judged.alias("j"), F.when(F.lit(toxic), F.col("worst")).alias("w"))
+
+        def limits(of: Column | None) -> list[Column]:
+            out = []
+            for c, far in (("j", reach), ("w", worst_reach)):
+                x = F.col(c) if of is None else F.when(of, F.col(c))
+                q = F.percentile_approx(x, F.array(F.lit(0.5), F.lit(quantile)), F.lit(10_000))
+                out.append(q[0] + far * (q[1] - q[0]))
+            return out
+
+        held, every = limits(F.col("held")), limits(None)
+        enough = F.count_if("held") >= LEAST_TRUSTED
+        by_lang = mean.groupBy("key").agg(*(F.when(enough, h).otherwise(e).alias(c) for h, e, c in zip(held, every, ("own", "own_worst"), strict=True)), F.count("*").alias("n"))
+        # A row for each language: written first, so that its size is known when it is joined.
+        by_lang = materialize(by_lang, "thresholds").where(F.col("n") >= LEAST_TRUSTED).drop("n")
+        overall = mean.agg(*(F.when(enough, h).otherwise(e).alias(c) for h, e, c in zip(held, every, ("overall", "overall_worst"), strict=True)))
+        rows = self.scored.withColumn("key", _language(F.col("lang"))).join(by_lang, "key", "left").crossJoin(F.broadcast(overall))
+        rows = rows.withColumns({"threshold": F.coalesce("own", "overall"), "worst_threshold": F.coalesce("own_worst", "overall_worst")})
+        likely, clean = (F.coalesce(x, F.lit(True)) for x in (self.judged <= F.col("threshold"), F.col("worst") <= F.col("worst_threshold")))
+        self.rows = rows.withColumn("accepted", likely & clean | (F.col("n_symbols") == 0))
 
 
 def classify(
     docs: DataFrame, trusted_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-    sample: int = SAMPLE, quantile: float = QUANTILE, slack: float = SLACK, prior: int = PRIOR, order: int = ORDER, alphabet: int = ALPHABET,
-    toxic_ids: DataFrame | None = None,
+    sample: int = SAMPLE, quantile: float = QUANTILE, reach: float = REACH, worst_reach: float = WORST_REACH, prior: int = PRIOR, toxic_ids: DataFrame | None = None,
 ) -> DataFrame:
-    """``doc_id, lang, n_symbols, perplexity, judged, threshold, accepted, text_hash, worst, worst_threshold`` for each row.
+    """``doc_id, lang, n_symbols, perplexity, judged, threshold, accepted, worst, worst_threshold`` for each row.
 
     ``judged`` is the perplexity of the document together with ``prior`` symbols of average trusted
     text; it is what thresholds are taken from and compared with.
 
     ``toxic_ids`` holds ``id_col`` of toxic documents. With it, ``worst`` is how much likelier (in logarithms) the
     model of a sample of them finds the document's worst passage, and a document over ``worst_threshold`` is
-    rejected, too. Without it, or without text in them, both are null.
-
-    ``trusted_ids`` holds ``id_col`` of trusted documents. The model is fitted on all of them, or on
-    a part drawn by a hash of the id with ``sample`` documents in expectation; thresholds come from
-    all of them. A language (null is one) with under 20 trusted documents takes the threshold of all.
-    An empty or null text has perplexity 1 and is accepted. Without trusted documents all is
-    accepted. Rows that repeat an id are scored each. Other columns are ignored, whatever their names.
+    rejected, too. Without it both are null.
+
+    ``trusted_ids`` holds ``id_col`` of trusted documents. The model is fitted on a part of them, drawn by a
+    hash of the id, of ``sample`` documents in expectation and at most 80 %; thresholds come from the others
+    of a language, or from all of it where they are under 20. A language (null is one) with under 20
+    trusted documents takes the threshold of all. An empty or null text has perplexity 1 and is accepted.
+    Without trusted documents all is accepted. Rows that repeat an id are scored each. Equal texts of a
+    language have equal verdicts. An empty table gives an empty result. Other columns are ignored,
+    whatever their names.
     """
-    if alphabet**order > 1 << 26:
-        raise ValueError("alphabet ** order must stay within 2^26, the bound of what is broadcast")
-    spark = docs.sparkSession
-    good = trusted_ids.select(F.col(id_col).alias("good_id")).where("good_id is not null").distinct()
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col(lang_col).alias("lang"))
-
-    def sampled(ids: DataFrame, tag: str) -> DataFrame:
-        n = ids.count()
-        share = F.pmod(F.xxhash64("good_id"), F.lit(1 << 20)) < (1 << 20) * (sample / n if n else 0)
-        # The sample is bounded, and read twice: once for the alphabet, once for the n-grams.
-        return materialize(rows.join(ids.where(share), F.col("doc_id") == F.col("good_id"), "left_semi").select("text"), tag)
-
-    fit = sampled(good, "trusted")
-    top = fit.mapInArrow(_characters, schema("cp long, n long")).groupBy("cp").agg(F.sum("n").alias("n"))
-    points = [r["cp"] for r in top.orderBy(F.desc("n"), "cp").limit(alphabet - 1).collect()]
-    symbols = Symbols(points)
-
-    def estimated(texts: DataFrame) -> list[pd.DataFrame]:
-        return estimate(texts.mapInArrow(_grams(symbols, order, alphabet), schema("g long, c long")).groupBy("g").agg(F.sum("c").alias("c")), order, alphabet)
-
-    logs, versus = dense(estimated(fit), alphabet), None
-    if toxic_ids is not None:
-        bad = estimated(sampled(toxic_ids.select(F.col(id_col).alias("good_id")).where("good_id is not null").distinct(), "toxic"))
-        if len(bad[0]):
-            versus = contrast(dense(bad, alphabet), logs)
-    table = spark.sparkContext.broadcast((quantised(logs), versus))
-    scored = rows.withColumn("text_hash", text_hash("text")).mapInArrow(_score(symbols, table, order, alphabet), schema(SCORES))
-    scored = materialize(scored, "perplexity")
-    trusted = scored.join(good, F.col("doc_id") == F.col("good_id"), "left_semi").where("n_symbols > 0")
-    usual = trusted.agg(F.coalesce(F.sum("log_p") / F.sum("n_symbols"), F.lit(0.0))).first()[0]
-    judged = F.exp(-(F.col("log_p") + prior * usual) / F.greatest(F.col("n_symbols") + prior, F.lit(1)))
-    q = F.percentile(judged, F.lit(quantile)) * slack
-    w = F.percentile("worst", F.lit(WORST_QUANTILE)) * WORST_SLACK
-    by_lang = trusted.groupBy(F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("")).alias("key")).agg(q.alias("own"), w.alias("own_worst"), F.count("*").alias("n"))
-    # A row for each language: written first, so that its size is known when it is joined.
-    by_lang = materialize(by_lang, "thresholds")
-    overall = trusted.agg(q.alias("overall"), w.alias("overall_worst"))
-    out = scored.withColumn("key", F.coalesce(F.concat(F.lit("l"), "lang"), F.lit(""))).join(by_lang.where(F.col("n") >= LEAST_TRUSTED).select("key", "own", "own_worst"), "key", "left")
-    out = out.crossJoin(F.broadcast(overall)).withColumn("threshold", F.coalesce("own", "overall")).withColumn("worst_threshold", F.coalesce("own_worst", "overall_worst"))
-    likely, clean = (F.coalesce(x, F.lit(True)) for x in (judged <= F.col("threshold"), F.col("worst") <= F.col("worst_threshold")))
-    accepted = likely & clean | (F.col("n_symbols") == 0)
+    j = _Judged(docs, trusted_ids, toxic_ids, id_col, text_col, lang_col, sample, quantile, reach, worst_reach, prior, payload=False)
     perplexity = F.exp(-F.col("log_p") / F.greatest("n_symbols", F.lit(1)))
-    return out.select("doc_id", "lang", "n_symbols", perplexity.alias("perplexity"), judged.alias("judged"), "threshold", accepted.alias("accepted"), "text_hash", "worst", "worst_threshold")
+    worst = F.col("worst") if toxic_ids is not None else F.lit(None).cast("double")
+    return j.rows.select(
+        "doc_id", "lang", "n_symbols", perplexity.alias("perplexity"), F.exp(j.judged).alias("judged"), F.exp("threshold").alias("threshold"), "accepted", worst.alias("worst"), "worst_threshold"
+    )
+
+
+def _kept(names: list[str], of: T.StructType):
+    def run(blocks: pa.Table, verdicts: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        want = to_arrow_schema(of)
+        if not blocks.num_rows:
+            return want.empty_table()
+        keep = np.zeros(0, np.int64) if not verdicts.num_rows else np.sort(np.asarray(verdicts.column("ats")[0].as_py(), np.int64))
+        return _rows(blocks.column("payload")[0].as_py()).select(names).take(pa.array(keep)).cast(want)
+
+    return run
+
+
+def accepted_documents(
+    docs: DataFrame, trusted_ids: DataFrame, toxic_ids: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+    sample: int = SAMPLE, quantile: float = QUANTILE, reach: float = REACH, worst_reach: float = WORST_REACH, prior: int = PRIOR,
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`classify` accepts, with all their columns.
+
+    Verdicts go to the blocks that hold the rows, by place: no text is shuffled for the decision, and rows
+    need no key. Nulls, empty texts, repeated rows and empty tables are treated as there.
+    """
+    j = _Judged(docs, trusted_ids, toxic_ids, id_col, text_col, lang_col, sample, quantile, reach, worst_reach, prior, payload=True)
+    names, of = [f.name for f in j.fields], T.StructType(j.fields)
+    verdicts = j.rows.where("accepted").groupBy("block").agg(F.collect_list("at").alias("ats"))  # a block's rows, not more
+    out = j.blocks.groupBy("block").cogroup(verdicts.groupBy("block")).applyInArrow(_kept(names, of), of)
+    return out.toDF(*docs.columns)
 
 
 def trusted_labels(labels: DataFrame) -> DataFrame:
