@@ -2,17 +2,16 @@
 
 A window is 50 consecutive words. Of the 8-word hashes inside a window the smallest one is its
 fingerprint, so equal windows have equal fingerprints, and neighbouring windows mostly share one
-(winnowing): a document has about one fingerprint for 20 words. The index keeps, for each
-fingerprint, the smallest and the largest document that has it, in immutable runs sorted by
-fingerprint. A new batch appends its run and is merge-joined with all runs; only documents with a
-fingerprint that another document has as well go on. For these, the windows themselves are compared
-by a 128-bit hash of all their words, which is the verification: a fingerprint only proposes.
+(winnowing): a document has about one fingerprint for 20 words. The index keeps which documents have a
+fingerprint, in immutable runs that are bucketed and sorted by it. A new batch appends its run, and its
+fingerprints are merge-joined with each older run; only documents with a fingerprint that another
+document has as well go on. For these, the windows themselves are compared by a 128-bit hash of all their
+words, which is the verification: a fingerprint only proposes.
 """
 
 from __future__ import annotations
 
 import hashlib
-import json
 import uuid
 
 import numpy as np
@@ -22,13 +21,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialize, mix64, new_path, schema, utf8
+from rollcall.llm.common import Manifest, bucketed, materialize, mix64, new_path, open_buckets, schema, sliced, text_hash, utf8
 
 WINDOW, GRAM = 50, 8
 #: Two odd multipliers; the second hash goes over other word hashes, so both must collide at once.
 BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
-PROFILE = "doc_id bigint, n_words bigint, body_sha256 string, fingerprints array<bigint>"
+PROFILE = "doc_id bigint, key bigint, n_words bigint, body_sha256 string, fingerprints array<bigint>"
 CANDIDATES = "h bigint, check bigint, doc_id bigint"
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
@@ -52,7 +51,7 @@ def rolling(w: np.ndarray, width: int, base: np.uint64) -> np.ndarray:
         if done < width:
             power = power[: len(power) - span] * factor + power[span:]
             span *= 2
-            factor = factor * factor
+            factor = np.uint64(int(factor) ** 2 % 2**64)
             factors[span] = factor
     return out
 
@@ -85,78 +84,75 @@ def _profile(window: int):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         of = to_arrow_schema(schema(PROFILE))
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for doc, body, key in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 words = body.as_py().split()
                 marks = np.unique(window_fingerprints(_word_hashes(words, 0), window)) if doc is not None else []
-                rows.append({"doc_id": doc, "n_words": len(words), "body_sha256": hashlib.sha256(b" ".join(words)).hexdigest(), "fingerprints": marks})
+                rows.append({"doc_id": doc, "key": key, "n_words": len(words), "body_sha256": hashlib.sha256(b" ".join(words)).hexdigest(), "fingerprints": marks})
             yield pa.RecordBatch.from_pylist(rows, of)
 
     return run
 
 
 class FingerprintIndex:
-    """Immutable runs of ``fp, lo, hi`` (smallest and largest document with the fingerprint), sorted by ``fp``.
+    """Immutable runs of ``fp, doc_id``, bucketed and sorted by ``fp``; the number of buckets is stored with the index.
 
-    A manifest file for each change lists the live runs, so a reader sees either the old or the new
-    set. ``compact`` merges all runs to one; older files are left for readers that still use them.
+    The manifest lists the live runs, so a reader sees either the old or the new set. ``compact`` merges all runs
+    to one; older files are left for readers that still use them.
     """
 
-    RUN = "fp bigint, lo bigint, hi bigint"
+    RUN = "fp bigint, doc_id bigint"
 
-    def __init__(self, spark: SparkSession, path: str, max_runs: int = 8):
+    def __init__(self, spark: SparkSession, path: str, max_runs: int = 8, buckets: int | None = None):
         self.spark, self.path, self.max_runs = spark, path, max_runs
-
-    def _manifests(self) -> DataFrame | None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest")  # noqa: SLF001
-        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
-        return self.spark.read.schema("version long, runs string").json(f"{self.path}/manifest") if fs.exists(hadoop) else None
+        self.manifest = Manifest(spark, path)
+        state = self.manifest.read()[1]
+        self.buckets = state.get("buckets") or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def runs(self) -> list[str]:
-        found = self._manifests()
-        row = found.orderBy(F.desc("version")).first() if found is not None else None
-        return json.loads(row["runs"]) if row else []
+        return self.manifest.read()[1].get("runs", [])
 
     def _publish(self, runs: list[str]) -> None:
-        found = self._manifests()
-        version = (found.agg(F.max("version")).first()[0] or 0) + 1 if found is not None else 1
-        row = self.spark.createDataFrame([(version, json.dumps(runs))], "version long, runs string")
-        row.coalesce(1).write.mode("append").json(f"{self.path}/manifest")
+        self.manifest.publish({"buckets": self.buckets, "runs": runs})
 
-    def rows(self) -> DataFrame:
-        """All live runs, merged: one row per fingerprint."""
-        runs = self.runs()
-        if not runs:
-            return self.spark.createDataFrame([], self.RUN)
-        return merged(self.spark.read.schema(self.RUN).parquet(*runs))
+    def _open(self, run: str) -> DataFrame:
+        return open_buckets(self.spark, run, self.RUN, "fp", self.buckets)
 
-    def _write(self, rows: DataFrame) -> str:
-        run = f"{self.path}/run-{uuid.uuid4().hex}"
-        merged(rows).sortWithinPartitions("fp").write.parquet(run)
-        return run
-
-    def append(self, batch: DataFrame) -> None:
-        """Add a batch's ``fp, doc_id`` rows as a new run, and compact when there are too many runs."""
-        run = self._write(batch.select("fp", F.col("doc_id").alias("lo"), F.col("doc_id").alias("hi")))
-        runs = [*self.runs(), run]
-        self._publish(runs)
-        if len(runs) > self.max_runs:
+    def append(self, batch: DataFrame) -> DataFrame:
+        """Add a batch's ``fp, doc_id`` rows as a new run, which is returned; compacts first when there are too many runs."""
+        if len(self.runs()) >= self.max_runs:
             self.compact()
+        run = f"{self.path}/run-{uuid.uuid4().hex}"
+        dealt = batch.select("fp", "doc_id").repartition(self.buckets, "fp")
+        bucketed(dealt, "fp", run, self.buckets)
+        self._publish([*self.runs(), run])
+        return self._open(run)
+
+    def older(self, fps: DataFrame) -> DataFrame | None:
+        """Rows of all runs but the newest that have one of the fingerprints: a merge join with each run, which isn't moved."""
+        runs = self.runs()[:-1]
+        out = None
+        for run in runs:
+            rows = self._open(run).join(fps.hint("merge"), "fp", "left_semi")
+            out = rows if out is None else out.unionByName(rows)
+        return out
 
     def compact(self) -> None:
-        self._publish([self._write(self.rows())])
-
-
-def merged(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("fp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+        """One run of all; buckets stay what they were, so each is merged on its own."""
+        runs = self.runs()
+        if len(runs) > 1:
+            merged = self.spark.read.schema(self.RUN).parquet(*runs).repartition(self.buckets, "fp")
+            run = f"{self.path}/run-{uuid.uuid4().hex}"
+            bucketed(merged, "fp", run, self.buckets)
+            self._publish([run])
 
 
 def _candidates(window: int):
     """Windows whose fingerprint another document has: hashes of each, once for each document."""
 
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             for doc, body, marks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 words = body.as_py().split()
                 hashes = _word_hashes(words, 0)
@@ -173,7 +169,7 @@ def _remove(window: int):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         of = to_arrow_schema(schema(RESULT + ", kept string"))
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc, body, h, check in zip(*(batch.column(i) for i in range(4)), strict=True):
                 words = body.as_py().split()
@@ -200,43 +196,47 @@ def remove_repeats(
     """Remove the words of passages that also start in a document with a smaller id.
 
     ``docs`` is the new batch; its fingerprints are appended to ``index``. ``history`` holds the texts
-    of the batches before (same columns), which the index's proposals are verified against. Returns
+    of the batches before (same columns), of which only those that the index names are read for the
+    verification. Returns
     ``doc_id, n_words, n_removed, kept_sha256`` for each row of the batch, and ``kept`` (the words that
     stay, joined by a space) if asked. Windows are judged on the input. Null texts have no words. Rows
     with a null id neither lose words nor take them from others. Rows that share an id aren't earlier
     than each other. Texts below ``window`` words stay whole. An empty table gives an empty result.
     Other columns are ignored.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"))
+    keyed = lambda df: df.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"), text_hash(text_col).alias("key"))
+    rows, row = keyed(docs), ["doc_id", "key"]
     profile = materialize(rows.mapInArrow(_profile(window), schema(PROFILE)), "profile")
     # Of documents with the same words only the first is compared further: the others lose all that it has.
-    first = profile.where("doc_id is not null").groupBy("body_sha256").agg(F.min("doc_id").alias("first_id"))
+    # Written first, so that the join has plain sides and Spark can split a large group of copies.
+    first = materialize(profile.where("doc_id is not null").groupBy("body_sha256").agg(F.min("doc_id").alias("first_id")), "first")
     profile = materialize(profile.join(first, "body_sha256", "left"), "profile")
     copy = F.col("first_id").isNotNull() & (F.col("first_id") < F.col("doc_id")) & (F.col("n_words") >= window)
     leads = profile.where(~F.coalesce(copy, F.lit(False)))
-    marks = leads.select("doc_id", F.explode("fingerprints").alias("fp"))
-    index.append(marks)
-    shared = index.rows().where("lo < hi").select("fp")
-    marked = marks.join(shared, "fp").groupBy("doc_id").agg(F.collect_set("fp").alias("marks"))
-    marked = materialize(marked, "marked")
-    texts = materialize(rows.join(marked, "doc_id").select("doc_id", "body", "marks"), "texts")
+    marks = leads.select(*row, F.explode("fingerprints").alias("fp"))
+    own = index.append(marks)
+    span = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")]
+    spans, old = own.groupBy("fp").agg(*span), index.older(own.select("fp"))
+    if old is not None:
+        old = materialize(old, "older")
+        spans = spans.unionByName(old.groupBy("fp").agg(*span)).groupBy("fp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    shared = materialize(spans.where("lo < hi").select("fp"), "shared")
+    marked = materialize(marks.join(shared, "fp").groupBy(*row).agg(F.collect_set("fp").alias("marks")), "marked")
+    texts = materialize(rows.join(marked, row).select("doc_id", "body", "marks"), "texts")
     compared = texts
-    if history is not None:
-        old = history.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"))
-        old = materialize(old.mapInArrow(_profile(window), schema(PROFILE)), "profile").select("doc_id", F.explode("fingerprints").alias("fp"))
-        old = old.join(shared, "fp").groupBy("doc_id").agg(F.collect_set("fp").alias("marks"))
-        old_rows = history.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"))
-        compared = texts.unionByName(old_rows.join(old, "doc_id").select("doc_id", "body", "marks"))
+    if old is not None and history is not None:
+        known = old.join(shared, "fp", "left_semi").groupBy("doc_id").agg(F.collect_set("fp").alias("marks"))
+        compared = texts.unionByName(keyed(history).join(known, "doc_id").select("doc_id", "body", "marks"))
     windows = materialize(compared.mapInArrow(_candidates(window), schema(CANDIDATES)), "windows")
-    owners = windows.groupBy("h", "check").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-    hits = windows.join(owners, ["h", "check"]).where("doc_id > lo")
+    owners = windows.groupBy("h", "check").agg(*span).where("lo < hi")
+    hits = windows.join(materialize(owners, "owners"), ["h", "check"]).where("doc_id > lo")
     hits = hits.groupBy("doc_id").agg(F.collect_list(F.struct("h", "check")).alias("hits"))
     done = texts.join(hits, "doc_id", "left").select("doc_id", "body", "hits.h", "hits.check")
     done = done.mapInArrow(_remove(window), schema(RESULT + ", kept string"))
-    same = profile.join(marked.select("doc_id"), "doc_id", "left_anti") if not keep_text else None
+    same = profile.join(marked.select(*row), row, "left_anti") if not keep_text else None
     nothing = hashlib.sha256(b"").hexdigest()
     if keep_text:
-        rest = rows.join(marked.select("doc_id"), "doc_id", "left_anti").mapInArrow(_whole(window), schema(RESULT + ", kept string"))
+        rest = rows.join(marked.select(*row), row, "left_anti").select("doc_id", "body").mapInArrow(_whole(window), schema(RESULT + ", kept string"))
         gone = profile.where(copy).select("doc_id", "body_sha256", "n_words").distinct()
         out = done.unionByName(rest)
         out = out.join(gone.select("doc_id", F.col("body_sha256").alias("kept_sha256"), F.lit(True).alias("gone")), ["doc_id", "kept_sha256"], "left")
@@ -257,7 +257,7 @@ def _whole(window: int):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         of = to_arrow_schema(schema(RESULT + ", kept string"))
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 words = body.as_py().split()
