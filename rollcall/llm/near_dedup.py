@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialize, mix64, schema, text_hash, utf8
+from rollcall.llm.common import materialize, mix64, schema, sliced, text_hash, utf8
 
 SEED, BITS = 42, 64
 
@@ -39,7 +39,7 @@ def fingerprint(body: bytes, width: int = 3) -> int:
 
 def _fingerprints(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             fp = np.fromiter((fingerprint(b.as_py(), width) for b in batch.column(1)), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(fp.view(np.int64))], ["doc_id", "text_hash", "fp"])
 
@@ -55,7 +55,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def ball_links(fps: DataFrame) -> DataFrame:
     """Links ``a > b`` that join the distinct values of ``fp`` within distance 2 to the same components."""
     ball = F.array(F.col("fp"), *(F.col("fp").bitwiseXOR(F.lit(1 << b if b < 63 else -(1 << 63))) for b in range(BITS)))
-    met = fps.select("fp", F.explode(ball).alias("variant")).groupBy("variant").agg(F.collect_list("fp").alias("members"))
+    # Few small files hold the fingerprints: dealt out before each becomes 65 rows.
+    dealt = fps.repartition(int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    met = dealt.select("fp", F.explode(ball).alias("variant")).groupBy("variant").agg(F.collect_list("fp").alias("members"))
     met = met.where(F.size("members") > 1).select("members", F.array_min("members").alias("b"))
     links = met.select(F.explode("members").alias("a"), "b").where("a <> b").distinct()
     return links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= 2)
@@ -112,8 +114,8 @@ FINGERPRINTS, SHORT = 16, 28
 SKETCH = FINGERPRINTS * SHORT
 #: Bits that two sketches, and the 36 bits beside a fingerprint, may differ in: similar texts differ in less but for one pair in thousands.
 FAR, FAR_BESIDE = SKETCH * 5 // 16, 13
-#: Fingerprints in a group, about, and the followers that one is paired with in a variant.
-GROUP, FOLLOWERS = 1 << 17, 64
+#: Fingerprints in a group, about, and the followers that one is paired with in a variant at first; see :func:`similar`.
+GROUP, FOLLOWERS = 1 << 17, 16
 
 
 def shingle_set(body: bytes, width: int) -> np.ndarray:
@@ -137,7 +139,7 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 def _sketches(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = [shingle_set(b.as_py(), width) for b in batch.column(1)]
             cls = np.fromiter((xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
             sketches = pa.array([sketch(s).tobytes() for s in sets], pa.binary())
@@ -158,42 +160,60 @@ def _emit(high: int):
     flips = np.array([0, *(1 << b for b in range(high))], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                ids = part.column(0).to_numpy()
-                for t, w in enumerate(_windows(part.column(1)) if len(ids) else ()):
-                    lead = ((w & np.uint64((1 << SHORT) - 1)) >> np.uint64(SHORT - high)).astype(np.int64)
-                    g = (lead[:, None] ^ flips) + (t << SHORT)
-                    yield pa.RecordBatch.from_arrays([pa.array(g.ravel()), pa.array(np.repeat(w.view(np.int64), high + 1)), pa.array(np.repeat(ids, high + 1))], ["g", "w", "id"])
+        for part in sliced(batches):
+            ids, component = part.column(0).to_numpy(), part.column(2).to_numpy()
+            for t, w in enumerate(_windows(part.column(1)) if len(ids) else ()):
+                lead = ((w & np.uint64((1 << SHORT) - 1)) >> np.uint64(SHORT - high)).astype(np.int64)
+                g = (lead[:, None] ^ flips) + (t << SHORT)
+                columns = (g.ravel(), *(np.repeat(c, high + 1) for c in (w.view(np.int64), ids, component)))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "w", "id", "component"])
 
     return run
 
 
-def _meet(high: int):
-    """Pairs of a group that meet in a variant: those in the group by a flip of a leading bit have no other flip left."""
+def _meet(high: int, followers: int | None):
+    """Pairs of a group that meet in a variant and are of different components.
+
+    Those that are in the group by a flip of a leading bit have no other flip left. Two fingerprints may meet
+    in several groups; one of these, told by their leading bits alone, makes the pair. With ``followers``
+    each is paired with so many next ones in a variant, and the classes of a variant that has more are
+    marked by a pair with themselves; without it all pairs are made.
+    """
     low = SHORT - high
 
     def run(table: pa.Table) -> pa.Table:
-        g, w, ids = (table.column(c).to_numpy() for c in ("g", "w", "id"))
-        order = np.argsort(ids)
-        w, ids, lead = w.view(np.uint64)[order], ids[order], int(g[0]) & ((1 << high) - 1)
+        g, w, ids, component = (table.column(c).to_numpy() for c in ("g", "w", "id", "component"))
+        order = np.lexsort((ids, component))
+        w, ids, component, lead = w.view(np.uint64)[order], ids[order], component[order], int(g[0]) & ((1 << high) - 1)
         own = (w & np.uint64((1 << SHORT) - 1)).astype(np.int64)
-        rest, home = own & ((1 << low) - 1), np.flatnonzero(own >> low == lead)
+        lead_of, rest = own >> low, own & ((1 << low) - 1)
+        home = np.flatnonzero(lead_of == lead)
         variant = np.concatenate([rest, *(rest[home] ^ (1 << b) for b in range(low))])
         row = np.concatenate([np.arange(len(w)), *([home] * low)])
         by = np.lexsort((row, variant))
         variant, row = variant[by], row[by]
+        # Variants of one component have nothing to pair.
+        starts = np.flatnonzero(np.diff(variant, prepend=-1))
+        mixed = np.minimum.reduceat(component[row], starts) < np.maximum.reduceat(component[row], starts) if len(starts) else starts
+        keep = np.repeat(mixed, np.diff(starts, append=len(variant)))
+        variant, row = variant[keep], row[keep]
         found = [np.zeros((0, 2), np.int64)]
-        at = np.arange(len(variant))
-        for d in range(1, FOLLOWERS + 1):
+        at, d = np.arange(len(variant)), 0
+        while len(at):
+            d += 1
             at = at[at + d < len(variant)]
             at = at[variant[at] == variant[at + d]]
-            if not len(at):
+            if followers is not None and d > followers:
+                crowd = np.unique(ids[row[np.isin(variant, variant[at])]])
+                found.append(np.stack([crowd, crowd], axis=1))
                 break
             i, j = row[at], row[at + d]
-            close = np.bitwise_count((w[i] ^ w[j]) >> np.uint64(SHORT)) <= FAR_BESIDE
-            found.append(np.unique(np.stack([ids[i[close]], ids[j[close]]], axis=1), axis=0))
+            x, y = lead_of[i], lead_of[j]
+            bit = (x ^ y) & -(x ^ y)
+            here = np.where(bit == (x ^ y), np.minimum(x, y), np.minimum(x ^ bit, y ^ bit)) == lead
+            close = here & (component[i] != component[j]) & (np.bitwise_count((w[i] ^ w[j]) >> np.uint64(SHORT)) <= FAR_BESIDE)
+            pairs = np.sort(np.stack([ids[i[close]], ids[j[close]]], axis=1), axis=1)
+            found.append(np.unique(pairs, axis=0))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -201,7 +221,7 @@ def _meet(high: int):
 
 
 def _near_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for c in ("sa", "sb"))
         near = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= FAR
         yield batch.select(["a", "b"]).filter(pa.array(near))
@@ -209,7 +229,7 @@ def _near_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             for body in batch.column(0):
                 s = shingle_set(body.as_py(), width)
                 cls = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED)], np.uint64).view(np.int64)
@@ -220,7 +240,7 @@ def _sets(width: int):
 
 def _verify(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             keep = []
             for x, y in zip(batch.column("ha"), batch.column("hb"), strict=True):
                 x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
@@ -238,7 +258,9 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     is computed from the sets for every candidate. Texts of equal sets are one class. Candidates have one of
     ``FINGERPRINTS`` independent fingerprints within distance 2, found by ball hashing as in :func:`ball_links`:
     a variant's flipped bit among the leading ones is emitted, one among the others is made in the group.
-    A variant that over ``FOLLOWERS`` classes meet in pairs each with that many next ones only.
+    Where over ``FOLLOWERS`` classes meet in a variant, each is paired with that many next ones first, and
+    then, in a second round over those classes only, with all that are not of its component yet: so a large
+    group of near copies costs little and no link between components is lost.
 
     Null and blank texts are one class. Equal rows share a component. Other columns are ignored.
     """
@@ -246,26 +268,44 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     rows = docs.select(*text).mapInArrow(_sketches(width), schema("doc_id long, text_hash long, cls long, sketch binary"))
     rows = materialize(rows, "sketches")
     classes = materialize(rows.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "classes")
+    texts = docs.select(*text)
+    alone = classes.select("cls", "sketch", F.col("cls").alias("component"))
+    met = _candidates(alone, FOLLOWERS)
+    links = _verified(met.where("a <> b"), classes, texts, width, similarity)
+    roots = materialize(components(links), "roots")
+    crowded = met.where("a = b").select(F.col("a").alias("cls"))
+    if crowded.head(1):
+        # What is one component by now needs no more links, whatever its size.
+        now = F.coalesce("root", "cls").alias("component")
+        again = classes.join(crowded, "cls", "left_semi").join(roots, F.col("cls") == roots["node"], "left").select("cls", "sketch", now)
+        more = _verified(_candidates(materialize(again, "crowded"), None), classes, texts, width, similarity)
+        roots = materialize(components(links.unionByName(more)), "roots")
+    return rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "text_hash", F.coalesce("root", "cls").alias("root"))
+
+
+def _candidates(classes: DataFrame, followers: int | None) -> DataFrame:
+    """Pairs ``a < b`` of ``cls, sketch, component`` that have a fingerprint within distance 2; see :func:`_meet`."""
     n, high = classes.count(), 0
     while n * (high + 1) > GROUP << high and high < SHORT - 1:
         high += 1
-    emitted = classes.select("cls", "sketch").mapInArrow(_emit(high), schema("g long, w long, id long"))
-    met = emitted.groupBy("g").applyInArrow(_meet(high), schema("a long, b long")).distinct()
-    met = materialize(met, "candidates")
+    emitted = classes.mapInArrow(_emit(high), schema("g long, w long, id long, component long"))
+    met = emitted.groupBy("g").applyInArrow(_meet(high, followers), schema("a long, b long")).distinct()
+    return materialize(met, "candidates")
+
+
+def _verified(met: DataFrame, classes: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The candidates whose sets of shingles are similar: one text of each class in a pair is read again for its set."""
     for side, one in (("a", "sa"), ("b", "sb")):
         met = met.join(classes.select(F.col("cls").alias(side), F.col("sketch").alias(one)), side)
     pairs = materialize(met.select("a", "b", "sa", "sb").mapInArrow(_near_sketches, schema("a long, b long")), "pairs")
-    # One text of each class in a pair is read again for its set.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
     wanted = materialize(classes.join(wanted, "cls", "left_semi").select("text_hash").distinct(), "wanted")
-    read = docs.select(*text).join(wanted, "text_hash", "left_semi").select("body")
+    read = texts.join(wanted, "text_hash", "left_semi").select("body")
     sets = read.mapInArrow(_sets(width), schema("cls long, hashes binary")).groupBy("cls").agg(F.first("hashes").alias("hashes"))
     sets = materialize(sets, "sets")
     for side, one in (("a", "ha"), ("b", "hb")):
         pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("hashes").alias(one)), side)
-    links = materialize(pairs.select("a", "b", "ha", "hb").mapInArrow(_verify(similarity), schema("a long, b long")), "verified")
-    roots = materialize(components(links), "roots")
-    return rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "text_hash", F.coalesce("root", "cls").alias("root"))
+    return materialize(pairs.select("a", "b", "ha", "hb").mapInArrow(_verify(similarity), schema("a long, b long")), "verified")
 
 
 def op4_simhash(spark, sf_dir: str) -> DataFrame:

@@ -49,3 +49,22 @@ def test_groups_agree(spark, table, monkeypatch):
     whole = {tuple(r) for r in near_dedup.similar(docs).collect()}
     monkeypatch.setattr(near_dedup, "GROUP", 60)
     assert {tuple(r) for r in near_dedup.similar(docs).collect()} == whole
+
+
+def test_crowded_variants_lose_no_link(spark, monkeypatch):
+    """A text with 50 near copies, some of them alike only through others: one follower at first finds what all find."""
+    ship(spark)
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    rows = []
+    for i in range(50):
+        other = list(words)
+        for c in range(1 + i % 7):
+            other[(i * 37 + c * 43) % 300] = f"x{i}y{c}"
+        rows.append((i, " ".join(other)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(near_dedup, "FOLLOWERS", 1000)
+    whole = {tuple(r) for r in near_dedup.similar(docs).collect()}
+    monkeypatch.setattr(near_dedup, "FOLLOWERS", 1)
+    assert {tuple(r) for r in near_dedup.similar(docs).collect()} == whole
+    assert len({r[2] for r in whole}) < 50
