@@ -2,8 +2,9 @@
 
 ``count_tokens`` counts without making identifiers: a pre-token has as many tokens as bytes, less its
 merges. ``encode`` makes the identifiers; texts longer than ``CHUNK`` characters are dealt to tasks as
-overlapping chunks, which are pre-tokenised and encoded on their own and stitched where their
-pre-token boundaries meet again. Both keep the pre-tokens that a worker has met.
+overlapping chunks. Chunks are pre-tokenised on their own, their boundaries are stitched where
+pre-tokens of both end alike, and then the pieces between are encoded, in parallel again. Both keep
+the pre-tokens that a worker has met.
 """
 
 from __future__ import annotations
@@ -19,11 +20,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-import tiktoken
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import schema, utf8
+from rollcall.llm.common import materialize, schema, sliced, utf8
 
 CHUNK, OVERLAP = 65_536, 2_048
 #: Pre-tokens whose tokens are kept; when there are more, all are forgotten.
@@ -43,19 +44,26 @@ class Merges:
             number.setdefault(a + b, 256 + r)
         # A merge whose result has been made before keeps the first number of that result.
         self.made = [number[a + b] for a, b in pairs]
+        self.byte = list(range(256))
         self.known: dict[str, int] = {}
 
-    def count(self, piece: bytes) -> int:
-        """Tokens of a pre-token: its bytes minus its merges.
+    @classmethod
+    def of_ranks(cls, ranks: dict[bytes, int]) -> Merges:
+        """Merges of a rank file: two tokens merge if together they are a token, which has its rank as number."""
+        self = cls([])
+        self.rank = {ranks[t[:i]] << 32 | ranks[t[i:]]: r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
+        self.made = list(range(max(ranks.values(), default=-1) + 1))
+        self.byte = [ranks.get(bytes([b]), -1) for b in range(256)]
+        return self
+
+    def merge(self, symbol: list[int]) -> tuple[int, list[int]]:
+        """Merge in place; how many symbols are left, and where the next one stands after each.
 
         The symbols are a doubly linked list; a heap holds pairs as rank and position in one number.
         The lowest rank, leftmost first, is popped until none is left. An entry is out of date when
         the pair at its position has another rank by now.
         """
-        n = len(piece)
-        if n < 2:
-            return n
-        rank, symbol = self.rank, list(piece)
+        n, rank = len(symbol), self.rank
         now = [rank.get(a << 32 | b, -1) for a, b in zip(symbol, symbol[1:])]  # noqa: B905
         now.append(-1)
         heap = [r << 32 | i for i, r in enumerate(now) if r >= 0]
@@ -85,7 +93,21 @@ class Merges:
                 now[h] = r = rank.get(symbol[h] << 32 | s, -1)
                 if r >= 0:
                     push(heap, r << 32 | h)
-        return left
+        return left, after
+
+    def count(self, piece: bytes) -> int:
+        """Tokens of a pre-token: its bytes minus its merges."""
+        return self.merge(list(piece))[0] if len(piece) > 1 else len(piece)
+
+    def ids(self, piece: bytes) -> list[int]:
+        """Numbers of a pre-token's tokens."""
+        symbol = [self.byte[b] for b in piece]
+        after = self.merge(symbol)[1]
+        out, i = [], 0
+        while i < len(symbol):
+            out.append(symbol[i])
+            i = after[i]
+        return out
 
 
 @lru_cache(maxsize=4)
@@ -121,7 +143,7 @@ def _counter(path: str, pattern: str):
         known = merges.known
         find = regex.compile(pattern).findall
         parts = regex.compile("|".join(map(regex.escape, sorted(special, key=len, reverse=True)))) if special else None
-        for batch in batches:
+        for batch in sliced(batches):
             counts = []
             for body in batch.column("body"):
                 text = body.as_py().decode()
@@ -169,10 +191,14 @@ class Codec:
         ranks = rank_file(path)
         self.pattern = regex.compile(pattern)
         self.known: dict[str, list[int]] = {}
-        self.one = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._encode_single_piece  # noqa: SLF001
+        self.whole, self.merges = ranks, Merges.of_ranks(ranks)
         self.tokens = {i: b for b, i in ranks.items()}
         self.names = {i: str(i) for i in self.tokens}
 
+    def one(self, piece: str) -> list[int]:
+        body = piece.encode()
+        return [self.whole[body]] if body in self.whole else self.merges.ids(body)
+
     def ids(self, pieces: list[str]) -> list[int]:
         """Identifiers of the pre-tokens, one after the other."""
         known, one = self.known, self.one
@@ -194,37 +220,41 @@ class Codec:
         return [m.end() for m in self.pattern.finditer(text)]
 
 
-def stitch(chunks: list[tuple[int, int, list[int], list[list[int]]]]) -> list[int] | None:
-    """Identifiers of a text from its chunks, or None if two chunks never meet.
+def stitch(chunks: list[tuple[int, list[int]]]) -> list[tuple[int, int]] | None:
+    """From where to where each chunk's pre-tokens count, in characters of the text, or None if two chunks never meet.
 
-    A chunk is (start, end of what it saw, ends of its pre-tokens, their ids), in characters of the
-    text, in order; each starts before its predecessor ends. Pre-tokens of the first chunk are right
-    except for the last two, which what comes next could change. From the first
-    boundary that a right pre-token of one chunk shares with the next chunk, both go on alike.
+    A chunk is (its start, ends of its pre-tokens), in characters of the text, in order; each starts before
+    its predecessor ends. Pre-tokens of the first chunk are right except for the last two, which
+    what comes next could change. From the first boundary that a right pre-token of one chunk shares
+    with the next chunk, both go on alike.
     """
-    out: list[int] = []
-    at = 0  # up to here the text is done
-    for k, (_, _, ends, ids) in enumerate(chunks):
-        last = k == len(chunks) - 1
-        i = 0 if k == 0 else int(np.searchsorted(ends, at, side="right"))
-        if last:
-            stop = len(ends)
+    out, at = [], 0
+    for k, (_, ends) in enumerate(chunks):
+        if k == len(chunks) - 1:
+            upto = max([at, *ends[-1:]])
         else:
-            start, _, next_ends, _ = chunks[k + 1]
-            sure = ends[: max(0, len(ends) - 2)]
-            both = [e for e in np.intersect1d(sure, next_ends) if e >= at and e > start]
-            if not both:
+            start, following = chunks[k + 1]
+            both = np.intersect1d(ends[: max(0, len(ends) - 2)], following)
+            both = both[(both >= at) & (both > start)]
+            if not len(both):
                 return None
-            stop = int(np.searchsorted(ends, both[0], side="right"))
-        out.extend(chain.from_iterable(ids[i:stop]))
-        at = ends[stop - 1] if stop else at
+            upto = int(both[0])
+        out.append((at, upto))
+        at = upto
     return out
 
 
+ENCODED = "doc_id bigint, ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+CHUNKS = "row string, doc_id bigint, chunk int, start int, piece string"
+ENDS = "row string, chunk int, start int, ends array<int>"
+PIECES = "row string, chunk int, begin int, end int"
+PARTS = "row string, doc_id bigint, chunk int, ids array<int>, piece string"
+
+
 def _encode(path: str, pattern: str, emit_ids: bool):
     def run(batches):
         c = codec(path, pattern)
-        for batch in batches:
+        for batch in sliced(batches):
             rows = []
             for body in batch.column("body"):
                 ids = c.ids(c.pattern.findall(body.as_py().decode()))
@@ -234,51 +264,72 @@ def _encode(path: str, pattern: str, emit_ids: bool):
     return run
 
 
-ENCODED = "doc_id bigint, ids array<int>, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-PIECES = "row bigint, doc_id bigint, chunk int, start int, stop int, ends array<int>, counts array<int>, ids array<int>, body binary"
-
-
 def _encoded(doc_ids, rows: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
     kinds = [pa.list_(pa.int32()), pa.int64(), pa.string(), pa.string()]
     return pa.RecordBatch.from_arrays([doc_ids, *(pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"])
 
 
-def _encode_chunks(path: str, pattern: str):
+def _cut(chunk: int, overlap: int):
+    """Long texts to overlapping chunks, cut in one pass; rows are told apart by partition and place, as ids may repeat."""
+
     def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
+        n = 0
+        for batch in batches:
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                text, n = text.as_py(), n + 1
+                for k, start in enumerate(range(0, len(text), chunk)):
+                    columns = ([f"{TaskContext.get().partitionId()}-{n}"], [doc], [k], [start], [text[start : start + chunk + overlap]])
+                    kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["row", "doc_id", "chunk", "start", "piece"])
 
+    return run
+
+
+def _boundaries(path: str, pattern: str):
+    def run(batches):
         c = codec(path, pattern)
-        of = to_arrow_schema(schema(PIECES))
         for batch in batches:
-            for r in batch.to_pylist():
-                text = r["piece"]
-                ends = c.boundaries(text)
-                ids = [c.ids([text[a:b]]) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-                yield pa.RecordBatch.from_pylist([{
-                    "row": r["row"], "doc_id": r["doc_id"], "chunk": r["chunk"], "start": r["start"], "stop": r["start"] + len(text),
-                    "ends": [r["start"] + e for e in ends], "counts": [len(x) for x in ids], "ids": [x for y in ids for x in y], "body": r["piece"].encode(),
-                }], of)
+            ends = [[s + e for e in c.boundaries(t)] for s, t in zip(batch.column("start").to_pylist(), batch.column("piece").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("row", "chunk", "start")), pa.array(ends, pa.list_(pa.int32()))], ["row", "chunk", "start", "ends"])
 
     return run
 
 
-def _stitch_document(path: str, pattern: str, emit_ids: bool):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+def _stitched(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A text's boundaries to the piece of each chunk that is to be encoded; all -1 where chunks never meet."""
+    pdf = pdf.sort_values("chunk")
+    pieces = stitch([(r.start, list(r.ends)) for r in pdf.itertuples()]) or [(-1, -1)] * len(pdf)
+    return pd.DataFrame({"row": pdf["row"], "chunk": pdf["chunk"], "begin": [a for a, _ in pieces], "end": [b for _, b in pieces]})
+
+
+def _encode_pieces(path: str, pattern: str):
+    """A chunk's piece to ids. A chunk of a text whose chunks never meet keeps its own part of the text instead."""
+
+    def run(batches):
         c = codec(path, pattern)
-        pdf = pdf.sort_values("chunk")
-        chunks = []
-        for r in pdf.itertuples():
-            cuts = np.cumsum(r.counts)[:-1] if len(r.counts) else []
-            chunks.append((r.start, r.stop, list(r.ends), [list(map(int, x)) for x in np.split(np.asarray(r.ids), cuts)] if len(r.counts) else []))
-        ids = stitch(chunks)
-        if ids is None:  # no common boundary within an overlap: the text is put together and encoded as one chunk
-            text, at = "", 0
-            for r in pdf.itertuples():
-                piece = r.body.decode()
-                text += piece[at - r.start :]
-                at = r.stop
-            ids = c.ids(c.pattern.findall(text))
+        for batch in batches:
+            rows = batch.to_pylist()
+            ids, pieces = [], []
+            for r in rows:
+                inside = r["piece"][r["begin"] - r["start"] : r["end"] - r["start"]] if r["begin"] >= 0 else None
+                ids.append(c.ids(c.pattern.findall(inside)) if inside is not None else None)
+                pieces.append(r["piece"] if inside is None else None)
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("row", "doc_id", "chunk")), pa.array(ids, pa.list_(pa.int32())), pa.array(pieces, pa.string())], ["row", "doc_id", "chunk", "ids", "piece"])
+
+    return run
+
+
+def _joined(path: str, pattern: str, emit_ids: bool, chunk: int):
+    """A text's pieces to its result; a text whose chunks never meet is put together and encoded as one."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        c, pdf = codec(path, pattern), pdf.sort_values("chunk")
+        if pdf["piece"].notna().any():
+            last = len(pdf) - 1
+            ids = c.ids(c.pattern.findall("".join(p if k == last else p[:chunk] for k, p in enumerate(pdf["piece"]))))
+        else:
+            ids = [int(i) for part in pdf["ids"] for i in part]
         return pd.DataFrame([(pdf["doc_id"].iloc[0], ids if emit_ids else None, *c.digest(ids))], columns=["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"doc_id": "Int64"})
 
     return run
@@ -291,23 +342,20 @@ def encode(
 
     ``vocabulary`` is the path of a rank file that executors can read. ``emit_ids`` false leaves
     ``ids`` null. Texts over ``chunk`` characters are cut into chunks of that size that reach
-    ``overlap`` characters into the next one; each chunk is a row of its own. Null text is empty and
-    has no ids. Ids may be null or repeat. An empty table gives an empty result; other columns are
-    ignored.
+    ``overlap`` characters into the next one; each chunk is a row of its own, written once, as it is read for its
+    boundaries and for its piece. Null text is empty and has no ids. Ids may be null or repeat. An empty
+    table gives an empty result; other columns are ignored.
     """
     of = schema(ENCODED)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    # Lengths in bytes are known without reading characters; short texts stay where they are.
+    # Short texts stay where they are.
     short = rows.where(F.length("t") <= chunk).select("doc_id", utf8("t").alias("body"))
     short = short.mapInArrow(_encode(vocabulary, pattern, emit_ids), of)
-    starts = F.sequence(F.lit(0), F.length("t") - 1, F.lit(chunk))
-    long = rows.where(F.length("t") > chunk).withColumn("row", F.monotonically_increasing_id())
-    long = long.select("row", "doc_id", "t", F.posexplode(starts).alias("chunk", "start"))
-    piece = F.substring(F.col("t"), F.col("start") + 1, F.lit(chunk + overlap))
-    long = long.select("row", "doc_id", "chunk", "start", piece.alias("piece")).repartition("row", "chunk")
-    long = long.mapInArrow(_encode_chunks(vocabulary, pattern), schema(PIECES))
-    long = long.groupBy("row").applyInPandas(_stitch_document(vocabulary, pattern, emit_ids), of)
-    return short.unionByName(long)
+    long = rows.where(F.length("t") > chunk).mapInArrow(_cut(chunk, overlap), schema(CHUNKS))
+    long = materialize(long.repartition("row", "chunk"), "chunks")
+    pieces = long.mapInArrow(_boundaries(vocabulary, pattern), schema(ENDS)).groupBy("row").applyInPandas(_stitched, schema(PIECES))
+    parts = long.join(pieces, ["row", "chunk"]).mapInArrow(_encode_pieces(vocabulary, pattern), schema(PARTS))
+    return short.unionByName(parts.groupBy("row").applyInPandas(_joined(vocabulary, pattern, emit_ids, chunk), of))
 
 
 def op5_bpe(spark, sf_dir: str) -> DataFrame:
