@@ -2,7 +2,8 @@
 
 The index is a Parquet table in buckets of the digest, sorted inside them. A batch is reduced to
 one row per digest (partial aggregation before its shuffle, so large groups of copies cost little),
-sort-merge anti-joined with the index, and what is new is appended.
+sort-merge anti-joined with the index, and what is new is appended. ``compact`` merges the files
+that batches leave in each bucket, so that buckets can be read in order again.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import ASCII_SPACE, materialize, new_path
+from rollcall.llm.common import ASCII_SPACE, Manifest, materialize, new_path
 
 
 def text_digest(text: str | Column) -> Column:
@@ -22,37 +23,67 @@ def text_digest(text: str | Column) -> Column:
 
 
 class DigestIndex:
-    """Digests seen so far: ``digest, keep_id, n_codepoints, group_size`` (of the batch it came with)."""
+    """Digests seen so far: ``digest, keep_id, n_codepoints, batch`` (the batch it came with).
 
-    SCHEMA = "digest string, keep_id bigint, n_codepoints bigint, group_size bigint"
+    The manifest beside the data holds the number of buckets, which stays what it was when the index
+    was started, and the folder that is live.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
-        """Open the index at ``path``, or start an empty one. ``buckets`` must stay the same for a path."""
-        self.spark, self.path = spark, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.table = f"digest_index_{uuid.uuid4().hex}"
-        spark.sql(
+    SCHEMA = "digest string, keep_id bigint, n_codepoints bigint, batch string"
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, max_appends: int = 16):
+        """Open the index at ``path``, or start an empty one with ``buckets`` (the session's shuffle partitions by default)."""
+        self.spark, self.path, self.max_appends, self.table = spark, path, max_appends, None
+        self.manifest = Manifest(spark, path)
+        state = self.manifest.read()[1]
+        if not state:
+            state = {"buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "data": f"{path}/data-{uuid.uuid4().hex}", "appends": 0}
+            self.manifest.publish(state)
+        self._open(state)
+
+    def _open(self, state: dict) -> None:
+        self.close()
+        self.state, self.buckets, self.data, self.table = state, state["buckets"], state["data"], f"digest_index_{uuid.uuid4().hex}"
+        self.spark.sql(
             f"CREATE TABLE {self.table} ({self.SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) "
-            f"INTO {self.buckets} BUCKETS LOCATION '{path}'"
+            f"INTO {self.buckets} BUCKETS LOCATION '{self.data}'"
         )
 
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
+    def plain_rows(self) -> DataFrame:
+        """The rows read by path: a plain scan, so that a join's sides are shuffled and a large group can be split."""
+        return self.spark.read.schema(self.rows().schema).parquet(self.data)
+
     def unseen(self, batch: DataFrame) -> DataFrame:
         """Rows of ``batch`` (with ``digest``) that the index lacks: a sort-merge anti-join on the buckets."""
         return batch.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
 
-    def append(self, groups: DataFrame) -> None:
-        """Add new digests; ``groups`` has the index's columns and one row per digest."""
+    def _write(self, rows: DataFrame, path: str, table: str) -> None:
         cols = [c.split()[0] for c in self.SCHEMA.split(", ")]
-        groups.select(*cols).write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option(
-            "path", self.path
-        ).saveAsTable(self.table)
+        rows.select(*cols).write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option("path", path).saveAsTable(table)
+
+    def append(self, groups: DataFrame) -> None:
+        """Add new digests; ``groups`` has the index's columns and one row per digest. Compacts after ``max_appends``."""
+        self._write(groups, self.data, self.table)
+        self.state = self.state | {"appends": self.state["appends"] + 1}
+        self.manifest.publish(self.state)
+        if self.state["appends"] > self.max_appends:
+            self.compact()
+
+    def compact(self) -> None:
+        """Write all buckets anew with one file each; readers of the folder before keep it."""
+        data, table = f"{self.path}/data-{uuid.uuid4().hex}", f"digest_index_{uuid.uuid4().hex}"
+        self._write(self.rows().repartition(self.buckets, "digest"), data, table)
+        self.spark.sql(f"DROP TABLE {table}")
+        self.manifest.publish(self.state | {"data": data, "appends": 0})
+        self._open(self.manifest.read()[1])
 
     def close(self) -> None:
         """Forget the table's name in this session; the files stay."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        if self.table:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -71,23 +102,31 @@ def groups_of(rows: DataFrame) -> DataFrame:
     )
 
 
+def new_texts(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Append a batch to the index; the rows that stay, as ``digest, keep_id, n_codepoints``: one per text that is new to it."""
+    batch = uuid.uuid4().hex
+    index.append(index.unseen(groups_of(digests(docs, id_col, text_col))).withColumn("batch", F.lit(batch)))
+    return index.plain_rows().where(F.col("batch") == batch).drop("batch")
+
+
 def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deduplicate a batch against the index and itself, and append what is new.
 
     Returns one row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_codepoints,
-    own_length`` (code points of the group's longest text, and of the row's own).
-    A text that an earlier batch brought belongs to that batch's row: ``kept`` is false and
-    ``keep_id`` is the earlier one. Within the batch, of equal texts the row with the most code
-    points, then the smallest id stays. Null text counts as empty. If several rows share the winner's
-    id and text, all of them have ``kept`` true (they cannot be told apart); null ids order last.
-    Empty tables give empty results; other columns are ignored.
+    own_length`` (code points of the group's longest text, and of the row's own). ``group_size``
+    counts the equal texts of this batch. A text that an earlier batch brought belongs to that
+    batch's row: ``kept`` is false for all of this batch's rows, whatever their ids, and ``keep_id`` is
+    the earlier one. Within the batch, of equal texts the row with the most code points, then the
+    smallest id stays. Null text counts as empty. If several rows share the winner's id and text, all
+    of them have ``kept`` true (they cannot be told apart); null ids order last. Empty tables give
+    empty results; other columns are ignored.
     """
-    rows = materialize(digests(docs, id_col, text_col), "digests")
-    index.append(index.unseen(groups_of(rows)))
-    # Read by path: a plain scan, so that the join's sides are shuffled and a large group can be split.
-    known = rows.sparkSession.read.schema(index.rows().schema).parquet(index.path)
-    joined = rows.withColumnRenamed("n_codepoints", "own_length").join(known, "digest")
-    kept = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_length") == F.col("n_codepoints"))
+    rows, batch = materialize(digests(docs, id_col, text_col), "digests"), uuid.uuid4().hex
+    groups = materialize(groups_of(rows), "digest-groups")
+    index.append(index.unseen(groups).withColumn("batch", F.lit(batch)))
+    known = index.plain_rows().join(groups.select("digest", "group_size"), "digest")
+    joined = rows.withColumnRenamed("n_codepoints", "own_length").join(materialize(known, "digests-known"), "digest")
+    kept = (F.col("batch") == batch) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_length") == F.col("n_codepoints"))
     return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"), "n_codepoints", "own_length")
 
 
