@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import WORD, materialize
+from rollcall.llm.common import WORD, materialize, text_hash
 
 WEIGHTS = (1.0, 2.0, 3.0)
 
@@ -129,7 +129,7 @@ def mix(
 ) -> DataFrame:
     """Decide how many copies of each document the mix takes.
 
-    Returns one row per input row: ``doc_id, source, size, source_size, target, copies, taken``.
+    Returns one row per input row: ``doc_id, source, size, source_size, target, copies, taken, text_hash``.
     A document's copies are at most ``ceil(cap)``. Null texts have no words; null sources are one
     source; null ids are allowed. Documents without words take floor or ceil of their expectation,
     at random. Equal rows are drawn apart only by order, which does not change the result. An empty
@@ -137,19 +137,19 @@ def mix(
     """
     n_words = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
     sizes = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words.alias("size")), "sizes"
+        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), n_words.alias("size"), text_hash(text_col).alias("text_hash")), "sizes"
     )
     targets = source_targets(sizes, weights, cap).withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
     counts = sizes.groupBy("source").agg(F.count("*").alias("n"))
     targets = targets.join(counts, targets["source"].eqNullSafe(counts["source"])).drop(counts["source"])
     targets = targets.withColumn("groups", F.ceil(F.col("n") / group_rows).cast("long"))
     most = targets.agg(F.max("groups")).first()[0]
-    draw = F.xxhash64("doc_id", "source", "size", F.lit(seed))
+    draw = F.xxhash64("doc_id", "source", "size", "text_hash", F.lit(seed))
     rows = sizes.withColumn("key", F.coalesce(F.concat(F.lit("s"), "source"), F.lit("")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.join(targets.drop("source"), "key").select(
         "doc_id", "source", "size", "source_size", "target", draw.alias("row"), F.floor(rate).alias("whole"),
-        (rate - F.floor(rate)).alias("p"), (F.pmod(F.xxhash64(draw), F.col("groups"))).alias("g"), "key",
+        (rate - F.floor(rate)).alias("p"), (F.pmod(F.xxhash64(draw), F.col("groups"))).alias("g"), "key", "text_hash",
     )
     done = rows.sparkSession.createDataFrame([], rows.schema)
     level = 0
@@ -165,7 +165,7 @@ def mix(
     last = rows.where(open_).withColumn("p", F.when(_unit(F.col("row"), seed) < F.col("p"), 1.0).otherwise(0.0))
     copies = (F.col("whole") + F.col("p")).cast("long")
     return done.unionByName(last).select(
-        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "text_hash",
     )
 
 
