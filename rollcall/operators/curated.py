@@ -63,7 +63,7 @@ def population_snapshot(pegawai: DataFrame, departemen: DataFrame, dates: DataFr
         F.col("active").alias("is_employee_active"), F.lit("EXTRACTION_SNAPSHOT").alias("population_basis"), (unknown | unmapped).alias("perlu_review"),
         R.reasons((unknown, "UNKNOWN_ACTIVE_STATUS"), (unmapped, "DEPARTMENT_UNMAPPED")).alias("alasan_review"),
     )
-    return p.crossJoin(F.broadcast(dates.select("tanggal")))
+    return p.crossJoin(dates.select("tanggal"))
 
 
 def leave_validate(leaves: DataFrame, users: DataFrame, jenis: DataFrame, tipe: DataFrame) -> DataFrame:
@@ -145,54 +145,66 @@ def checkin_shifts(events: DataFrame) -> DataFrame:
     )
 
 
-def lateness(daily: DataFrame, events: DataFrame) -> DataFrame:
-    """Adds lateness status, reason, event and schedule to daily records."""
-    first = first_shift_event(events).select(
-        *KEYS, F.col("event_id").alias("lateness_event_id"), F.col("jadwal_id").alias("lateness_schedule_id"), F.col("shift_id").alias("f_shift"),
-        F.col("shift_active").alias("f_active"), F.col("perlu_review").alias("f_review"), F.col("jam_masuk").alias("f_start"), F.col("jam_masuk_awal").alias("f_early"), F.col("jam").alias("f_time"),
+def event_summary(events: DataFrame) -> DataFrame:
+    """All that a daily record takes from an employee's events of a date, in one aggregation.
+
+    The date is the calendar date, which is the reporting date of resolved events: so the summary of
+    check-ins and check-outs, the unresolved count, the check-in that decides lateness and the active
+    shifts come from one scan and one exchange.
+    """
+    came, left, resolved = F.col("checktype") == 1, F.col("checktype") == 2, F.col("tanggal").isNotNull()
+    counted = resolved & F.coalesce(came | left, F.lit(False))
+    checked_in, active = F.coalesce(resolved & came, F.lit(False)), R.true("shift_active")
+    # Nulls first: of shifts not inactive those of unknown status, then by scheduled start, then by time.
+    order = F.struct(F.col("shift_active").isNotNull(), F.col("jam_masuk").isNotNull(), "jam_masuk", "waktu_event", "event_id")
+    first = F.struct("event_id", "jadwal_id", "shift_id", "shift_active", "perlu_review", "jam_masuk", "jam_masuk_awal", "jam")
+    decides = checked_in & ~R.false("shift_active")
+    rows = events.where("pegawai_id is not null and tanggal_event is not null")
+    return rows.groupBy("pegawai_id", F.col("tanggal_event").alias("tanggal")).agg(
+        F.count_if(checked_in).alias("checkin_event_count"), F.count_if(counted & left).alias("checkout_event_count"), F.min(F.when(checked_in, F.col("waktu_event"))).alias("first_checkin_at"),
+        F.max(F.when(counted & left, F.col("waktu_event"))).alias("last_checkout_at"), F.bool_or(counted & R.true("is_manual")).alias("has_manual_event"), F.bool_or(counted & F.col("perlu_review")).alias("e_review"),
+        R.distinct_texts(F.when(counted, F.col("alasan_review"))).alias("e_reason"), F.count_if(counted).alias("e_rows"), F.count_if(~resolved).alias("unresolved_count"),
+        F.min_by(F.when(decides, first), F.when(decides, order)).alias("first"), F.count_if(checked_in & ~R.false("shift_active")).alias("not_inactive"),
+        F.collect_set(F.when(checked_in & active & F.col("shift_id").isNotNull(), F.struct("jam_masuk", "shift_id"))).alias("active_shifts"),
     )
-    d = daily.join(first, KEYS, "left").join(checkin_shifts(events), KEYS, "left")
-    ties = F.size(F.filter("active_shifts", lambda x: x["jam_masuk"].eqNullSafe(F.col("f_start"))))
-    none, start, early = F.col("lateness_event_id").isNull(), F.col("f_start"), F.col("f_early")
-    tied = R.true(ties > 1)
+
+
+def lateness(daily: DataFrame) -> DataFrame:
+    """Adds lateness status, reason, event and schedule to daily records that have the columns of :func:`event_summary`."""
+    f = F.col("first")
+    none, start, early = f.isNull(), f["jam_masuk"], f["jam_masuk_awal"]
+    ties = F.size(F.filter(F.coalesce("active_shifts", F.array().cast("array<struct<jam_masuk:bigint,shift_id:int>>")), lambda x: x["jam_masuk"].eqNullSafe(start)))
+    no_checkin = F.col("checkin_event_count") == 0
     steps = (
         (~R.true("is_employee_active"), "NOT_ASSESSED", "EMPLOYEE_ACTIVE_STATUS_NOT_TRUE"),
         (R.true("has_excused_checkin"), "EXCUSED", "EXCUSED_CHECKIN"),
-        (F.col("checkin_event_count") == 0, "NOT_ASSESSED", "NO_CHECKIN"),
-        (none & R.true("all_inactive"), "NOT_ASSESSED", "INACTIVE_SHIFT_ONLY"),
+        (no_checkin, "NOT_ASSESSED", "NO_CHECKIN"),
+        (none & (F.col("not_inactive") == 0), "NOT_ASSESSED", "INACTIVE_SHIFT_ONLY"),
         (none, "UNKNOWN", "CHECKIN_NOT_FOUND"),
-        (~R.true("f_active"), "UNKNOWN", "SHIFT_ACTIVE_STATUS_UNKNOWN"),
-        (R.true("f_review"), "UNKNOWN", "EVENT_REQUIRES_REVIEW"),
-        (F.col("f_shift").isNull(), "UNKNOWN", "SHIFT_UNRESOLVED"),
+        (~R.true(f["shift_active"]), "UNKNOWN", "SHIFT_ACTIVE_STATUS_UNKNOWN"),
+        (R.true(f["perlu_review"]), "UNKNOWN", "EVENT_REQUIRES_REVIEW"),
+        (f["shift_id"].isNull(), "UNKNOWN", "SHIFT_UNRESOLVED"),
         (start.isNull() | early.isNull(), "UNKNOWN", "WINDOW_MISSING"),
-        (tied, "UNKNOWN", "FIRST_SHIFT_AMBIGUOUS"),
+        (ties > 1, "UNKNOWN", "FIRST_SHIFT_AMBIGUOUS"),
         (R.true(early > start), "UNKNOWN", "WINDOW_CROSSES_MIDNIGHT_OR_INVALID"),
     )
     status = reason = F
     for rule, s, r in steps:
         status, reason = status.when(rule, s), reason.when(rule, r)
-    status = status.otherwise(R.checkin_window("f_time", "f_early", "f_start"))
-    return d.withColumns({"lateness_status": status, "lateness_reason": reason}).drop("f_shift", "f_active", "f_review", "f_start", "f_early", "f_time", "all_inactive", "active_shifts")
+    status = status.otherwise(R.checkin_window(f["jam"], early, start))
+    return daily.withColumns({"lateness_status": status, "lateness_reason": reason, "lateness_event_id": f["event_id"], "lateness_schedule_id": f["jadwal_id"]})
 
 
-def unified_daily(population: DataFrame, events: DataFrame, by_event: DataFrame, by_leave: DataFrame, open_events: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+def unified_daily(population: DataFrame, events: DataFrame, by_leave: DataFrame) -> DataFrame:
     """One record for each employee and date that any side knows, with lateness and the twelve measures.
 
-    ``keys`` restricts it to affected employee-dates. All sides are unique by the two keys.
+    Population and leave are unique by the two keys; events are enriched ones. Each side is shuffled once, by the keys.
     """
-    sides = (population, by_event, by_leave, open_events)
-    if keys is None:
-        keys = sides[0].select(*KEYS)
-        for s in sides[1:]:
-            keys = keys.union(s.select(*KEYS))
     p = population.select(*KEYS, "departemen_id", "is_employee_active", "population_basis", F.col("perlu_review").alias("p_review"), F.col("alasan_review").alias("p_reason"), F.lit(True).alias("p_here"))
-    e = by_event.drop("schedule_count", "shift_count").withColumnsRenamed({"perlu_review": "e_review", "alasan_review": "e_reason"}).withColumn("e_here", F.lit(True))
     v = by_leave.withColumnsRenamed({"perlu_review": "l_review", "alasan_review": "l_reason"})
-    d = keys.distinct()
-    for side in (p, e, v, open_events):
-        d = d.join(side, KEYS, "left")
+    d = p.join(event_summary(events), KEYS, "full").join(v, KEYS, "full")
     here, some_open = R.true("p_here"), F.coalesce(F.col("unresolved_count") > 0, F.lit(False))
-    d = d.where(here | R.true("e_here") | F.col("leave_rows").isNotNull() | some_open)
+    d = d.where(here | F.coalesce(F.col("e_rows") > 0, F.lit(False)) | F.col("leave_rows").isNotNull() | some_open)
     unknown = F.col("is_employee_active").isNull()
     flags = {c: R.true(c) for c in ("has_manual_event", "has_valid_leave", "has_full_day_leave", "has_partial_day_leave", "has_excused_checkin", "has_excused_checkout")}
     d = d.withColumns({
@@ -201,7 +213,7 @@ def unified_daily(population: DataFrame, events: DataFrame, by_event: DataFrame,
         "alasan_review": R.join_texts("p_reason", "e_reason", "l_reason", F.when(~here, "POPULATION_SNAPSHOT_MISSING"), F.when(unknown, "ACTIVE_STATUS_UNKNOWN"), F.when(some_open, "UNRESOLVED_EVENT_ON_CALENDAR_DATE")),
         "is_date_final": F.lit(False), "date_assignment_policy": F.lit(R.POLICY),
     })
-    d = lateness(d, events).withColumns({"has_masuk": F.col("checkin_event_count") > 0, "has_pulang": F.col("checkout_event_count") > 0})
+    d = lateness(d).withColumns({"has_masuk": F.col("checkin_event_count") > 0, "has_pulang": F.col("checkout_event_count") > 0})
     return d.withColumns(R.measures()).select(
         *KEYS, "departemen_id", "is_employee_active", "population_basis", "checkin_event_count", "checkout_event_count", "first_checkin_at", "last_checkout_at",
         "has_masuk", "has_pulang", *flags, "lateness_status", "lateness_event_id", "lateness_schedule_id", "lateness_reason", *R.MEASURES,

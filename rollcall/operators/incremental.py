@@ -56,8 +56,7 @@ def upsert_changed(target: DataFrame, new: DataFrame, keys: list[str]) -> DataFr
 def recompute_affected(keys: DataFrame, population: DataFrame, events: DataFrame, leave_days: DataFrame, daily: DataFrame) -> DataFrame:
     """Daily records with the affected ones computed anew; keys that nothing supports any more vanish."""
     mine = lambda df, day="tanggal": df.join(keys.withColumnRenamed("tanggal", day), ["pegawai_id", day], "left_semi")
-    e = mine(events, "tanggal_event")
-    fresh = curated.unified_daily(mine(population), e, curated.event_daily(e), curated.leave_daily(mine(leave_days)), curated.unresolved_daily(e), keys)
+    fresh = curated.unified_daily(mine(population), mine(events, "tanggal_event"), curated.leave_daily(mine(leave_days)))
     return daily.join(keys, KEYS, "left_anti").unionByName(fresh)
 
 
@@ -171,7 +170,7 @@ def _closed_days(t) -> DataFrame:
 def _late(t, what: int) -> DataFrame:
     """The events of some employees come after the daily records were made."""
     late, early = t.ev.where("event_id % 50 = 3"), t.ev.where("event_id % 50 <> 3")
-    before = curated.unified_daily(t.pop, early, curated.event_daily(early), t.lvsum, curated.unresolved_daily(early))
+    before = curated.unified_daily(t.pop, early, t.lvsum)
     return late_correction(late, t.pop, early, t.lvday, before)[what]
 
 

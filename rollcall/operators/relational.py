@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import rules as R
+from rollcall.sources.scratch import scratch
 
 KEYS = ["pegawai_id", "tanggal"]
 
@@ -61,8 +62,11 @@ def dense_number(df: DataFrame, *order: Column, partitions: int | None = None) -
     Rows are range-partitioned and numbered within their partition; each partition is shifted by the
     rows before it, one small row for each partition.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).persist()
+    spark, path = df.sparkSession, scratch(df.sparkSession, "numbered")
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Written with the number of its partition, so that rows keep it whatever is read or computed again.
+    df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()).write.parquet(path)
+    dealt = spark.read.parquet(path)
     inner = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = dealt.groupBy("_part").agg(F.count("*").alias("_size"))
     shift = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -109,7 +113,7 @@ def cross_generate(df: DataFrame, values: list[int], name: str = "side") -> Data
 
 def missing_employee_days(employees: DataFrame, calendar: DataFrame, fact: DataFrame) -> DataFrame:
     """Employees x calendar days without a record; the calendar is one row a day."""
-    want = employees.select(F.col("id").alias("pegawai_id")).crossJoin(F.broadcast(calendar.select("tanggal")))
+    want = employees.select(F.col("id").alias("pegawai_id")).crossJoin(calendar.select("tanggal"))
     return want.join(fact.select(*KEYS), KEYS, "left_anti")
 
 

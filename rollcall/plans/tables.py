@@ -52,7 +52,7 @@ class Tables(Source):
 
     @cached_property
     def daily(self) -> DataFrame:
-        return curated.unified_daily(self.pop, self.ev, self.evday, self.lvsum, self.opened)
+        return curated.unified_daily(self.pop, self.ev, self.lvsum)
 
     @cached_property
     def dim_departemen(self) -> DataFrame:
