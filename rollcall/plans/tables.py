@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.operators import curated, mart
 from rollcall.sources.adapters import Source
-from rollcall.sources.scratch import VersionedTables, scratch, shared_folder, source_state
+from rollcall.sources.scratch import VersionedTables, code_state, scratch, shared_folder, source_state
 
 
 class Tables(Source):
@@ -97,7 +97,7 @@ class Tables(Source):
 class Served(Tables):
     """The same tables, with those that dashboards read taken from a published mart.
 
-    The mart is built once for a state of the source's files and published as a whole: facts in a folder
+    The mart is built once for a state of the source's files and of this code, and published as a whole: facts in a folder
     for each date, department-day sums, dimensions and date states. Reading prunes dates and columns.
     """
 
@@ -105,7 +105,7 @@ class Served(Tables):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
-        self.mart = VersionedTables(spark, f"{shared_folder(spark)}/mart-{source_state(spark, sf_dir)}")
+        self.mart = VersionedTables(spark, f"{shared_folder(spark)}/mart-{source_state(spark, sf_dir)}-{code_state()}")
         if not self.mart.version():
             build_mart(Tables(spark, sf_dir), self.mart)
         self.paths = self.mart.snapshot()

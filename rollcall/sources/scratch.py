@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from functools import cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +55,16 @@ def source_state(spark: SparkSession, sf_dir: str) -> str:
     return h.hexdigest()[:24]
 
 
+@cache
+def code_state() -> str:
+    """A digest of the code that builds tables: what other code has built is not taken for its own."""
+    h = hashlib.sha256()
+    for part in ("functions", "operators", "plans", "sources"):
+        for f in sorted((Path(__file__).resolve().parents[1] / part).glob("*.py")):
+            h.update(f.read_bytes())
+    return h.hexdigest()[:12]
+
+
 class VersionedTables:
     """Tables that a batch publishes together: files of a new version, then one marker that names them.
 
