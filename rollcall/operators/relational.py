@@ -73,6 +73,25 @@ def dense_number(df: DataFrame, *order: Column, partitions: int | None = None) -
     return inner.join(F.broadcast(shift.select("_part", "_before")), "_part").withColumn("n", (F.col("_n") + F.col("_before")).cast("long")).drop("_part", "_n", "_before")
 
 
+def exact_percentile(df: DataFrame, value: Column, q: float, width: float, name: str) -> DataFrame:
+    """One row: the interpolated percentile of a column, nulls left out; null without values.
+
+    Values are counted in buckets of ``width`` first, few enough for one task; then only the distinct values of the
+    one or two buckets that hold the wanted ranks are ordered. No task holds the values of all rows.
+    """
+    v = df.select(value.cast("double").alias("v")).where("v is not null").withColumn("b", F.floor(F.col("v") / width))
+    upto = Window.orderBy("b")
+    h = v.groupBy("b").agg(F.count("*").alias("n")).select("b", (F.sum("n").over(upto) - F.col("n")).alias("before"), F.sum("n").over(upto).alias("upto"))
+    h = h.crossJoin(F.broadcast(v.agg((F.lit(q) * (F.count("*") - 1)).alias("at"))))
+    holds = lambda rank, a, b: (F.col(a) <= rank) & (rank < F.col(b))
+    lo, hi = F.floor("at"), F.ceil("at")
+    inside = v.join(F.broadcast(h.where(holds(lo, "before", "upto") | holds(hi, "before", "upto"))), "b").groupBy("b", "v", "before", "at").agg(F.count("*").alias("n"))
+    end = F.col("before") + F.sum("n").over(Window.partitionBy("b").orderBy("v"))
+    ranked = inside.withColumn("end", end).withColumn("begin", F.col("end") - F.col("n"))
+    two = ranked.agg(*(F.max(F.when(holds(rank, "begin", "end"), F.col("v"))).alias(c) for rank, c in ((lo, "x"), (hi, "y"))), F.first("at", True).alias("at"))
+    return two.select((F.col("x") + (F.col("at") - F.floor("at")) * (F.col("y") - F.col("x"))).alias(name))
+
+
 def duplicate_signature(df: DataFrame, cols: list[str], key: str = "id") -> DataFrame:
     return df.withColumn("copy", F.row_number().over(Window.partitionBy(*cols).orderBy(key)))
 
@@ -309,7 +328,7 @@ QUERIES = {
     ),
     "distinct_tuple_count": (lambda t: t.ev.agg(F.count_distinct(F.struct("pegawai_id", "tanggal_event")).alias("n")), "SELECT count(*) AS n FROM (SELECT DISTINCT pegawai_id, tanggal_event FROM {ev})"),
     "conditional_counts": (lambda t: t.ev.agg(F.count_if(F.col("checktype") == 1).alias("a"), F.count_if(R.true("is_manual")).alias("b")), "SELECT count(*) FILTER (checktype = 1) AS a, count(*) FILTER (is_manual) AS b FROM {ev}"),
-    "median_minutes": (lambda t: t.ev.agg(F.round(F.percentile(F.col("jam") / 60_000_000, F.lit(0.5)), 2).alias("minutes")), "SELECT round(quantile_cont(jam / 60000000.0, 0.5), 2) AS minutes FROM {ev}"),
+    "median_minutes": (lambda t: exact_percentile(t.ev, F.col("jam") / 60_000_000, 0.5, 1.0, "m").select(F.round("m", 2).alias("minutes")), "SELECT round(quantile_cont(jam / 60000000.0, 0.5), 2) AS minutes FROM {ev}"),
     "distribution": (lambda t: t.m_pegawai.groupBy("status").count().withColumnRenamed("count", "n"), "SELECT status, count(*) AS n FROM {m_pegawai} GROUP BY status"),
     "first_user": (lambda t: t.m_user.groupBy("pegawai_id").agg(F.min("id").alias("user_id")), "SELECT pegawai_id, min(id) AS user_id FROM {m_user} GROUP BY ALL"),
     "daily_totals": (lambda t: t.daily.groupBy("tanggal").agg(F.count("*").alias("n"), F.sum("checkin_days").alias("checkin_days")), "SELECT tanggal, count(*) AS n, CAST(sum(checkin_days) AS BIGINT) AS checkin_days FROM {daily} GROUP BY ALL"),
