@@ -31,7 +31,7 @@ ORDER = 4
 SAMPLE, SHARE = 20_000, 0.8
 #: A document is rejected beyond the median of its language plus ``REACH`` times the median's distance to this
 #: quantile, in logarithms, and ``WORST_REACH`` times for worst passages. Tails themselves are told by too few documents.
-QUANTILE, REACH, WORST_REACH, LEAST_TRUSTED = 0.95, 3.5, 2.5, 20
+QUANTILE, REACH, WORST_REACH, LEAST_TRUSTED = 0.95, 4.0, 3.0, 20
 #: Symbols of average trusted text that every document is judged together with: a few symbols prove little.
 PRIOR = 64
 #: Symbols in a passage.
