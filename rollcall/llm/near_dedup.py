@@ -114,8 +114,8 @@ FINGERPRINTS, SHORT = 16, 28
 SKETCH = FINGERPRINTS * SHORT
 #: Bits that two sketches, and the 36 bits beside a fingerprint, may differ in: similar texts differ in less but for one pair in thousands.
 FAR, FAR_BESIDE = SKETCH * 5 // 16, 13
-#: Fingerprints in a group, about, and the followers that one is paired with in a variant at first; see :func:`similar`.
-GROUP, FOLLOWERS = 1 << 17, 16
+#: Fingerprints in a group, about; classes that meet in a variant and are paired there; classes of a crowd in a task.
+GROUP, FEW, CROWD = 1 << 17, 8, 8192
 
 
 def shingle_set(body: bytes, width: int) -> np.ndarray:
@@ -156,65 +156,111 @@ def _windows(sketches: pa.Array) -> np.ndarray:
 
 
 def _emit(high: int):
-    """Each fingerprint goes to the group of its ``high`` leading bits, and to those one bit from it."""
+    """Each fingerprint goes to the group of its ``high`` leading bits, and to those one bit from it; one row for each group of a batch."""
     flips = np.array([0, *(1 << b for b in range(high))], np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sliced(batches):
-            ids, component = part.column(0).to_numpy(), part.column(2).to_numpy()
-            for t, w in enumerate(_windows(part.column(1)) if len(ids) else ()):
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for t, w in enumerate(_windows(batch.column(1)) if len(ids) else ()):
                 lead = ((w & np.uint64((1 << SHORT) - 1)) >> np.uint64(SHORT - high)).astype(np.int64)
-                g = (lead[:, None] ^ flips) + (t << SHORT)
-                columns = (g.ravel(), *(np.repeat(c, high + 1) for c in (w.view(np.int64), ids, component)))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["g", "w", "id", "component"])
+                g = ((lead[:, None] ^ flips) + (t << SHORT)).ravel()
+                order = np.argsort(g, kind="stable")
+                cuts = np.append(np.flatnonzero(np.diff(g[order], prepend=-1)), len(g))
+                member = order // (high + 1)
+                parts = [(int(g[order[i]]), w[member[i:j]].tobytes(), ids[member[i:j]].tobytes()) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+                columns = [pa.array(list(c), k) for c, k in zip(zip(*parts, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["g", "ws", "ids"])
 
     return run
 
 
-def _meet(high: int, followers: int | None):
-    """Pairs of a group that meet in a variant and are of different components.
+def _meet(high: int, few: int):
+    """Pairs of a group that meet in a variant; where over ``few`` meet, edges that join them to one crowd instead.
 
+    What is of one crowd makes no pairs here: all of a crowd is compared later.
     Those that are in the group by a flip of a leading bit have no other flip left. Two fingerprints may meet
-    in several groups; one of these, told by their leading bits alone, makes the pair. With ``followers``
-    each is paired with so many next ones in a variant, and the classes of a variant that has more are
-    marked by a pair with themselves; without it all pairs are made.
+    in several groups; one of these, told by their leading bits alone, makes the pair.
     """
     low = SHORT - high
 
     def run(table: pa.Table) -> pa.Table:
-        g, w, ids, component = (table.column(c).to_numpy() for c in ("g", "w", "id", "component"))
-        order = np.lexsort((ids, component))
-        w, ids, component, lead = w.view(np.uint64)[order], ids[order], component[order], int(g[0]) & ((1 << high) - 1)
+        w, ids = (np.frombuffer(b"".join(table.column(c).to_pylist()), k) for c, k in (("ws", np.uint64), ("ids", np.int64)))
+        lead = table.column("g")[0].as_py() & ((1 << high) - 1)
         own = (w & np.uint64((1 << SHORT) - 1)).astype(np.int64)
         lead_of, rest = own >> low, own & ((1 << low) - 1)
         home = np.flatnonzero(lead_of == lead)
         variant = np.concatenate([rest, *(rest[home] ^ (1 << b) for b in range(low))])
         row = np.concatenate([np.arange(len(w)), *([home] * low)])
-        by = np.lexsort((row, variant))
+        by = np.argsort(variant, kind="stable")
         variant, row = variant[by], row[by]
-        # Variants of one component have nothing to pair.
         starts = np.flatnonzero(np.diff(variant, prepend=-1))
-        mixed = np.minimum.reduceat(component[row], starts) < np.maximum.reduceat(component[row], starts) if len(starts) else starts
-        keep = np.repeat(mixed, np.diff(starts, append=len(variant)))
-        variant, row = variant[keep], row[keep]
-        found = [np.zeros((0, 2), np.int64)]
-        at, d = np.arange(len(variant)), 0
-        while len(at):
-            d += 1
+        size = np.diff(starts, append=len(variant))
+        crowded = np.repeat(size > few, size)
+        label = _labels(variant[crowded], row[crowded], len(w))
+        joined = np.flatnonzero(label < np.arange(len(w)))
+        found = [np.stack([ids[label[joined]], ids[joined]], axis=1)]
+        crowds = len(joined)
+        variant, row = variant[~crowded], row[~crowded]
+        at = np.arange(len(variant))
+        for d in range(1, few):
             at = at[at + d < len(variant)]
             at = at[variant[at] == variant[at + d]]
-            if followers is not None and d > followers:
-                crowd = np.unique(ids[row[np.isin(variant, variant[at])]])
-                found.append(np.stack([crowd, crowd], axis=1))
-                break
             i, j = row[at], row[at + d]
             x, y = lead_of[i], lead_of[j]
             bit = (x ^ y) & -(x ^ y)
             here = np.where(bit == (x ^ y), np.minimum(x, y), np.minimum(x ^ bit, y ^ bit)) == lead
-            close = here & (component[i] != component[j]) & (np.bitwise_count((w[i] ^ w[j]) >> np.uint64(SHORT)) <= FAR_BESIDE)
-            pairs = np.sort(np.stack([ids[i[close]], ids[j[close]]], axis=1), axis=1)
-            found.append(np.unique(pairs, axis=0))
-        pairs = np.unique(np.concatenate(found), axis=0)
+            close = here & (label[i] != label[j]) & (np.bitwise_count((w[i] ^ w[j]) >> np.uint64(SHORT)) <= FAR_BESIDE)
+            found.append(np.unique(np.sort(np.stack([ids[i[close]], ids[j[close]]], axis=1), axis=1), axis=0))
+        pairs = np.unique(np.concatenate(found[1:]), axis=0) if few > 1 else found[0][:0]
+        both = np.concatenate([found[0], pairs])
+        return pa.table({"a": both[:, 0], "b": both[:, 1], "crowd": np.arange(len(both)) < crowds})
+
+    return run
+
+
+def _labels(variant: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+    """For each row the smallest one that it is joined to by shared variants; ``variant`` is sorted."""
+    label = np.arange(n)
+    if len(variant):
+        starts = np.flatnonzero(np.diff(variant, prepend=-1))
+        size = np.diff(starts, append=len(variant))
+        while True:
+            least = np.repeat(np.minimum.reduceat(label[row], starts), size)
+            now = label.copy()
+            np.minimum.at(now, row, least)
+            now = np.minimum(now, now[now])
+            if (now == label).all():
+                break
+            label = now
+    return label
+
+
+def _crowd_links(similarity: float):
+    """Links that join what is similar in a crowd's sets: every pair is compared, but only what joins two components is returned."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids = table.column("cls").to_numpy()
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("hashes")]
+        size = np.fromiter(map(len, sets), np.int64, len(sets))
+        tokens, where = np.unique(np.concatenate(sets), return_inverse=True) if len(sets) else (np.zeros(0), np.zeros(0, np.int64))
+        of = np.repeat(np.arange(len(sets)), size)
+        order = np.argsort(where, kind="stable")
+        members, upto = of[order], np.cumsum(np.bincount(where, minlength=len(tokens)))
+        begin = np.concatenate([[0], upto[:-1]]) if len(upto) else upto
+        parts = np.split(where, np.cumsum(size)[:-1]) if len(sets) else []
+        component, links = np.arange(len(sets)), []
+        for i, mine in enumerate(parts):
+            if len(links) == len(sets) - 1:
+                break  # all are one component
+            shared = mine[upto[mine] - begin[mine] > 1]
+            both = np.bincount(np.concatenate([members[begin[k] : upto[k]] for k in shared]), minlength=len(sets)) if len(shared) else np.zeros(len(sets), np.int64)
+            near = np.flatnonzero((both >= similarity * (size[i] + size - both)) & (both > 0))
+            for j in near[component[near] != component[i]]:
+                if component[j] != component[i]:
+                    links.append((ids[i], ids[j]))
+                    component[component == component[j]] = component[i]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
@@ -258,9 +304,9 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     is computed from the sets for every candidate. Texts of equal sets are one class. Candidates have one of
     ``FINGERPRINTS`` independent fingerprints within distance 2, found by ball hashing as in :func:`ball_links`:
     a variant's flipped bit among the leading ones is emitted, one among the others is made in the group.
-    Where over ``FOLLOWERS`` classes meet in a variant, each is paired with that many next ones first, and
-    then, in a second round over those classes only, with all that are not of its component yet: so a large
-    group of near copies costs little and no link between components is lost.
+    Classes that meet with over ``FEW`` - 1 others in a variant are not paired there. What such variants join is a
+    crowd, whose sets are compared with each other inside tasks that return only what joins two components: so a
+    large group of near copies makes few rows, and no link is lost.
 
     Null and blank texts are one class. Equal rows share a component. Other columns are ignored.
     """
@@ -269,45 +315,64 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     rows = materialize(rows, "sketches")
     classes = materialize(rows.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "classes")
     texts = docs.select(*text)
-    alone = classes.select("cls", "sketch", F.col("cls").alias("component"))
-    met = _candidates(alone, FOLLOWERS)
-    links = _verified(met.where("a <> b"), classes, texts, width, similarity)
+    met = _candidates(classes, FEW)
+    pairs, crowds = met.where("not crowd").select("a", "b"), met.where("crowd").select("a", "b")
+    more = None
+    if crowds.head(1):
+        roots = materialize(components(crowds), "crowds")
+        more = _crowds(roots, classes, texts, width, similarity)
+        # What is of one crowd has been compared.
+        for side in ("a", "b"):
+            pairs = pairs.join(roots.select(F.col("node").alias(side), F.col("root").alias(f"of_{side}")), side, "left")
+        pairs = pairs.where("of_a is null or of_b is null or of_a <> of_b").select("a", "b")
+    links = _verified(pairs, classes, texts, width, similarity)
+    links = links if more is None else links.unionByName(more)
     roots = materialize(components(links), "roots")
-    crowded = met.where("a = b").select(F.col("a").alias("cls"))
-    if crowded.head(1):
-        # What is one component by now needs no more links, whatever its size.
-        now = F.coalesce("root", "cls").alias("component")
-        again = classes.join(crowded, "cls", "left_semi").join(roots, F.col("cls") == roots["node"], "left").select("cls", "sketch", now)
-        more = _verified(_candidates(materialize(again, "crowded"), None), classes, texts, width, similarity)
-        roots = materialize(components(links.unionByName(more)), "roots")
     return rows.join(roots, rows["cls"] == roots["node"], "left").select("doc_id", "text_hash", F.coalesce("root", "cls").alias("root"))
 
 
-def _candidates(classes: DataFrame, followers: int | None) -> DataFrame:
-    """Pairs ``a < b`` of ``cls, sketch, component`` that have a fingerprint within distance 2; see :func:`_meet`."""
+def _candidates(classes: DataFrame, few: int) -> DataFrame:
+    """Pairs ``a < b`` that have a fingerprint within distance 2, and the edges of crowds (``crowd``); see :func:`_meet`."""
     n, high = classes.count(), 0
     while n * (high + 1) > GROUP << high and high < SHORT - 1:
         high += 1
-    emitted = classes.mapInArrow(_emit(high), schema("g long, w long, id long, component long"))
-    met = emitted.groupBy("g").applyInArrow(_meet(high, followers), schema("a long, b long")).distinct()
+    emitted = classes.select("cls", "sketch").mapInArrow(_emit(high), schema("g long, ws binary, ids binary"))
+    met = emitted.groupBy("g").applyInArrow(_meet(high, few), schema("a long, b long, crowd boolean")).distinct()
     return materialize(met, "candidates")
 
 
+def _shingle_sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``cls, hashes`` of some classes: one text of each is read again."""
+    wanted = materialize(classes.join(wanted, "cls", "left_semi").select("text_hash").distinct(), "wanted")
+    read = texts.join(wanted, "text_hash", "left_semi").select("body")
+    sets = read.mapInArrow(_sets(width), schema("cls long, hashes binary")).groupBy("cls").agg(F.first("hashes").alias("hashes"))
+    return materialize(sets, "sets")
+
+
 def _verified(met: DataFrame, classes: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The candidates whose sets of shingles are similar: one text of each class in a pair is read again for its set."""
+    """The candidates whose sets of shingles are similar."""
     for side, one in (("a", "sa"), ("b", "sb")):
         met = met.join(classes.select(F.col("cls").alias(side), F.col("sketch").alias(one)), side)
     pairs = materialize(met.select("a", "b", "sa", "sb").mapInArrow(_near_sketches, schema("a long, b long")), "pairs")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    wanted = materialize(classes.join(wanted, "cls", "left_semi").select("text_hash").distinct(), "wanted")
-    read = texts.join(wanted, "text_hash", "left_semi").select("body")
-    sets = read.mapInArrow(_sets(width), schema("cls long, hashes binary")).groupBy("cls").agg(F.first("hashes").alias("hashes"))
-    sets = materialize(sets, "sets")
+    sets = _shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), classes, texts, width)
     for side, one in (("a", "ha"), ("b", "hb")):
         pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("hashes").alias(one)), side)
     return materialize(pairs.select("a", "b", "ha", "hb").mapInArrow(_verify(similarity), schema("a long, b long")), "verified")
 
 
+def _crowds(crowds: DataFrame, classes: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Links within crowds (``node, root``): their sets are compared in tasks of two blocks of ``CROWD`` / 2 classes at most."""
+    sizes = materialize(crowds.groupBy("root").agg(F.ceil(F.count("*") * 2 / CROWD).cast("long").alias("blocks")), "crowd-sizes")
+    sets = _shingle_sets(crowds.select(F.col("node").alias("cls")), classes, texts, width)
+    rows = sets.join(crowds.withColumnRenamed("node", "cls"), "cls").join(sizes, "root").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    # A crowd of one or two blocks is one task; of more, each two blocks meet in one.
+    other = F.explode(F.when(F.col("blocks") <= 2, F.array(F.lit(-1).cast("long"))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("other", other).where("other <> block or blocks <= 2")
+    key = F.concat_ws("/", "root", F.when(F.col("other") < 0, "").otherwise(F.concat_ws("+", F.least("block", "other"), F.greatest("block", "other"))))
+    met = rows.select(key.alias("key"), "cls", "hashes").groupBy("key").applyInArrow(_crowd_links(similarity), schema("a long, b long"))
+    return materialize(met, "crowd-links")
+
+
 def op4_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = near_duplicates(docs)

@@ -52,7 +52,7 @@ def test_groups_agree(spark, table, monkeypatch):
 
 
 def test_crowded_variants_lose_no_link(spark, monkeypatch):
-    """A text with 50 near copies, some of them alike only through others: one follower at first finds what all find."""
+    """A text with 50 near copies, some of them alike only through others: crowds, in one task or in blocks, find what all pairs find."""
     ship(spark)
     rng = random.Random(9)
     words = [f"w{rng.randrange(5000)}" for _ in range(300)]
@@ -63,8 +63,10 @@ def test_crowded_variants_lose_no_link(spark, monkeypatch):
             other[(i * 37 + c * 43) % 300] = f"x{i}y{c}"
         rows.append((i, " ".join(other)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    monkeypatch.setattr(near_dedup, "FOLLOWERS", 1000)
+    monkeypatch.setattr(near_dedup, "FEW", 1000)
     whole = {tuple(r) for r in near_dedup.similar(docs).collect()}
-    monkeypatch.setattr(near_dedup, "FOLLOWERS", 1)
-    assert {tuple(r) for r in near_dedup.similar(docs).collect()} == whole
-    assert len({r[2] for r in whole}) < 50
+    for few, crowd in ((3, 8192), (2, 16)):
+        monkeypatch.setattr(near_dedup, "FEW", few)
+        monkeypatch.setattr(near_dedup, "CROWD", crowd)
+        assert {tuple(r) for r in near_dedup.similar(docs).collect()} == whole
+    assert 1 < len({r[2] for r in whole}) < 50
