@@ -6,92 +6,74 @@ again as the next stage's ``docs``. All but the last return the columns of ``doc
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm import bpe, exact_dedup, mixing, near_dedup, quality
 from rollcall.llm.common import materialize, new_path, ship, text_hash
 
 
-def _same(keys: list[str]) -> list:
-    """Equality of both sides' ``keys`` in which nulls are equal."""
-    return [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
-
-
 def _keyed(docs: DataFrame, **keys) -> DataFrame:
-    """Rows of ``docs`` as one column, ``doc``, beside key columns: so no names clash."""
+    """Rows of ``docs`` as one column, ``doc``, beside key columns that are never null: so no names clash."""
     return docs.select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("doc"), *(c.alias(k) for k, c in keys.items()))
 
 
-def _kept(keyed: DataFrame, decided: DataFrame, keys: list[str]) -> DataFrame:
-    """Documents that stay: of those whose ``keys`` are the same, one.
+def _key(c: str) -> Column:
+    """A column as text that is never null; null and a text that looks like it stay apart."""
+    return F.coalesce(F.concat(F.lit("k"), F.col(c).cast("string")), F.lit(""))
+
 
-    ``keyed`` has documents beside the key columns, ``decided`` has the keys and ``stays`` of each row.
-    The keys of rows that go are written first, so that Spark knows their size when it joins the texts.
+def _taken(keyed: DataFrame, stays: DataFrame, keys: list[str]) -> DataFrame:
+    """Documents as often as ``stays`` says: per key, ``copies`` lists how often each of the rows with the key is taken.
+
+    The texts are shuffled once, by a key that differs between copies of a text, so that a large group of
+    copies is dealt out; the plan is the same at every size.
     """
-    per = decided.groupBy(*keys).agg(F.max("stays").alias("stays"), F.count_if("stays").alias("n"))
-    per = materialize(per.where("not stays or n > 1"), "decided")
-    gone, several = per.where("not stays").select(*keys), per.where("stays").select(*keys)
-    docs = keyed.alias("l")
-    if not several.head(1):
-        return docs.join(gone.alias("r"), _same(keys), "left_anti").select("doc.*")
-    left = docs.join(per.select(*keys).alias("r"), _same(keys), "left_anti")
-    again = docs.join(several.alias("r"), _same(keys), "left_semi").dropDuplicates(keys)
-    return left.unionByName(again).select("doc.*")
+    joined = keyed.join(stays.hint("merge"), keys)
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy(keys[0]))
+    times = F.coalesce(F.get("copies", nth - 1), F.lit(0))
+    rows = joined.withColumn("times", times).where("times > 0")
+    return rows.select("doc", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select("doc.*")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. Equal rows share a verdict and all stay or go.
 
-    Null and empty texts are accepted. Null ids and repeated ids are judged by their own texts.
+    Null and empty texts are accepted. Null ids and repeated ids are judged by their own texts. No text is shuffled.
     """
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.classify(docs, quality.trusted_labels(labels), toxic_ids=quality.toxic_labels(labels))
-    keys = ["doc_id", "lang", "text_hash"]
-    # Rejected ones are few: the texts are joined with their keys only.
-    rejected = scored.where("not accepted").select(*keys).distinct()
-    keyed = _keyed(docs, doc_id=F.col("doc_id"), lang=F.col("lang"), text_hash=text_hash("text"))
-    return keyed.alias("l").join(materialize(rejected, "rejected").alias("r"), _same(keys), "left_anti").select("doc.*")
+    return quality.accepted_documents(docs, quality.trusted_labels(labels), quality.toxic_labels(labels))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the longest, then the one of the smallest id (null last)."""
     ship(spark)
     index = exact_dedup.DigestIndex(spark, new_path(spark, "digest-index"))
-    found = exact_dedup.dedup_batch(docs, index)
-    length = F.length(F.coalesce("text", F.lit(""))).cast("long")
-    keyed = _keyed(docs, doc_id=F.col("doc_id"), text_sha256=exact_dedup.text_digest("text"), own_length=length)
-    out = _kept(keyed, found.withColumnRenamed("kept", "stays"), ["doc_id", "text_sha256", "own_length"])
+    best = exact_dedup.new_texts(docs, index).withColumnRenamed("keep_id", "doc_id")
     index.close()
-    return out
+    keys = {"id": _key("doc_id"), "digest": exact_dedup.text_digest("text"), "length": F.length(F.coalesce("text", F.lit(""))).cast("long")}
+    best = best.select(_key("doc_id").alias("id"), "digest", F.col("n_codepoints").alias("length"), F.array(F.lit(1)).alias("copies"))
+    return _taken(_keyed(docs, **keys), best, list(keys))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five-word Jaccard 0.8 or more): the one of the smallest id (null last)."""
     ship(spark)
-    found = materialize(near_dedup.similar(docs), "components")
+    found = near_dedup.similar(docs)
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
-    best = found.groupBy("root").agg(best.alias("best")).select("root", F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash"))
-    stays = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))
-    decided = found.join(best, "root").withColumn("stays", stays)
-    return _kept(_keyed(docs, doc_id=F.col("doc_id"), text_hash=text_hash("text")), decided, ["doc_id", "text_hash"])
+    best = materialize(found.groupBy("root").agg(best.alias("best")), "best").select("best.doc_id", "best.text_hash")
+    best = best.select(_key("doc_id").alias("id"), "text_hash", F.array(F.lit(1)).alias("copies"))
+    return _taken(_keyed(docs, id=_key("doc_id"), text_hash=text_hash("text")), best, ["id", "text_hash"])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: a document stands as often as the mix takes it.
-
-    The mix names rows by id, source and size (nulls are equal); rows that share all three are numbered.
-    """
+    """The mix: a document stands as often as the mix takes it; rows that share id, source and text take turns."""
     ship(spark)
-    keys = ["doc_id", "source", "size"]
-    alike = Window.partitionBy(*keys)
-    copies = mixing.mix(docs).select(*keys, "copies", F.row_number().over(alike.orderBy("copies")).alias("nth")).where("copies > 0")
-    n_words = F.regexp_count(F.coalesce("text", F.lit("")), F.lit(mixing.WORD)).cast("long")
-    keyed = _keyed(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=n_words, text_hash=text_hash("text"))
-    keyed = keyed.withColumn("nth", F.row_number().over(alike.orderBy("text_hash")))
-    rows = keyed.alias("l").join(copies.alias("r"), _same([*keys, "nth"]))
-    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
+    keys = ["id", "from", "text_hash"]
+    copies = mixing.mix(docs).select(_key("doc_id").alias("id"), _key("source").alias("from"), "text_hash", "copies")
+    stays = copies.groupBy(*keys).agg(F.reverse(F.sort_array(F.collect_list("copies"))).alias("copies")).where("copies[0] > 0")
+    return _taken(_keyed(docs, **{"id": _key("doc_id"), "from": _key("source"), "text_hash": text_hash("text")}), stays, keys)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
