@@ -52,13 +52,10 @@ def _named(spark: SparkSession, name: str) -> DataFrame:
     return out
 
 
-def discard(df_or_path: DataFrame | str, spark: SparkSession | None = None) -> None:
-    """Delete a scratch table that nothing will read again: the path, or what a frame of :func:`materialize` reads."""
-    if isinstance(df_or_path, str):
-        _file_system(spark, df_or_path, "delete", True)
-        return
-    for folder in {f.rsplit("/", 1)[0] for f in df_or_path.inputFiles()}:
-        _file_system(df_or_path.sparkSession, folder, "delete", True)
+def discard(df: DataFrame) -> None:
+    """Delete the scratch table of a frame of :func:`materialize` that nothing will read again."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _file_system(df.sparkSession, folder, "delete", True)
 
 
 def _file_system(spark: SparkSession, path: str, method: str, *args):

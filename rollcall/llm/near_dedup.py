@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import materialize, mix64, schema, sliced, text_hash, utf8
+from rollcall.llm.common import discard, materialize, mix64, schema, sliced, text_hash, utf8
 
 SEED, BITS = 42, 64
 
@@ -82,7 +82,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: u and its lower neighbours link to the lowest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        edges = materialize(small.where("u <> v").distinct(), "links")
+        before, edges = edges, materialize(small.where("u <> v").distinct(), "links")
+        discard(before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
