@@ -39,7 +39,7 @@ class Files:
         return sorted(s.getPath().getName() for s in self.statuses())
 
     def mark(self, name: str) -> None:
-        """Create an empty file; an error if it is there, so two writers can't make the same mark."""
+        """Create an empty file; an error if it is there."""
         self.fs.create(self._at(f"{self.path}/{name}"), False).close()
 
 
@@ -74,25 +74,30 @@ class VersionedTables:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
 
-    def _marks(self) -> list[tuple[int, list[str]]]:
-        return [(int(v), names.split("+")) for v, names in (m.split("-", 1) for m in Files(self.spark, f"{self.path}/published").names())]
+    def _marks(self) -> list[tuple[int, str, list[str]]]:
+        """Version, folder and table names of each publication, in order."""
+        parts = (m.split("-", 2) for m in Files(self.spark, f"{self.path}/published").names())
+        return [(int(v), f"v{int(v)}-{token}", names.split("+")) for v, token, names in parts]
 
     def version(self) -> int:
-        return max((v for v, _ in self._marks()), default=0)
+        return max((v for v, _, _ in self._marks()), default=0)
 
     def publish(self, tables: dict[str, DataFrame], by: dict[str, list[str]] | None = None) -> int:
-        """``by`` names the columns that a table's folders are partitioned by."""
-        v = self.version() + 1
+        """``by`` names the columns that a table's folders are partitioned by.
+
+        Each publication has folders of its own, so of two that run at once each is whole, and one of them is the newest.
+        """
+        v, token = self.version() + 1, uuid.uuid4().hex
         for name, df in tables.items():
             cols = (by or {}).get(name, [])
             out = df.hint("rebalance", *cols) if cols else df
-            out.write.mode("overwrite").partitionBy(*cols).parquet(f"{self.path}/{name}/v{v}")  # leftovers of a failed try are replaced
-        Files(self.spark, f"{self.path}/published").mark(f"{v:012d}-{'+'.join(tables)}")
+            out.write.partitionBy(*cols).parquet(f"{self.path}/{name}/v{v}-{token}")
+        Files(self.spark, f"{self.path}/published").mark(f"{v:012d}-{token}-{'+'.join(tables)}")
         return v
 
     def snapshot(self) -> dict[str, str]:
         """The path of each table's newest published version."""
-        return {name: f"{self.path}/{name}/v{v}" for v, names in sorted(self._marks()) for name in names}
+        return {name: f"{self.path}/{name}/{folder}" for _, folder, names in self._marks() for name in names}
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.snapshot()[name])
