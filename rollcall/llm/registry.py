@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import bpe, exact_dedup, html_extract, lm_scoring, mixing, near_dedup, quality, substring_dedup, vector_topk
+from rollcall.llm import bpe, exact_dedup, html_extract, lm_scoring, merkle, mixing, near_dedup, quality, substring_dedup, vector_topk
 from rollcall.llm.common import ship
 
 _QUERIES = {
@@ -20,6 +20,13 @@ _QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_token_counts": bpe.op9_token_counts,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op13_merkle": merkle.op13_merkle,
+}
+_SQL = {
+    "op2_exact_dedup": exact_dedup.OP2_SQL,
+    "op7_topk": vector_topk.OP7_SQL,
+    "op10_substring_dedup": substring_dedup.OP10_SQL,
+    "op13_merkle": merkle.OP13_SQL,
 }
 
 
@@ -38,4 +45,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op7_topk": vector_topk.OP7_SQL, "op10_substring_dedup": substring_dedup.OP10_SQL}
+    return dict(_SQL)
