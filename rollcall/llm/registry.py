@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import bpe, exact_dedup, html_extract, lm_scoring, merkle, mixing, near_dedup, quality, substring_dedup, vector_topk
+from rollcall.llm import bpe, exact_dedup, html_extract, lm_scoring, merkle, mixing, near_dedup, periodic, quality, substring_dedup, vector_topk
 from rollcall.llm.common import ship
 
 _QUERIES = {
@@ -20,6 +20,7 @@ _QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_token_counts": bpe.op9_token_counts,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_periodic": periodic.op11_periodic,
     "op13_merkle": merkle.op13_merkle,
 }
 _SQL = {
