@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import bpe, exact_dedup, html_extract, lm_scoring, merkle, mixing, near_dedup, periodic, quality, substring_dedup, vector_topk
+from rollcall.llm import bpe, exact_dedup, html_extract, license_scan, lm_scoring, merkle, mixing, near_dedup, periodic, quality, substring_dedup, vector_topk
 from rollcall.llm.common import ship
 
 _QUERIES = {
@@ -21,12 +21,14 @@ _QUERIES = {
     "op9_token_counts": bpe.op9_token_counts,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     "op11_periodic": periodic.op11_periodic,
+    "op12_licenses": license_scan.op12_licenses,
     "op13_merkle": merkle.op13_merkle,
 }
 _SQL = {
     "op2_exact_dedup": exact_dedup.OP2_SQL,
     "op7_topk": vector_topk.OP7_SQL,
     "op10_substring_dedup": substring_dedup.OP10_SQL,
+    "op12_licenses": license_scan.OP12_SQL,
     "op13_merkle": merkle.OP13_SQL,
 }
 
