@@ -5,9 +5,9 @@ if their labels do, and their children are matched in order so that as many node
 all depths, match. Runs of equally labelled siblings are one repeated node whose items are all aligned with
 one slot, so that lists and paragraphs of any number align. What the aligned nodes hold decides: a text
 that most pages have in a slot is template, what varies is content. The content is all varying slots in page
-order, but for parts that say by their element that they are something else (menus, footers, forms, ...),
-and those that say so by their class, id or role (adverts, comments, ...) unless they hold most of the
-page's varying text. Paragraphs and the main heading of an article or main element are never template.
+order, but for parts that say by their element that they are something else (menus, footers, forms, ...).
+Names are a tie-break: a part whose class, id or role is made of words for adverts, comments and the like is excluded unless it
+holds most of the page's varying text; and where a page has nothing to be compared with, its main and article elements decide.
 
 Hosts are dealt to groups of about ``GROUP`` pages, so a host of any size is never in one task.
 """
@@ -18,6 +18,7 @@ import bisect
 import hashlib
 import html as entities
 import re
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -36,16 +37,26 @@ BLOCK = {
 }
 #: A start tag ends an open element of these kinds.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Elements, and words in class, id or role, that are never part of an article; the words don't count on ``WHOLE`` elements.
+#: Elements that are never part of an article.
 NEVER = {"nav", "footer", "aside", "form", "menu", "button", "dialog", "label", "input", "head", "search"}
-NEVER_NAMED = re.compile(
-    r"(?:^|[^a-z])(?:ads?|adverts?|advertisement|banner|breadcrumbs?|comments?|complementary|contentinfo|cookies?|disqus|footer|masthead|menu|modal|nav|navbar|navigation|"
-    r"newsletter|notice|pagination|popup|promo|related|replies|share|sharing|sidebar|signup|social|sponsored|subscribe|toolbar|widget)(?:$|[^a-z])"
+#: Words in class, id or role for what isn't part of an article; on ``WHOLE`` elements they don't count. A name of several parts
+#: counts if all of its parts are such words or only say where or how something lies.
+STRONG = set(
+    "ad ads advert adverts advertisement breadcrumb breadcrumbs comments complementary contentinfo cookie cookies disqus footer masthead menu modal nav navbar navigation "
+    "newsletter pagination popup sidebar signup sponsored subscribe toolbar".split()
 )
+#: Words that also have a meaning within articles: these count only if the whole attribute is made of such words.
+WEAK = set("banner comment notice notices promo related replies share sharing social widget".split())
+LAYOUT = set(
+    "area bar block bottom box btn button buttons col container content float icon icons inner item items left link links list main outer page panel post posts primary right row "
+    "secondary section site slot sticky sub top unit wrap wrapper".split()
+)
+PARTS = re.compile(r"[a-z]+")
 WHOLE = {"html", "body", "main", "article"}
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-NAMES = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+TAG_NAME = re.compile(r"[^\s/>]*")
+ATTRIBUTE = re.compile(r"[\s/]*([^\s/>=]*)(\s*=\s*)?")
+UNQUOTED = re.compile(r"[^\s>]*")
+UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 SPACE = re.compile(r"\s+")
 
 
@@ -54,12 +65,14 @@ class Node:
 
     __slots__ = ("tag", "label", "named", "children", "never", "doubtful", "link", "_hash", "_runs")
 
-    def __init__(self, tag: str, attributes: str = ""):
+    def __init__(self, tag: str, attributes: dict[str, str] | None = None):
         self.tag = tag
-        self.named = " ".join(m.strip("\"'") for m in NAMES.findall(attributes)).lower() if "=" in attributes else ""
-        self.label = f"{tag}.{self.named}" if self.named else tag
-        self.never = tag in NEVER or bool(attributes and HIDDEN.search(attributes))
-        self.doubtful = tag not in WHOLE and bool(self.named and NEVER_NAMED.search(self.named))
+        of = attributes or {}
+        names = [of[k].lower() for k in ("class", "id", "role") if of.get(k)]
+        self.named = " ".join(names)
+        self.label = f"{tag}.{self.named}" if names else tag
+        self.never = tag in NEVER or "hidden" in of or of.get("aria-hidden", "").lower() == "true" or bool(UNSEEN.search(of.get("style", "")))
+        self.doubtful = tag not in WHOLE and any(map(says_other, names))
         self.children: list = []
         self.link = tag == "a"
         self._hash = self._runs = None
@@ -96,60 +109,134 @@ class Node:
         return self._runs
 
 
+def says_other(name: str) -> bool:
+    """Whether an attribute's words are those of something beside the article."""
+    weak, foreign = False, False
+    for token in name.split():
+        parts = PARTS.findall(token)
+        if not all(p in STRONG or p in WEAK or p in LAYOUT for p in parts):
+            foreign = True
+        elif any(p in STRONG for p in parts):
+            return True
+        else:
+            weak = weak or any(p in WEAK for p in parts)
+    return weak and not foreign
+
+
+def attributes(source: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """Attributes of a tag from ``at`` on, whether it closes itself, and where it ends: -1 if the page ends before.
+
+    A value begins after ``=``: it is quoted if a quote comes first, and ends at white space or ``>`` otherwise.
+    """
+    out: dict[str, str] = {}
+    n = len(source)
+    while at < n:
+        m = ATTRIBUTE.match(source, at)
+        at, valued = m.end(), False
+        if m[1] and m[2] and at < n:
+            valued = True
+            if source[at] in "\"'":
+                end = source.find(source[at], at + 1)
+                if end < 0:
+                    break
+                value, at = source[at + 1 : end], end + 1
+            else:
+                value = UNQUOTED.match(source, at)[0]
+                at += len(value)
+            out.setdefault(m[1].lower(), entities.unescape(value))
+        elif m[1]:
+            out.setdefault(m[1].lower(), "")
+        if at < n and source[at] == ">":
+            return out, source[at - 1] == "/" and not valued, at + 1
+    return out, False, -1
+
+
+class Open:
+    """The open elements, with the places of each tag and of blocks, so that none is searched for."""
+
+    def __init__(self, root: Node):
+        self.stack, self.by_tag, self.blocks = [root], {root.tag: [0]}, [0]
+
+    def last(self, *tags: str) -> int:
+        return max((self.by_tag[t][-1] for t in tags if self.by_tag.get(t)), default=-1)
+
+    def push(self, node: Node) -> None:
+        self.by_tag.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in BLOCK:
+            self.blocks.append(len(self.stack))
+        self.stack.append(node)
+
+    def close(self, at: int) -> None:
+        while len(self.stack) > at:
+            tag = self.stack.pop().tag
+            self.by_tag[tag].pop()
+            if tag in BLOCK:
+                self.blocks.pop()
+
+
+LISTS = ("ul", "ol", "dl", "table", "select")
+
+
 def parse(source: str) -> Node:
-    """The element tree of a page. Unclosed and misplaced tags close as browsers do in the common cases."""
+    """The element tree of a page. Unclosed and misplaced tags close as browsers do in the common cases; a tag that the page ends in is none."""
     root = Node("html")
-    open_ = [root]
+    top = Open(root)
     at, n = 0, len(source)
     while at < n:
-        m = TOKEN.search(source, at)
-        if m is None:
-            open_[-1].children.append(source[at:])
-            break
-        if m.start() > at:
-            open_[-1].children.append(source[at : m.start()])
-        at = m.end()
-        if not m[2]:
+        lt = source.find("<", at)
+        lt = n if lt < 0 else lt
+        if lt > at:
+            top.stack[-1].children.append(source[at:lt])
+        at = lt + 1
+        if source.startswith(("!", "?"), at):
+            comment = source.startswith("!--", at)
+            end = source.find("-->" if comment else ">", at + 1 if comment else at)  # <!--> and <!---> are whole comments
+            at = n if end < 0 else end + (3 if comment else 1)
             continue
-        tag = m[2].lower()
-        if m[1]:
-            if tag == "p" and not any(x.tag == "p" for x in open_):
-                continue
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].tag == tag:
-                    del open_[i:]
-                    break
-                if open_[i].tag in BLOCK and tag not in BLOCK:
-                    break  # an inline end tag doesn't close a block
+        closing = source.startswith("/", at)
+        first = source[at + closing : at + closing + 1]
+        if not (first.isascii() and first.isalpha()):
+            if closing:  # a comment up to the next >, as in browsers
+                end = source.find(">", at)
+                at = n if end < 0 else end + 1
+            elif lt < n:
+                top.stack[-1].children.append("<")
             continue
-        if tag in ("html", "body") and any(x.tag == tag for x in open_):
+        name = TAG_NAME.match(source, at + closing)
+        tag = name[0].lower()
+        given, alone, at = attributes(source, name.end())
+        if at < 0:
+            break
+        if closing:
+            place = top.last(tag)
+            if place > 0 and (tag in BLOCK or place > top.blocks[-1]):  # an inline end tag doesn't close a block
+                top.close(place)
             continue
-        if tag in BLOCK:  # a block ends an open paragraph, with what is inline in it
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].tag == "p":
-                    del open_[i:]
-                    break
-                if open_[i].tag in BLOCK:
-                    break
+        if tag in ("html", "body") and top.last(tag) >= 0:
+            continue
+        if tag in BLOCK and top.stack[top.blocks[-1]].tag == "p":
+            top.close(top.blocks[-1])  # a block ends an open paragraph, with what is inline in it
         if tag in CLOSES:
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i].tag in CLOSES[tag]:
-                    del open_[i:]
-                    if tag != "tr":
-                        break
-                elif open_[i].tag in ("ul", "ol", "dl", "table", "select"):
+            while (place := top.last(*CLOSES[tag])) > max(0, top.last(*LISTS)):
+                top.close(place)
+                if tag != "tr":
                     break
-        node = Node(tag, m[3])
-        open_[-1].children.append(node)
+        node = Node(tag, given)
+        top.stack[-1].children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?:\s[^>]*)?>", re.I).search(source, at)
+            end = _raw_end(tag).search(source, at)
             at = end.end() if end else n
             node.never = True
-        elif tag not in VOID and not (m[3].endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "span", "em", "strong")):
-            open_.append(node)
+        elif tag not in VOID and not (alone and tag not in BLOCK and tag not in ("a", "b", "i", "span", "em", "strong")):
+            top.push(node)
     return root
 
 
+@cache
+def _raw_end(tag: str) -> re.Pattern:
+    return re.compile(rf"</{re.escape(tag)}(?:\s[^>]*)?>", re.I)
+
+
 def blocks(node: Node, drop: set[int], inside: bool = False) -> list[str]:
     """Texts of the blocks below, in page order. ``drop`` holds ids of template nodes."""
     out: list[str] = []
@@ -203,16 +290,17 @@ def doubtful(root: Node, drop: set[int]) -> set[int]:
         at += 1
     for at in range(len(order) - 1, 0, -1):
         size[above[at]] += size[at]
-    said = [at for at, x in enumerate(order) if x.tag in ("article", "main") and size[at]]
+    # Main and article elements that hold text: at or below a node, and above it.
+    below = [int(x.tag in ("article", "main") and size[at] > 0) for at, x in enumerate(order)]
+    over = [0] * len(order)
+    for at in range(1, len(order)):
+        over[at] = over[above[at]] + below[above[at]]
+    for at in range(len(order) - 1, 0, -1):
+        below[above[at]] += below[at]
 
     def beside(at: int) -> bool:
-        """Whether one of ``said`` is neither below nor above the node."""
-        def under(x: int, top: int) -> bool:
-            while x > top:  # a node's parent has a smaller number
-                x = above[x]
-            return x == top
-
-        return any(not under(x, at) and not under(at, x) for x in said)
+        """Whether one of them is neither below nor above the node."""
+        return below[0] > below[at] + over[at]
 
     found, stack = set(), [root]
     number = {id(x): at for at, x in enumerate(order)}
@@ -329,53 +417,62 @@ def _by_label(x: list[str], y: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def kinds_of(pages: list[list[str]]) -> list[int]:
+    """The kind of each page, told by its blocks: a page that shares over half of its text with one before is of that one's kind.
+
+    Copies and near copies of a page prove nothing about what is constant.
+    """
+    first: list[tuple[dict[str, int], int]] = []
+    out = []
+    for page in pages:
+        mine = {b: len(b) for b in page}
+        total = sum(mine.values())
+        for kind, (other, size) in enumerate(first):
+            if 2 * sum(n for b, n in mine.items() if b in other) > min(total, size) or mine == other:
+                out.append(kind)
+                break
+        else:
+            out.append(len(first))
+            first.append((mine, total))
+    return out
+
+
 def extract(pages: list[str]) -> list[str]:
-    """Main texts of pages that share a template. A page may be empty."""
+    """Main texts of pages that share a template. A page may be empty.
+
+    A text that a slot has on at least two kinds of page, and on over half of all kinds, is template.
+    """
     trees = [parse(p) for p in pages]
     wrapper = Slot("html")
     for i, t in enumerate(trees):
         align(wrapper, t, i)
-    # Copies of a page prove nothing about what is constant: pages are told apart by their longest block.
-    kinds = [hashlib.blake2b(max(blocks(t, set()), key=len, default="").encode("utf-8", "replace"), digest_size=8).digest() for t in trees]
-    total = len(set(kinds))
+    kinds = kinds_of([blocks(t, set()) for t in trees])
+    need = max(2, len(set(kinds)) // 2 + 1)
     drops: list[set[int]] = [set() for _ in trees]
-    inside = [_within(t) for t in trees]
-    queue = [wrapper] if total >= 3 else []
+    queue = [wrapper]
     while queue:
         s = queue.pop()
         queue.extend(s.children)
-        on: dict[bytes, set[bytes]] = {}
+        on: dict[bytes, set[int]] = {}
         for page, node in s.seen:
             on.setdefault(node.text_hash(), set()).add(kinds[page])
-        common = {h for h, where in on.items() if len(where) > total / 2}
+        common = {h for h, where in on.items() if len(where) >= need}
         for page, node in s.seen if common else ():
-            if node.text_hash() in common and not (node.tag in ("p", "h1") and id(node) in inside[page]):
+            if node.text_hash() in common:
                 drops[page].add(id(node))
     out = []
     for tree, drop in zip(trees, drops, strict=True):
         drop |= doubtful(tree, drop)
-        out.append("\n\n".join(b for top in content(tree, total) for b in blocks(top, drop)))
+        out.append("\n\n".join(b for top in content(tree, len(set(kinds)) > 1) for b in blocks(top, drop)))
     return out
 
 
-def _within(root: Node) -> set[int]:
-    """Ids of the nodes below article and main elements."""
-    found, stack = set(), [(root, False)]
-    while stack:
-        x, within = stack.pop()
-        if within:
-            found.add(id(x))
-        within = within or x.tag in ("article", "main")
-        stack.extend((c, within) for c in x.children if isinstance(c, Node))
-    return found
-
-
-def content(root: Node, total: int) -> list[Node]:
-    """The nodes of a page that hold its content: all of it where the wrapper tells the template.
+def content(root: Node, compared: bool) -> list[Node]:
+    """The nodes of a page that hold its content: all of it where pages were compared, as the wrapper tells the template.
 
-    Fewer than three different pages tell nothing; there the outermost main and article elements hold it, if any do.
+    Where all pages are of one kind nothing is known to vary; there the outermost main and article elements hold it, if any do.
     """
-    if total >= 3:
+    if compared:
         return [root]
     found, stack = [], [root]
     while stack:
