@@ -50,8 +50,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the longest, then the one of the smallest id (null last)."""
     ship(spark)
     index = exact_dedup.DigestIndex(spark, new_path(spark, "digest-index"))
-    best = exact_dedup.new_texts(docs, index).withColumnRenamed("keep_id", "doc_id")
-    index.close()
+    best = exact_dedup.new_texts(docs, index, "documents").withColumnRenamed("keep_id", "doc_id")
     keys = {"id": _key("doc_id"), "digest": exact_dedup.text_digest("text"), "length": F.length(F.coalesce("text", F.lit(""))).cast("long")}
     best = best.select(_key("doc_id").alias("id"), "digest", F.col("n_codepoints").alias("length"), F.array(F.lit(1)).alias("copies"))
     return _taken(_keyed(docs, **keys), best, list(keys))

@@ -64,22 +64,46 @@ def _file_system(spark: SparkSession, path: str, method: str, *args):
     return getattr(at.getFileSystem(jsc.hadoopConfiguration()), method)(at, *args)
 
 
+class Conflict(RuntimeError):
+    """Another writer has published the version that this one was about to."""
+
+
 class Manifest:
-    """The versions of a stored index: JSON files, the newest of which tells what is live, so a reader sees an old or a new state."""
+    """The versions of a stored index: a JSON file for each, the newest of which tells what is live, so a reader sees an old or a new state."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, f"{path}/manifest"
 
+    def _at(self, version: int) -> str:
+        return f"{self.path}/{version:012d}.json"
+
     def read(self) -> tuple[int, dict]:
         """Version and state; 0 and nothing where there is none."""
         if not exists(self.spark, self.path):
             return 0, {}
-        row = self.spark.read.schema("version long, state string").json(self.path).orderBy(F.desc("version")).first()
-        return (row["version"], json.loads(row["state"])) if row else (0, {})
-
-    def publish(self, state: dict) -> None:
-        row = self.spark.createDataFrame([(self.read()[0] + 1, json.dumps(state))], "version long, state string")
-        row.coalesce(1).write.mode("append").json(self.path)
+        names = sorted((f.getPath().getName() for f in _file_system(self.spark, self.path, "listStatus")), reverse=True)
+        io = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils  # noqa: SLF001
+        for version in (int(n[:12]) for n in names if n.endswith(".json")):
+            file = _file_system(self.spark, self._at(version), "open")
+            try:
+                return version, json.loads(io.toString(file, "UTF-8"))
+            except json.JSONDecodeError:
+                continue  # its writer hasn't finished, or never will
+            finally:
+                file.close()
+        return 0, {}
+
+    def publish(self, state: dict, after: int) -> int:
+        """Make ``state`` the version that follows ``after``; refused if somebody else has done so meanwhile."""
+        if self.read()[0] != after:
+            raise Conflict(f"version {after + 1} of {self.path} exists")
+        try:
+            file = _file_system(self.spark, self._at(after + 1), "create", False)
+        except Exception as e:  # the file system's own refusal of a file that exists
+            raise Conflict(f"version {after + 1} of {self.path} exists") from e
+        file.write(bytearray(json.dumps(state).encode()))
+        file.close()
+        return after + 1
 
 
 _shipped: set[str] = set()

@@ -1,9 +1,10 @@
 """Exact dedup with a persistent digest index, bucketed and sorted by digest.
 
-The index is a Parquet table in buckets of the digest, sorted inside them. A batch is reduced to
-one row per digest (partial aggregation before its shuffle, so large groups of copies cost little),
-sort-merge anti-joined with the index, and what is new is appended. ``compact`` merges the files
-that batches leave in each bucket, so that buckets can be read in order again.
+The index is a list of runs, one for each batch: Parquet tables in buckets of the digest, sorted inside them. A
+batch is reduced to one row per digest (partial aggregation before its shuffle, so large groups of copies cost little),
+sort-merge anti-joined with the runs, and what is new becomes its run. A run counts from the moment that the manifest
+names it, so a batch that failed halfway has left nothing behind; a batch that is run again finds its own run by
+its name and gives the same answer. ``compact`` merges the runs.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import ASCII_SPACE, Manifest, materialize, new_path
+from rollcall.llm.common import ASCII_SPACE, Manifest, bucketed, materialize, new_path, open_buckets, schema
 
 
 def text_digest(text: str | Column) -> Column:
@@ -26,64 +27,63 @@ class DigestIndex:
     """Digests seen so far: ``digest, keep_id, n_codepoints, batch`` (the batch it came with).
 
     The manifest beside the data holds the number of buckets, which stays what it was when the index
-    was started, and the folder that is live.
+    was started, and the live runs with the batches that brought them.
     """
 
     SCHEMA = "digest string, keep_id bigint, n_codepoints bigint, batch string"
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, max_appends: int = 16):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, max_runs: int = 16):
         """Open the index at ``path``, or start an empty one with ``buckets`` (the session's shuffle partitions by default)."""
-        self.spark, self.path, self.max_appends, self.table = spark, path, max_appends, None
+        self.spark, self.path, self.max_runs = spark, path, max_runs
         self.manifest = Manifest(spark, path)
-        state = self.manifest.read()[1]
-        if not state:
-            state = {"buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), "data": f"{path}/data-{uuid.uuid4().hex}", "appends": 0}
-            self.manifest.publish(state)
-        self._open(state)
-
-    def _open(self, state: dict) -> None:
-        self.close()
-        self.state, self.buckets, self.data, self.table = state, state["buckets"], state["data"], f"digest_index_{uuid.uuid4().hex}"
-        self.spark.sql(
-            f"CREATE TABLE {self.table} ({self.SCHEMA}) USING parquet CLUSTERED BY (digest) SORTED BY (digest) "
-            f"INTO {self.buckets} BUCKETS LOCATION '{self.data}'"
-        )
+        self.buckets = self.manifest.read()[1].get("buckets") or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.refresh()
 
-    def rows(self) -> DataFrame:
-        return self.spark.table(self.table)
+    def refresh(self) -> None:
+        """Look at the newest published state."""
+        self.version, state = self.manifest.read()
+        self.state = {"runs": [], "buckets": self.buckets} | state
+
+    def runs(self) -> list[str]:
+        return [run["path"] for run in self.state["runs"]]
 
-    def plain_rows(self) -> DataFrame:
-        """The rows read by path: a plain scan, so that a join's sides are shuffled and a large group can be split."""
-        return self.spark.read.schema(self.rows().schema).parquet(self.data)
+    def has(self, batch: str) -> bool:
+        """Whether a run of this batch is published (and not merged yet)."""
+        return any(run["batch"] == batch for run in self.state["runs"])
+
+    def rows(self) -> DataFrame:
+        """All rows, by path: a plain scan, so that a join's sides are shuffled and a large group can be split."""
+        of = schema(self.SCHEMA)
+        return self.spark.read.schema(of).parquet(*self.runs()) if self.runs() else self.spark.createDataFrame([], of)
 
     def unseen(self, batch: DataFrame) -> DataFrame:
-        """Rows of ``batch`` (with ``digest``) that the index lacks: a sort-merge anti-join on the buckets."""
-        return batch.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
-
-    def _write(self, rows: DataFrame, path: str, table: str) -> None:
-        cols = [c.split()[0] for c in self.SCHEMA.split(", ")]
-        rows.select(*cols).write.mode("append").format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").option("path", path).saveAsTable(table)
-
-    def append(self, groups: DataFrame) -> None:
-        """Add new digests; ``groups`` has the index's columns and one row per digest. Compacts after ``max_appends``."""
-        self._write(groups, self.data, self.table)
-        self.state = self.state | {"appends": self.state["appends"] + 1}
-        self.manifest.publish(self.state)
-        if self.state["appends"] > self.max_appends:
+        """Rows of ``batch`` (with ``digest``) that no run has: a sort-merge anti-join with each one's buckets."""
+        for run in self.runs():
+            known = open_buckets(self.spark, run, self.SCHEMA, "digest", self.buckets)
+            batch = batch.join(known.select("digest").hint("merge"), "digest", "left_anti")
+        return batch
+
+    def _write(self, rows: DataFrame) -> str:
+        run = f"{self.path}/run-{uuid.uuid4().hex}"
+        bucketed(rows.select(*(c.split()[0] for c in self.SCHEMA.split(", "))), "digest", run, self.buckets)
+        return run
+
+    def append(self, groups: DataFrame, batch: str) -> None:
+        """Publish new digests as the run of ``batch``; ``groups`` has one row per digest. Compacts after ``max_runs``.
+
+        Raises :class:`Conflict` if another batch was published since this index was opened: refresh, and run the batch again.
+        """
+        run = {"path": self._write(groups.withColumn("batch", F.lit(batch))), "batch": batch}
+        self.state = self.state | {"runs": [*self.state["runs"], run]}
+        self.version = self.manifest.publish(self.state, self.version)
+        if len(self.state["runs"]) > self.max_runs:
             self.compact()
 
     def compact(self) -> None:
-        """Write all buckets anew with one file each; readers of the folder before keep it."""
-        data, table = f"{self.path}/data-{uuid.uuid4().hex}", f"digest_index_{uuid.uuid4().hex}"
-        self._write(self.rows().repartition(self.buckets, "digest"), data, table)
-        self.spark.sql(f"DROP TABLE {table}")
-        self.manifest.publish(self.state | {"data": data, "appends": 0})
-        self._open(self.manifest.read()[1])
-
-    def close(self) -> None:
-        """Forget the table's name in this session; the files stay."""
-        if self.table:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
+        """One run of all, with one file a bucket; readers of the runs before keep them."""
+        run = {"path": self._write(self.rows().repartition(self.buckets, "digest")), "batch": None}
+        self.state = self.state | {"runs": [run]}
+        self.version = self.manifest.publish(self.state, self.version)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -102,17 +102,24 @@ def groups_of(rows: DataFrame) -> DataFrame:
     )
 
 
-def new_texts(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def add_batch(groups: DataFrame, index: DigestIndex, batch: str) -> None:
+    """Append what a batch brings, unless its run is there already."""
+    index.refresh()
+    if not index.has(batch):
+        index.append(index.unseen(groups), batch)
+
+
+def new_texts(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Append a batch to the index; the rows that stay, as ``digest, keep_id, n_codepoints``: one per text that is new to it."""
-    batch = uuid.uuid4().hex
-    index.append(index.unseen(groups_of(digests(docs, id_col, text_col))).withColumn("batch", F.lit(batch)))
-    return index.plain_rows().where(F.col("batch") == batch).drop("batch")
+    add_batch(groups_of(digests(docs, id_col, text_col)), index, batch)
+    return index.rows().where(F.col("batch") == batch).drop("batch")
 
 
-def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_batch(docs: DataFrame, index: DigestIndex, batch: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deduplicate a batch against the index and itself, and append what is new.
 
-    Returns one row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_codepoints,
+    ``batch`` names the batch: run again under its name, after a failure or a success, it gives the same rows and adds
+    nothing. Returns one row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_codepoints,
     own_length`` (code points of the group's longest text, and of the row's own). ``group_size``
     counts the equal texts of this batch. A text that an earlier batch brought belongs to that
     batch's row: ``kept`` is false for all of this batch's rows, whatever their ids, and ``keep_id`` is
@@ -121,10 +128,10 @@ def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
     of them have ``kept`` true (they cannot be told apart); null ids order last. Empty tables give
     empty results; other columns are ignored.
     """
-    rows, batch = materialize(digests(docs, id_col, text_col), "digests"), uuid.uuid4().hex
+    rows = materialize(digests(docs, id_col, text_col), "digests")
     groups = materialize(groups_of(rows), "digest-groups")
-    index.append(index.unseen(groups).withColumn("batch", F.lit(batch)))
-    known = index.plain_rows().join(groups.select("digest", "group_size"), "digest")
+    add_batch(groups, index, batch)
+    known = index.rows().join(groups.select("digest", "group_size"), "digest")
     joined = rows.withColumnRenamed("n_codepoints", "own_length").join(materialize(known, "digests-known"), "digest")
     kept = (F.col("batch") == batch) & F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("own_length") == F.col("n_codepoints"))
     return joined.select("doc_id", "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"), "n_codepoints", "own_length")
@@ -133,9 +140,7 @@ def dedup_batch(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", tex
 def op2_exact_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     index = DigestIndex(spark, new_path(spark, "digest-index"))
-    out = dedup_batch(docs, index).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
-    index.close()
-    return out
+    return dedup_batch(docs, index, "documents").select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 OP2_SQL = r"""

@@ -107,45 +107,56 @@ class FingerprintIndex:
     def __init__(self, spark: SparkSession, path: str, max_runs: int = 8, buckets: int | None = None):
         self.spark, self.path, self.max_runs = spark, path, max_runs
         self.manifest = Manifest(spark, path)
-        state = self.manifest.read()[1]
-        self.buckets = state.get("buckets") or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self.manifest.read()[1].get("buckets") or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.refresh()
 
-    def runs(self) -> list[str]:
-        return self.manifest.read()[1].get("runs", [])
+    def refresh(self) -> None:
+        """Look at the newest published state."""
+        self.version, state = self.manifest.read()
+        self.state = {"runs": [], "buckets": self.buckets} | state
 
-    def _publish(self, runs: list[str]) -> None:
-        self.manifest.publish({"buckets": self.buckets, "runs": runs})
+    def runs(self, but: str | None = None) -> list[str]:
+        """Paths of the live runs, but that of a batch."""
+        return [run["path"] for run in self.state["runs"] if but is None or run["batch"] != but]
+
+    def _publish(self, runs: list[dict]) -> None:
+        self.state = self.state | {"runs": runs}
+        self.version = self.manifest.publish(self.state, self.version)
 
     def _open(self, run: str) -> DataFrame:
         return open_buckets(self.spark, run, self.RUN, "fp", self.buckets)
 
-    def append(self, batch: DataFrame) -> DataFrame:
-        """Add a batch's ``fp, doc_id`` rows as a new run, which is returned; compacts first when there are too many runs."""
+    def append(self, marks: DataFrame, batch: str) -> DataFrame:
+        """Add a batch's ``fp, doc_id`` rows as its run, which is returned; compacts the others first when there are too many.
+
+        A run counts from its publication, so what failed before has left nothing; a batch that is there already is found by its name.
+        """
+        self.refresh()
+        for run in self.state["runs"]:
+            if run["batch"] == batch:
+                return self._open(run["path"])
         if len(self.runs()) >= self.max_runs:
             self.compact()
         run = f"{self.path}/run-{uuid.uuid4().hex}"
-        dealt = batch.select("fp", "doc_id").repartition(self.buckets, "fp")
-        bucketed(dealt, "fp", run, self.buckets)
-        self._publish([*self.runs(), run])
+        bucketed(marks.select("fp", "doc_id").repartition(self.buckets, "fp"), "fp", run, self.buckets)
+        self._publish([*self.state["runs"], {"path": run, "batch": batch}])
         return self._open(run)
 
-    def older(self, fps: DataFrame) -> DataFrame | None:
-        """Rows of all runs but the newest that have one of the fingerprints: a merge join with each run, which isn't moved."""
-        runs = self.runs()[:-1]
+    def older(self, fps: DataFrame, batch: str) -> DataFrame | None:
+        """Rows of the other batches' runs that have one of the fingerprints: a merge join with each run, which isn't moved."""
         out = None
-        for run in runs:
+        for run in self.runs(but=batch):
             rows = self._open(run).join(fps.hint("merge"), "fp", "left_semi")
             out = rows if out is None else out.unionByName(rows)
         return out
 
     def compact(self) -> None:
         """One run of all; buckets stay what they were, so each is merged on its own."""
-        runs = self.runs()
-        if len(runs) > 1:
-            merged = self.spark.read.schema(self.RUN).parquet(*runs).repartition(self.buckets, "fp")
+        if len(self.runs()) > 1:
+            merged = self.spark.read.schema(self.RUN).parquet(*self.runs()).repartition(self.buckets, "fp")
             run = f"{self.path}/run-{uuid.uuid4().hex}"
             bucketed(merged, "fp", run, self.buckets)
-            self._publish([run])
+            self._publish([{"path": run, "batch": None}])
 
 
 def _candidates(window: int):
@@ -191,19 +202,22 @@ def _remove(window: int):
 
 
 def remove_repeats(
-    docs: DataFrame, index: FingerprintIndex, history: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = True
+    docs: DataFrame, index: FingerprintIndex, batch: str, history: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, keep_text: bool = True
 ) -> DataFrame:
     """Remove the words of passages that also start in a document with a smaller id.
 
-    ``docs`` is the new batch; its fingerprints are appended to ``index``. ``history`` holds the texts
-    of the batches before (same columns), of which only those that the index names are read for the
-    verification. Returns
+    ``docs`` is the new batch, named ``batch``; its fingerprints are appended to ``index``, once, however often it is run. ``history``
+    holds the texts of the batches before (same columns), of which only those that the index names are compared, word for
+    word by their windows; without it a batch that follows others is refused. Returns
     ``doc_id, n_words, n_removed, kept_sha256`` for each row of the batch, and ``kept`` (the words that
     stay, joined by a space) if asked. Windows are judged on the input. Null texts have no words. Rows
     with a null id neither lose words nor take them from others. Rows that share an id aren't earlier
     than each other. Texts below ``window`` words stay whole. An empty table gives an empty result.
     Other columns are ignored.
     """
+    index.refresh()
+    if history is None and index.runs(but=batch):
+        raise ValueError("the index holds earlier batches: their texts are needed to compare windows")
     keyed = lambda df: df.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"), text_hash(text_col).alias("key"))
     rows, row = keyed(docs), ["doc_id", "key"]
     profile = materialize(rows.mapInArrow(_profile(window), schema(PROFILE)), "profile")
@@ -214,9 +228,9 @@ def remove_repeats(
     copy = F.col("first_id").isNotNull() & (F.col("first_id") < F.col("doc_id")) & (F.col("n_words") >= window)
     leads = profile.where(~F.coalesce(copy, F.lit(False)))
     marks = leads.select(*row, F.explode("fingerprints").alias("fp"))
-    own = index.append(marks)
+    own = index.append(marks, batch)
     span = [F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")]
-    spans, old = own.groupBy("fp").agg(*span), index.older(own.select("fp"))
+    spans, old = own.groupBy("fp").agg(*span), index.older(own.select("fp"), batch)
     if old is not None:
         old = materialize(old, "older")
         spans = spans.unionByName(old.groupBy("fp").agg(*span)).groupBy("fp").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
@@ -224,7 +238,7 @@ def remove_repeats(
     marked = materialize(marks.join(shared, "fp").groupBy(*row).agg(F.collect_set("fp").alias("marks")), "marked")
     texts = materialize(rows.join(marked, row).select("doc_id", "body", "marks"), "texts")
     compared = texts
-    if old is not None and history is not None:
+    if old is not None:
         known = old.join(shared, "fp", "left_semi").groupBy("doc_id").agg(F.collect_set("fp").alias("marks"))
         compared = texts.unionByName(keyed(history).join(known, "doc_id").select("doc_id", "body", "marks"))
     windows = materialize(compared.mapInArrow(_candidates(window), schema(CANDIDATES)), "windows")
@@ -271,7 +285,7 @@ def _whole(window: int):
 def op10_substring_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     index = FingerprintIndex(spark, new_path(spark, "fingerprint-index"))
-    return remove_repeats(docs, index, keep_text=False)
+    return remove_repeats(docs, index, "documents", keep_text=False)
 
 
 OP10_SQL = r"""

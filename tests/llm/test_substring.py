@@ -48,7 +48,7 @@ def test_repeated_ids(spark, keep_text):
     ship(spark)
     x, y = (" ".join(f"{c}{i}" for i in range(80)) for c in "xy")
     rows = [(1, y), (2, x), (5, "pre " + x), (5, y), *table(1)]
-    out = substring_dedup.remove_repeats(frame(spark, rows), substring_dedup.FingerprintIndex(spark, new_path(spark, "f")), keep_text=keep_text)
+    out = substring_dedup.remove_repeats(frame(spark, rows), substring_dedup.FingerprintIndex(spark, new_path(spark, "f")), "b", keep_text=keep_text)
     got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()), key=str)
     assert got == plain(rows, 50)
 
@@ -60,8 +60,28 @@ def test_batches_and_compaction(spark):
     for k in range(4):
         rows = table(k, n=40)
         index = substring_dedup.FingerprintIndex(spark, path, max_runs=2, buckets=3)
-        out = substring_dedup.remove_repeats(frame(spark, rows), index, frame(spark, before) if before else None, window=20)
+        out = substring_dedup.remove_repeats(frame(spark, rows), index, f"b{k}", frame(spark, before) if before else None, window=20)
         got = sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out.collect()), key=str)
         assert got == plain(rows, 20, before)
         before += rows
     assert substring_dedup.FingerprintIndex(spark, path, buckets=99).buckets == 3 and len(index.runs()) <= 2
+
+
+def test_runs_again_and_missing_history(spark, monkeypatch):
+    """A batch that fails before or after its run is published, or is run twice, gives the same rows; lost texts are refused."""
+    ship(spark)
+    path, one, two = new_path(spark, "f"), table(1, n=30), table(2, n=30)
+    index = substring_dedup.FingerprintIndex(spark, path, buckets=3)
+    call = lambda rows, batch, before=None: sorted(
+        ((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(frame(spark, rows), substring_dedup.FingerprintIndex(spark, path), batch, before).collect()), key=str)
+    call(one, "one")
+    with pytest.raises(ValueError, match="earlier batches"):
+        call(two, "two")
+    with monkeypatch.context() as m:
+        m.setattr(substring_dedup.FingerprintIndex, "_publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            call(two, "two", frame(spark, one))
+    want = plain(two, 50, one)
+    assert call(two, "two", frame(spark, one)) == want == call(two, "two", frame(spark, one))
+    index.refresh()
+    assert len(index.runs()) == 2
