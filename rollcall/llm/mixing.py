@@ -7,10 +7,10 @@ random direction until one expectation is 0 or 1, and the other one goes on. Dir
 so that every expectation is kept (a martingale); what moves is words, so a source's taken words
 equal its target except for its last, single unresolved document. The meetings form a reduction
 tree: documents are dealt to bounded groups within their source, each group leaves one unresolved
-document at most, and these meet again one level higher until one group per source is left. In
-the first level all expectations of a group are equal, and the largest document meets the coalition
-of all smaller ones, which shares one expectation: so the one left over is small. Higher up,
-documents meet in pairs.
+document at most, and these meet again one level higher until one group per source is left. Documents
+meet in pairs, from the largest to the smallest, so that large ones are settled while there are words to settle them with.
+Where a large one stays open all the same, the group's meetings are drawn again, some times, and the draw that leaves the least open
+counts.
 """
 
 from __future__ import annotations
@@ -96,24 +96,21 @@ def pivot(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> np.ndarray:
     return p
 
 
-def pivot_equal(size: np.ndarray, q: float, u: np.ndarray) -> np.ndarray:
-    """As :func:`pivot` for documents with the same expectation ``q``, sizes descending."""
-    p, eps = np.empty(len(size)), 1e-12
-    rest = np.cumsum(size[::-1])[::-1] - size  # words of all smaller documents
-    for i in range(len(size)):
-        if q <= eps or q >= 1 - eps:
-            p[i:] = round(q)
+#: Draws of a group's meetings, and the share of its words that may stay open without another draw.
+DRAWS, OPEN = 32, 0.001
+
+
+def settle(size: np.ndarray, p: np.ndarray, row: np.ndarray, seed: int, level: int) -> np.ndarray:
+    """:func:`pivot` over one group, sizes descending: the first draw that leaves little open, else the one that leaves least."""
+    best, least = p, np.inf
+    for draw in range(DRAWS):
+        out = pivot(size, p, _uniform(seed + 7919 * draw, row, level))
+        left = (np.minimum(out, 1 - out) * size).sum()
+        if left < least:
+            best, least = out, left
+        if least <= OPEN * size.sum():
             break
-        a, b = size[i], rest[i]
-        if b <= 0:
-            p[i] = q
-            continue
-        up, down = min((1 - q) * a, q * b), min(q * a, (1 - q) * b)
-        moved = up if u[i] * (up + down) < down else -down
-        p[i], q = q + moved / a, q - moved / b
-        if p[i] <= eps or p[i] >= 1 - eps:
-            p[i] = round(p[i])
-    return p
+    return best
 
 
 def mix(
@@ -175,16 +172,14 @@ def _unit(c: Column, seed: int) -> Column:
 
 def _round_level(rows: DataFrame, level: int, seed: int) -> DataFrame:
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        # Similar sizes meet first; what is left over tends to be small.
         pdf = pdf.sort_values(["size", "row"], ascending=[False, True], kind="mergesort").reset_index(drop=True)
         size, p = pdf["size"].to_numpy(np.float64), pdf["p"].to_numpy(np.float64)
-        u = _uniform(seed, pdf["row"].to_numpy(np.int64), level)
+        row = pdf["row"].to_numpy(np.int64)
+        u = _uniform(seed, row, level)
         with_words = size > 0
         p = p.copy()
         p[~with_words] = (u[~with_words] < p[~with_words]).astype(float)
-        part = p[with_words]
-        equal = len(part) > 1 and (part == part[0]).all()
-        p[with_words] = pivot_equal(size[with_words], part[0], u[with_words]) if equal else pivot(size[with_words], part, u[with_words])
+        p[with_words] = settle(size[with_words], p[with_words], row[with_words], seed, level)
         pdf["p"] = p
         return pdf
 

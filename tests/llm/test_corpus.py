@@ -32,8 +32,8 @@ def test_elias_fano_and_trie():
 
 
 def test_pivot_keeps_words():
-    size, q = np.sort(np.random.default_rng(2).integers(1, 90, 300))[::-1].astype(float), 0.37
-    p = mixing.pivot_equal(size, q, np.random.default_rng(3).random(300))
+    size, q = np.random.default_rng(2).integers(1, 90, 300).astype(float), 0.37
+    p = mixing.settle(size, np.full(300, q), np.arange(300), 3, 0)
     assert abs((p * size).sum() - q * size.sum()) < 1e-6 and ((p > 0) & (p < 1)).sum() <= 1
 
 
@@ -41,16 +41,16 @@ def test_mix_and_dedup(spark, docs):
     rows = mixing.mix(docs).collect()
     assert len(rows) == len(DOCS) and all(r.taken <= 3 * r.size for r in rows)
     index = exact_dedup.DigestIndex(spark, new_path(spark, "t"))
-    kept = {(r.doc_id, r.kept, r.group_size) for r in exact_dedup.dedup_batch(docs, index).collect()}
+    kept = {(r.doc_id, r.kept, r.group_size) for r in exact_dedup.dedup_batch(docs, index, "one").collect()}
     assert kept == {(1, True, 2), (2, False, 2), (3, True, 2), (4, False, 2), (5, True, 1)}
-    again = exact_dedup.dedup_batch(docs, index).collect()
-    assert len(again) == len(DOCS)
+    again = exact_dedup.dedup_batch(docs, index, "two").collect()
+    assert len(again) == len(DOCS) and not any(r.kept for r in again)
 
 
 def test_empty(spark, docs):
     none = docs.where("false")
     assert mixing.mix(none).count() == near_dedup.near_duplicates(none).count() == 0
-    assert substring_dedup.remove_repeats(none, substring_dedup.FingerprintIndex(spark, new_path(spark, "f"))).count() == 0
+    assert substring_dedup.remove_repeats(none, substring_dedup.FingerprintIndex(spark, new_path(spark, "f")), "b").count() == 0
 
 
 def test_near(docs):
@@ -72,7 +72,7 @@ def test_repeats(spark):
     ship(spark)
     words = [f"w{i}" for i in range(60)]
     docs = spark.createDataFrame([(1, " ".join(words)), (2, "head " + " ".join(words) + " tail"), (3, None)], "doc_id long, text string")
-    out = {r.doc_id: r for r in substring_dedup.remove_repeats(docs, substring_dedup.FingerprintIndex(spark, new_path(spark, "f"))).collect()}
+    out = {r.doc_id: r for r in substring_dedup.remove_repeats(docs, substring_dedup.FingerprintIndex(spark, new_path(spark, "f")), "b").collect()}
     assert out[2].kept == "head tail" and out[1].n_removed == 0
     assert out[3].kept_sha256 == hashlib.sha256(b"").hexdigest()
 
