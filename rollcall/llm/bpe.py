@@ -1,8 +1,7 @@
 """Byte-level byte-pair encoding: pre-tokens, merges, token counts, encoding and decoding.
 
 ``count_tokens`` counts without making identifiers: a pre-token has as many tokens as bytes, less its
-merges. ``encode`` makes the identifiers; texts longer than ``CHUNK`` characters are dealt to tasks as
-overlapping chunks. Chunks are pre-tokenised on their own, their boundaries are stitched where
+merges. ``encode`` makes the identifiers, by overlapping chunks; those of texts longer than ``CHUNK`` characters are dealt to tasks. Chunks are pre-tokenised on their own, their boundaries are stitched where
 pre-tokens of both end alike, and then the pieces between are encoded, in parallel again. Both keep
 the pre-tokens that a worker has met.
 """
@@ -26,11 +25,15 @@ from pyspark.sql import functions as F
 
 from rollcall.llm.common import materialize, schema, sliced, utf8
 
+#: Characters of a chunk and of its overlap, of texts that are dealt to tasks and of those that are encoded in one.
 CHUNK, OVERLAP = 65_536, 2_048
+NEAR_CHUNK, NEAR_OVERLAP = 4_096, 128
 #: Pre-tokens whose tokens are kept; when there are more, all are forgotten.
 CACHE = 1_000_000
 #: The same for lists of ids, which are larger and may stay in memory beside other operators' work.
-IDS_CACHE = 200_000
+IDS_CACHE = 400_000
+#: Symbols up to which merging works in plain lists, and a rank that no pair has.
+SHORT, NONE = 48, 1 << 62
 
 
 class Merges:
@@ -102,6 +105,8 @@ class Merges:
     def ids(self, piece: bytes) -> list[int]:
         """Numbers of a pre-token's tokens."""
         symbol = [self.byte[b] for b in piece]
+        if len(symbol) <= SHORT:
+            return self.short(symbol)
         after = self.merge(symbol)[1]
         out, i = [], 0
         while i < len(symbol):
@@ -110,6 +115,24 @@ class Merges:
         return out
 
 
+    def short(self, symbol: list[int]) -> list[int]:
+        """As :meth:`merge` for a few symbols, in plain lists: the lowest rank's first pair merges until none is left."""
+        rank, none = self.rank, NONE
+        pairs = [rank.get(a << 32 | b, none) for a, b in zip(symbol, symbol[1:])]  # noqa: B905
+        while pairs:
+            r = min(pairs)
+            if r == none:
+                break
+            i = pairs.index(r)
+            symbol[i] = s = self.made[r]
+            del symbol[i + 1], pairs[i]
+            if i:
+                pairs[i - 1] = rank.get(symbol[i - 1] << 32 | s, none)
+            if i < len(pairs):
+                pairs[i] = rank.get(s << 32 | symbol[i + 1], none)
+        return symbol
+
+
 @lru_cache(maxsize=4)
 def rank_file(path: str) -> dict[bytes, int]:
     """Ranks of a file with one base64 token and its rank in each line."""
@@ -219,6 +242,16 @@ class Codec:
     def boundaries(self, text: str) -> list[int]:
         return [m.end() for m in self.pattern.finditer(text)]
 
+    def pieces(self, text: str, chunk: int = NEAR_CHUNK, overlap: int = NEAR_OVERLAP) -> list[str]:
+        """Pre-tokens of a text, by chunks that are stitched; of the whole at once where chunks never meet."""
+        if len(text) <= chunk:
+            return self.pattern.findall(text)
+        found = [[(start + m.end(), m[0]) for m in self.pattern.finditer(text[start : start + chunk + overlap])] for start in range(0, len(text), chunk)]
+        cuts = stitch([(k * chunk, [end for end, _ in f]) for k, f in enumerate(found)])
+        if cuts is None:
+            return self.pattern.findall(text)
+        return [piece for (a, b), f in zip(cuts, found, strict=True) for end, piece in f if a < end <= b]
+
 
 def stitch(chunks: list[tuple[int, list[int]]]) -> list[tuple[int, int]] | None:
     """From where to where each chunk's pre-tokens count, in characters of the text, or None if two chunks never meet.
@@ -257,7 +290,7 @@ def _encode(path: str, pattern: str, emit_ids: bool):
         for batch in sliced(batches):
             rows = []
             for body in batch.column("body"):
-                ids = c.ids(c.pattern.findall(body.as_py().decode()))
+                ids = c.ids(c.pieces(body.as_py().decode()))
                 rows.append((ids if emit_ids else None, *c.digest(ids)))
             yield _encoded(batch.column("doc_id"), rows)
 

@@ -47,3 +47,27 @@ def test_counts_of_awkward_rows(spark):
     got = {(r.doc_id, r.n_bytes, r.over_limit) for r in bpe.count_tokens(docs, path, public_tokenizers.PATTERN).collect()}
     assert got == {(1, 3, False), (None, 0, False), (1, 200_000, True)}
     assert bpe.count_tokens(docs.where("false"), path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_chunks_of_real_size(library):
+    """Texts of many chunks at the sizes that are used: words, long runs of blanks and signs, one long word, and no blanks at all."""
+    rng, c = random.Random(8), bpe.codec(PATH, public_tokenizers.PATTERN)
+    made = ["".join(rng.choice(["it's", "12345678", " wörd", "   ", "\n\n", " longerwordhere", "日本語", "!?", " "]) for _ in range(k)) for k in (900, 3_000, 20_000)]
+    made += ["x" * 20_000, " " * 20_000 + "end", "ab " * 3_000 + " " * 300 + "cd" * 3_000, "日本" * 5_000, "a" * 4_096, "a b" * 1_366]
+    for text in made:
+        assert c.pieces(text) == c.pattern.findall(text)
+        assert c.ids(c.pieces(text)) == library.encode_ordinary(text)
+    assert all(c.merges.ids(w.encode()) == library.encode_ordinary(w) for w in ("abc" * 15, "abc" * 17, "é" * 24, "é" * 25) if w.encode() not in c.whole)
+
+
+def test_special_strings_inside_texts(spark):
+    ship(spark)
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(path)
+    special = [t.content for t in own.get_added_tokens_decoder().values()]
+    texts = [f"a{s}b {s}{s} x {s[:-1]} {s[1:]}" for s in special] + ["".join(special) * 3, " ".join(special)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_tokens for r in bpe.count_tokens(rows, path, public_tokenizers.PATTERN).collect()}
+    assert got == {i: len(own.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
