@@ -113,8 +113,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 #: Of :func:`similar`: independent fingerprints a text, bits of each, and bits of the whole sketch.
 FINGERPRINTS, SHORT = 16, 28
 SKETCH = FINGERPRINTS * SHORT
-#: Bits that two sketches, and the 36 bits beside a fingerprint, may differ in: similar texts differ in less but for one pair in thousands.
-FAR, FAR_BESIDE = SKETCH * 5 // 16, 13
+#: Bits that the 36 bits beside a fingerprint may differ in for two texts to be a candidate of it. At similarity 0.8 a bit differs with
+#: probability 0.15, so a fingerprint that a similar pair shares is passed over in about one of 10^6 cases.
+FAR_BESIDE = 15
+#: Cells that a set's hashes are counted in, to tell pairs that can't be similar.
+CELLS = 128
 #: Fingerprints in a group, about; classes that meet in a variant and are paired there; classes of a crowd in a task.
 GROUP, FEW, CROWD = 1 << 17, 8, 8192
 
@@ -138,13 +141,29 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)
 
 
+def cells(hashes: np.ndarray) -> np.ndarray:
+    """How many of a set's hashes fall in each cell, 255 at most."""
+    return np.minimum(np.bincount((hashes >> np.uint64(57)).astype(np.int64), minlength=CELLS), 255).astype(np.uint8)
+
+
+def can_be_similar(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, similarity: float) -> np.ndarray:
+    """False only for pairs below the similarity: two sets differ in at least as many elements as their counts by cell do.
+
+    Sets of Jaccard similarity s or more differ in at most (1 - s) / (1 + s) of their sizes' sum.
+    """
+    differ = np.abs(a.astype(np.int64) - b.astype(np.int64)).sum(axis=1)
+    return np.maximum(differ, np.abs(na - nb)) * (1 + similarity) <= (1 - similarity) * (na + nb) + 1e-6
+
+
 def _sketches(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches):
             sets = [shingle_set(b.as_py(), width) for b in batch.column(1)]
             cls = np.fromiter((xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets), np.uint64, len(sets)).view(np.int64)
             sketches = pa.array([sketch(s).tobytes() for s in sets], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cls), sketches], ["doc_id", "text_hash", "cls", "sketch"])
+            counts = pa.array([cells(s).tobytes() for s in sets], pa.binary())
+            columns = [batch.column(0), batch.column(2), pa.array(cls), sketches, counts, pa.array([len(s) for s in sets], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "cls", "sketch", "cells", "size"])
 
     return run
 
@@ -267,11 +286,16 @@ def _crowd_links(similarity: float):
     return run
 
 
-def _near_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sliced(batches):
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH // 64) for c in ("sa", "sb"))
-        near = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= FAR
-        yield batch.select(["a", "b"]).filter(pa.array(near))
+def _possible(similarity: float):
+    """The pairs whose sets can be similar, by their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 10_000):
+            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, CELLS) for c in ("cells_a", "cells_b"))
+            keep = can_be_similar(a, b, batch.column("size_a").to_numpy(), batch.column("size_b").to_numpy(), similarity)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
 
 
 def _sets(width: int):
@@ -307,14 +331,17 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
     a variant's flipped bit among the leading ones is emitted, one among the others is made in the group.
     Classes that meet with over ``FEW`` - 1 others in a variant are not paired there. What such variants join is a
     crowd, whose sets are compared with each other inside tasks that return only what joins two components: so a
-    large group of near copies makes few rows, and no link is lost.
+    large group of near copies makes few rows. Of the candidates none is lost: those that aren't compared by their sets can't be similar
+    (:func:`can_be_similar`). Pairs that share no fingerprint within distance 2 are not candidates: the README has the measured recall.
 
     Null and blank texts are one class. Equal rows share a component. Other columns are ignored.
     """
     text = [F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("body"), text_hash(text_col).alias("text_hash")]
-    rows = docs.select(*text).mapInArrow(_sketches(width), schema("doc_id long, text_hash long, cls long, sketch binary"))
+    rows = docs.select(*text).mapInArrow(_sketches(width), schema("doc_id long, text_hash long, cls long, sketch binary, cells binary, size long"))
     rows = materialize(rows, "sketches")
-    classes = materialize(rows.groupBy("cls").agg(F.first("sketch").alias("sketch"), F.min("text_hash").alias("text_hash")), "classes")
+    # All rows of a class have the same set, so the same sketch and counts.
+    classes = rows.groupBy("cls").agg(*(F.first(c).alias(c) for c in ("sketch", "cells", "size")), F.min("text_hash").alias("text_hash"))
+    classes = materialize(classes, "classes")
     texts = docs.select(*text)
     met = _candidates(classes, FEW)
     pairs, crowds = met.where("not crowd").select("a", "b"), met.where("crowd").select("a", "b")
@@ -352,9 +379,9 @@ def _shingle_sets(wanted: DataFrame, classes: DataFrame, texts: DataFrame, width
 
 def _verified(met: DataFrame, classes: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
     """The candidates whose sets of shingles are similar."""
-    for side, one in (("a", "sa"), ("b", "sb")):
-        met = met.join(classes.select(F.col("cls").alias(side), F.col("sketch").alias(one)), side)
-    pairs = materialize(met.select("a", "b", "sa", "sb").mapInArrow(_near_sketches, schema("a long, b long")), "pairs")
+    for side in ("a", "b"):
+        met = met.join(classes.select(F.col("cls").alias(side), F.col("cells").alias(f"cells_{side}"), F.col("size").alias(f"size_{side}")), side)
+    pairs = materialize(met.mapInArrow(_possible(similarity), schema("a long, b long")), "pairs")
     sets = _shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), classes, texts, width)
     for side, one in (("a", "ha"), ("b", "hb")):
         pairs = pairs.join(sets.select(F.col("cls").alias(side), F.col("hashes").alias(one)), side)

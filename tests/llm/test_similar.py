@@ -3,6 +3,7 @@
 import random
 
 import corpus_pipeline as P
+import numpy as np
 import pytest
 from rollcall.llm import near_dedup
 from rollcall.llm.common import ship
@@ -70,3 +71,39 @@ def test_crowded_variants_lose_no_link(spark, monkeypatch):
         monkeypatch.setattr(near_dedup, "CROWD", crowd)
         assert {tuple(r) for r in near_dedup.similar(docs).collect()} == whole
     assert 1 < len({r[2] for r in whole}) < 50
+
+
+def test_counts_never_exclude_similar_sets():
+    rng = np.random.default_rng(5)
+    for _ in range(3000):
+        n = int(rng.integers(1, 2000))
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) << np.uint64(1))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) > rng.random() * 0.25], rng.integers(0, 2**63, int(rng.integers(0, n // 8 + 1))).astype(np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        can = near_dedup.can_be_similar(near_dedup.cells(a)[None], near_dedup.cells(b)[None], np.array([len(a)]), np.array([len(b)]), 0.8)[0]
+        assert can or both < 0.8 * (len(a) + len(b) - both)
+
+
+def test_all_pairs_of_the_table(spark):
+    """The smallest test table: the components of all pairs of documents, compared by their sets."""
+    ship(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, shingles(r.text or "") if (r.text or "").split() else set()) for r in docs.collect()]
+    root = {i: i for i, _ in rows}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for k, (i, a) in enumerate(rows):
+        for j, b in rows[:k]:
+            if (a == b) or (a and b and 5 * len(a & b) >= 4 * len(a | b)):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    want = {}
+    for i, _ in rows:
+        want.setdefault(top(i), set()).add(i)
+    got = {}
+    for r in near_dedup.similar(docs).collect():
+        got.setdefault(r.root, set()).add(r.doc_id)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
