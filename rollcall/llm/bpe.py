@@ -12,8 +12,9 @@ import base64
 import hashlib
 import heapq
 import json
+from bisect import bisect_left, bisect_right
 from functools import lru_cache
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -32,8 +33,10 @@ NEAR_CHUNK, NEAR_OVERLAP = 4_096, 128
 CACHE = 1_000_000
 #: The same for lists of ids, which are larger and may stay in memory beside other operators' work.
 IDS_CACHE = 400_000
-#: Symbols up to which merging works in plain lists, and a rank that no pair has.
-SHORT, NONE = 48, 1 << 62
+#: Bytes up to which pre-tokens are merged side by side, and how many at once.
+WIDE, SIDE = 64, 20_000
+#: Bits of the table of pairs, and a rank that no pair has.
+SLOTS, NONE = 20, np.int64(1 << 40)
 
 
 class Merges:
@@ -49,6 +52,7 @@ class Merges:
         self.made = [number[a + b] for a, b in pairs]
         self.byte = list(range(256))
         self.known: dict[str, int] = {}
+        self.table: tuple[np.ndarray, ...] | None = None
 
     @classmethod
     def of_ranks(cls, ranks: dict[bytes, int]) -> Merges:
@@ -105,8 +109,6 @@ class Merges:
     def ids(self, piece: bytes) -> list[int]:
         """Numbers of a pre-token's tokens."""
         symbol = [self.byte[b] for b in piece]
-        if len(symbol) <= SHORT:
-            return self.short(symbol)
         after = self.merge(symbol)[1]
         out, i = [], 0
         while i < len(symbol):
@@ -115,22 +117,82 @@ class Merges:
         return out
 
 
-    def short(self, symbol: list[int]) -> list[int]:
-        """As :meth:`merge` for a few symbols, in plain lists: the lowest rank's first pair merges until none is left."""
-        rank, none = self.rank, NONE
-        pairs = [rank.get(a << 32 | b, none) for a, b in zip(symbol, symbol[1:])]  # noqa: B905
-        while pairs:
-            r = min(pairs)
-            if r == none:
-                break
-            i = pairs.index(r)
-            symbol[i] = s = self.made[r]
-            del symbol[i + 1], pairs[i]
-            if i:
-                pairs[i - 1] = rank.get(symbol[i - 1] << 32 | s, none)
-            if i < len(pairs):
-                pairs[i] = rank.get(s << 32 | symbol[i + 1], none)
-        return symbol
+    def look(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, ``NONE`` where they don't merge: a table of slots, and a sorted list of what found its slot taken."""
+        if self.table is None:
+            keys, ranks = (np.fromiter(x, np.int64, len(self.rank)) for x in (self.rank.keys(), self.rank.values()))
+            slots = np.full(1 << SLOTS, -1, np.int64)
+            at = self._slot(keys)
+            slots[at] = np.arange(len(keys))  # of several the last one has it
+            rest = np.flatnonzero(slots[at] != np.arange(len(keys)))
+            rest = rest[np.argsort(keys[rest])]
+            self.table = np.append(keys, -1)[slots], np.append(ranks, NONE)[slots], np.append(keys[rest], -1), np.append(ranks[rest], NONE)
+        keys, ranks, more, more_ranks = self.table
+        pair = a << 32 | b
+        at = self._slot(pair)
+        held = keys[at]
+        out = np.where(held == pair, ranks[at], NONE)
+        other = np.flatnonzero((held != pair) & (held >= 0))
+        k = np.searchsorted(more[:-1], pair[other])
+        out[other] = np.where(more[k] == pair[other], more_ranks[k], NONE)
+        return out
+
+    @staticmethod
+    def _slot(pair: np.ndarray) -> np.ndarray:
+        return ((pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS)).view(np.int64)
+
+    def many(self, pieces: list[bytes]) -> list[list[int]]:
+        """:meth:`ids` of many pre-tokens: those of about the same length are merged side by side, a pair of each at a time."""
+        out: list[list[int]] = [[]] * len(pieces)
+        by: dict[int, list[int]] = {}
+        for i, p in enumerate(pieces):
+            by.setdefault(max(8, 1 << (len(p) - 1).bit_length()), []).append(i)
+        for width, rows in by.items():
+            if width > WIDE or len(rows) < 4:
+                for i in rows:
+                    out[i] = self.ids(pieces[i])
+                continue
+            for at in range(0, len(rows), SIDE):
+                part = rows[at : at + SIDE]
+                for i, ids in zip(part, self._side_by_side([pieces[i] for i in part], width), strict=True):
+                    out[i] = ids
+        return out
+
+    def _side_by_side(self, pieces: list[bytes], width: int) -> list[list[int]]:
+        made, look = np.array(self.made, np.int64), self.look
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(-1, width)
+        symbol = np.array(self.byte, np.int64)[raw]
+        place = np.arange(width)
+        alive = place < size[:, None]
+        after = np.broadcast_to(place + 1, raw.shape).copy()  # ``size`` or more: the end
+        before = np.broadcast_to(place - 1, raw.shape).copy()
+        rank = np.full(raw.shape, NONE)
+        two = alive[:, 1:]
+        rank[:, :-1][two] = look(symbol[:, :-1][two], symbol[:, 1:][two])
+        row = np.arange(len(pieces))
+        while len(row):
+            i = rank[row].argmin(axis=1)  # the first one of the lowest rank
+            r = rank[row, i]
+            go = r < NONE
+            row, i, r = row[go], i[go], r[go]
+            j = after[row, i]
+            k = after[row, j]
+            h = before[row, i]
+            symbol[row, i] = made[r]
+            alive[row, j] = False
+            rank[row, j] = NONE
+            after[row, i] = k
+            inside = k < size[row]
+            x, y, z = row[inside], i[inside], k[inside]
+            before[x, z] = y
+            rank[row, i] = NONE
+            rank[x, y] = look(symbol[x, y], symbol[x, z])
+            inside = h >= 0
+            x, y, z = row[inside], h[inside], i[inside]
+            rank[x, y] = look(symbol[x, y], symbol[x, z])
+        flat, ends = symbol[alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]  # noqa: B905
 
 
 @lru_cache(maxsize=4)
@@ -218,18 +280,21 @@ class Codec:
         self.tokens = {i: b for b, i in ranks.items()}
         self.names = {i: str(i) for i in self.tokens}
 
-    def one(self, piece: str) -> list[int]:
-        body = piece.encode()
-        return [self.whole[body]] if body in self.whole else self.merges.ids(body)
-
-    def ids(self, pieces: list[str]) -> list[int]:
-        """Identifiers of the pre-tokens, one after the other."""
-        known, one = self.known, self.one
-        if len(known) > IDS_CACHE:
-            known.clear()
-        for p in {*pieces}.difference(known):
-            known[p] = one(p)
-        return list(chain.from_iterable(map(known.__getitem__, pieces)))
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode all pre-tokens of some texts that aren't known yet."""
+        if len(self.known) > IDS_CACHE:
+            self.known.clear()
+        new = list(set().union(*texts).difference(self.known))
+        bodies = [p.encode() for p in new]
+        whole = [self.whole.get(b) for b in bodies]
+        rest = iter(self.merges.many([b for b, w in zip(bodies, whole, strict=True) if w is None]))
+        self.known.update((p, next(rest) if w is None else [w]) for p, w in zip(new, whole, strict=True))
+
+    def ids(self, pieces: list[str], learn: bool = True) -> list[int]:
+        """Identifiers of the pre-tokens, one after the other; ``learn`` false if they are known."""
+        if learn:
+            self.learn([pieces])
+        return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -239,18 +304,30 @@ class Codec:
         joined = ",".join(map(self.names.__getitem__, ids))
         return len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(self.decode(ids)).hexdigest()
 
+    def cut(self, text: str) -> tuple[list[str], list[int]]:
+        """Pre-tokens and where each ends."""
+        pieces = self.pattern.findall(text)
+        ends = list(accumulate(map(len, pieces)))
+        if not pieces or ends[-1] == len(text):
+            return pieces, ends
+        found = [(m[0], m.end()) for m in self.pattern.finditer(text)]  # a pattern that passes over characters
+        return [p for p, _ in found], [e for _, e in found]
+
     def boundaries(self, text: str) -> list[int]:
-        return [m.end() for m in self.pattern.finditer(text)]
+        return self.cut(text)[1]
 
     def pieces(self, text: str, chunk: int = NEAR_CHUNK, overlap: int = NEAR_OVERLAP) -> list[str]:
         """Pre-tokens of a text, by chunks that are stitched; of the whole at once where chunks never meet."""
         if len(text) <= chunk:
             return self.pattern.findall(text)
-        found = [[(start + m.end(), m[0]) for m in self.pattern.finditer(text[start : start + chunk + overlap])] for start in range(0, len(text), chunk)]
-        cuts = stitch([(k * chunk, [end for end, _ in f]) for k, f in enumerate(found)])
+        found = [self.cut(text[start : start + chunk + overlap]) for start in range(0, len(text), chunk)]
+        cuts = stitch([(k * chunk, [k * chunk + e for e in ends]) for k, (_, ends) in enumerate(found)])
         if cuts is None:
             return self.pattern.findall(text)
-        return [piece for (a, b), f in zip(cuts, found, strict=True) for end, piece in f if a < end <= b]
+        out = []
+        for k, ((a, b), (pieces, ends)) in enumerate(zip(cuts, found, strict=True)):
+            out += pieces[bisect_right(ends, a - k * chunk) : bisect_right(ends, b - k * chunk)]
+        return out
 
 
 def stitch(chunks: list[tuple[int, list[int]]]) -> list[tuple[int, int]] | None:
@@ -267,11 +344,12 @@ def stitch(chunks: list[tuple[int, list[int]]]) -> list[tuple[int, int]] | None:
             upto = max([at, *ends[-1:]])
         else:
             start, following = chunks[k + 1]
-            both = np.intersect1d(ends[: max(0, len(ends) - 2)], following)
-            both = both[(both >= at) & (both > start)]
+            right = ends[: max(0, len(ends) - 2)]
+            right = right[bisect_left(right, max(at, start + 1)) :]
+            both = sorted(set(right).intersection(following[: bisect_right(following, right[-1])] if right else ()))
             if not len(both):
                 return None
-            upto = int(both[0])
+            upto = both[0]
         out.append((at, upto))
         at = upto
     return out
@@ -287,10 +365,12 @@ PARTS = "row string, doc_id bigint, chunk int, ids array<int>, piece string"
 def _encode(path: str, pattern: str, emit_ids: bool):
     def run(batches):
         c = codec(path, pattern)
-        for batch in sliced(batches):
+        for batch in sliced(batches, 500):
+            texts = [c.pieces(body.as_py().decode()) for body in batch.column("body")]
+            c.learn(texts)
             rows = []
-            for body in batch.column("body"):
-                ids = c.ids(c.pieces(body.as_py().decode()))
+            for pieces in texts:
+                ids = c.ids(pieces, learn=False)
                 rows.append((ids if emit_ids else None, *c.digest(ids)))
             yield _encoded(batch.column("doc_id"), rows)
 
