@@ -13,6 +13,16 @@ KEYS = ["pegawai_id", "tanggal"]
 JSON = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+def manifest_build(batches: DataFrame) -> DataFrame:
+    """``batch_id, entity, operation, source_id``, distinct, from batches that list ids by entity: ``batch_id, entity, upserts, deletes`` (arrays).
+
+    An id that a batch both upserts and deletes is deleted; null ids and lists name nothing.
+    """
+    ids = lambda c, op: batches.select("batch_id", "entity", F.lit(op).alias("operation"), F.explode(c).alias("source_id"))
+    rows = ids("upserts", "UPSERT").unionByName(ids("deletes", "DELETE")).where("source_id is not null")
+    return rows.groupBy("batch_id", "entity", "source_id").agg(F.min("operation").alias("operation"))
+
+
 def manifest_check(items: DataFrame, raw: DataFrame) -> DataFrame:
     """Violations: an UPSERT whose id raw lacks, a DELETE whose id raw has."""
     here = raw.select(F.col("id").alias("source_id"), F.lit(True).alias("here"))
@@ -152,6 +162,13 @@ def _changes(t) -> DataFrame:
     return capture_changes(_old_daily(t), t.daily.where("pegawai_id % 17 <> 0")).select(*KEYS, "operation")
 
 
+def _listed(t) -> DataFrame:
+    """Batches that list leaves and events; ids occur twice, and deleted ones among the upserts too."""
+    listed = lambda df, entity, batches, gone: df.select((F.col("id") % batches).cast("int").alias("batch_id"), F.lit(entity).alias("entity"), F.array("id", "id", F.lit(None)).alias("upserts"),
+                                                         F.when(gone, F.array("id")).alias("deletes"))
+    return listed(t.t_perizinan.select(F.col("id").cast("long").alias("id")), "LEAVE", 7, F.col("id") % 5 == 0).unionByName(listed(t.t_checkinout.select(F.col("id").cast("long").alias("id")), "EVENT", 11, F.col("id") % 9 == 2))
+
+
 def _items(t) -> DataFrame:
     op = F.when(F.col("id") % 5 == 0, "DELETE").otherwise("UPSERT")
     return t.t_perizinan.select(F.col("id").alias("source_id"), op.alias("operation"))
@@ -220,7 +237,11 @@ QUERIES = {
         """SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 3 = 0 THEN 2 ELSE 1 END AS versions, CAST(leave_days + CASE WHEN pegawai_id % 3 = 0 THEN 10 ELSE 0 END AS VARCHAR) AS payload
            FROM {daily} WHERE pegawai_id % 5 <> 0""",
     ),
-    "manifest_build": (lambda t: _items(t).distinct(), "SELECT DISTINCT id AS source_id, CASE WHEN id % 5 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {t_perizinan}"),
+    "manifest_build": (
+        lambda t: manifest_build(_listed(t)),
+        """SELECT DISTINCT batch_id, entity, id AS source_id, CASE WHEN gone THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM (
+             SELECT CAST(id % 7 AS INT) AS batch_id, 'LEAVE' AS entity, id, id % 5 = 0 AS gone FROM {t_perizinan} UNION ALL SELECT CAST(id % 11 AS INT), 'EVENT', id, id % 9 = 2 FROM {t_checkinout})""",
+    ),
     "manifest_check": (lambda t: manifest_check(_items(t), t.t_perizinan.where("id % 3 <> 0")), "SELECT id AS source_id, CASE WHEN id % 5 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {t_perizinan} WHERE (id % 5 = 0) = (id % 3 <> 0)"),
     "changed_rows": (
         lambda t: changed_rows(t.lv, t.lv.where("perizinan_id % 4 <> 0").withColumn("tipe_ijin", F.when(F.col("perizinan_id") % 7 == 0, 0).otherwise(F.col("tipe_ijin"))), "perizinan_id"),
@@ -250,8 +271,11 @@ QUERIES = {
     ),
     "batch_result": (lambda t: _changes(t).groupBy("operation").agg(F.count("*").alias("n")), "SELECT 'DELETE' AS operation, count(*) AS n FROM {daily} WHERE pegawai_id % 17 = 0 AND pegawai_id % 11 <> 0 UNION ALL SELECT 'UPSERT', count(*) FROM {daily} WHERE pegawai_id % 17 <> 0 AND (pegawai_id % 11 = 0 OR pegawai_id % 13 = 0)"),
     "row_change_audit": (
-        lambda t: row_change_audit(t.m_pegawai.where("id % 5 <> 0"), t.m_pegawai.where("id % 7 <> 0").withColumn("status", F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("status"))), "id").select("id", "action", F.size("changed_fields").alias("fields")),
-        """SELECT id, CASE WHEN id % 5 = 0 THEN 'I' WHEN id % 7 = 0 THEN 'D' ELSE 'U' END AS action, CASE WHEN id % 5 <> 0 AND id % 7 <> 0 THEN 1 END AS fields FROM {m_pegawai}
-           WHERE CASE WHEN id % 5 = 0 AND id % 7 = 0 THEN false WHEN id % 5 = 0 OR id % 7 = 0 THEN true ELSE id % 3 = 0 END""",
+        lambda t: row_change_audit(t.m_pegawai.where("id % 5 <> 0"), t.m_pegawai.where("id % 7 <> 0").withColumn("status", F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("status"))), "id", ("created_at",)).select(
+            "id", "action", F.to_json("row_data").alias("old_image"), F.to_json("changed_fields").alias("changed_fields")),
+        """SELECT id, CASE WHEN id % 5 = 0 THEN 'I' WHEN id % 7 = 0 THEN 'D' ELSE 'U' END AS action,
+             CASE WHEN id % 5 <> 0 THEN CAST(json_object('nama', nama, 'departemen', CAST(departemen AS VARCHAR), 'status', CAST(status AS VARCHAR)) AS VARCHAR) END AS old_image,
+             CASE WHEN id % 5 <> 0 AND id % 7 <> 0 THEN '{"status":"8"}' END AS changed_fields
+           FROM {m_pegawai} WHERE CASE WHEN id % 5 = 0 AND id % 7 = 0 THEN false WHEN id % 5 = 0 OR id % 7 = 0 THEN true ELSE id % 3 = 0 END""",
     ),
 }

@@ -206,6 +206,33 @@ def page(df: DataFrame, order: list[Column], size: int, number: int) -> DataFram
     return df.orderBy(*order).offset(size * (number - 1)).limit(size)
 
 
+def page_after(df: DataFrame, order: list[str], after: dict | None, size: int, last_day: dt.date | None = None) -> DataFrame:
+    """The page that follows the row ``after`` (its values of ``order``, none for the first page) under a total order of non-null columns.
+
+    The bound on the leading column, and ``last_day`` if the page is known to end by then, reach the scan, so a late page costs what an early one does.
+    """
+    if after is not None:
+        bound, equal = F.lit(False), F.lit(True)
+        for c in order:
+            bound = bound | (equal & (F.col(c) > F.lit(after[c])))
+            equal = equal & (F.col(c) == F.lit(after[c]))
+        df = df.where((F.col(order[0]) >= F.lit(after[order[0]])) & bound)
+    if last_day is not None:
+        df = df.where(F.col(order[0]) <= F.lit(last_day))
+    return df.orderBy(*order).limit(size)
+
+
+def page_ends(agg: DataFrame, after: dt.date | None, size: int) -> dt.date | None:
+    """A date by which ``size`` facts follow the date ``after``, from the sums of departments; None if there are fewer."""
+    rows = agg if after is None else agg.where(F.col("tanggal") > F.lit(after))
+    upto = 0
+    for r in rows.groupBy("tanggal").agg(F.sum("fact_rows").alias("n")).orderBy("tanggal").collect():  # one row a date
+        upto += r["n"]
+        if upto >= size:
+            return r["tanggal"]
+    return None
+
+
 def department_search(options: DataFrame, text: str, role: str = "organization", department: int | None = None, limit: int = 20) -> DataFrame:
     return search(scope(options, role, department), text, "nama_departemen").orderBy("nama_departemen", "departemen_id").limit(limit)
 

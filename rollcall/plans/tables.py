@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.operators import curated, mart
+from rollcall.operators import curated, mart, people, search
 from rollcall.sources.adapters import Source
 from rollcall.sources.scratch import VersionedTables, code_state, scratch, shared_folder, source_state
 
@@ -94,6 +94,19 @@ class Tables(Source):
         return mart.lateness_employee_daily(self.fact, self.dim_departemen, self.date_state)
 
 
+    @cached_property
+    def people(self) -> DataFrame:
+        return people.people_bitmaps(self.fact)
+
+    @cached_property
+    def grams_pegawai(self) -> DataFrame:
+        return search.postings(self.dim_pegawai, "key", "name", "source_id")
+
+    @cached_property
+    def grams_departemen(self) -> DataFrame:
+        return search.postings(self.dim_departemen, "key", "name")
+
+
 class Served(Tables):
     """The same tables, with those that dashboards read taken from a published mart.
 
@@ -101,13 +114,17 @@ class Served(Tables):
     for each date, department-day sums, dimensions and date states. Reading prunes dates and columns.
     """
 
-    STORED = ("fact", "agg", "dim_departemen", "dim_pegawai", "date_state")
+    STORED = ("fact", "agg", "people", "dim_departemen", "dim_pegawai", "date_state", "grams_pegawai", "grams_departemen")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
         self.mart = VersionedTables(spark, f"{shared_folder(spark)}/mart-{source_state(spark, sf_dir)}-{code_state()}")
-        if not self.mart.version():
-            build_mart(Tables(spark, sf_dir), self.mart)
+        if not self.mart.snapshot():
+            try:
+                build_mart(Tables(spark, sf_dir), self.mart)
+            except Exception:
+                if not self.mart.snapshot():  # somebody else published the same mart meanwhile
+                    raise
         self.paths = self.mart.snapshot()
 
     def _stored(self, name: str) -> DataFrame:
@@ -115,6 +132,9 @@ class Served(Tables):
 
     fact = cached_property(lambda self: self._stored("fact"))
     agg = cached_property(lambda self: self._stored("agg"))
+    people = cached_property(lambda self: self._stored("people"))
+    grams_pegawai = cached_property(lambda self: self._stored("grams_pegawai"))
+    grams_departemen = cached_property(lambda self: self._stored("grams_departemen"))
     dim_departemen = cached_property(lambda self: self._stored("dim_departemen"))
     dim_pegawai = cached_property(lambda self: self._stored("dim_pegawai"))
     date_state = cached_property(lambda self: self._stored("date_state"))
@@ -125,5 +145,6 @@ def build_mart(t: Tables, mart_tables: VersionedTables) -> int:
     fact = scratch(t.spark, "fact")
     t.fact.write.parquet(fact)
     written = t.spark.read.parquet(fact)
-    stored = {"fact": written, "agg": mart.department_day_sum(written), "dim_departemen": t.dim_departemen, "dim_pegawai": t.dim_pegawai, "date_state": t.date_state}
+    sums = {"agg": mart.department_day_sum(written), "people": people.people_bitmaps(written)}
+    stored = {"fact": written, **sums, **{n: getattr(t, n) for n in Served.STORED if n not in ("fact", *sums)}}
     return mart_tables.publish(stored, {"fact": ["tanggal"]})

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rollcall.functions import rules as R
-from rollcall.operators import checks, curated, incremental, mart, profiling, relational, views
-from rollcall.plans import kpi
+from rollcall.operators import checks, curated, hierarchy, incremental, mart, people, profiling, relational, search, views
+from rollcall.plans import kpi, upkeep
 from rollcall.plans.sql_views import RATES, SUMS, VIEWS
 from rollcall.plans.tables import Served, Tables
 from rollcall.sources import scans
 from rollcall.sources.adapters import duckdb_sql
-from rollcall.streaming import delivery
+from rollcall.streaming import capture, delivery
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -31,6 +31,12 @@ def add(name: str, f: Callable[[Tables], DataFrame], sql: str | None = None) ->
         SQL[name] = sql
 
 
+def serve(name: str, f: Callable[[Tables], DataFrame], sql: str | None = None) -> None:
+    """A query that is answered from the published mart."""
+    add(name, f, sql)
+    SERVED.add(name)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: (lambda spark, sf_dir, f=f, of=Served if name in SERVED else Tables: f(of(spark, sf_dir))) for name, f in QUERIES.items()}
 
@@ -70,13 +76,13 @@ add("lateness_decide", lambda t: t.daily.select("pegawai_id", "tanggal", "latene
 # Mart
 add("fact_daily", lambda t: t.fact, "SELECT * FROM {fact}")
 add("department_day_sum", lambda t: t.agg, "SELECT * FROM {agg}")
-add("department_daily", lambda t: t.dept, "SELECT * FROM {dept}")
-add("institution_daily", lambda t: t.inst, "SELECT * FROM {inst}")
-add("institution_sums", lambda t: t.inst.select("tanggal", *R.MEASURES, "fact_rows", "review_rows"), f"SELECT tanggal, {', '.join(R.MEASURES)}, fact_rows, review_rows FROM {{inst}}")
-add("weighted_rate", lambda t: t.dept.agg(R.rate(F.sum("checkin_days"), F.sum("active_employee_days")).alias("rate")), "SELECT 100.0::DOUBLE * sum(checkin_days) / nullif(sum(active_employee_days), 0) AS rate FROM {dept}")
-add("department_options", lambda t: mart.department_options(t.dim_departemen),
+serve("department_daily", lambda t: t.dept, "SELECT * FROM {dept}")
+serve("institution_daily", lambda t: t.inst, "SELECT * FROM {inst}")
+serve("institution_sums", lambda t: t.inst.select("tanggal", *R.MEASURES, "fact_rows", "review_rows"), f"SELECT tanggal, {', '.join(R.MEASURES)}, fact_rows, review_rows FROM {{inst}}")
+serve("weighted_rate", lambda t: t.dept.agg(R.rate(F.sum("checkin_days"), F.sum("active_employee_days")).alias("rate")), "SELECT 100.0::DOUBLE * sum(checkin_days) / nullif(sum(active_employee_days), 0) AS rate FROM {dept}")
+serve("department_options", lambda t: mart.department_options(t.dim_departemen),
     "SELECT source_id AS departemen_id, name AS nama_departemen FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY valid_from DESC, key DESC) AS n FROM {dim_departemen}) WHERE n = 1")
-add("lateness_employee_daily", lambda t: t.late, "SELECT * FROM {late}")
+serve("lateness_employee_daily", lambda t: t.late, "SELECT * FROM {late}")
 add("scd2_lookup", lambda t: mart.scd2_lookup(t.daily.select("pegawai_id", "tanggal", "departemen_id"), t.dim_departemen, "departemen_id", "departemen_key", how="left"),
     """SELECT d.pegawai_id, d.tanggal, d.departemen_id, m.key AS departemen_key FROM {daily} d LEFT JOIN {dim_departemen} m
        ON m.source_id = d.departemen_id AND d.tanggal >= m.valid_from AND (m.valid_to IS NULL OR d.tanggal < m.valid_to)""")
@@ -96,70 +102,82 @@ add("effective_name_refresh", lambda t: mart.effective_name_refresh(t.dim_depart
 
 # Dashboard
 for _m in R.MEASURES[:6]:
-    add(f"kpi_card_{_m}", lambda t, m=_m: kpi.card(t.fact, m, A, B), f"SELECT CAST(sum({_m}) AS BIGINT) AS {_m} FROM {{fact}} WHERE {P}")
-add("filter_period", lambda t: kpi.period(t.fact, A, B).select("pegawai_id", "tanggal"), f"SELECT pegawai_id, tanggal FROM {{fact}} WHERE {P}")
-add("filter_optional", lambda t: kpi.optional(t.fact, departemen_id=7).select("pegawai_id", "tanggal"), "SELECT pegawai_id, tanggal FROM {fact} WHERE departemen_id = 7")
-add("filter_search", lambda t: kpi.search(named(t), "nation_1", "pegawai_id", "p_name", "departemen_id", "d_name").select("pegawai_id", "tanggal"),
+    serve(f"kpi_card_{_m}", lambda t, m=_m: kpi.card(t.fact, m, A, B), f"SELECT CAST(sum({_m}) AS BIGINT) AS {_m} FROM {{fact}} WHERE {P}")
+serve("filter_period", lambda t: kpi.period(t.fact, A, B).select("pegawai_id", "tanggal"), f"SELECT pegawai_id, tanggal FROM {{fact}} WHERE {P}")
+serve("filter_optional", lambda t: kpi.optional(t.fact, departemen_id=7).select("pegawai_id", "tanggal"), "SELECT pegawai_id, tanggal FROM {fact} WHERE departemen_id = 7")
+serve("filter_search", lambda t: search.search_facts(t, "nation_1").select("pegawai_id", "tanggal"),
     f"SELECT pegawai_id, tanggal FROM {NAMED} WHERE contains(lower(p_name), 'nation_1') OR contains(lower(d_name), 'nation_1')")
+for _n, _text in (("number", "12"), ("name", "000012")):
+    serve(f"filter_search_{_n}", lambda t, text=_text: search.search_facts(t, text).select("pegawai_id", "tanggal"),
+        f"SELECT pegawai_id, tanggal FROM {NAMED} WHERE concat_ws('|', pegawai_id, lower(p_name)) LIKE '%{_text}%' OR contains(CAST(departemen_id AS VARCHAR), '{_text}') OR contains(lower(d_name), '{_text}')")
 for _n, _m in kpi.CONDITIONS.items():
-    add(f"filter_condition_{_n}", lambda t, n=_n: kpi.condition(t.fact, n).select("pegawai_id", "tanggal"), f"SELECT pegawai_id, tanggal FROM {{fact}} WHERE {_m} = 1")
-add("filter_any_missing", lambda t: kpi.any_missing(t.fact).agg(F.count_distinct("pegawai_id").alias("people")), "SELECT count(DISTINCT pegawai_id) AS people FROM {fact} WHERE no_checkin_days = 1 OR no_checkout_days = 1")
-add("scope_department", lambda t: kpi.scope(t.fact, "manager", 3).select("pegawai_id", "tanggal"), "SELECT pegawai_id, tanggal FROM {fact} WHERE departemen_id = 3")
-add("attendance_trend", lambda t: kpi.trend(t.fact, A, B), f"SELECT tanggal, CAST(sum(checkin_days) AS BIGINT) AS checkin_days, CAST(sum(checkout_days) AS BIGINT) AS checkout_days FROM {{fact}} WHERE {P} GROUP BY tanggal")
-add("employee_daily_list", lambda t: kpi.employee_list(named(t), A, B),
+    serve(f"filter_condition_{_n}", lambda t, n=_n: kpi.condition(t.fact, n).select("pegawai_id", "tanggal"), f"SELECT pegawai_id, tanggal FROM {{fact}} WHERE {_m} = 1")
+serve("filter_any_missing", lambda t: people.missing_people(t.people), "SELECT count(DISTINCT pegawai_id) AS people FROM {fact} WHERE no_checkin_days = 1 OR no_checkout_days = 1")
+serve("scope_department", lambda t: kpi.scope(t.fact, "manager", 3).select("pegawai_id", "tanggal"), "SELECT pegawai_id, tanggal FROM {fact} WHERE departemen_id = 3")
+serve("attendance_trend", lambda t: kpi.trend(t.fact, A, B), f"SELECT tanggal, CAST(sum(checkin_days) AS BIGINT) AS checkin_days, CAST(sum(checkout_days) AS BIGINT) AS checkout_days FROM {{fact}} WHERE {P} GROUP BY tanggal")
+serve("employee_daily_list", lambda t: kpi.employee_list(named(t), A, B),
     f"""SELECT pegawai_id, coalesce(p_name, 'Employee ' || pegawai_id) AS employee, tanggal, departemen_id, coalesce(d_name, 'Department ' || departemen_id, 'UNKNOWN') AS department, first_checkin_at,
         last_checkout_at, has_masuk, has_pulang, has_valid_leave, has_excused_checkin, has_excused_checkout, perlu_review, NOT is_date_final AS is_provisional
         FROM {NAMED} WHERE {P} AND active_employee_days = 1 ORDER BY tanggal, pegawai_id LIMIT 1000""")
 _R2 = ", ".join(f"round({r.split(' AS ')[0].strip()}, 2) AS {r.split(' AS ')[1]}" for r in RATES.split(", 100.0") for r in ([r] if r.startswith("100.0") else ["100.0" + r]))
-add("department_summary", lambda t: kpi.department_summary(named(t), A, B),
+serve("department_summary", lambda t: kpi.department_summary(named(t), A, B),
     f"""SELECT departemen_id, coalesce(name, 'Department ' || departemen_id, 'UNKNOWN') AS department, {', '.join(R.MEASURES[:6])}, {_R2}, is_provisional FROM
         (SELECT departemen_id, max(d_name) AS name, {SUMS}, bool_or(perlu_review OR NOT is_date_final) AS is_provisional FROM {NAMED} WHERE {P} GROUP BY departemen_id)""")
 COVER = """SELECT CASE WHEN count(*) = 0 THEN 'NO DATA' WHEN bool_or(perlu_review OR NOT is_date_final) THEN 'PROVISIONAL' ELSE 'FINAL' END AS status, min(tanggal) AS first_date, max(tanggal) AS last_date,
     count(DISTINCT tanggal) AS available_dates, 16 AS requested_dates, bool_and(coalesce(population_complete AND curated_delivery_complete, false)) AS is_data_complete
     FROM {fact} LEFT JOIN {date_state} USING (tanggal) WHERE """ + P
-add("date_coverage", lambda t: kpi.coverage(t.fact, t.date_state, A, B), COVER)
-add("data_coverage", lambda t: kpi.coverage(t.fact, t.date_state, A, B), COVER)
+serve("date_coverage", lambda t: kpi.coverage(t.fact, t.date_state, A, B), COVER)
+serve("data_coverage", lambda t: kpi.coverage(t.fact, t.date_state, A, B), COVER)
 _RANK = "SELECT departemen_id, department, affected, eligible, rate, CAST(row_number() OVER (ORDER BY rate DESC, affected DESC, eligible DESC, department, departemen_id NULLS LAST) AS INT) AS rank FROM (SELECT *, round(100.0::DOUBLE * affected / eligible, 2) AS rate FROM (%s) WHERE eligible > 0) ORDER BY rank LIMIT 10"
 _LATE = f"""SELECT departemen_id, coalesce(max(nama_departemen), 'UNKNOWN') AS department, count(DISTINCT pegawai_id) FILTER (is_employee_active AND NOT has_excused_checkin AND lateness_status = 'LATE') AS affected,
     count(DISTINCT pegawai_id) FILTER (is_employee_active AND NOT has_excused_checkin AND lateness_status IN ('LATE', 'ON_TIME')) AS eligible FROM {{late}} WHERE {P} GROUP BY departemen_id"""
-add("rank_lateness", lambda t: kpi.rank_lateness(t.late, A, B), _RANK % _LATE)
-add("topk_departments", lambda t: kpi.rank_lateness(t.late, A, B), _RANK % _LATE)
-add("distinct_people_rate", lambda t: kpi.people_rate(t.late, F.col("lateness_status") == "LATE", F.col("lateness_status").isin("LATE", "ON_TIME"), ["tanggal"]),
+serve("rank_lateness", lambda t: people.rank_departments(t.people, t.dim_departemen, "late_assessed", "assessed", A, B), _RANK % _LATE)
+serve("topk_departments", lambda t: people.rank_departments(t.people, t.dim_departemen, "late_assessed", "assessed", A, B), _RANK % _LATE)
+serve("distinct_people_rate", lambda t: people.people_rate(t.people, "late", "known", ["tanggal"]),
     """SELECT *, round(100.0::DOUBLE * affected / eligible, 2) AS rate FROM (SELECT tanggal, count(DISTINCT pegawai_id) FILTER (lateness_status = 'LATE') AS affected,
        count(DISTINCT pegawai_id) FILTER (lateness_status IN ('LATE', 'ON_TIME')) AS eligible FROM {late} GROUP BY tanggal) WHERE eligible > 0""")
-add("rank_leave", lambda t: kpi.rank_leave(named(t), A, B),
+serve("rank_leave", lambda t: people.rank_departments(t.people, t.dim_departemen, "on_leave", "active", A, B),
     _RANK % f"""SELECT departemen_id, coalesce(max(d_name), 'UNKNOWN') AS department, count(DISTINCT pegawai_id) FILTER (active_employee_days = 1 AND leave_days = 1) AS affected,
     count(DISTINCT pegawai_id) FILTER (active_employee_days = 1) AS eligible FROM {NAMED} WHERE {P} GROUP BY departemen_id""")
-add("missing_rates", lambda t: kpi.missing_rates(t.agg, ["tanggal"]),
+serve("missing_rates", lambda t: kpi.missing_rates(t.agg, ["tanggal"]),
     """SELECT tanggal, 100.0::DOUBLE * sum(no_checkin_days) / nullif(sum(required_checkin_days), 0) AS missing_checkin_rate,
        100.0::DOUBLE * sum(no_checkout_days) / nullif(sum(required_checkout_days), 0) AS missing_checkout_rate FROM {agg} GROUP BY tanggal""")
-add("leave_proportion", lambda t: kpi.leave_proportion(t.agg, ["departemen_key"]), "SELECT departemen_key, 100.0::DOUBLE * sum(leave_days) / nullif(sum(active_employee_days), 0) AS leave_rate FROM {agg} GROUP BY departemen_key")
-add("unique_people_period", lambda t: kpi.unique_people(t.fact, A, B), f"SELECT count(DISTINCT pegawai_id) AS people FROM {{fact}} WHERE active_employee_days = 1 AND {P}")
-add("side_partition", lambda t: kpi.side_partition(t.agg), " UNION ALL ".join(
+serve("leave_proportion", lambda t: kpi.leave_proportion(t.agg, ["departemen_key"]), "SELECT departemen_key, 100.0::DOUBLE * sum(leave_days) / nullif(sum(active_employee_days), 0) AS leave_rate FROM {agg} GROUP BY departemen_key")
+serve("unique_people_period", lambda t: people.unique_people(t.people, A, B), f"SELECT count(DISTINCT pegawai_id) AS people FROM {{fact}} WHERE active_employee_days = 1 AND {P}")
+serve("side_partition", lambda t: kpi.side_partition(t.agg), " UNION ALL ".join(
     f"SELECT '{s}' AS side, '{p}' AS part, CAST(sum({c}) AS BIGINT) AS value FROM {{agg}}" for s in ("checkin", "checkout") for p, c in (("fulfilled", f"required_{s}_present_days"), ("missing", f"no_{s}_days"), ("exempt", f"excused_{s}_days"))))
-add("department_dropdown", lambda t: kpi.department_dropdown(named(t)), f"SELECT departemen_id, coalesce(max(d_name), 'Department ' || departemen_id, 'UNKNOWN') AS department FROM {NAMED} GROUP BY departemen_id")
-add("lateness_coverage", lambda t: kpi.lateness_coverage(t.late, A, B), f"SELECT lateness_status, count(DISTINCT pegawai_id) AS people FROM {{late}} WHERE {P} GROUP BY ALL")
-add("review_workload", lambda t: kpi.review_workload(t.agg), "SELECT " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("review_rows", "excused_checkin_days", "excused_checkout_days", "fact_rows")) + " FROM {agg}")
-add("previous_period_change", lambda t: kpi.previous_period_change(t.fact, dt.date(2024, 1, 15), B),
+serve("department_dropdown", lambda t: kpi.department_dropdown(named(t)), f"SELECT departemen_id, coalesce(max(d_name), 'Department ' || departemen_id, 'UNKNOWN') AS department FROM {NAMED} GROUP BY departemen_id")
+serve("lateness_coverage", lambda t: people.lateness_coverage(t.people, A, B), f"SELECT lateness_status, count(DISTINCT pegawai_id) AS people FROM {{late}} WHERE {P} GROUP BY ALL")
+serve("review_workload", lambda t: kpi.review_workload(t.agg), "SELECT " + ", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in ("review_rows", "excused_checkin_days", "excused_checkout_days", "fact_rows")) + " FROM {agg}")
+serve("previous_period_change", lambda t: kpi.previous_period_change(t.fact, dt.date(2024, 1, 15), B),
     """SELECT a AS rate_now, b AS rate_then, a - b AS change FROM (SELECT 100.0::DOUBLE * sum(checkin_days) FILTER (tanggal >= DATE '2024-01-15') / nullif(sum(active_employee_days) FILTER (tanggal >= DATE '2024-01-15'), 0) AS a,
        100.0::DOUBLE * sum(checkin_days) FILTER (tanggal < DATE '2024-01-15') / nullif(sum(active_employee_days) FILTER (tanggal < DATE '2024-01-15'), 0) AS b
        FROM {fact} WHERE tanggal BETWEEN DATE '2024-01-09' AND DATE '2024-01-20')""")
-add("share_of_total", lambda t: kpi.share_of_total(t.agg), "SELECT departemen_key, CAST(sum(no_checkin_days) AS BIGINT) AS missing, 100.0::DOUBLE * sum(no_checkin_days) / nullif((SELECT sum(no_checkin_days) FROM {agg}), 0) AS share FROM {agg} GROUP BY departemen_key")
+serve("share_of_total", lambda t: kpi.share_of_total(t.agg), "SELECT departemen_key, CAST(sum(no_checkin_days) AS BIGINT) AS missing, 100.0::DOUBLE * sum(no_checkin_days) / nullif((SELECT sum(no_checkin_days) FROM {agg}), 0) AS share FROM {agg} GROUP BY departemen_key")
 _S6 = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in R.MEASURES[:6])
-add("grouping_sets_total", lambda t: kpi.grouping_sets_total(t.dept, DAY), f"SELECT departemen_key, CAST(grouping(departemen_key) AS INT) AS is_total, {_S6} FROM {{dept}} WHERE tanggal = DATE '2024-01-08' GROUP BY ROLLUP (departemen_key)")
-add("limit_ordered", lambda t: t.fact.select("pegawai_id", "tanggal").orderBy("tanggal", "pegawai_id").limit(1000), "SELECT pegawai_id, tanggal FROM {fact} ORDER BY tanggal, pegawai_id LIMIT 1000")
-add("page", lambda t: kpi.page(t.fact.select("pegawai_id", "tanggal"), [F.col("tanggal"), F.col("pegawai_id")], 50, 3), "SELECT pegawai_id, tanggal FROM {fact} ORDER BY tanggal, pegawai_id LIMIT 50 OFFSET 100")
-add("department_search", lambda t: kpi.department_search(mart.department_options(t.dim_departemen), "a"),
+serve("grouping_sets_total", lambda t: kpi.grouping_sets_total(t.dept, DAY), f"SELECT departemen_key, CAST(grouping(departemen_key) AS INT) AS is_total, {_S6} FROM {{dept}} WHERE tanggal = DATE '2024-01-08' GROUP BY ROLLUP (departemen_key)")
+serve("limit_ordered", lambda t: t.fact.select("pegawai_id", "tanggal").orderBy("tanggal", "pegawai_id").limit(1000), "SELECT pegawai_id, tanggal FROM {fact} ORDER BY tanggal, pegawai_id LIMIT 1000")
+serve("page", lambda t: kpi.page(t.fact.select("pegawai_id", "tanggal"), [F.col("tanggal"), F.col("pegawai_id")], 50, 3), "SELECT pegawai_id, tanggal FROM {fact} ORDER BY tanggal, pegawai_id LIMIT 50 OFFSET 100")
+
+
+def third_page(t: Tables) -> DataFrame:
+    """The third page of 50 facts, each page found from the last row of the one before."""
+    order, rows, after = ["tanggal", "pegawai_id"], t.fact.select("pegawai_id", "tanggal"), None
+    for number in (1, 2, 3):
+        page = kpi.page_after(rows, order, after, 50, kpi.page_ends(t.agg, after and after["tanggal"], 50))
+        if number < 3:
+            after = page.orderBy(*(F.desc(c) for c in order)).first().asDict()
+    return page
+
+
+serve("page_after", third_page, "SELECT pegawai_id, tanggal FROM {fact} ORDER BY tanggal, pegawai_id LIMIT 50 OFFSET 100")
+serve("department_search", lambda t: kpi.department_search(mart.department_options(t.dim_departemen), "a"),
     """SELECT departemen_id, nama_departemen FROM (SELECT source_id AS departemen_id, name AS nama_departemen, row_number() OVER (PARTITION BY source_id ORDER BY valid_from DESC, key DESC) AS n FROM {dim_departemen})
        WHERE n = 1 AND contains(lower(nama_departemen), 'a') ORDER BY nama_departemen, departemen_id LIMIT 20""")
-add("legacy_marts_status", lambda t: kpi.legacy_marts(t.fact)["status"], "SELECT tanggal, departemen_key, lateness_status, count(*) AS n FROM {fact} GROUP BY ALL")
-add("legacy_marts_late", lambda t: kpi.legacy_marts(t.fact)["late"], "SELECT tanggal, departemen_key, lateness_status = 'LATE' AS is_late, count(*) AS n FROM {fact} GROUP BY ALL")
-add("legacy_marts_attendance", lambda t: kpi.legacy_marts(t.fact)["attendance"], f"SELECT tanggal, departemen_key, {_S6} FROM {{fact}} GROUP BY ALL")
-
-# What comes after the curated tables and the building of the mart is answered from the mart that is published.
-_names = list(QUERIES)
-SERVED |= {"department_daily", "institution_daily", "institution_sums", "weighted_rate", "department_options", "lateness_employee_daily", *_names[_names.index("kpi_card_" + R.MEASURES[0]) :]}
+serve("legacy_marts_status", lambda t: kpi.legacy_marts(t.fact)["status"], "SELECT tanggal, departemen_key, lateness_status, count(*) AS n FROM {fact} GROUP BY ALL")
+serve("legacy_marts_late", lambda t: kpi.legacy_marts(t.fact)["late"], "SELECT tanggal, departemen_key, lateness_status = 'LATE' AS is_late, count(*) AS n FROM {fact} GROUP BY ALL")
+serve("legacy_marts_attendance", lambda t: kpi.legacy_marts(t.fact)["attendance"], f"SELECT tanggal, departemen_key, {_S6} FROM {{fact}} GROUP BY ALL")
 
-for _module in (scans, relational, views, incremental, profiling, checks, delivery):
+for _module in (scans, relational, views, incremental, profiling, hierarchy, upkeep, checks, delivery, capture):
     for _name, (_f, _sql) in _module.QUERIES.items():
         add(_name, _f, _sql)

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rollcall.functions import rules as R
+from rollcall.sources import export
 from rollcall.sources.scratch import VersionedTables, scratch
 
 
@@ -39,16 +38,6 @@ def read_csv(spark: SparkSession, path: str, of: T.StructType) -> DataFrame:
     return spark.read.schema(of).csv(path, header=True, multiLine=True, escape='"', emptyValue="", nullValue="\\N")
 
 
-def profile_export(sections: dict[str, DataFrame]) -> DataFrame:
-    """Sections of different shapes as (section_no, section, record), each row as JSON that keeps nulls."""
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    parts = [df.select(F.lit(i).alias("section_no"), F.lit(name).alias("section"), record.alias("record")) for i, (name, df) in enumerate(sections.items(), 1)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def json_recordset(df: DataFrame, col: str, of: T.StructType) -> DataFrame:
     """Items of a JSON array as rows; missing keys are null."""
     return df.select(F.inline(F.from_json(col, T.ArrayType(of))))
@@ -80,6 +69,17 @@ def sample_rows(df: DataFrame, percent: float, seed: int = 417) -> DataFrame:
     return df.sample(fraction=percent / 100, seed=seed)
 
 
+def sample_blocks(scan: DataFrame, percent: float, seed: int = 417, rows: int = 256) -> DataFrame:
+    """A reproducible sample of whole blocks: each ``rows`` consecutive rows of a file stay or go together.
+
+    ``scan`` reads Parquet files. A block is drawn by a hash of its file's name, its number and the seed, so the sample is the same
+    however the scan is split. Blocks of a file that aren't drawn are skipped after decoding, not before.
+    """
+    block = F.floor(F.col("_metadata.row_index") / rows).cast("string")
+    drawn = F.conv(F.substr(F.md5(F.concat_ws("/", F.col("_metadata.file_name"), block, F.lit(str(seed)))), F.lit(1), F.lit(8)), 16, 10).cast("double") / float(1 << 32)
+    return scan.where(drawn < percent / 100)
+
+
 def latest_n(df: DataFrame, n: int, key: str = "id") -> DataFrame:
     return df.orderBy(F.desc(key)).limit(n)
 
@@ -103,37 +103,6 @@ def _items(t) -> DataFrame:
     return t.m_pegawai.groupBy("departemen").agg(F.to_json(F.collect_list(one)).alias("items"))
 
 
-_EV = "id, pegawai_id, checktype, CAST(created_at AS STRING) AS created_at, is_wfh, work_code, jadwal_id, jam_masuk, jam_keluar, is_manual"
-#: The sections of the export, by name: queries that both engines run.
-SECTIONS = {
-    "database_info": "SELECT 'attendance' AS database_name, count(*) AS regions FROM {region}",
-    "table_sizes": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {{{n}}}" for n in (
-        "m_pegawai", "m_departemen", "m_shift", "m_jadwal", "m_user", "m_jenis_ijin", "m_tipe_ijin", "m_hari_libur", "t_libur_shift", "t_checkinout", "t_perizinan")),
-    "employee_sample": "SELECT id AS pegawai_id, departemen AS departemen_id, status FROM {m_pegawai} ORDER BY id LIMIT 150",
-    "employee_status_distribution": "SELECT status, count(*) AS employee_count FROM {m_pegawai} GROUP BY status",
-    "department_sample": "SELECT id AS departemen_id, nama_departemen, parent FROM {m_departemen} ORDER BY id LIMIT 150",
-    "shift_sample": "SELECT id AS shift_id, nama AS shift_name, status AS is_active, departemen_id FROM {m_shift} ORDER BY id LIMIT 150",
-    "schedule_sample": """SELECT j.id AS jadwal_id, j.jenis AS shift_id, s.departemen_id, s.nama AS shift_name, s.status AS shift_is_active, j.hari, j.jam_masuk, j.jam_keluar, j.jam_masuk_awal, j.jam_keluar_akhir
-        FROM {m_jadwal} j LEFT JOIN {m_shift} s ON s.id = j.jenis ORDER BY j.id LIMIT 200""",
-    "user_employee_mapping_sample": "SELECT id AS user_id, pegawai_id FROM {m_user} WHERE pegawai_id IS NOT NULL ORDER BY id LIMIT 150",
-    "permission_kind_master": "SELECT id AS jenis_ijin_id, nama, tipe_id FROM {m_jenis_ijin}",
-    "permission_type_master": "SELECT id AS tipe_ijin_id, nama FROM {m_tipe_ijin}",
-    "public_holidays": "SELECT id, CAST(tanggal AS STRING) AS tanggal, keterangan FROM {m_hari_libur}",
-    "employee_shift_holiday_sample": "SELECT id, departemen_id, pegawai_id, CAST(tanggal AS STRING) AS tanggal FROM {t_libur_shift} ORDER BY id DESC LIMIT 100",
-    "attendance_sample_recent_id": f"SELECT {_EV} FROM {{t_checkinout}} ORDER BY id DESC LIMIT 100",
-    "permission_sample_recent_id": "SELECT id, user_id, tipe_ijin, jenis_ijin, approval, CAST(tgl_ijin AS STRING) AS tgl_ijin, CAST(tgl_ijin_sampai AS STRING) AS tgl_ijin_sampai, pegawai_id FROM {t_perizinan} ORDER BY id DESC LIMIT 100",
-    "shift_department_coverage_sample": """SELECT s.departemen_id, count(DISTINCT s.id) AS shift_count, count(DISTINCT j.id) AS schedule_count, count(DISTINCT CASE WHEN s.status THEN s.id END) AS active_shift_count
-        FROM {m_shift} s LEFT JOIN {m_jadwal} j ON j.jenis = s.id GROUP BY s.departemen_id ORDER BY s.departemen_id LIMIT 100""",
-    "transaction_time_ranges": """SELECT 't_checkinout' AS table_name, CAST(min(created_at) AS STRING) AS min_time, CAST(max(created_at) AS STRING) AS max_time FROM (SELECT created_at FROM {t_checkinout} ORDER BY id DESC LIMIT 1000) a
-        UNION ALL SELECT 't_perizinan', CAST(min(tgl_ijin) AS STRING), CAST(max(tgl_ijin) AS STRING) FROM (SELECT tgl_ijin FROM {t_perizinan} ORDER BY id DESC LIMIT 1000) b""",
-}
-
-
-def _sections(t) -> dict[str, DataFrame]:
-    names = lambda sql: set(re.findall(r"{(\w+)}", sql))
-    return {name: t.spark.sql(sql, **{n: t.table(n) for n in names(sql)}) for name, sql in SECTIONS.items()}
-
-
 _NOTES = "CASE id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'a' || chr(13) || chr(10) || '\"b\", c' WHEN 3 THEN 'x' || chr(10) ELSE nama END"
 
 
@@ -172,10 +141,7 @@ QUERIES = {
         lambda t: master_upsert(t.m_pegawai.where("id % 3 = 0").withColumn("nama", F.upper("nama")), t.m_pegawai.where("id % 2 = 0")).select("id", "nama"),
         "SELECT id, CASE WHEN id % 3 = 0 THEN upper(nama) ELSE nama END AS nama FROM {m_pegawai} WHERE id % 3 = 0 OR id % 2 = 0",
     ),
-    "profile_export": (
-        lambda t: profile_export(_sections(t)),
-        " UNION ALL ".join(f"SELECT {i} AS section_no, '{name}' AS section, CAST(to_json(q) AS VARCHAR) AS record FROM ({sql}) q" for i, (name, sql) in enumerate(SECTIONS.items(), 1)),
-    ),
+    "profile_export": (export.profile_export, export.PROFILE_EXPORT_SQL),
     "raw_append_batch": (_appended, "SELECT id, pegawai_id FROM {m_user} WHERE id % 2 = 0 UNION ALL SELECT id, pegawai_id FROM {m_user} WHERE id % 3 = 0"),
     "csv_scan_sink": (_csv, f"SELECT id, {_NOTES} AS note FROM {{m_pegawai}}"),
     "versioned_publish": (
@@ -209,5 +175,10 @@ QUERIES = {
     "calendar_from_facts": (lambda t: calendar_from_facts(t.daily, t.dates), "SELECT DISTINCT tanggal FROM {daily} WHERE tanggal NOT IN (SELECT tanggal FROM {dates})"),
     "latest_n_by_id": (lambda t: latest_n(t.t_checkinout, 500).select("id", "checktype"), "SELECT id, checktype FROM {t_checkinout} ORDER BY id DESC LIMIT 500"),
     "exclude_marked_rows": (lambda t: exclude_marked(t.t_checkinout, ["MIGRASI"]).agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM {t_checkinout} WHERE NOT starts_with(coalesce(keterangan, ''), 'MIGRASI')"),
-    "block_sample": (lambda t: sample_rows(t.t_checkinout, 10.0).select("id"), None),
+    "row_sample": (lambda t: sample_rows(t.t_checkinout, 10.0).select("id"), None),
+    "block_sample": (
+        lambda t: sample_blocks(t.events, 10.0).select(F.col("event_id").alias("id")),
+        """SELECT event_id AS id FROM (SELECT event_id, (row_number() OVER () - 1) // 256 AS block FROM {events})
+           WHERE CAST('0x' || left(md5('events.parquet/' || block || '/417'), 8) AS BIGINT) / 4294967296.0 < 0.1""",
+    ),
 }

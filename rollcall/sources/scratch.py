@@ -21,6 +21,13 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """Cut the lineage: ``df`` as a table in the shared folder."""
+    path = scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Files:
     """Listing and marker files on Spark's file systems, without a job."""
 
@@ -38,6 +45,10 @@ class Files:
     def names(self) -> list[str]:
         return sorted(s.getPath().getName() for s in self.statuses())
 
+    def delete(self) -> None:
+        """The folder or file and all below it; nothing happens where there is none."""
+        self.fs.delete(self.path, True)
+
     def mark(self, name: str) -> None:
         """Create an empty file; an error if it is there."""
         self.fs.create(self._at(f"{self.path}/{name}"), False).close()
@@ -80,18 +91,20 @@ class VersionedTables:
         return [(int(v), f"v{int(v)}-{token}", names.split("+")) for v, token, names in parts]
 
     def version(self) -> int:
-        return max((v for v, _, _ in self._marks()), default=0)
+        """The highest number that was given out; one whose publication failed after that stays unused."""
+        return max(map(int, Files(self.spark, f"{self.path}/numbers").names()), default=0)
 
     def publish(self, tables: dict[str, DataFrame], by: dict[str, list[str]] | None = None) -> int:
         """``by`` names the columns that a table's folders are partitioned by.
 
-        Each publication has folders of its own, so of two that run at once each is whole, and one of them is the newest.
+        Each publication has folders of its own; of two that began with the same version the second one is refused.
         """
         v, token = self.version() + 1, uuid.uuid4().hex
         for name, df in tables.items():
             cols = (by or {}).get(name, [])
             out = df.hint("rebalance", *cols) if cols else df
             out.write.partitionBy(*cols).parquet(f"{self.path}/{name}/v{v}-{token}")
+        Files(self.spark, f"{self.path}/numbers").mark(f"{v:012d}")  # only one gets the number
         Files(self.spark, f"{self.path}/published").mark(f"{v:012d}-{token}-{'+'.join(tables)}")
         return v
 

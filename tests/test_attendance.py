@@ -124,7 +124,7 @@ def test_violations_are_found(spark):
 
 def test_profile_of_no_events(spark):
     t = Tables(spark, SF)
-    none = profiling.event_quality(t.t_checkinout.where("false"), t.m_jadwal, t.m_pegawai, "2024-01-20")
+    none = profiling.event_quality(t.t_checkinout.where("false"), t.m_jadwal, t.m_pegawai, dt.date(2024, 1, 20))
     assert {(r.events, r.observed_events) for r in profiling.impact_sizing(none).collect()} == {("0", 0)}
     assert {r.value for r in profiling.history_profile(none).collect()} <= {"0"}
 
