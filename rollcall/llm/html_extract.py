@@ -506,7 +506,7 @@ def extract_pages(pages: DataFrame, group: int = GROUP) -> DataFrame:
     # The counts are written first: Spark then knows their size, and broadcasts them if they are small.
     counts = materialize(counts, "hosts")
     # One column names the group: pages dealt by host for the join must be dealt anew.
-    g = F.pmod(F.xxhash64("page_id", "url"), F.col("groups")).cast("string")
+    g = F.pmod(F.xxhash64("page_id", "url", "html"), F.col("groups")).cast("string")
     dealt = rows.join(counts, "host").select("page_id", "url", "html", F.concat_ws("#", "host", g).alias("dealt"))
     out = dealt.groupBy("dealt").applyInPandas(_extract_group, schema("page_id bigint, url string, text string"))
     return out.withColumn("n_chars", F.length("text").cast("long"))

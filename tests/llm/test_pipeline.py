@@ -132,6 +132,28 @@ def test_quality(spark, docs, tmp_path):
     assert rows(P.quality_filter(spark, docs, str(none))) == Counter(ROWS)
 
 
+def test_empty_table_is_classified(spark, docs, tmp_path):
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = P.quality_filter(spark, docs.where("false"), str(tmp_path))
+    assert got.count() == 0 and got.columns == docs.columns
+
+
+def test_run(spark):
+    """The whole pipeline on the smallest table: the stages one after the other, each on what the one before kept, and what the last one says of it."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns, held = docs.columns, rows(docs)
+    for name, stage in P.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf).collect(), docs.schema)
+        now = rows(docs)
+        assert docs.columns == columns and set(now) <= set(held), name
+        assert name == "mix to target weights" or now <= held
+        held = now
+    want = Counter((r[0], hashlib.sha256(r[1].encode()).hexdigest()) for r in held.elements())
+    got = rows(P.run(spark, sf).select("doc_id", "decoded_sha256"))
+    assert got == want and sum(got.values()) > 50
+
+
 @pytest.mark.parametrize("stage", [P.exact, P.near, P.mix, P.tokenise])
 def test_empty(spark, docs, stage):
     assert stage(spark, docs.where("false"), "").count() == 0
