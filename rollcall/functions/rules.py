@@ -108,7 +108,8 @@ def mask_identifier(c: Column | str, hidden: int = 5) -> Column:
     return F.concat(F.substr(c, F.lit(1), F.greatest(F.length(c) - hidden, F.lit(0))), F.lit("*" * hidden))
 
 
-_WEEKDAYS = (("senin", "monday", 1), ("selasa", "tuesday", 2), ("rabu", "wednesday", 3), ("kamis", "thursday", 4), ("jumat", "friday", 5), ("sabtu", "saturday", 6), ("minggu", "sunday", 7))
+_WEEKDAYS = (("senin", "monday", 1), ("selasa", "tuesday", 2), ("rabu", "wednesday", 3), ("kamis", "thursday", 4), ("jumat", "friday", 5),
+    ("sabtu", "saturday", 6), ("minggu", "sunday", 7))
 
 
 def weekday(c: Column | str) -> Column:

@@ -14,7 +14,8 @@ IDENTITIES = (
 )
 BOUNDS = (*IDENTITIES, "leave_days < 0", "leave_days > active_employee_days", "checkin_days < required_checkin_present_days", "checkin_days > active_employee_days")
 ROWS = (
-    "has_masuk <> (checkin_event_count > 0)", "has_masuk <> (first_checkin_at is not null)", "has_pulang <> (last_checkout_at is not null)", "has_full_day_leave and not has_valid_leave",
+    "has_masuk <> (checkin_event_count > 0)", "has_masuk <> (first_checkin_at is not null)", "has_pulang <> (last_checkout_at is not null)",
+    "has_full_day_leave and not has_valid_leave",
     "has_partial_day_leave and not has_valid_leave", "has_full_day_leave and not (has_excused_checkin and has_excused_checkout)",
 )
 
@@ -45,7 +46,8 @@ def reconcile_departments(fact: DataFrame, agg: DataFrame, dim: DataFrame) -> Da
     a, came, left = F.coalesce("is_employee_active", F.lit(False)), F.col("has_masuk"), F.col("has_pulang")
     free_in, free_out = F.col("has_excused_checkin"), F.col("has_excused_checkout")
     derived = {
-        "active_employee_days": a, "checkin_days": a & came, "checkout_days": a & left, "no_checkin_days": a & ~free_in & ~came, "no_checkout_days": a & ~free_out & ~left, "leave_days": a & F.col("has_valid_leave"),
+        "active_employee_days": a, "checkin_days": a & came, "checkout_days": a & left, "no_checkin_days": a & ~free_in & ~came,
+        "no_checkout_days": a & ~free_out & ~left, "leave_days": a & F.col("has_valid_leave"),
         "required_checkin_days": a & ~free_in, "required_checkout_days": a & ~free_out, "excused_checkin_days": a & free_in, "excused_checkout_days": a & free_out,
         "required_checkin_present_days": a & ~free_in & came, "required_checkout_present_days": a & ~free_out & left,
     }
@@ -60,7 +62,8 @@ def dimension_lookup_valid(fact: DataFrame, dim_employee: DataFrame, dim_departm
     """Facts whose keys name a dimension row of another source id, or one that isn't in force on the fact's day, or none."""
     out = fact
     for name, dim in (("pegawai", dim_employee), ("departemen", dim_department)):
-        d = dim.select(F.col("key").alias(f"{name}_key"), F.col("source_id").alias(f"_{name}"), F.col("valid_from").alias(f"{name}_from"), F.col("valid_to").alias(f"{name}_to"), F.lit(True).alias(f"{name}_here"))
+        d = dim.select(F.col("key").alias(f"{name}_key"), F.col("source_id").alias(f"_{name}"), F.col("valid_from").alias(f"{name}_from"),
+            F.col("valid_to").alias(f"{name}_to"), F.lit(True).alias(f"{name}_here"))
         out = out.join(d, f"{name}_key", "left")
     bad = {}
     for name in ("pegawai", "departemen"):
@@ -115,7 +118,8 @@ def _pair(t) -> DataFrame:
     return a.join(b, "tanggal").select("tanggal", "n", "hash", "other_n", (F.col("hash") == F.col("other_hash")).alias("equal"))
 
 
-_TEXT = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in ("pegawai_id", "tanggal", "departemen_id", "lateness_status", "lateness_event_id", "leave_days", "checkin_days", "alasan_review")) + ")"
+_TEXT = "concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in ("pegawai_id", "tanggal", "departemen_id", "lateness_status",
+    "lateness_event_id", "leave_days", "checkin_days", "alasan_review")) + ")"
 _PRINT = f"SELECT tanggal, count(*) AS n, CAST(sum(CAST('0x' || substr(md5({_TEXT}), 1, 15) AS HUGEINT)) AS VARCHAR) AS hash FROM {{fact}} %s GROUP BY tanggal"
 _COUNTS = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in R.MEASURES)
 _STORED = "SELECT tanggal, departemen_key, " + ", ".join("CASE WHEN departemen_key % 8 = 3 THEN checkin_days + 1000 ELSE checkin_days END AS checkin_days" if m == "checkin_days" else m for m in R.MEASURES) + ", fact_rows FROM {agg}"
@@ -134,9 +138,11 @@ QUERIES = {
         lambda t: violations(_broken_daily(t), IDENTITIES).select(*KEYS),
         f"SELECT pegawai_id, tanggal FROM (SELECT * REPLACE (no_checkin_days + ({_HIT})::INT AS no_checkin_days) FROM {{daily}}) WHERE " + " OR ".join(IDENTITIES),
     ),
-    "aggregate_bounds": (lambda t: violations(_broken_agg(t), BOUNDS).select("tanggal", "departemen_key"), f"SELECT tanggal, departemen_key FROM ({_MOVED_AGG}) WHERE " + " OR ".join(BOUNDS)),
+    "aggregate_bounds": (lambda t: violations(_broken_agg(t), BOUNDS).select("tanggal", "departemen_key"),
+        f"SELECT tanggal, departemen_key FROM ({_MOVED_AGG}) WHERE " + " OR ".join(BOUNDS)),
     "row_constraints": (
-        lambda t: violations(_broken_fact(t), ROWS).select(*KEYS), f"SELECT pegawai_id, tanggal FROM (SELECT * REPLACE (has_masuk <> ({_HIT}) AS has_masuk) FROM {{fact}}) WHERE " + " OR ".join(f"({r})" for r in ROWS)),
+        lambda t: violations(_broken_fact(t), ROWS).select(*KEYS),
+        f"SELECT pegawai_id, tanggal FROM (SELECT * REPLACE (has_masuk <> ({_HIT}) AS has_masuk) FROM {{fact}}) WHERE " + " OR ".join(f"({r})" for r in ROWS)),
     "grain_unique": (
         lambda t: duplicates(t.fact.select(*KEYS).unionAll(t.fact.where("pegawai_id % 9 = 4").select(*KEYS)), KEYS),
         "SELECT pegawai_id, tanggal, count(*) AS n FROM (SELECT pegawai_id, tanggal FROM {fact} UNION ALL SELECT pegawai_id, tanggal FROM {fact} WHERE pegawai_id % 9 = 4) GROUP BY ALL HAVING count(*) > 1",
@@ -151,13 +157,16 @@ QUERIES = {
     ),
     "reconcile_departments": (
         lambda t: reconcile_departments(t.fact, _broken_agg(t), t.dim_departemen),
-        f"""SELECT x.*, d.source_id AS departemen_id FROM (SELECT *, 'derived' AS side FROM ({_OWN} EXCEPT ALL {_STORED}) UNION ALL SELECT *, 'stored' FROM ({_STORED} EXCEPT ALL {_OWN})) x
+        f"""SELECT x.*, d.source_id AS departemen_id FROM (SELECT *, 'derived' AS side FROM ({_OWN} EXCEPT ALL {_STORED}) UNION ALL SELECT *, 'stored'
+            FROM ({_STORED} EXCEPT ALL {_OWN})) x
             LEFT JOIN {{dim_departemen}} d ON d.key = x.departemen_key""",
     ),
     "dimension_lookup_valid": (
         lambda t: dimension_lookup_valid(_broken_keys(t), t.dim_pegawai, t.dim_departemen),
-        f"""SELECT * FROM (SELECT pegawai_id, tanggal, {_in_force('dim_pegawai', 'pegawai_key', 'pegawai_id')} AS pegawai_wrong, {_in_force('dim_departemen', 'departemen_key', 'departemen_id', 'd.key = 0')} AS departemen_wrong
+        f"""SELECT * FROM (SELECT pegawai_id, tanggal, {_in_force('dim_pegawai', 'pegawai_key', 'pegawai_id')} AS pegawai_wrong,
+            {_in_force('dim_departemen', 'departemen_key', 'departemen_id', 'd.key = 0')} AS departemen_wrong
             FROM ({_MOVED_KEYS}) f) WHERE pegawai_wrong OR departemen_wrong""",
     ),
-    "cohort_coverage": (lambda t: cohort_coverage(t.evday, t.pop, KEYS), "SELECT *, 'missing' AS side FROM (SELECT pegawai_id, tanggal FROM {pop} EXCEPT SELECT pegawai_id, tanggal FROM {evday}) UNION ALL SELECT *, 'extra' FROM (SELECT pegawai_id, tanggal FROM {evday} EXCEPT SELECT pegawai_id, tanggal FROM {pop})"),
+    "cohort_coverage": (lambda t: cohort_coverage(t.evday, t.pop, KEYS),
+        "SELECT *, 'missing' AS side FROM (SELECT pegawai_id, tanggal FROM {pop} EXCEPT SELECT pegawai_id, tanggal FROM {evday}) UNION ALL SELECT *, 'extra' FROM (SELECT pegawai_id, tanggal FROM {evday} EXCEPT SELECT pegawai_id, tanggal FROM {pop})"),
 }

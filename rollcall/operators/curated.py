@@ -161,8 +161,10 @@ def event_summary(events: DataFrame) -> DataFrame:
     decides = checked_in & ~R.false("shift_active")
     rows = events.where("pegawai_id is not null and tanggal_event is not null")
     return rows.groupBy("pegawai_id", F.col("tanggal_event").alias("tanggal")).agg(
-        F.count_if(checked_in).alias("checkin_event_count"), F.count_if(counted & left).alias("checkout_event_count"), F.min(F.when(checked_in, F.col("waktu_event"))).alias("first_checkin_at"),
-        F.max(F.when(counted & left, F.col("waktu_event"))).alias("last_checkout_at"), F.bool_or(counted & R.true("is_manual")).alias("has_manual_event"), F.bool_or(counted & F.col("perlu_review")).alias("e_review"),
+        F.count_if(checked_in).alias("checkin_event_count"), F.count_if(counted & left).alias("checkout_event_count"),
+        F.min(F.when(checked_in, F.col("waktu_event"))).alias("first_checkin_at"),
+        F.max(F.when(counted & left, F.col("waktu_event"))).alias("last_checkout_at"),
+        F.bool_or(counted & R.true("is_manual")).alias("has_manual_event"), F.bool_or(counted & F.col("perlu_review")).alias("e_review"),
         R.distinct_texts(F.when(counted, F.col("alasan_review"))).alias("e_reason"), F.count_if(counted).alias("e_rows"), F.count_if(~resolved).alias("unresolved_count"),
         F.min_by(F.when(decides, first), F.when(decides, order)).alias("first"), F.count_if(checked_in & ~R.false("shift_active")).alias("not_inactive"),
         F.collect_set(F.when(checked_in & active & F.col("shift_id").isNotNull(), F.struct("jam_masuk", "shift_id"))).alias("active_shifts"),
@@ -200,7 +202,8 @@ def unified_daily(population: DataFrame, events: DataFrame, by_leave: DataFrame)
 
     Population and leave are unique by the two keys; events are enriched ones. Each side is shuffled once, by the keys.
     """
-    p = population.select(*KEYS, "departemen_id", "is_employee_active", "population_basis", F.col("perlu_review").alias("p_review"), F.col("alasan_review").alias("p_reason"), F.lit(True).alias("p_here"))
+    p = population.select(*KEYS, "departemen_id", "is_employee_active", "population_basis", F.col("perlu_review").alias("p_review"),
+        F.col("alasan_review").alias("p_reason"), F.lit(True).alias("p_here"))
     v = by_leave.withColumnsRenamed({"perlu_review": "l_review", "alasan_review": "l_reason"})
     d = p.join(event_summary(events), KEYS, "full").join(v, KEYS, "full")
     here, some_open = R.true("p_here"), F.coalesce(F.col("unresolved_count") > 0, F.lit(False))
@@ -210,7 +213,8 @@ def unified_daily(population: DataFrame, events: DataFrame, by_leave: DataFrame)
     d = d.withColumns({
         "checkin_event_count": F.coalesce("checkin_event_count", F.lit(0)), "checkout_event_count": F.coalesce("checkout_event_count", F.lit(0)), **flags,
         "perlu_review": ~here | unknown | R.true("p_review") | R.true("e_review") | R.true("l_review") | some_open,
-        "alasan_review": R.join_texts("p_reason", "e_reason", "l_reason", F.when(~here, "POPULATION_SNAPSHOT_MISSING"), F.when(unknown, "ACTIVE_STATUS_UNKNOWN"), F.when(some_open, "UNRESOLVED_EVENT_ON_CALENDAR_DATE")),
+        "alasan_review": R.join_texts("p_reason", "e_reason", "l_reason", F.when(~here, "POPULATION_SNAPSHOT_MISSING"),
+            F.when(unknown, "ACTIVE_STATUS_UNKNOWN"), F.when(some_open, "UNRESOLVED_EVENT_ON_CALENDAR_DATE")),
         "is_date_final": F.lit(False), "date_assignment_policy": F.lit(R.POLICY),
     })
     d = lateness(d).withColumns({"has_masuk": F.col("checkin_event_count") > 0, "has_pulang": F.col("checkout_event_count") > 0})

@@ -156,7 +156,8 @@ def window_sql(side: str) -> str:
     count = lambda cond, name: f"count(*) FILTER ({cond}) AS {name}"
     nulls = {"schedule_id": "jadwal_id", "schedule": "j_id", "shift": "s_id"} | {x: x for x in dict.fromkeys((low, high, "jam_masuk"))}
     parts = [count("is_manual", "manual"), *(f"count(*) - count({x}) AS no_{n}" for n, x in nulls.items())]
-    parts += [count("j_id IS NOT NULL AND NOT (work_code IS NOT DISTINCT FROM jenis)", "other_code"), count("j_id IS NOT NULL AND NOT (event_dow IS NOT DISTINCT FROM schedule_dow)", "other_weekday")]
+    parts += [count("j_id IS NOT NULL AND NOT (work_code IS NOT DISTINCT FROM jenis)", "other_code"),
+        count("j_id IS NOT NULL AND NOT (event_dow IS NOT DISTINCT FROM schedule_dow)", "other_weekday")]
     parts += [count(f"abs({x} - j_{x}) > 0", f"other_{x}") for x in (low, high)]
     if side == "out":
         parts += [count(f"d = '{k}'", f"day_{n}") for k, n in zip("ref", ("rising", "equal", "falling"), strict=True)]
@@ -165,9 +166,11 @@ def window_sql(side: str) -> str:
     if side == "in":
         parts += ["count(*) - count(s_owner) AS no_owner", count("s_owner IS NOT NULL AND coalesce(p_departemen, -1) <> s_owner", "other_owner")]
     iso = "CASE lower(trim(hari)) " + " ".join(f"WHEN '{x}' THEN {n}" for *spelled, n in R._WEEKDAYS for x in spelled) + " END"  # noqa: SLF001
-    return f"""SELECT coalesce(CAST(year(created_at) AS VARCHAR), 'ALL') AS year, count(*) AS events, min(CAST(created_at AS DATE)) AS first_date, max(CAST(created_at AS DATE)) AS last_date, {", ".join(parts)} FROM
+    return f"""SELECT coalesce(CAST(year(created_at) AS VARCHAR), 'ALL') AS year, count(*) AS events, min(CAST(created_at AS DATE)) AS first_date,
+        max(CAST(created_at AS DATE)) AS last_date, {", ".join(parts)} FROM
         (SELECT *, CASE WHEN w = 'r' THEN CAST(jam >= {low} AS INT) + CAST(jam > {low} AS INT) + CAST(jam >= {high} AS INT) + CAST(jam > {high} AS INT) END AS place FROM
         (SELECT *, {first} AS d, CASE WHEN {first} IN ('', 'r') THEN {span} END AS w FROM
-        (SELECT e.*, isodow(e.created_at) AS event_dow, j.id AS j_id, j.jenis, j.{low} AS j_{low}, j.{high} AS j_{high}, {iso} AS schedule_dow, s.id AS s_id, s.departemen_id AS s_owner, p.departemen AS p_departemen
+        (SELECT e.*, isodow(e.created_at) AS event_dow, j.id AS j_id, j.jenis, j.{low} AS j_{low}, j.{high} AS j_{high}, {iso} AS schedule_dow,
+            s.id AS s_id, s.departemen_id AS s_owner, p.departemen AS p_departemen
          FROM {{t_checkinout}} e LEFT JOIN {{m_jadwal}} j ON j.id = e.jadwal_id LEFT JOIN {{m_shift}} s ON s.id = j.jenis LEFT JOIN {{m_pegawai}} p ON p.id = e.pegawai_id
          WHERE checktype = {1 if side == "in" else 2}))) GROUP BY GROUPING SETS ((year(created_at)), ())"""

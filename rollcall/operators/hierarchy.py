@@ -36,13 +36,15 @@ def hierarchy_chains(units: DataFrame) -> DataFrame:
     unit itself or unknown ends a chain.
     """
     up = F.col("up")
-    rows = _referenced(units).select("id", F.coalesce(up, F.col("id")).alias("at"), F.when(up.isNull(), 0).otherwise(1).cast("long").alias("depth"), up.isNull().alias("ended"), F.col("id").alias("low"))
+    rows = _referenced(units).select("id", F.coalesce(up, F.col("id")).alias("at"), F.when(up.isNull(), 0).otherwise(1).cast("long").alias("depth"),
+        up.isNull().alias("ended"), F.col("id").alias("low"))
     rows = written(rows, "chains")
     left, steps = rows.count(), 1
     while True:
         open_ = rows.where("not ended")
         jump = rows.select(F.col("id").alias("at"), F.col("at").alias("_at"), F.col("depth").alias("_depth"), F.col("ended").alias("_ended"), F.col("low").alias("_low"))
-        moved = open_.join(jump, "at").select("id", F.col("_at").alias("at"), (F.col("depth") + F.col("_depth")).alias("depth"), F.col("_ended").alias("ended"), F.least("low", "_low").alias("low"))
+        moved = open_.join(jump, "at").select("id", F.col("_at").alias("at"), (F.col("depth") + F.col("_depth")).alias("depth"),
+            F.col("_ended").alias("ended"), F.least("low", "_low").alias("low"))
         rows = written(rows.where("ended").unionByName(moved), "chains")
         steps *= 2
         if steps >= left or not rows.where("not ended").limit(1).count():
@@ -63,8 +65,10 @@ CHAINS_SQL = """WITH RECURSIVE n AS (SELECT u.id, p.id AS up FROM {m_unit} u LEF
              SELECT w.id, list_append(w.path, n.up), list_contains(w.path, n.up) FROM walk w JOIN n ON n.id = w.path[-1] WHERE n.up IS NOT NULL AND NOT w.again),
     last AS (SELECT id, max_by(path, len(path)) AS path, bool_or(again) AS again FROM walk GROUP BY id)
     SELECT id, CASE WHEN NOT again THEN 'ROOTED' WHEN path[-1] = id THEN 'CYCLE' ELSE 'INTO_CYCLE' END AS state,
-           CASE WHEN again THEN list_min(path[list_position(path, path[-1]):]) ELSE path[-1] END AS root, CASE WHEN NOT again THEN CAST(len(path) - 1 AS BIGINT) END AS depth FROM last"""
-AUDIT_SQL = """SELECT CASE WHEN d.parent IS NULL THEN 'null' WHEN d.parent = 0 THEN 'zero' WHEN d.parent = d.id THEN 'self' WHEN p.id IS NULL THEN 'orphan' ELSE 'match' END AS reference, count(*) AS n
+           CASE WHEN again THEN list_min(path[list_position(path, path[-1]):]) ELSE path[-1] END AS root, CASE
+               WHEN NOT again THEN CAST(len(path) - 1 AS BIGINT) END AS depth FROM last"""
+AUDIT_SQL = """SELECT CASE WHEN d.parent IS NULL THEN 'null' WHEN d.parent = 0 THEN 'zero' WHEN d.parent = d.id THEN 'self'
+    WHEN p.id IS NULL THEN 'orphan' ELSE 'match' END AS reference, count(*) AS n
     FROM (SELECT id, parent FROM {m_departemen} UNION ALL SELECT id + 100, parent + 100 * CAST(parent > 0 AS INT) FROM {m_unit}) d
     LEFT JOIN (SELECT id FROM {m_departemen} UNION ALL SELECT id + 100 FROM {m_unit}) p ON p.id = d.parent GROUP BY ALL"""
 

@@ -164,9 +164,11 @@ def _changes(t) -> DataFrame:
 
 def _listed(t) -> DataFrame:
     """Batches that list leaves and events; ids occur twice, and deleted ones among the upserts too."""
-    listed = lambda df, entity, batches, gone: df.select((F.col("id") % batches).cast("int").alias("batch_id"), F.lit(entity).alias("entity"), F.array("id", "id", F.lit(None)).alias("upserts"),
+    listed = lambda df, entity, batches, gone: df.select((F.col("id") % batches).cast("int").alias("batch_id"), F.lit(entity).alias("entity"),
+        F.array("id", "id", F.lit(None)).alias("upserts"),
                                                          F.when(gone, F.array("id")).alias("deletes"))
-    return listed(t.t_perizinan.select(F.col("id").cast("long").alias("id")), "LEAVE", 7, F.col("id") % 5 == 0).unionByName(listed(t.t_checkinout.select(F.col("id").cast("long").alias("id")), "EVENT", 11, F.col("id") % 9 == 2))
+    return listed(t.t_perizinan.select(F.col("id").cast("long").alias("id")), "LEAVE", 7,
+        F.col("id") % 5 == 0).unionByName(listed(t.t_checkinout.select(F.col("id").cast("long").alias("id")), "EVENT", 11, F.col("id") % 9 == 2))
 
 
 def _items(t) -> DataFrame:
@@ -221,9 +223,12 @@ _DIRTY = "SELECT DISTINCT tanggal, departemen_key FROM {fact} WHERE pegawai_id %
 
 QUERIES = {
     "mutation_guard": (
-        lambda t: mutation_guard(_batches(t), _closed_days(t), t.m_pegawai).withColumn("master", F.lit("full")).unionByName(mutation_guard(_batches(t), _closed_days(t), t.m_pegawai.where("id < 0")).withColumn("master", F.lit("empty"))),
-        """SELECT batch_id, snapshot_date, master, CASE WHEN snapshot_date IS NULL THEN NULL WHEN day % 3 = 0 THEN 'SNAPSHOT_NOT_TODAY' WHEN coalesce(is_closed, false) THEN 'DATE_CLOSED' WHEN master = 'empty' THEN 'EMPTY_MASTER' END AS refused
-           FROM (SELECT CAST(strftime(tanggal, '%Y%m%d') AS INT) AS batch_id, CASE WHEN day(tanggal) % 7 > 0 THEN tanggal END AS snapshot_date, day(tanggal) AS day, is_closed, unnest(['full', 'empty']) AS master
+        lambda t: mutation_guard(_batches(t), _closed_days(t), t.m_pegawai).withColumn("master",
+            F.lit("full")).unionByName(mutation_guard(_batches(t), _closed_days(t), t.m_pegawai.where("id < 0")).withColumn("master", F.lit("empty"))),
+        """SELECT batch_id, snapshot_date, master, CASE WHEN snapshot_date IS NULL THEN NULL WHEN day % 3 = 0 THEN 'SNAPSHOT_NOT_TODAY'
+            WHEN coalesce(is_closed, false) THEN 'DATE_CLOSED' WHEN master = 'empty' THEN 'EMPTY_MASTER' END AS refused
+           FROM (SELECT CAST(strftime(tanggal, '%Y%m%d') AS INT) AS batch_id, CASE WHEN day(tanggal) % 7 > 0 THEN tanggal END AS snapshot_date,
+               day(tanggal) AS day, is_closed, unnest(['full', 'empty']) AS master
                  FROM {dates} LEFT JOIN {date_state} USING (tanggal))""",
     ),
     "late_correction": (lambda t: _late(t, 0), "SELECT * FROM {daily}"),
@@ -234,44 +239,58 @@ QUERIES = {
     ),
     "latest_payload_per_batch": (
         lambda t: apply_in_order(_outbox(t), KEYS),
-        """SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 3 = 0 THEN 2 ELSE 1 END AS versions, CAST(leave_days + CASE WHEN pegawai_id % 3 = 0 THEN 10 ELSE 0 END AS VARCHAR) AS payload
+        """SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 3 = 0 THEN 2 ELSE 1 END AS versions, CAST(leave_days + CASE
+            WHEN pegawai_id % 3 = 0 THEN 10 ELSE 0 END AS VARCHAR) AS payload
            FROM {daily} WHERE pegawai_id % 5 <> 0""",
     ),
     "manifest_build": (
         lambda t: manifest_build(_listed(t)),
         """SELECT DISTINCT batch_id, entity, id AS source_id, CASE WHEN gone THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM (
-             SELECT CAST(id % 7 AS INT) AS batch_id, 'LEAVE' AS entity, id, id % 5 = 0 AS gone FROM {t_perizinan} UNION ALL SELECT CAST(id % 11 AS INT), 'EVENT', id, id % 9 = 2 FROM {t_checkinout})""",
+             SELECT CAST(id % 7 AS INT) AS batch_id, 'LEAVE' AS entity, id, id % 5 = 0 AS gone FROM {t_perizinan} UNION ALL
+                 SELECT CAST(id % 11 AS INT), 'EVENT', id, id % 9 = 2 FROM {t_checkinout})""",
     ),
-    "manifest_check": (lambda t: manifest_check(_items(t), t.t_perizinan.where("id % 3 <> 0")), "SELECT id AS source_id, CASE WHEN id % 5 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {t_perizinan} WHERE (id % 5 = 0) = (id % 3 <> 0)"),
+    "manifest_check": (lambda t: manifest_check(_items(t), t.t_perizinan.where("id % 3 <> 0")),
+        "SELECT id AS source_id, CASE WHEN id % 5 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {t_perizinan} WHERE (id % 5 = 0) = (id % 3 <> 0)"),
     "changed_rows": (
-        lambda t: changed_rows(t.lv, t.lv.where("perizinan_id % 4 <> 0").withColumn("tipe_ijin", F.when(F.col("perizinan_id") % 7 == 0, 0).otherwise(F.col("tipe_ijin"))), "perizinan_id"),
+        lambda t: changed_rows(t.lv, t.lv.where("perizinan_id % 4 <> 0").withColumn("tipe_ijin", F.when(F.col("perizinan_id") % 7 == 0,
+            0).otherwise(F.col("tipe_ijin"))), "perizinan_id"),
         "SELECT perizinan_id FROM {lv} WHERE perizinan_id % 4 = 0 OR perizinan_id % 7 = 0",
     ),
-    "affected_keys": (lambda t: affected_keys(t.ev, t.lvday), "SELECT pegawai_id, coalesce(tanggal, tanggal_event) AS tanggal FROM {ev} WHERE pegawai_id IS NOT NULL UNION SELECT pegawai_id, tanggal FROM {lvday}"),
+    "affected_keys": (lambda t: affected_keys(t.ev, t.lvday),
+        "SELECT pegawai_id, coalesce(tanggal, tanggal_event) AS tanggal FROM {ev} WHERE pegawai_id IS NOT NULL UNION SELECT pegawai_id, tanggal FROM {lvday}"),
     "capture_changes": (
         _changes,
         """SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 17 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {daily}
            WHERE CASE WHEN pegawai_id % 17 = 0 THEN pegawai_id % 11 <> 0 ELSE pegawai_id % 11 = 0 OR pegawai_id % 13 = 0 END""",
     ),
-    "upsert_changed": (lambda t: upsert_changed(_old_daily(t), t.daily.where("pegawai_id % 13 = 0"), KEYS).select(*KEYS, "leave_days"), "SELECT pegawai_id, tanggal, leave_days FROM {daily} WHERE pegawai_id % 11 <> 0 OR pegawai_id % 13 = 0"),
+    "upsert_changed": (lambda t: upsert_changed(_old_daily(t), t.daily.where("pegawai_id % 13 = 0"), KEYS).select(*KEYS, "leave_days"),
+        "SELECT pegawai_id, tanggal, leave_days FROM {daily} WHERE pegawai_id % 11 <> 0 OR pegawai_id % 13 = 0"),
     "recompute_affected": (
-        lambda t: recompute_affected(affected_keys(t.ev.where("pegawai_id % 3 = 0"), t.pop.where("pegawai_id % 3 = 0"), t.lvday.where("pegawai_id % 3 = 0")), t.pop, t.ev, t.lvday, t.daily.where("pegawai_id % 3 <> 0 or pegawai_id % 2 = 0")),
+        lambda t: recompute_affected(affected_keys(t.ev.where("pegawai_id % 3 = 0"), t.pop.where("pegawai_id % 3 = 0"),
+            t.lvday.where("pegawai_id % 3 = 0")), t.pop, t.ev, t.lvday, t.daily.where("pegawai_id % 3 <> 0 or pegawai_id % 2 = 0")),
         "SELECT * FROM {daily}",
     ),
     "leave_fingerprint": (lambda t: changed_leaves(t.lv, leave_fingerprint(t.lv.where("perizinan_id % 4 <> 0"))), "SELECT perizinan_id FROM {lv} WHERE perizinan_id % 4 = 0"),
-    "population_diff": (lambda t: changed_rows(t.pop.select(F.concat_ws("/", *KEYS).alias("k"), "status_sumber"), t.pop.where("pegawai_id % 4 <> 0").select(F.concat_ws("/", *KEYS).alias("k"), "status_sumber"), "k"), "SELECT pegawai_id || '/' || tanggal AS k FROM {pop} WHERE pegawai_id % 4 = 0"),
+    "population_diff": (lambda t: changed_rows(t.pop.select(F.concat_ws("/", *KEYS).alias("k"), "status_sumber"),
+        t.pop.where("pegawai_id % 4 <> 0").select(F.concat_ws("/", *KEYS).alias("k"), "status_sumber"), "k"),
+            "SELECT pegawai_id || '/' || tanggal AS k FROM {pop} WHERE pegawai_id % 4 = 0"),
     "dirty_partitions": (lambda t: _delivered(t, "dirty"), _DIRTY),
     "rebuild_partitions": (lambda t: _delivered(t, "agg").select("tanggal", "departemen_key", *R.MEASURES[:3], "fact_rows"),
         "SELECT tanggal, departemen_key, " + ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in R.MEASURES[:3]) + ", count(*) AS fact_rows FROM {fact} WHERE pegawai_id % 17 <> 0 GROUP BY ALL"),
-    "delivery_apply": (lambda t: _delivered(t, "fact").select(*KEYS, "departemen_key", "leave_days"), "SELECT pegawai_id, tanggal, departemen_key, leave_days FROM {fact} WHERE pegawai_id % 17 <> 0"),
+    "delivery_apply": (lambda t: _delivered(t, "fact").select(*KEYS, "departemen_key", "leave_days"),
+        "SELECT pegawai_id, tanggal, departemen_key, leave_days FROM {fact} WHERE pegawai_id % 17 <> 0"),
     "reset_date_state": (
         lambda t: mart.reset_date_state(t.date_state, t.fact.where("pegawai_id = 21").select("tanggal")),
-        """SELECT coalesce(s.tanggal, d.tanggal) AS tanggal, coalesce(population_complete, false) AND d.tanggal IS NULL AS population_complete, coalesce(curated_delivery_complete, false) AND d.tanggal IS NULL AS curated_delivery_complete,
-           coalesce(is_closed, false) AND d.tanggal IS NULL AS is_closed FROM {date_state} s FULL JOIN (SELECT DISTINCT tanggal FROM {fact} WHERE pegawai_id = 21) d ON d.tanggal = s.tanggal""",
+        """SELECT coalesce(s.tanggal, d.tanggal) AS tanggal, coalesce(population_complete, false) AND d.tanggal IS NULL AS population_complete,
+            coalesce(curated_delivery_complete, false) AND d.tanggal IS NULL AS curated_delivery_complete,
+           coalesce(is_closed, false) AND d.tanggal IS NULL AS is_closed FROM {date_state} s FULL JOIN (SELECT DISTINCT tanggal FROM {fact}
+               WHERE pegawai_id = 21) d ON d.tanggal = s.tanggal""",
     ),
-    "batch_result": (lambda t: _changes(t).groupBy("operation").agg(F.count("*").alias("n")), "SELECT 'DELETE' AS operation, count(*) AS n FROM {daily} WHERE pegawai_id % 17 = 0 AND pegawai_id % 11 <> 0 UNION ALL SELECT 'UPSERT', count(*) FROM {daily} WHERE pegawai_id % 17 <> 0 AND (pegawai_id % 11 = 0 OR pegawai_id % 13 = 0)"),
+    "batch_result": (lambda t: _changes(t).groupBy("operation").agg(F.count("*").alias("n")),
+        "SELECT 'DELETE' AS operation, count(*) AS n FROM {daily} WHERE pegawai_id % 17 = 0 AND pegawai_id % 11 <> 0 UNION ALL SELECT 'UPSERT', count(*) FROM {daily} WHERE pegawai_id % 17 <> 0 AND (pegawai_id % 11 = 0 OR pegawai_id % 13 = 0)"),
     "row_change_audit": (
-        lambda t: row_change_audit(t.m_pegawai.where("id % 5 <> 0"), t.m_pegawai.where("id % 7 <> 0").withColumn("status", F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("status"))), "id", ("created_at",)).select(
+        lambda t: row_change_audit(t.m_pegawai.where("id % 5 <> 0"),
+            t.m_pegawai.where("id % 7 <> 0").withColumn("status", F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("status"))), "id", ("created_at",)).select(
             "id", "action", F.to_json("row_data").alias("old_image"), F.to_json("changed_fields").alias("changed_fields")),
         """SELECT id, CASE WHEN id % 5 = 0 THEN 'I' WHEN id % 7 = 0 THEN 'D' ELSE 'U' END AS action,
              CASE WHEN id % 5 <> 0 THEN CAST(json_object('nama', nama, 'departemen', CAST(departemen AS VARCHAR), 'status', CAST(status AS VARCHAR)) AS VARCHAR) END AS old_image,

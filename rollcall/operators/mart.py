@@ -75,7 +75,8 @@ def department_daily(agg: DataFrame, dim_department: DataFrame, state: DataFrame
     closed = R.true(F.col("is_closed") & F.col("population_complete") & F.col("curated_delivery_complete"))
     provisional = (F.col("review_rows") > 0) | (F.col("nonfinal_rows") > 0) | ~closed
     out = agg.join(d, "departemen_key").join(state, "tanggal", "left").withColumns(R.rates()).withColumns({"is_data_complete": complete, "is_provisional": provisional})
-    return out.select("tanggal", "departemen_key", "departemen_id", "nama_departemen", *R.MEASURES, "fact_rows", "review_rows", "nonfinal_rows", *R.rates(), "is_data_complete", "is_provisional")
+    return out.select("tanggal", "departemen_key", "departemen_id", "nama_departemen", *R.MEASURES, "fact_rows", "review_rows", "nonfinal_rows",
+        *R.rates(), "is_data_complete", "is_provisional")
 
 
 def institution_daily(departments: DataFrame) -> DataFrame:
@@ -98,7 +99,8 @@ def lateness_employee_daily(fact: DataFrame, dim_department: DataFrame, state: D
     out = fact.join(d, "departemen_key").join(state, "tanggal", "left")
     return out.select(
         "tanggal", "pegawai_id", "departemen_id", R.label("d_name", "departemen_id").alias("nama_departemen"), "is_employee_active", "lateness_status", "lateness_event_id",
-        "lateness_schedule_id", "lateness_reason", "has_excused_checkin", "checkin_event_count", (~closed | ~F.col("is_date_final") | F.col("perlu_review")).alias("is_provisional"),
+        "lateness_schedule_id", "lateness_reason", "has_excused_checkin", "checkin_event_count",
+        (~closed | ~F.col("is_date_final") | F.col("perlu_review")).alias("is_provisional"),
     )
 
 

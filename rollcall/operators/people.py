@@ -21,7 +21,8 @@ def groups(c=F.col) -> dict[str, Column]:
     assessed = R.true("is_employee_active") & ~c("has_excused_checkin")
     known = status.isin("LATE", "ON_TIME")
     return {
-        "active": active, "on_leave": active & (c("leave_days") == 1), "late": status == "LATE", "known": known, "late_assessed": assessed & (status == "LATE"), "assessed": assessed & known,
+        "active": active, "on_leave": active & (c("leave_days") == 1), "late": status == "LATE", "known": known,
+        "late_assessed": assessed & (status == "LATE"), "assessed": assessed & known,
         "missing": (c("no_checkin_days") == 1) | (c("no_checkout_days") == 1), **{f"status_{s}": status == s for s in ("LATE", "ON_TIME", "UNKNOWN", "EXCUSED", "NOT_ASSESSED")},
     }
 

@@ -48,7 +48,8 @@ def employee_view(pegawai: DataFrame, departemen: DataFrame, categories: DataFra
 
 def dim_department(departemen: DataFrame) -> DataFrame:
     """Departments as they are in the source; a parent of 0 or null stays for the audit of references."""
-    return departemen.select(F.col("id").alias("departemen_id_sumber"), F.col("kode").alias("kode_departemen"), "nama_departemen", "kode_lengkap", F.col("parent").alias("parent_id_sumber"))
+    return departemen.select(F.col("id").alias("departemen_id_sumber"), F.col("kode").alias("kode_departemen"), "nama_departemen", "kode_lengkap",
+        F.col("parent").alias("parent_id_sumber"))
 
 
 def dim_employee(pegawai: DataFrame, categories: DataFrame, departments: DataFrame) -> DataFrame:
@@ -57,7 +58,8 @@ def dim_employee(pegawai: DataFrame, categories: DataFrame, departments: DataFra
     d = departments.where("valid_to is null").select(F.col("source_id").alias("departemen"), F.col("key").alias("departemen_key"))
     rows = pegawai.join(c, "status", "left").join(d, "departemen", "left")
     return rows.select(
-        F.col("id").alias("pegawai_id_sumber"), "nip", "nama", F.col("departemen").alias("departemen_id_sumber"), "departemen_key", F.col("status").alias("kategori_id_sumber"), "kategori_pegawai",
+        F.col("id").alias("pegawai_id_sumber"), "nip", "nama", F.col("departemen").alias("departemen_id_sumber"), "departemen_key",
+        F.col("status").alias("kategori_id_sumber"), "kategori_pegawai",
         F.col("jenis_kelamin").alias("jenis_kelamin_kode"), F.col("created_at").alias("source_created_at"), F.lit(None).cast("boolean").alias("status_aktif"),
     )
 
@@ -65,7 +67,8 @@ def dim_employee(pegawai: DataFrame, categories: DataFrame, departments: DataFra
 def dim_leave_kind(jenis: DataFrame, tipe: DataFrame) -> DataFrame:
     """Leave kinds with the name of their type where there is one."""
     t = tipe.select(F.col("id").alias("tipe_id"), F.col("nama").alias("nama_tipe_izin"))
-    return jenis.join(t, "tipe_id", "left").select(F.col("id").alias("jenis_izin_id_sumber"), F.col("nama").alias("nama_jenis_izin"), F.col("tipe_id").alias("tipe_izin_id_sumber"), "nama_tipe_izin")
+    return jenis.join(t, "tipe_id", "left").select(F.col("id").alias("jenis_izin_id_sumber"), F.col("nama").alias("nama_jenis_izin"),
+        F.col("tipe_id").alias("tipe_izin_id_sumber"), "nama_tipe_izin")
 
 
 def join_manifest(raw: DataFrame, items: DataFrame, entity: str) -> DataFrame:
@@ -95,7 +98,8 @@ _CODE = "CASE WHEN id % 9 = 8 THEN concat('HAPUS', nama_departemen) ELSE concat(
 _UNITS = f"SELECT id, nama_departemen, parent, {_CODE} AS kode, concat(substr(nama_departemen, 1, 1), ' - ', nama_departemen) AS kode_lengkap FROM {{m_departemen}}"
 _STAFF = """SELECT id, nama, departemen, status, created_at, lpad(CAST(id * 7919 AS STRING), 18, '19') AS nip, CASE WHEN id % 5 < 3 THEN id % 5 END AS jenis_kelamin,
     CASE WHEN id % 4 > 0 THEN CAST(id % 4 AS STRING) END AS other_attr FROM {m_pegawai}"""
-_MANIFEST = """SELECT id AS source_id, CASE WHEN id % 3 = 0 THEN 'LEAVE' ELSE 'EVENT' END AS entity, CASE WHEN id % 7 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation FROM {t_perizinan}
+_MANIFEST = """SELECT id AS source_id, CASE WHEN id % 3 = 0 THEN 'LEAVE' ELSE 'EVENT' END AS entity, CASE WHEN id % 7 = 0 THEN 'DELETE'
+    ELSE 'UPSERT' END AS operation FROM {t_perizinan}
     UNION ALL SELECT id, 'EVENT', 'UPSERT' FROM {t_perizinan} WHERE id % 10 = 1"""
 _START, _END, _MONDAY = dt.date(2024, 1, 5), dt.date(2024, 1, 20), dt.date(2024, 1, 8)
 
@@ -116,8 +120,10 @@ def _case(of: str, labels: dict, other: str) -> str:
 QUERIES = {
     "attendance_detail_view": (
         lambda t: attendance_detail(t.t_checkinout, _staff(t), _units(t), _START, _END),
-        f"""SELECT CAST(e.created_at AS DATE) AS tanggal, e.created_at AS waktu_absen, concat(substr(nip, 1, length(nip) - 5), '*****') AS nip, nama, pegawai_id, {_case('p.status', CATEGORY, 'Tidak Diketahui')} AS status,
-            {_case('jenis_kelamin', SEX, '-')} AS jenis_kelamin, kode AS kode_departemen, kode_lengkap AS departemen, {_case('checktype', KIND, 'Lainnya')} AS jenis_absen, work_code, jadwal_id, jam_masuk, jam_keluar,
+        f"""SELECT CAST(e.created_at AS DATE) AS tanggal, e.created_at AS waktu_absen, concat(substr(nip, 1, length(nip) - 5), '*****') AS nip, nama,
+            pegawai_id, {_case('p.status', CATEGORY, 'Tidak Diketahui')} AS status,
+            {_case('jenis_kelamin', SEX, '-')} AS jenis_kelamin, kode AS kode_departemen, kode_lengkap AS departemen,
+                {_case('checktype', KIND, 'Lainnya')} AS jenis_absen, work_code, jadwal_id, jam_masuk, jam_keluar,
             jam_masuk_awal, jam_keluar_akhir, is_wfh, is_manual, {_case('other_attr', PLATFORM, '-')} AS platform
             FROM {{t_checkinout}} e JOIN ({_STAFF}) p ON p.id = e.pegawai_id JOIN ({_UNITS}) d ON d.id = p.departemen
             WHERE e.created_at >= TIMESTAMP '{_START} 00:00:00' AND e.created_at < TIMESTAMP '{_END} 00:00:00'""",
@@ -126,10 +132,12 @@ QUERIES = {
         lambda t: employee_view(_staff(t), _units(t), t.m_previleges),
         f"SELECT p.id AS pegawai_id, nip, nama, kode, kode_lengkap, previleges FROM ({_STAFF}) p, ({_UNITS}) d, {{m_previleges}} c WHERE d.id = p.departemen AND c.id = p.status",
     ),
-    "dim_department": (lambda t: dim_department(_units(t)), f"SELECT id AS departemen_id_sumber, kode AS kode_departemen, nama_departemen, kode_lengkap, parent AS parent_id_sumber FROM ({_UNITS})"),
+    "dim_department": (lambda t: dim_department(_units(t)),
+        f"SELECT id AS departemen_id_sumber, kode AS kode_departemen, nama_departemen, kode_lengkap, parent AS parent_id_sumber FROM ({_UNITS})"),
     "dim_employee": (
         lambda t: dim_employee(_staff(t), t.m_previleges, t.dim_departemen),
-        f"""SELECT p.id AS pegawai_id_sumber, nip, nama, departemen AS departemen_id_sumber, m.key AS departemen_key, status AS kategori_id_sumber, previleges AS kategori_pegawai, jenis_kelamin AS jenis_kelamin_kode,
+        f"""SELECT p.id AS pegawai_id_sumber, nip, nama, departemen AS departemen_id_sumber, m.key AS departemen_key, status AS kategori_id_sumber,
+            previleges AS kategori_pegawai, jenis_kelamin AS jenis_kelamin_kode,
             created_at AS source_created_at, CAST(NULL AS BOOLEAN) AS status_aktif FROM ({_STAFF}) p LEFT JOIN {{m_previleges}} c ON c.id = p.status
             LEFT JOIN {{dim_departemen}} m ON m.source_id = p.departemen AND m.valid_to IS NULL""",
     ),
@@ -145,7 +153,8 @@ QUERIES = {
         lambda t: schedule_for_day(t.m_pegawai, t.m_jadwal, t.m_shift, _MONDAY),
         """SELECT p.id AS pegawai_id, departemen, schedule_id, jam_masuk, jam_keluar FROM {m_pegawai} p LEFT JOIN
            (SELECT DISTINCT ON (departemen_id) departemen_id, j.id AS schedule_id, jam_masuk, jam_keluar FROM {m_jadwal} j JOIN {m_shift} s ON s.id = j.jenis AND s.status
-            WHERE lower(trim(hari)) IN ('senin', 'monday') AND jam_masuk_awal <= jam_masuk AND jam_masuk < jam_keluar AND jam_keluar <= jam_keluar_akhir AND jam_masuk <= 79200000000
+            WHERE lower(trim(hari)) IN ('senin', 'monday') AND jam_masuk_awal <= jam_masuk AND jam_masuk < jam_keluar
+                AND jam_keluar <= jam_keluar_akhir AND jam_masuk <= 79200000000
             ORDER BY departemen_id, jam_masuk, j.id) u ON u.departemen_id = p.departemen""",
     ),
     "array_to_rows": (

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from rollcall.functions import rules as R
 
 CONDITIONS = {
-    "active": "active_employee_days", "checkin": "checkin_days", "checkout": "checkout_days", "no_checkin": "no_checkin_days", "no_checkout": "no_checkout_days", "leave": "leave_days",
+    "active": "active_employee_days", "checkin": "checkin_days", "checkout": "checkout_days", "no_checkin": "no_checkin_days",
+    "no_checkout": "no_checkout_days", "leave": "leave_days",
 }
 
 
@@ -97,7 +98,8 @@ def coverage(fact: DataFrame, state: DataFrame, start: dt.date, end: dt.date) ->
     rows = period(fact, start, end).join(state, "tanggal", "left")
     open_ = F.bool_or(F.col("perlu_review") | ~F.col("is_date_final"))
     return rows.agg(
-        F.when(F.count("*") == 0, "NO DATA").when(open_, "PROVISIONAL").otherwise("FINAL").alias("status"), F.min("tanggal").alias("first_date"), F.max("tanggal").alias("last_date"),
+        F.when(F.count("*") == 0, "NO DATA").when(open_, "PROVISIONAL").otherwise("FINAL").alias("status"), F.min("tanggal").alias("first_date"),
+        F.max("tanggal").alias("last_date"),
         F.count_distinct("tanggal").alias("available_dates"), F.lit((end - start).days + 1).alias("requested_dates"),
         F.bool_and(R.true(F.col("population_complete") & F.col("curated_delivery_complete"))).alias("is_data_complete"),
     )
@@ -105,7 +107,8 @@ def coverage(fact: DataFrame, state: DataFrame, start: dt.date, end: dt.date) ->
 
 def people_rate(rows: DataFrame, affected: Column, eligible: Column, by: list[str]) -> DataFrame:
     """Distinct people affected and eligible, and their rate."""
-    out = rows.groupBy(*by).agg(F.count_distinct(F.when(affected, F.col("pegawai_id"))).alias("affected"), F.count_distinct(F.when(eligible, F.col("pegawai_id"))).alias("eligible"))
+    out = rows.groupBy(*by).agg(F.count_distinct(F.when(affected, F.col("pegawai_id"))).alias("affected"),
+        F.count_distinct(F.when(eligible, F.col("pegawai_id"))).alias("eligible"))
     return out.where("eligible > 0").withColumn("rate", R.rate("affected", "eligible", 2))
 
 
@@ -141,7 +144,8 @@ def rank_leave(named: DataFrame, start, end, department: int | None = None, k: i
 
 def missing_rates(agg: DataFrame, by: list[str]) -> DataFrame:
     sums = agg.groupBy(*by).agg(*(F.sum(m).alias(m) for m in ("no_checkin_days", "no_checkout_days", "required_checkin_days", "required_checkout_days")))
-    return sums.select(*by, R.rate("no_checkin_days", "required_checkin_days").alias("missing_checkin_rate"), R.rate("no_checkout_days", "required_checkout_days").alias("missing_checkout_rate"))
+    return sums.select(*by, R.rate("no_checkin_days", "required_checkin_days").alias("missing_checkin_rate"),
+        R.rate("no_checkout_days", "required_checkout_days").alias("missing_checkout_rate"))
 
 
 def leave_proportion(agg: DataFrame, by: list[str]) -> DataFrame:

@@ -57,7 +57,8 @@ class Tables(Source):
     @cached_property
     def dim_departemen(self) -> DataFrame:
         d, day = self.m_departemen, lambda s: F.lit(s).cast("date")
-        first = d.select((F.col("id") * 2 + 1).cast("long").alias("key"), F.col("id").alias("source_id"), F.col("nama_departemen").alias("name"), day("2023-12-01").alias("valid_from"), day("2024-01-15").alias("valid_to"))
+        first = d.select((F.col("id") * 2 + 1).cast("long").alias("key"), F.col("id").alias("source_id"), F.col("nama_departemen").alias("name"),
+            day("2023-12-01").alias("valid_from"), day("2024-01-15").alias("valid_to"))
         then = d.where("id % 5 <> 4").select((F.col("id") * 2 + 2).cast("long"), "id", F.concat("nama_departemen", F.lit(" B")), day("2024-01-15"), F.lit(None).cast("date"))
         none = self.region.where("r_regionkey = 0").select(F.lit(0).cast("long"), F.lit(None).cast("int"), F.lit("UNKNOWN"), day("1900-01-01"), F.lit(None).cast("date"))
         return first.union(then).union(none)
@@ -65,7 +66,8 @@ class Tables(Source):
     @cached_property
     def dim_pegawai(self) -> DataFrame:
         start = F.when(F.col("id") % 7 == 3, F.lit("2024-01-10")).otherwise("2023-12-01").cast("date")
-        return self.m_pegawai.select(F.col("id").cast("long").alias("key"), F.col("id").alias("source_id"), F.col("nama").alias("name"), start.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
+        return self.m_pegawai.select(F.col("id").cast("long").alias("key"), F.col("id").alias("source_id"), F.col("nama").alias("name"),
+            start.alias("valid_from"), F.lit(None).cast("date").alias("valid_to"))
 
     @cached_property
     def date_state(self) -> DataFrame:
@@ -111,10 +113,10 @@ class Served(Tables):
     """The same tables, with those that dashboards read taken from a published mart.
 
     The mart is built once for a state of the source's files and of this code, and published as a whole: facts in a folder
-    for each date, department-day sums, dimensions and date states. Reading prunes dates and columns.
+    for each date, department-day sums, with their rates and states too, people, dimensions, postings and date states. Reading prunes dates and columns.
     """
 
-    STORED = ("fact", "agg", "people", "dim_departemen", "dim_pegawai", "date_state", "grams_pegawai", "grams_departemen")
+    STORED = ("fact", "agg", "dept", "people", "dim_departemen", "dim_pegawai", "date_state", "grams_pegawai", "grams_departemen")
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
@@ -132,6 +134,7 @@ class Served(Tables):
 
     fact = cached_property(lambda self: self._stored("fact"))
     agg = cached_property(lambda self: self._stored("agg"))
+    dept = cached_property(lambda self: self._stored("dept"))
     people = cached_property(lambda self: self._stored("people"))
     grams_pegawai = cached_property(lambda self: self._stored("grams_pegawai"))
     grams_departemen = cached_property(lambda self: self._stored("grams_departemen"))
@@ -145,6 +148,9 @@ def build_mart(t: Tables, mart_tables: VersionedTables) -> int:
     fact = scratch(t.spark, "fact")
     t.fact.write.parquet(fact)
     written = t.spark.read.parquet(fact)
-    sums = {"agg": mart.department_day_sum(written), "people": people.people_bitmaps(written)}
+    agg = scratch(t.spark, "agg")
+    mart.department_day_sum(written).write.parquet(agg)
+    agg = t.spark.read.parquet(agg)
+    sums = {"agg": agg, "dept": mart.department_daily(agg, t.dim_departemen, t.date_state), "people": people.people_bitmaps(written)}
     stored = {"fact": written, **sums, **{n: getattr(t, n) for n in Served.STORED if n not in ("fact", *sums)}}
     return mart_tables.publish(stored, {"fact": ["tanggal"]})

@@ -136,7 +136,8 @@ def _delivered(t, table: str) -> DataFrame:
     """A mart without some employees of a date and with employees that are to go; one delivery puts both right."""
     store, day = MartStore(t.spark, scratch(t.spark, "mart")), F.col("tanggal") == dt.date(2024, 1, 8)
     fact = written(t.fact, "fact")
-    store.build(fact.where(~day | (F.col("pegawai_id") % 3 > 0)).unionByName(fact.where(day & (F.col("pegawai_id") % 7 == 0)).withColumn("pegawai_id", F.col("pegawai_id") + 1_000_000)))
+    store.build(fact.where(~day | (F.col("pegawai_id") % 3 > 0)).unionByName(fact.where(day & (F.col("pegawai_id") % 7 == 0)).withColumn("pegawai_id",
+        F.col("pegawai_id") + 1_000_000)))
     new = fact.where(day & (F.col("pegawai_id") % 3 == 0)).select(*KEYS, F.lit("UPSERT").alias("operation"))
     gone = fact.where(day & (F.col("pegawai_id") % 7 == 0)).select((F.col("pegawai_id") + 1_000_000).alias("pegawai_id"), "tanggal", F.lit("DELETE").alias("operation"))
     store.deliver(new.unionByName(gone), fact)

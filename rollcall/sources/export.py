@@ -48,7 +48,8 @@ def sections(t) -> dict[str, DataFrame]:
     planned = t.m_jadwal.join(shifts, F.col("jenis") == F.col("_s"), "left")
     of_shift = t.m_jadwal.select(F.col("id").alias("_j"), "jenis")
     coverage = t.m_shift.join(of_shift, F.col("id") == F.col("jenis"), "left").groupBy("departemen_id").agg(
-        F.count_distinct("id").alias("shift_count"), F.count_distinct("_j").alias("schedule_count"), F.count_distinct(F.when(F.col("status"), F.col("id"))).alias("active_shift_count")
+        F.count_distinct("id").alias("shift_count"), F.count_distinct("_j").alias("schedule_count"),
+        F.count_distinct(F.when(F.col("status"), F.col("id"))).alias("active_shift_count")
     )
     return {
         "database_info": t.region.agg(F.count("*").alias("regions")).select(F.lit("attendance").alias("database_name"), "regions"),
@@ -57,7 +58,8 @@ def sections(t) -> dict[str, DataFrame]:
         "employee_status_distribution": t.m_pegawai.groupBy("status").agg(F.count("*").alias("employee_count")),
         "department_sample": pick(first(t.m_departemen, "id", 150), "id>departemen_id nama_departemen parent"),
         "shift_sample": pick(first(t.m_shift, "id", 150), "id>shift_id nama>shift_name status>is_active departemen_id"),
-        "schedule_sample": pick(first(planned, "id", 200), "id>jadwal_id jenis>shift_id departemen_id shift_name shift_is_active hari jam_masuk jam_keluar jam_masuk_awal jam_keluar_akhir"),
+        "schedule_sample": pick(first(planned, "id", 200),
+            "id>jadwal_id jenis>shift_id departemen_id shift_name shift_is_active hari jam_masuk jam_keluar jam_masuk_awal jam_keluar_akhir"),
         "user_employee_mapping_sample": pick(first(t.m_user.where("pegawai_id is not null"), "id", 150), "id>user_id pegawai_id"),
         "permission_kind_master": pick(t.m_jenis_ijin, "id>jenis_ijin_id nama tipe_id"),
         "permission_type_master": pick(t.m_tipe_ijin, "id>tipe_ijin_id nama"),
@@ -73,7 +75,8 @@ def sections(t) -> dict[str, DataFrame]:
 def records(parts: dict[str, DataFrame]) -> DataFrame:
     """``section_no, section, record``: each row as JSON that keeps nulls."""
     record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    return reduce(DataFrame.unionByName, (df.select(F.lit(i).alias("section_no"), F.lit(name).alias("section"), record.alias("record")) for i, (name, df) in enumerate(parts.items(), 1)))
+    return reduce(DataFrame.unionByName, (df.select(F.lit(i).alias("section_no"), F.lit(name).alias("section"), record.alias("record")) for i, (name,
+        df) in enumerate(parts.items(), 1)))
 
 
 def write_ordered(df: DataFrame, path: str, *order: str, files: int | None = None) -> None:
@@ -103,7 +106,8 @@ def _json(table: str, *pairs: str, tail: str = "") -> str:
 _SHIFT_OF = "(SELECT j.*, s.departemen_id, s.nama AS shift_name, s.status AS shift_is_active FROM {m_jadwal} j LEFT JOIN {m_shift} s ON s.id = j.jenis ORDER BY j.id LIMIT 200)"
 _NEWEST = "(SELECT * FROM {%s} ORDER BY id DESC LIMIT %d)"
 _FIRST = "(SELECT * FROM {%s} ORDER BY id LIMIT 150)"
-_COVER = """(SELECT s.departemen_id, count(DISTINCT s.id) AS a, count(DISTINCT j.id) AS b, count(DISTINCT s.id) FILTER (s.status) AS c FROM {m_shift} s LEFT JOIN {m_jadwal} j ON j.jenis = s.id
+_COVER = """(SELECT s.departemen_id, count(DISTINCT s.id) AS a, count(DISTINCT j.id) AS b, count(DISTINCT s.id) FILTER (s.status) AS c
+    FROM {m_shift} s LEFT JOIN {m_jadwal} j ON j.jenis = s.id
     GROUP BY s.departemen_id ORDER BY s.departemen_id LIMIT 100)"""
 _AS_TEXT = "CAST(%s AS VARCHAR) AS %s"
 
@@ -124,7 +128,8 @@ _SQL = {
     "employee_status_distribution": _json("{m_pegawai}", "status", "count(*) AS employee_count", tail="GROUP BY status"),
     "department_sample": _json(_FIRST % "m_departemen", "id AS departemen_id", "nama_departemen", "parent"),
     "shift_sample": _json(_FIRST % "m_shift", "id AS shift_id", "nama AS shift_name", "status AS is_active", "departemen_id"),
-    "schedule_sample": _json(_SHIFT_OF, "id AS jadwal_id", "jenis AS shift_id", "departemen_id", "shift_name", "shift_is_active", "hari", "jam_masuk", "jam_keluar", "jam_masuk_awal", "jam_keluar_akhir"),
+    "schedule_sample": _json(_SHIFT_OF, "id AS jadwal_id", "jenis AS shift_id", "departemen_id", "shift_name", "shift_is_active", "hari", "jam_masuk",
+        "jam_keluar", "jam_masuk_awal", "jam_keluar_akhir"),
     "user_employee_mapping_sample": _json(_FIRST % "m_user", "id AS user_id", "pegawai_id"),  # no user lacks an employee
     "permission_kind_master": _json("{m_jenis_ijin}", "id AS jenis_ijin_id", "nama", "tipe_id"),
     "permission_type_master": _json("{m_tipe_ijin}", "id AS tipe_ijin_id", "nama"),
@@ -137,4 +142,5 @@ _SQL = {
     "shift_department_coverage_sample": _json(_COVER, "departemen_id", "a AS shift_count", "b AS schedule_count", "c AS active_shift_count"),
     "transaction_time_ranges": _range("t_checkinout", "created_at") + " UNION ALL " + _range("t_perizinan", "tgl_ijin"),
 }
-PROFILE_EXPORT_SQL = " UNION ALL ".join(f"SELECT {i} AS section_no, '{name}' AS section, CAST(record AS VARCHAR) AS record FROM ({sql}) q" for i, (name, sql) in enumerate(_SQL.items(), 1))
+PROFILE_EXPORT_SQL = " UNION ALL ".join(f"SELECT {i} AS section_no, '{name}' AS section, CAST(record AS VARCHAR) AS record FROM ({sql}) q" for i,
+    (name, sql) in enumerate(_SQL.items(), 1))

@@ -53,7 +53,8 @@ def calendar(bounds: DataFrame, holidays: DataFrame) -> DataFrame:
     days = bounds.where("first <= last").select(F.explode(F.sequence("first", "last")).alias("tanggal"))
     iso = F.extract(F.lit("DOW_ISO"), d).cast("int")
     out = days.select(
-        d, R.calendar_key(d).alias("key"), F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"), iso.alias("iso_dow"), F.weekofyear(d).alias("iso_week"),
+        d, R.calendar_key(d).alias("key"), F.year(d).alias("year"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"), iso.alias("iso_dow"),
+        F.weekofyear(d).alias("iso_week"),
         F.extract(F.lit("YEAROFWEEK"), d).cast("int").alias("iso_year"), F.quarter(d).alias("quarter"), (iso >= 6).alias("is_weekend"),
     )
     h = holidays.groupBy("tanggal").agg(R.distinct_texts("keterangan").alias("holiday_label"), F.array_sort(F.collect_set("id")).alias("holiday_ids"))
@@ -135,7 +136,8 @@ def _published(t) -> DataFrame:
 
 QUERIES = {
     "raw_extract": (lambda t: raw_extract(t.m_jadwal, "run-1").drop("extracted_at"), "SELECT *, 'run-1' AS pipeline_run_id FROM {m_jadwal}"),
-    "raw_extract_by_manifest": (lambda t: raw_extract_by_manifest(t.t_checkinout, t.t_perizinan.select("id")).select("id", "checktype"), "SELECT id, checktype FROM {t_checkinout} WHERE id IN (SELECT id FROM {t_perizinan})"),
+    "raw_extract_by_manifest": (lambda t: raw_extract_by_manifest(t.t_checkinout, t.t_perizinan.select("id")).select("id", "checktype"),
+        "SELECT id, checktype FROM {t_checkinout} WHERE id IN (SELECT id FROM {t_perizinan})"),
     "project_columns_at_source": (lambda t: t.m_user.select("id", "pegawai_id"), "SELECT id, pegawai_id FROM {m_user}"),
     "master_upsert": (
         lambda t: master_upsert(t.m_pegawai.where("id % 3 = 0").withColumn("nama", F.upper("nama")), t.m_pegawai.where("id % 2 = 0")).select("id", "nama"),
@@ -146,20 +148,26 @@ QUERIES = {
     "csv_scan_sink": (_csv, f"SELECT id, {_NOTES} AS note FROM {{m_pegawai}}"),
     "versioned_publish": (
         _published, "SELECT 'shift 1' AS read, id FROM {m_shift} UNION ALL SELECT 'shift 2', id FROM {m_shift} WHERE status UNION ALL SELECT 'schedule 1', id FROM {m_jadwal}"),
-    "json_recordset_scan": (lambda t: json_recordset(_items(t), "items", _ITEM), "SELECT id AS pegawai_id, nama AS lateness_status, CAST(NULL AS VARCHAR) AS absent FROM {m_pegawai}"),
+    "json_recordset_scan": (lambda t: json_recordset(_items(t), "items", _ITEM),
+        "SELECT id AS pegawai_id, nama AS lateness_status, CAST(NULL AS VARCHAR) AS absent FROM {m_pegawai}"),
     "json_record_populate": (lambda t: json_record(_payloads(t), "payload", _ITEM), "SELECT tanggal, pegawai_id, lateness_status, CAST(NULL AS VARCHAR) AS absent FROM {daily}"),
     "calendar_table": (
-        lambda t: calendar(t.dates.agg(F.date_sub(F.min("tanggal"), 20).alias("first"), F.date_add(F.max("tanggal"), 40).alias("last")), t.m_hari_libur).withColumn("holiday_ids", F.array_join("holiday_ids", ",")),
-        """SELECT CAST(d AS DATE) AS tanggal, CAST(strftime(d, '%Y%m%d') AS INT) AS key, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month, CAST(day(d) AS INT) AS day, CAST(isodow(d) AS INT) AS iso_dow,
-           CAST(week(d) AS INT) AS iso_week, CAST(isoyear(d) AS INT) AS iso_year, CAST(quarter(d) AS INT) AS quarter, isodow(d) >= 6 AS is_weekend, holiday_label, holiday_ids, holiday_ids IS NOT NULL AS is_holiday
+        lambda t: calendar(t.dates.agg(F.date_sub(F.min("tanggal"), 20).alias("first"), F.date_add(F.max("tanggal"), 40).alias("last")),
+            t.m_hari_libur).withColumn("holiday_ids", F.array_join("holiday_ids", ",")),
+        """SELECT CAST(d AS DATE) AS tanggal, CAST(strftime(d, '%Y%m%d') AS INT) AS key, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month,
+            CAST(day(d) AS INT) AS day, CAST(isodow(d) AS INT) AS iso_dow,
+           CAST(week(d) AS INT) AS iso_week, CAST(isoyear(d) AS INT) AS iso_year, CAST(quarter(d) AS INT) AS quarter, isodow(d) >= 6 AS is_weekend,
+               holiday_label, holiday_ids, holiday_ids IS NOT NULL AS is_holiday
            FROM (SELECT unnest(generate_series(CAST(min(tanggal) - 20 AS TIMESTAMP), CAST(max(tanggal) + 40 AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM {dates})
-           LEFT JOIN (SELECT tanggal AS h, string_agg(DISTINCT keterangan, ';' ORDER BY keterangan) AS holiday_label, string_agg(CAST(id AS VARCHAR), ',' ORDER BY id) AS holiday_ids FROM {m_hari_libur} GROUP BY ALL)
+           LEFT JOIN (SELECT tanggal AS h, string_agg(DISTINCT keterangan, ';' ORDER BY keterangan) AS holiday_label, string_agg(CAST(id AS VARCHAR),
+               ',' ORDER BY id) AS holiday_ids FROM {m_hari_libur} GROUP BY ALL)
              ON h = CAST(d AS DATE)""",
     ),
     "calendar_key": (lambda t: t.dates.select("tanggal", R.calendar_key("tanggal").alias("key")), "SELECT tanggal, CAST(strftime(tanggal, '%Y%m%d') AS INT) AS key FROM {dates}"),
     "period_start": (
         lambda t: t.dates.select("tanggal", *(R.period_start_column(p, "tanggal").alias(f"p_{p}") for p in ("3D", "7D", "1M", "3M", "6M", "1Y"))),
-        "SELECT tanggal, tanggal - 2 AS p_3D, tanggal - 6 AS p_7D, " + ", ".join(f"CAST(tanggal - INTERVAL {n} MONTH AS DATE) + 1 AS {p}" for n, p in ((1, "p_1M"), (3, "p_3M"), (6, "p_6M"), (12, "p_1Y"))) + " FROM {dates}",
+        "SELECT tanggal, tanggal - 2 AS p_3D, tanggal - 6 AS p_7D, " + ", ".join(f"CAST(tanggal - INTERVAL {n} MONTH AS DATE) + 1 AS {p}" for n,
+            p in ((1, "p_1M"), (3, "p_3M"), (6, "p_6M"), (12, "p_1Y"))) + " FROM {dates}",
     ),
     "publication_status": (
         lambda t: t.dept.groupBy(R.publication_status("is_provisional").alias("status")).agg(F.count("*").alias("n"), F.sum("fact_rows").alias("fact_rows")),
@@ -168,13 +176,16 @@ QUERIES = {
     "legacy_pair_status": (
         lambda t: t.evday.drop("perlu_review", "alasan_review").join(t.lvsum.select("pegawai_id", "tanggal", "has_valid_leave"), ["pegawai_id", "tanggal"], "full").select(
             "pegawai_id", "tanggal",
-            R.legacy_pair_status(F.col("checkin_event_count"), F.col("checkout_event_count"), F.col("first_checkin_at"), F.col("last_checkout_at"), F.col("schedule_count"), F.col("has_valid_leave")).alias("status")),
-        """SELECT pegawai_id, tanggal, CASE WHEN has_valid_leave THEN 'LEAVE' WHEN checkin_event_count = 1 AND checkout_event_count = 1 AND last_checkout_at >= first_checkin_at AND schedule_count <= 1 THEN 'PAIRED'
+            R.legacy_pair_status(F.col("checkin_event_count"), F.col("checkout_event_count"), F.col("first_checkin_at"), F.col("last_checkout_at"),
+                F.col("schedule_count"), F.col("has_valid_leave")).alias("status")),
+        """SELECT pegawai_id, tanggal, CASE WHEN has_valid_leave THEN 'LEAVE' WHEN checkin_event_count = 1 AND checkout_event_count = 1
+            AND last_checkout_at >= first_checkin_at AND schedule_count <= 1 THEN 'PAIRED'
            ELSE 'REVIEW' END AS status FROM {evday} FULL JOIN {lvsum} USING (pegawai_id, tanggal)""",
     ),
     "calendar_from_facts": (lambda t: calendar_from_facts(t.daily, t.dates), "SELECT DISTINCT tanggal FROM {daily} WHERE tanggal NOT IN (SELECT tanggal FROM {dates})"),
     "latest_n_by_id": (lambda t: latest_n(t.t_checkinout, 500).select("id", "checktype"), "SELECT id, checktype FROM {t_checkinout} ORDER BY id DESC LIMIT 500"),
-    "exclude_marked_rows": (lambda t: exclude_marked(t.t_checkinout, ["MIGRASI"]).agg(F.count("*").alias("n")), "SELECT count(*) AS n FROM {t_checkinout} WHERE NOT starts_with(coalesce(keterangan, ''), 'MIGRASI')"),
+    "exclude_marked_rows": (lambda t: exclude_marked(t.t_checkinout, ["MIGRASI"]).agg(F.count("*").alias("n")),
+        "SELECT count(*) AS n FROM {t_checkinout} WHERE NOT starts_with(coalesce(keterangan, ''), 'MIGRASI')"),
     "row_sample": (lambda t: sample_rows(t.t_checkinout, 10.0).select("id"), None),
     "block_sample": (
         lambda t: sample_blocks(t.events, 10.0).select(F.col("event_id").alias("id")),

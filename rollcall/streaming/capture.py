@@ -107,7 +107,8 @@ def _captured(t) -> DataFrame:
 QUERIES = {
     "capture_stream": (
         _captured,
-        """SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 17 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation, CASE WHEN pegawai_id % 17 <> 0 THEN leave_days END AS leave_days FROM {daily}
+        """SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 17 = 0 THEN 'DELETE' ELSE 'UPSERT' END AS operation, CASE
+            WHEN pegawai_id % 17 <> 0 THEN leave_days END AS leave_days FROM {daily}
            WHERE CASE WHEN pegawai_id % 17 = 0 THEN pegawai_id % 11 <> 0 ELSE pegawai_id % 11 = 0 OR pegawai_id % 13 = 0 END""",
     ),
 }

@@ -172,7 +172,8 @@ class Consumer(_Folder):
         before = {(r["stream_id"], r["sequence"]): r.asDict() for r in seen}
         for e in envelopes:
             stream = e["stream_id"] or ""
-            if e["contract_version"] != CONTRACT or e["kind"] not in ("BOOTSTRAP", "DELTA") or (e["sequence"] or 0) < 1 or len(stream) != 32 or set(stream) - set("0123456789abcdef"):
+            if e["contract_version"] != CONTRACT or e["kind"] not in ("BOOTSTRAP",
+                "DELTA") or (e["sequence"] or 0) < 1 or len(stream) != 32 or set(stream) - set("0123456789abcdef"):
                 raise DeliveryError("invalid envelope")
             r = before.get((stream, e["sequence"]))
             if r:
@@ -191,7 +192,8 @@ class Consumer(_Folder):
         keys = F.from_json("payload", "pegawai_id INT, tanggal DATE", JSON)
         upsert = F.col("operation") == "UPSERT"
         other = upsert & ~(keys["pegawai_id"].eqNullSafe(F.col("pegawai_id")) & keys["tanggal"].eqNullSafe(F.col("tanggal")))
-        shape = F.col("pegawai_id").isNull() | F.col("tanggal").isNull() | ~F.coalesce(F.col("operation").isin("UPSERT", "DELETE"), F.lit(False)) | (upsert == F.col("payload").isNull())
+        shape = F.col("pegawai_id").isNull() | F.col("tanggal").isNull() | ~F.coalesce(F.col("operation").isin("UPSERT", "DELETE"),
+            F.lit(False)) | (upsert == F.col("payload").isNull())
         counts = items.groupBy("sequence").agg(F.count_if(shape).alias("shape"), F.count_if(other).alias("other"), F.count_if(~upsert).alias("deletes"), *_digest())
         counts = {r["sequence"]: r for r in counts.collect()}
         for e in envelopes:

@@ -18,7 +18,7 @@ DAY = dt.date(2024, 1, 8)
 COMPARED = [
     "unified_daily", "institution_daily", "employee_daily_list", "department_summary", "rank_lateness", "previous_period_change", "event_quality_flags", "history_profile", "impact_sizing",
     "checkin_window_profile", "checkout_window_profile", "attendance_detail_view", "dim_employee", "schedule_for_day", "profile_export", "calendar_table", "csv_scan_sink", "versioned_publish",
-    "reconcile_departments", "dimension_lookup_valid", "fingerprint", "row_constraints", "mutation_guard", "late_correction", "latest_payload_per_batch", "recompute_affected", "dense_cohort_number",
+    "hierarchy_chains", "page_after", "filter_search_name", "unique_people_period", "manifest_build", "row_change_audit", "block_sample", "changed_rows_by_digest", "reconcile_departments", "dimension_lookup_valid", "fingerprint", "row_constraints", "mutation_guard", "late_correction", "latest_payload_per_batch", "recompute_affected", "dense_cohort_number",
 ]
 
 
