@@ -130,7 +130,10 @@ _MOVED_KEYS = """SELECT * REPLACE (CASE WHEN pegawai_id % 13 = 5 AND departemen_
 
 
 def _in_force(dim: str, key: str, of: str, any_of: str = "false") -> str:
-    return f"NOT EXISTS (SELECT 1 FROM {{{dim}}} d WHERE d.key = f.{key} AND (d.source_id IS NOT DISTINCT FROM f.{of} OR {any_of}) AND f.tanggal >= d.valid_from AND (d.valid_to IS NULL OR f.tanggal < d.valid_to))"
+    return (
+        f"NOT EXISTS (SELECT 1 FROM {{{dim}}} d WHERE d.key = f.{key} AND (d.source_id IS NOT DISTINCT FROM f.{of} OR {any_of}) "
+        f"AND f.tanggal >= d.valid_from AND (d.valid_to IS NULL OR f.tanggal < d.valid_to))"
+    )
 
 
 QUERIES = {
@@ -145,15 +148,25 @@ QUERIES = {
         f"SELECT pegawai_id, tanggal FROM (SELECT * REPLACE (has_masuk <> ({_HIT}) AS has_masuk) FROM {{fact}}) WHERE " + " OR ".join(f"({r})" for r in ROWS)),
     "grain_unique": (
         lambda t: duplicates(t.fact.select(*KEYS).unionAll(t.fact.where("pegawai_id % 9 = 4").select(*KEYS)), KEYS),
-        "SELECT pegawai_id, tanggal, count(*) AS n FROM (SELECT pegawai_id, tanggal FROM {fact} UNION ALL SELECT pegawai_id, tanggal FROM {fact} WHERE pegawai_id % 9 = 4) GROUP BY ALL HAVING count(*) > 1",
+        (
+            "SELECT pegawai_id, tanggal, count(*) AS n FROM (SELECT pegawai_id, tanggal FROM {fact} UNION ALL SELECT pegawai_id, "
+            "tanggal FROM {fact} WHERE pegawai_id % 9 = 4) GROUP BY ALL HAVING count(*) > 1"
+        ),
     ),
     "population_match": (
         lambda t: population_match(t.daily.withColumn("departemen_id", F.expr(f"CASE WHEN {_HIT} THEN NULL ELSE departemen_id END")), t.pop),
-        f"SELECT d.pegawai_id, d.tanggal FROM {{daily}} d JOIN {{pop}} p USING (pegawai_id, tanggal) WHERE (CASE WHEN d.{_HIT} THEN NULL ELSE d.departemen_id END) IS DISTINCT FROM p.departemen_id OR d.is_employee_active IS DISTINCT FROM p.is_employee_active",
+        (
+            f"SELECT d.pegawai_id, d.tanggal FROM {{daily}} d JOIN {{pop}} p USING (pegawai_id, tanggal) WHERE (CASE "
+            f"WHEN d.{_HIT} THEN NULL ELSE d.departemen_id END) IS DISTINCT FROM p.departemen_id OR d.is_employee_active IS DISTINCT "
+            f"FROM p.is_employee_active"
+        ),
     ),
     "fingerprint": (
         _pair,
-        f"SELECT tanggal, a.n, a.hash, b.n AS other_n, a.hash = b.hash AS equal FROM ({_PRINT % ''}) a JOIN ({_PRINT % "WHERE tanggal < DATE '2024-01-20' OR pegawai_id <> 21"}) b USING (tanggal)",
+        (
+            f"SELECT tanggal, a.n, a.hash, b.n AS other_n, a.hash = b.hash AS equal FROM ({_PRINT % ''}) a "
+            f"JOIN ({_PRINT % "WHERE tanggal < DATE '2024-01-20' OR pegawai_id <> 21"}) b USING (tanggal)"
+        ),
     ),
     "reconcile_departments": (
         lambda t: reconcile_departments(t.fact, _broken_agg(t), t.dim_departemen),
@@ -168,5 +181,8 @@ QUERIES = {
             FROM ({_MOVED_KEYS}) f) WHERE pegawai_wrong OR departemen_wrong""",
     ),
     "cohort_coverage": (lambda t: cohort_coverage(t.evday, t.pop, KEYS),
-        "SELECT *, 'missing' AS side FROM (SELECT pegawai_id, tanggal FROM {pop} EXCEPT SELECT pegawai_id, tanggal FROM {evday}) UNION ALL SELECT *, 'extra' FROM (SELECT pegawai_id, tanggal FROM {evday} EXCEPT SELECT pegawai_id, tanggal FROM {pop})"),
+        (
+            "SELECT *, 'missing' AS side FROM (SELECT pegawai_id, tanggal FROM {pop} EXCEPT SELECT pegawai_id, tanggal FROM {evday}) "
+            "UNION ALL SELECT *, 'extra' FROM (SELECT pegawai_id, tanggal FROM {evday} EXCEPT SELECT pegawai_id, tanggal FROM {pop})"
+        )),
 }

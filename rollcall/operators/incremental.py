@@ -235,7 +235,10 @@ QUERIES = {
     "late_correction_partitions": (lambda t: _late(t, 1), f"SELECT DISTINCT d.tanggal, d.departemen_id FROM {{daily}} d WHERE (d.pegawai_id, d.tanggal) IN {_LATE_KEYS}"),
     "schema_tolerant_payload": (
         lambda t: tolerant_payload(_aged(t), "payload", _PAYLOAD, {"lateness_status": "UNKNOWN"}),
-        "SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 2 = 0 THEN 'UNKNOWN' ELSE lateness_status END AS lateness_status, leave_days, CAST(NULL AS VARCHAR) AS note FROM {daily}",
+        (
+            "SELECT pegawai_id, tanggal, CASE WHEN pegawai_id % 2 = 0 THEN 'UNKNOWN' ELSE lateness_status END AS lateness_status, "
+            "leave_days, CAST(NULL AS VARCHAR) AS note FROM {daily}"
+        ),
     ),
     "latest_payload_per_batch": (
         lambda t: apply_in_order(_outbox(t), KEYS),
@@ -287,7 +290,10 @@ QUERIES = {
                WHERE pegawai_id = 21) d ON d.tanggal = s.tanggal""",
     ),
     "batch_result": (lambda t: _changes(t).groupBy("operation").agg(F.count("*").alias("n")),
-        "SELECT 'DELETE' AS operation, count(*) AS n FROM {daily} WHERE pegawai_id % 17 = 0 AND pegawai_id % 11 <> 0 UNION ALL SELECT 'UPSERT', count(*) FROM {daily} WHERE pegawai_id % 17 <> 0 AND (pegawai_id % 11 = 0 OR pegawai_id % 13 = 0)"),
+        (
+            "SELECT 'DELETE' AS operation, count(*) AS n FROM {daily} WHERE pegawai_id % 17 = 0 AND pegawai_id % 11 <> 0 UNION ALL "
+            "SELECT 'UPSERT', count(*) FROM {daily} WHERE pegawai_id % 17 <> 0 AND (pegawai_id % 11 = 0 OR pegawai_id % 13 = 0)"
+        )),
     "row_change_audit": (
         lambda t: row_change_audit(t.m_pegawai.where("id % 5 <> 0"),
             t.m_pegawai.where("id % 7 <> 0").withColumn("status", F.when(F.col("id") % 3 == 0, 8).otherwise(F.col("status"))), "id", ("created_at",)).select(

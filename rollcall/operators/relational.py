@@ -173,9 +173,17 @@ def leave_view(leaves: DataFrame, jenis: DataFrame) -> DataFrame:
 
 
 _DAYS = "SELECT pegawai_id, tanggal_event AS tanggal, jadwal_id, count(*) FILTER (checktype = 1) AS n_in, count(*) FILTER (checktype = 2) AS n_out FROM {ev} GROUP BY ALL"
-_ISO = "CASE WHEN lower(trim(hari)) IN ('senin', 'monday') THEN 1 WHEN lower(trim(hari)) IN ('selasa', 'tuesday') THEN 2 WHEN lower(trim(hari)) IN ('rabu', 'wednesday') THEN 3 WHEN lower(trim(hari)) IN ('kamis', 'thursday') THEN 4 WHEN lower(trim(hari)) IN ('jumat', 'friday') THEN 5 WHEN lower(trim(hari)) IN ('sabtu', 'saturday') THEN 6 WHEN lower(trim(hari)) IN ('minggu', 'sunday') THEN 7 END"
+_ISO = (
+    "CASE WHEN lower(trim(hari)) IN ('senin', 'monday') THEN 1 WHEN lower(trim(hari)) IN ('selasa', 'tuesday') THEN 2 "
+    "WHEN lower(trim(hari)) IN ('rabu', 'wednesday') THEN 3 WHEN lower(trim(hari)) IN ('kamis', 'thursday') THEN 4 "
+    "WHEN lower(trim(hari)) IN ('jumat', 'friday') THEN 5 WHEN lower(trim(hari)) IN ('sabtu', 'saturday') THEN 6 "
+    "WHEN lower(trim(hari)) IN ('minggu', 'sunday') THEN 7 END"
+)
 _BUCKET = "CASE WHEN n < 5 THEN '0' || n WHEN n < 10 THEN '05-09' WHEN n < 20 THEN '10-19' ELSE '20+' END"
-_GAPS = "SELECT DATE '2023-11-01' AS month FROM {region} WHERE r_regionkey = 0 UNION ALL SELECT DISTINCT CAST(date_trunc('month', created_at) AS DATE) FROM {t_checkinout}"
+_GAPS = (
+    "SELECT DATE '2023-11-01' AS month FROM {region} WHERE r_regionkey = 0 UNION ALL SELECT DISTINCT CAST(date_trunc('month', "
+    "created_at) AS DATE) FROM {t_checkinout}"
+)
 
 
 def report_join_view(reports: DataFrame, user: DataFrame, pegawai: DataFrame, departemen: DataFrame) -> DataFrame:
@@ -222,7 +230,10 @@ def coverage_by_department(shift: DataFrame, jadwal: DataFrame) -> DataFrame:
     )
 
 
-_CODE = "CASE WHEN id % 9 = 8 THEN concat('HAPUS', nama_departemen) WHEN id % 2 = 0 THEN substr(nama_departemen, 1, 3) ELSE concat(substr(nama_departemen, 1, 3), '.', CAST(id AS STRING)) END"
+_CODE = (
+    "CASE WHEN id % 9 = 8 THEN concat('HAPUS', nama_departemen) WHEN id % 2 = 0 THEN substr(nama_departemen, 1, 3) "
+    "ELSE concat(substr(nama_departemen, 1, 3), '.', CAST(id AS STRING)) END"
+)
 _UNITS = f"SELECT id, nama_departemen, {_CODE} AS kode, concat(substr(nama_departemen, 1, 1), ' - ', nama_departemen) AS kode_lengkap FROM {{m_departemen}}"
 _STAFF = [
     "id", "departemen", "status", "id % 2 + 1 AS jenis_kelamin", "CASE WHEN id % 3 = 0 THEN NULL ELSE 'x' END AS foto", "id % 4 AS is_foto_approved",
@@ -268,25 +279,38 @@ QUERIES = {
     ),
     "coverage_by_department": (
         lambda t: coverage_by_department(t.m_shift, t.m_jadwal),
-        "SELECT s.departemen_id, count(DISTINCT s.id) AS shift_count, count(DISTINCT j.id) AS schedule_count, count(DISTINCT s.id) FILTER (s.status) AS active_shift_count FROM {m_shift} s LEFT JOIN {m_jadwal} j ON j.jenis = s.id GROUP BY ALL",
+        (
+            "SELECT s.departemen_id, count(DISTINCT s.id) AS shift_count, count(DISTINCT j.id) AS schedule_count, "
+            "count(DISTINCT s.id) FILTER (s.status) AS active_shift_count FROM {m_shift} s LEFT JOIN {m_jadwal} j ON j.jenis = s.id "
+            "GROUP BY ALL"
+        ),
     ),
     "full_outer_diff": (
         lambda t: full_outer_diff(t.pop.where("pegawai_id % 4 <> 0"),
             t.pop.where("pegawai_id % 5 <> 0").withColumn("status_sumber", F.when(F.col("pegawai_id") % 7 == 0, 0).otherwise(F.col("status_sumber"))), KEYS),
-        "SELECT pegawai_id, tanggal FROM {pop} WHERE (pegawai_id % 4 <> 0) <> (pegawai_id % 5 <> 0) OR (pegawai_id % 4 <> 0 AND pegawai_id % 5 <> 0 AND pegawai_id % 7 = 0)",
+        (
+            "SELECT pegawai_id, tanggal FROM {pop} WHERE (pegawai_id % 4 <> 0) <> (pegawai_id % 5 <> 0) OR (pegawai_id % 4 <> 0 "
+            "AND pegawai_id % 5 <> 0 AND pegawai_id % 7 = 0)"
+        ),
     ),
     "join_schedule_left": (lambda t: t.ev.select("event_id", "jadwal_id", "shift_id", "shift_name"), "SELECT event_id, jadwal_id, shift_id, shift_name FROM {ev}"),
     "join_identity_check": (
         lambda t: t.lv.where(F.contains(F.col("alasan_review"), F.lit("IDENTITY_MISMATCH"))).select("perizinan_id"),
         "SELECT perizinan_id FROM {lv} WHERE contains(alasan_review, 'IDENTITY_MISMATCH')"),
     "self_join_prev_day": (lambda t: previous_day(schedule_days(t.ev)),
-        f"SELECT a.*, b.n_in AS prev_day_in FROM ({_DAYS}) a LEFT JOIN ({_DAYS}) b ON a.pegawai_id IS NOT DISTINCT FROM b.pegawai_id AND a.tanggal = b.tanggal + 1 AND a.jadwal_id IS NOT DISTINCT FROM b.jadwal_id"),
+        (
+            f"SELECT a.*, b.n_in AS prev_day_in FROM ({_DAYS}) a LEFT JOIN ({_DAYS}) b ON a.pegawai_id IS NOT DISTINCT "
+            f"FROM b.pegawai_id AND a.tanggal = b.tanggal + 1 AND a.jadwal_id IS NOT DISTINCT FROM b.jadwal_id"
+        )),
     "cross_totals": (lambda t: cross_totals(t.agg.select("tanggal", "departemen_key", "leave_days"), t.agg.agg(F.sum("leave_days").alias("total"))),
         "SELECT tanggal, departemen_key, leave_days, (SELECT CAST(sum(leave_days) AS BIGINT) FROM {agg}) AS total FROM {agg}"),
     "lateral_values_unpivot": (
         lambda t: unpivot(t.agg.agg(F.sum("leave_days").alias("a"), F.sum("checkin_days").alias("b"), F.sum("fact_rows").alias("c")),
             [("leave", ["a", "c"]), ("checkin", ["b", "c"])], ["value", "denominator"]),
-        "SELECT 'leave' AS metric, CAST(sum(leave_days) AS BIGINT) AS value, CAST(sum(fact_rows) AS BIGINT) AS denominator FROM {agg} UNION ALL SELECT 'checkin', CAST(sum(checkin_days) AS BIGINT), CAST(sum(fact_rows) AS BIGINT) FROM {agg}",
+        (
+            "SELECT 'leave' AS metric, CAST(sum(leave_days) AS BIGINT) AS value, CAST(sum(fact_rows) AS BIGINT) AS denominator "
+            "FROM {agg} UNION ALL SELECT 'checkin', CAST(sum(checkin_days) AS BIGINT), CAST(sum(fact_rows) AS BIGINT) FROM {agg}"
+        ),
     ),
     "not_exists_delete": (lambda t: t.daily.join(t.fact.select(*KEYS), KEYS, "left_anti").select(*KEYS),
         "SELECT pegawai_id, tanggal FROM {daily} EXCEPT SELECT pegawai_id, tanggal FROM {fact}"),
@@ -298,7 +322,11 @@ QUERIES = {
         "SELECT p.id AS pegawai_id, d.tanggal FROM {m_pegawai} p CROSS JOIN {dates} d ANTI JOIN {evday} e ON e.pegawai_id = p.id AND e.tanggal = d.tanggal"),
     "usable_schedule": (
         lambda t: usable_schedules(t.m_jadwal, t.m_shift).select("id", "departemen_id", "iso_dow"),
-        f"SELECT j.id, s.departemen_id, iso_dow FROM (SELECT *, {_ISO} AS iso_dow FROM {{m_jadwal}}) j JOIN {{m_shift}} s ON s.id = j.jenis AND s.status WHERE jam_masuk_awal <= jam_masuk AND jam_masuk < jam_keluar AND jam_keluar <= jam_keluar_akhir AND jam_masuk <= 79200000000 AND iso_dow IS NOT NULL",
+        (
+            f"SELECT j.id, s.departemen_id, iso_dow FROM (SELECT *, {_ISO} AS iso_dow FROM {{m_jadwal}}) j "
+            f"JOIN {{m_shift}} s ON s.id = j.jenis AND s.status WHERE jam_masuk_awal <= jam_masuk AND jam_masuk < jam_keluar "
+            f"AND jam_keluar <= jam_keluar_akhir AND jam_masuk <= 79200000000 AND iso_dow IS NOT NULL"
+        ),
     ),
     "weekday_normalise": (lambda t: t.m_jadwal.select("id", R.weekday("hari").alias("iso_dow")), f"SELECT id, {_ISO} AS iso_dow FROM {{m_jadwal}}"),
     "merge_dim_shift": (
@@ -310,7 +338,10 @@ QUERIES = {
             FROM {{m_jadwal}} j LEFT JOIN {{m_shift}} s ON s.id = j.jenis""",
     ),
     "inout_daily": (lambda t: inout_daily(t.t_checkinout),
-        "SELECT pegawai_id, CAST(created_at AS DATE) AS tanggal, min(created_at) AS first_at, max(created_at) AS last_at FROM {t_checkinout} WHERE pegawai_id IS NOT NULL GROUP BY ALL"),
+        (
+            "SELECT pegawai_id, CAST(created_at AS DATE) AS tanggal, min(created_at) AS first_at, max(created_at) AS last_at "
+            "FROM {t_checkinout} WHERE pegawai_id IS NOT NULL GROUP BY ALL"
+        )),
     "event_employee_view": (
         lambda t: event_employee_view(t.t_checkinout, t.m_pegawai, t.m_departemen),
         """SELECT e.id, e.pegawai_id, concat(substr(p.nama, 1, greatest(length(p.nama) - 5, 0)), '*****') AS masked, d.nama_departemen AS department,
@@ -319,7 +350,11 @@ QUERIES = {
     ),
     "leave_view": (
         lambda t: leave_view(t.t_perizinan, t.m_jenis_ijin),
-        "SELECT l.id, l.pegawai_id, k.nama AS leave_kind, CASE l.tipe_ijin WHEN 1 THEN 'full day' WHEN 2 THEN 'no check-in' WHEN 3 THEN 'no check-out' ELSE '-' END AS scope, CASE WHEN l.approval THEN 'Approved' ELSE '-' END AS approval FROM {t_perizinan} l JOIN {m_jenis_ijin} k ON k.id = l.jenis_ijin",
+        (
+            "SELECT l.id, l.pegawai_id, k.nama AS leave_kind, CASE l.tipe_ijin WHEN 1 THEN 'full day' WHEN 2 THEN 'no check-in' "
+            "WHEN 3 THEN 'no check-out' ELSE '-' END AS scope, CASE WHEN l.approval THEN 'Approved' ELSE '-' END AS approval "
+            "FROM {t_perizinan} l JOIN {m_jenis_ijin} k ON k.id = l.jenis_ijin"
+        ),
     ),
     "approval_category": (
         lambda t: t.t_checkinout.groupBy(R.approval_category().alias("category")).agg(F.count("*").alias("n")),
@@ -339,7 +374,10 @@ QUERIES = {
     "dense_cohort_number": (lambda t: dense_number(t.m_pegawai.select("id", "departemen"), F.col("departemen"), F.col("id")),
         "SELECT id, departemen, row_number() OVER (ORDER BY departemen, id) AS n FROM {m_pegawai}"),
     "rank_within_department": (lambda t: number_within(t.m_pegawai.select("id", "departemen"), ["departemen"], F.col("id")).where("nth <= 3"),
-        "SELECT id, departemen, CAST(nth AS INT) AS nth FROM (SELECT id, departemen, row_number() OVER (PARTITION BY departemen ORDER BY id) AS nth FROM {m_pegawai}) WHERE nth <= 3"),
+        (
+            "SELECT id, departemen, CAST(nth AS INT) AS nth FROM (SELECT id, departemen, row_number() OVER (PARTITION BY departemen "
+            "ORDER BY id) AS nth FROM {m_pegawai}) WHERE nth <= 3"
+        )),
     "distinct_on": (lambda t: first_by(t.t_checkinout.where("pegawai_id is not null"), ["pegawai_id"], F.col("created_at").desc(),
         F.col("id").desc()).select("pegawai_id", "id"),
             "SELECT DISTINCT ON (pegawai_id) pegawai_id, id FROM {t_checkinout} WHERE pegawai_id IS NOT NULL ORDER BY pegawai_id, created_at DESC, id DESC"),
@@ -349,19 +387,32 @@ QUERIES = {
         "SELECT pegawai_id, tanggal FROM {evday} UNION SELECT pegawai_id, tanggal FROM {lvsum}"),
     "except_rows": (lambda t: t.daily.select(*KEYS).subtract(t.fact.select(*KEYS)), "SELECT pegawai_id, tanggal FROM {daily} EXCEPT SELECT pegawai_id, tanggal FROM {fact}"),
     "except_all_both_ways": (lambda t: except_both_ways(t.m_pegawai.select("departemen"), t.m_departemen.select(F.col("id").alias("departemen"))),
-        "SELECT departemen, 'left' AS side FROM (SELECT departemen FROM {m_pegawai} EXCEPT ALL SELECT id FROM {m_departemen}) UNION ALL SELECT id, 'right' FROM (SELECT id FROM {m_departemen} EXCEPT ALL SELECT departemen FROM {m_pegawai})"),
+        (
+            "SELECT departemen, 'left' AS side FROM (SELECT departemen FROM {m_pegawai} EXCEPT ALL SELECT id FROM {m_departemen}) "
+            "UNION ALL SELECT id, 'right' FROM (SELECT id FROM {m_departemen} EXCEPT ALL SELECT departemen FROM {m_pegawai})"
+        )),
     "month_gap_fill": (lambda t: month_gaps(_months(t)),
-        f"SELECT CAST(m AS DATE) AS month FROM (SELECT unnest(generate_series(CAST((SELECT min(month) FROM ({_GAPS})) AS TIMESTAMP), CAST((SELECT max(month) FROM ({_GAPS})) AS TIMESTAMP), INTERVAL 1 MONTH)) AS m) WHERE CAST(m AS DATE) NOT IN (SELECT month FROM ({_GAPS}))"),
+        (
+            f"SELECT CAST(m AS DATE) AS month FROM (SELECT unnest(generate_series(CAST((SELECT min(month) "
+            f"FROM ({_GAPS})) AS TIMESTAMP), CAST((SELECT max(month) FROM ({_GAPS})) AS TIMESTAMP), INTERVAL 1 MONTH)) AS m) "
+            f"WHERE CAST(m AS DATE) NOT IN (SELECT month FROM ({_GAPS}))"
+        )),
     "cross_generate": (lambda t: cross_generate(t.m_pegawai.select("id"), [1, 2]), "SELECT id, unnest([1, 2]) AS side FROM {m_pegawai}"),
     "stable_bucket": (
         lambda t: t.m_pegawai.select("id", R.stable_bucket_number("id", seed="s").alias("bucket"),
             R.stable_bucket(R.stable_bucket_number("id", seed="s"), [("a", 58), ("b", 30), ("c", 12)]).alias("label")),
-        "SELECT id, bucket, CASE WHEN bucket < 58 THEN 'a' WHEN bucket < 88 THEN 'b' ELSE 'c' END AS label FROM (SELECT id, CAST(('0x' || substr(md5(id || '/s'), 1, 8)) AS BIGINT) % 100 AS bucket FROM {m_pegawai})",
+        (
+            "SELECT id, bucket, CASE WHEN bucket < 58 THEN 'a' WHEN bucket < 88 THEN 'b' ELSE 'c' END AS label FROM (SELECT id, "
+            "CAST(('0x' || substr(md5(id || '/s'), 1, 8)) AS BIGINT) % 100 AS bucket FROM {m_pegawai})"
+        ),
     ),
     "histogram_buckets": (
         lambda t: t.t_checkinout.groupBy("pegawai_id",
             F.to_date("created_at").alias("d")).agg(F.count("*").alias("n")).groupBy(R.bucket_of_count("n").alias("bucket")).agg(F.count("*").alias("days")),
-        f"SELECT {_BUCKET} AS bucket, count(*) AS days FROM (SELECT pegawai_id, CAST(created_at AS DATE) AS d, count(*) AS n FROM {{t_checkinout}} GROUP BY ALL) GROUP BY ALL",
+        (
+            f"SELECT {_BUCKET} AS bucket, count(*) AS days FROM (SELECT pegawai_id, CAST(created_at AS DATE) AS d, count(*) AS n "
+            f"FROM {{t_checkinout}} GROUP BY ALL) GROUP BY ALL"
+        ),
     ),
     "distinct_tuple_count": (lambda t: t.ev.agg(F.count_distinct(F.struct("pegawai_id", "tanggal_event")).alias("n")),
         "SELECT count(*) AS n FROM (SELECT DISTINCT pegawai_id, tanggal_event FROM {ev})"),

@@ -130,7 +130,10 @@ QUERIES = {
     ),
     "employee_view": (
         lambda t: employee_view(_staff(t), _units(t), t.m_previleges),
-        f"SELECT p.id AS pegawai_id, nip, nama, kode, kode_lengkap, previleges FROM ({_STAFF}) p, ({_UNITS}) d, {{m_previleges}} c WHERE d.id = p.departemen AND c.id = p.status",
+        (
+            f"SELECT p.id AS pegawai_id, nip, nama, kode, kode_lengkap, previleges FROM ({_STAFF}) p, ({_UNITS}) d, {{m_previleges}} c "
+            f"WHERE d.id = p.departemen AND c.id = p.status"
+        ),
     ),
     "dim_department": (lambda t: dim_department(_units(t)),
         f"SELECT id AS departemen_id_sumber, kode AS kode_departemen, nama_departemen, kode_lengkap, parent AS parent_id_sumber FROM ({_UNITS})"),
@@ -143,7 +146,10 @@ QUERIES = {
     ),
     "dim_leave_kind": (
         lambda t: dim_leave_kind(t.m_jenis_ijin, t.m_tipe_ijin),
-        "SELECT j.id AS jenis_izin_id_sumber, j.nama AS nama_jenis_izin, j.tipe_id AS tipe_izin_id_sumber, k.nama AS nama_tipe_izin FROM {m_jenis_ijin} j LEFT JOIN {m_tipe_ijin} k ON k.id = j.tipe_id",
+        (
+            "SELECT j.id AS jenis_izin_id_sumber, j.nama AS nama_jenis_izin, j.tipe_id AS tipe_izin_id_sumber, "
+            "k.nama AS nama_tipe_izin FROM {m_jenis_ijin} j LEFT JOIN {m_tipe_ijin} k ON k.id = j.tipe_id"
+        ),
     ),
     "join_manifest_inner": (
         lambda t: join_manifest(t.t_checkinout, t.spark.sql(_MANIFEST, t_perizinan=t.t_perizinan), "EVENT").select("id", "pegawai_id", "checktype"),

@@ -49,7 +49,10 @@ def named(t: Tables) -> DataFrame:
     return kpi.with_names(t.fact, t.dim_pegawai, t.dim_departemen)
 
 
-NAMED = "{fact} f JOIN (SELECT key AS pegawai_key, name AS p_name FROM {dim_pegawai}) p USING (pegawai_key) JOIN (SELECT key AS departemen_key, name AS d_name FROM {dim_departemen}) d USING (departemen_key)"
+NAMED = (
+    "{fact} f JOIN (SELECT key AS pegawai_key, name AS p_name FROM {dim_pegawai}) p USING (pegawai_key) "
+    "JOIN (SELECT key AS departemen_key, name AS d_name FROM {dim_departemen}) d USING (departemen_key)"
+)
 
 # Curated tables
 add("event_enrich", lambda t: t.ev, "SELECT * FROM {ev}")
@@ -85,7 +88,10 @@ serve("institution_sums", lambda t: t.inst.select("tanggal", *R.MEASURES, "fact_
 serve("weighted_rate", lambda t: t.dept.agg(R.rate(F.sum("checkin_days"), F.sum("active_employee_days")).alias("rate")),
     "SELECT 100.0::DOUBLE * sum(checkin_days) / nullif(sum(active_employee_days), 0) AS rate FROM {dept}")
 serve("department_options", lambda t: mart.department_options(t.dim_departemen),
-    "SELECT source_id AS departemen_id, name AS nama_departemen FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY valid_from DESC, key DESC) AS n FROM {dim_departemen}) WHERE n = 1")
+    (
+        "SELECT source_id AS departemen_id, name AS nama_departemen FROM (SELECT *, row_number() OVER (PARTITION BY source_id "
+        "ORDER BY valid_from DESC, key DESC) AS n FROM {dim_departemen}) WHERE n = 1"
+    ))
 serve("lateness_employee_daily", lambda t: t.late, "SELECT * FROM {late}")
 add("scd2_lookup", lambda t: mart.scd2_lookup(t.daily.select("pegawai_id", "tanggal", "departemen_id"), t.dim_departemen, "departemen_id", "departemen_key", how="left"),
     """SELECT d.pegawai_id, d.tanggal, d.departemen_id, m.key AS departemen_key FROM {daily} d LEFT JOIN {dim_departemen} m
@@ -117,7 +123,10 @@ serve("filter_search", lambda t: search.search_facts(t, "nation_1").select("pega
     f"SELECT pegawai_id, tanggal FROM {NAMED} WHERE contains(lower(p_name), 'nation_1') OR contains(lower(d_name), 'nation_1')")
 for _n, _text in (("number", "12"), ("name", "000012")):
     serve(f"filter_search_{_n}", lambda t, text=_text: search.search_facts(t, text).select("pegawai_id", "tanggal"),
-        f"SELECT pegawai_id, tanggal FROM {NAMED} WHERE concat_ws('|', pegawai_id, lower(p_name)) LIKE '%{_text}%' OR contains(CAST(departemen_id AS VARCHAR), '{_text}') OR contains(lower(d_name), '{_text}')")
+        (
+            f"SELECT pegawai_id, tanggal FROM {NAMED} WHERE concat_ws('|', pegawai_id, lower(p_name)) LIKE '%{_text}%' "
+            f"OR contains(CAST(departemen_id AS VARCHAR), '{_text}') OR contains(lower(d_name), '{_text}')"
+        ))
 for _n, _m in kpi.CONDITIONS.items():
     serve(f"filter_condition_{_n}", lambda t, n=_n: kpi.condition(t.fact, n).select("pegawai_id", "tanggal"), f"SELECT pegawai_id, tanggal FROM {{fact}} WHERE {_m} = 1")
 serve("filter_any_missing", lambda t: people.missing_people(t.people), "SELECT count(DISTINCT pegawai_id) AS people FROM {fact} WHERE no_checkin_days = 1 OR no_checkout_days = 1")
@@ -140,7 +149,11 @@ COVER = """SELECT CASE WHEN count(*) = 0 THEN 'NO DATA' WHEN bool_or(perlu_revie
     FROM {fact} LEFT JOIN {date_state} USING (tanggal) WHERE """ + P
 serve("date_coverage", lambda t: kpi.coverage(t.fact, t.date_state, A, B), COVER)
 serve("data_coverage", lambda t: kpi.coverage(t.fact, t.date_state, A, B), COVER)
-_RANK = "SELECT departemen_id, department, affected, eligible, rate, CAST(row_number() OVER (ORDER BY rate DESC, affected DESC, eligible DESC, department, departemen_id NULLS LAST) AS INT) AS rank FROM (SELECT *, round(100.0::DOUBLE * affected / eligible, 2) AS rate FROM (%s) WHERE eligible > 0) ORDER BY rank LIMIT 10"
+_RANK = (
+    "SELECT departemen_id, department, affected, eligible, rate, CAST(row_number() OVER (ORDER BY rate DESC, affected DESC, "
+    "eligible DESC, department, departemen_id NULLS LAST) AS INT) AS rank FROM (SELECT *, "
+    "round(100.0::DOUBLE * affected / eligible, 2) AS rate FROM (%s) WHERE eligible > 0) ORDER BY rank LIMIT 10"
+)
 _LATE = f"""SELECT departemen_id, coalesce(max(nama_departemen), 'UNKNOWN') AS department, count(DISTINCT pegawai_id) FILTER (is_employee_active
     AND NOT has_excused_checkin AND lateness_status = 'LATE') AS affected,
     count(DISTINCT pegawai_id) FILTER (is_employee_active AND NOT has_excused_checkin AND lateness_status IN ('LATE', 'ON_TIME')) AS eligible
@@ -174,7 +187,11 @@ serve("previous_period_change", lambda t: kpi.previous_period_change(t.fact, dt.
        100.0::DOUBLE * sum(checkin_days) FILTER (tanggal < DATE '2024-01-15') / nullif(sum(active_employee_days) FILTER (tanggal < DATE '2024-01-15'), 0) AS b
        FROM {fact} WHERE tanggal BETWEEN DATE '2024-01-09' AND DATE '2024-01-20')""")
 serve("share_of_total", lambda t: kpi.share_of_total(t.agg),
-    "SELECT departemen_key, CAST(sum(no_checkin_days) AS BIGINT) AS missing, 100.0::DOUBLE * sum(no_checkin_days) / nullif((SELECT sum(no_checkin_days) FROM {agg}), 0) AS share FROM {agg} GROUP BY departemen_key")
+    (
+        "SELECT departemen_key, CAST(sum(no_checkin_days) AS BIGINT) AS missing, "
+        "100.0::DOUBLE * sum(no_checkin_days) / nullif((SELECT sum(no_checkin_days) FROM {agg}), 0) AS share FROM {agg} "
+        "GROUP BY departemen_key"
+    ))
 _S6 = ", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in R.MEASURES[:6])
 serve("grouping_sets_total", lambda t: kpi.grouping_sets_total(t.dept, DAY),
     f"SELECT departemen_key, CAST(grouping(departemen_key) AS INT) AS is_total, {_S6} FROM {{dept}} WHERE tanggal = DATE '2024-01-08' GROUP BY ROLLUP (departemen_key)")

@@ -103,7 +103,10 @@ def _json(table: str, *pairs: str, tail: str = "") -> str:
     return f"SELECT json_object({keys}) AS record FROM {table} {tail}"
 
 
-_SHIFT_OF = "(SELECT j.*, s.departemen_id, s.nama AS shift_name, s.status AS shift_is_active FROM {m_jadwal} j LEFT JOIN {m_shift} s ON s.id = j.jenis ORDER BY j.id LIMIT 200)"
+_SHIFT_OF = (
+    "(SELECT j.*, s.departemen_id, s.nama AS shift_name, s.status AS shift_is_active FROM {m_jadwal} j LEFT "
+    "JOIN {m_shift} s ON s.id = j.jenis ORDER BY j.id LIMIT 200)"
+)
 _NEWEST = "(SELECT * FROM {%s} ORDER BY id DESC LIMIT %d)"
 _FIRST = "(SELECT * FROM {%s} ORDER BY id LIMIT 150)"
 _COVER = """(SELECT s.departemen_id, count(DISTINCT s.id) AS a, count(DISTINCT j.id) AS b, count(DISTINCT s.id) FILTER (s.status) AS c

@@ -147,7 +147,10 @@ QUERIES = {
     "raw_append_batch": (_appended, "SELECT id, pegawai_id FROM {m_user} WHERE id % 2 = 0 UNION ALL SELECT id, pegawai_id FROM {m_user} WHERE id % 3 = 0"),
     "csv_scan_sink": (_csv, f"SELECT id, {_NOTES} AS note FROM {{m_pegawai}}"),
     "versioned_publish": (
-        _published, "SELECT 'shift 1' AS read, id FROM {m_shift} UNION ALL SELECT 'shift 2', id FROM {m_shift} WHERE status UNION ALL SELECT 'schedule 1', id FROM {m_jadwal}"),
+        _published, (
+            "SELECT 'shift 1' AS read, id FROM {m_shift} UNION ALL SELECT 'shift 2', id FROM {m_shift} WHERE status UNION ALL "
+            "SELECT 'schedule 1', id FROM {m_jadwal}"
+        )),
     "json_recordset_scan": (lambda t: json_recordset(_items(t), "items", _ITEM),
         "SELECT id AS pegawai_id, nama AS lateness_status, CAST(NULL AS VARCHAR) AS absent FROM {m_pegawai}"),
     "json_record_populate": (lambda t: json_record(_payloads(t), "payload", _ITEM), "SELECT tanggal, pegawai_id, lateness_status, CAST(NULL AS VARCHAR) AS absent FROM {daily}"),
@@ -171,7 +174,10 @@ QUERIES = {
     ),
     "publication_status": (
         lambda t: t.dept.groupBy(R.publication_status("is_provisional").alias("status")).agg(F.count("*").alias("n"), F.sum("fact_rows").alias("fact_rows")),
-        "SELECT CASE WHEN is_provisional THEN 'PROVISIONAL' ELSE 'FINAL' END AS status, count(*) AS n, CAST(sum(fact_rows) AS BIGINT) AS fact_rows FROM {dept} GROUP BY ALL",
+        (
+            "SELECT CASE WHEN is_provisional THEN 'PROVISIONAL' ELSE 'FINAL' END AS status, count(*) AS n, "
+            "CAST(sum(fact_rows) AS BIGINT) AS fact_rows FROM {dept} GROUP BY ALL"
+        ),
     ),
     "legacy_pair_status": (
         lambda t: t.evday.drop("perlu_review", "alasan_review").join(t.lvsum.select("pegawai_id", "tanggal", "has_valid_leave"), ["pegawai_id", "tanggal"], "full").select(
