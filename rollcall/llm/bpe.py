@@ -32,9 +32,9 @@ NEAR_CHUNK, NEAR_OVERLAP = 4_096, 128
 #: Pre-tokens whose tokens are kept; when there are more, all are forgotten.
 CACHE = 1_000_000
 #: The same for lists of ids, which are larger and may stay in memory beside other operators' work.
-IDS_CACHE = 400_000
+IDS_CACHE = 100_000
 #: Bytes up to which pre-tokens are merged side by side, and how many at once.
-WIDE, SIDE = 64, 20_000
+WIDE, SIDE = 64, 10_000
 #: Bits of the table of pairs, and a rank that no pair has.
 SLOTS, NONE = 20, np.int64(1 << 40)
 
@@ -365,7 +365,7 @@ PARTS = "row string, doc_id bigint, chunk int, ids array<int>, piece string"
 def _encode(path: str, pattern: str, emit_ids: bool):
     def run(batches):
         c = codec(path, pattern)
-        for batch in sliced(batches, 500):
+        for batch in sliced(batches, 200):
             texts = [c.pieces(body.as_py().decode()) for body in batch.column("body")]
             c.learn(texts)
             rows = []
@@ -373,6 +373,7 @@ def _encode(path: str, pattern: str, emit_ids: bool):
                 ids = c.ids(pieces, learn=False)
                 rows.append((ids if emit_ids else None, *c.digest(ids)))
             yield _encoded(batch.column("doc_id"), rows)
+        c.known = {}  # the worker goes on to other operators' tasks
 
     return run
 
