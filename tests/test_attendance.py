@@ -5,10 +5,11 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from rollcall.functions import rules as R
-from rollcall.operators import checks, curated, incremental, mart, profiling, relational
+from rollcall.operators import checks, curated, incremental, mart, profiling, relational, views
 from rollcall.plans.tables import Served, Tables
 from rollcall.sources import scans
 from rollcall.sources.scratch import VersionedTables, scratch
@@ -132,3 +133,15 @@ def test_profile_of_no_events(spark):
 def test_numbers_without_gaps(spark):
     got = relational.dense_number(spark.range(100).selectExpr("id % 7 as a", "id"), R.F.col("a"), R.F.col("id"), partitions=5).collect()
     assert [r.n for r in sorted(got, key=lambda r: (r.a, r.id))] == list(range(1, 101))
+
+
+@pytest.mark.parametrize("name", ["attendance_detail_view", "employee_view", "dim_employee"])
+def test_employee_numbers_beyond_int_products(spark, name):
+    """Identifiers of employees whose number times 7919 is no INT."""
+    t = Tables(spark, SF)
+    t._tables |= {n: t.table(n).withColumn(c, (F.col(c) + 5_000_000).cast("int")) for n, c in (("m_pegawai", "id"), ("t_checkinout", "pegawai_id"))}  # noqa: SLF001
+    got = views.QUERIES[name][0](t).collect()
+    number = "pegawai_id_sumber" if name == "dim_employee" else "pegawai_id"
+    hidden = 5 if name == "attendance_detail_view" else 0
+    nip = lambda i: ("19" * 9)[: 18 - len(str(i * 7919))] + str(i * 7919)
+    assert got and all(r.nip == nip(r[number])[: 18 - hidden] + "*" * hidden for r in got)
