@@ -14,7 +14,7 @@ from rollcall.plans.tables import Served, Tables
 from rollcall.plans.upkeep import CuratedStore, MartStore
 from rollcall.sources import export, scans
 from rollcall.sources.dated import DatedTables, dates_of
-from rollcall.sources.scratch import scratch, written
+from rollcall.sources.scratch import Files, VersionedTables, scratch, shared_folder, written
 from rollcall.streaming.capture import ChangeCapture
 
 SF = "/root/testdata/sf0.001"
@@ -213,3 +213,26 @@ def test_last_write_wins(spark):
 def test_dates_of_nothing(spark, t):
     assert dates_of(t.daily.where("false")) == []
     assert curated.unified_daily(t.pop.where("false"), t.ev.where("false"), t.lvsum.where("false")).count() == 0
+
+
+def test_mart_is_built_from_what_it_published(spark, t, tmp_path):
+    """Facts are computed and written once; sums and people read them there."""
+    from rollcall.plans.tables import build_mart
+
+    before = set(Files(spark, shared_folder(spark)).names())
+    tables = VersionedTables(spark, str(tmp_path))
+    build_mart(t, tables)
+    assert set(Files(spark, shared_folder(spark)).names()) == before
+    assert set(tables.snapshot()) == set(Served.STORED)
+    assert rows(tables.read("agg")) == rows(mart.department_day_sum(tables.read("fact")))
+    assert rows(tables.read("fact").select(*t.fact.columns)) == rows(t.fact)
+
+
+def test_plans_hold_at_size(spark, t):
+    """No bitmaps before rows have met, no broadcast of employees, and of employees x dates the dates are broadcast."""
+    bits = plan(people.people_bitmaps(t.spark.read.parquet(Served(spark, SF).paths["fact"])))
+    assert "bitmap_construct_agg" not in bits.rsplit("Exchange", 1)[1]
+    fact = plan(mart.fact_daily(written(t.daily, "daily"), t.dim_pegawai, t.dim_departemen))
+    assert "ShuffledHashJoin" in fact and "BroadcastExchange" not in fact.split("ShuffledHashJoin")[1].split("dim_departemen")[0].split("customer")[0]
+    pop = plan(t.pop)
+    assert "BroadcastNestedLoopJoin BuildRight, Cross" in pop
