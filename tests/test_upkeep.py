@@ -3,13 +3,14 @@
 import datetime as dt
 import itertools
 import random
+import types
 
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators import curated, hierarchy, mart, people, search
+from rollcall.operators import curated, hierarchy, incremental, mart, people, search
 from rollcall.operators.incremental import KEYS
-from rollcall.plans import kpi
+from rollcall.plans import kpi, upkeep
 from rollcall.plans.tables import Served, Tables
 from rollcall.plans.upkeep import CuratedStore, MartStore
 from rollcall.sources import export, scans
@@ -236,3 +237,33 @@ def test_plans_hold_at_size(spark, t):
     assert "ShuffledHashJoin" in fact and "BroadcastExchange" not in fact.split("ShuffledHashJoin")[1].split("dim_departemen")[0].split("customer")[0]
     pop = plan(t.pop)
     assert "BroadcastNestedLoopJoin BuildRight, Cross" in pop
+
+
+def test_a_delivery_computes_its_facts_once(spark, t):
+    """All parts of a delivery read staged facts."""
+    assert "customer" not in plan(incremental._delivered(t, "agg"))  # noqa: SLF001
+
+
+def test_deliveries_to_many_employees(spark, t):
+    """Employees beyond a million keep their facts when rows of nobody are delivered away."""
+    some = t.fact.where("pegawai_id < 30")
+    fact = written(some.unionByName(some.withColumn("pegawai_id", F.col("pegawai_id") + 1_000_000)), "fact")
+    got = upkeep._delivered(types.SimpleNamespace(spark=spark, fact=fact), "fact")  # noqa: SLF001
+    assert rows(got.select(*fact.columns)) == rows(fact)
+
+
+def test_capture_keeps_no_images_in_executors(spark):
+    """The stream has no state store; a write older than the acknowledged image counts for nothing."""
+    inbox, path = scratch(spark, "w"), scratch(spark, "c")
+    of = "pegawai_id INT, tanggal DATE, v INT, sequence BIGINT, deleted BOOLEAN"
+
+    def put(n, *writes):
+        spark.createDataFrame([(k, DAY, v, s, False) for k, v, s in writes], of).write.parquet(f"{inbox}/{n}")
+        capture = ChangeCapture(spark, inbox, path, spark.createDataFrame([], of).schema)
+        capture.run()
+        return capture
+
+    c = put(1, (1, 10, 5), (2, 20, 5))
+    c.acknowledge(c.batches())
+    assert [r.pegawai_id for r in put(2, (1, 9, 4), (2, 21, 6)).pending().collect()] == [2]
+    assert "state" not in Files(spark, f"{path}/checkpoint").names()
