@@ -267,3 +267,38 @@ def test_capture_keeps_no_images_in_executors(spark):
     c.acknowledge(c.batches())
     assert [r.pegawai_id for r in put(2, (1, 9, 4), (2, 21, 6)).pending().collect()] == [2]
     assert "state" not in Files(spark, f"{path}/checkpoint").names()
+
+
+def test_corrections_of_both_kinds_are_computed_once(spark, t, monkeypatch):
+    """Events and leaves that are corrected together: dates' daily records are rewritten once, digests are made when asked for."""
+    store, late, moved = CuratedStore(spark, scratch(spark, "c")), F.col("event_id") % 50 == 3, F.col("perizinan_id") % 40 == 1
+    store.build(t.ev.where(~late), t.lvday.withColumn("tanggal", F.when(moved, F.date_add("tanggal", 1)).otherwise(F.col("tanggal"))), t.pop)
+    replaced, replace = [], store.replace
+    monkeypatch.setattr(store, "replace", lambda name, *a: (replaced.append(name), replace(name, *a)))
+    dates = store.correct(t.ev.where(late), t.lvday.where(moved))
+    assert dates and replaced == ["events", "leave_days", "daily"]
+    assert rows(store.read("daily").select(*t.daily.columns)) == rows(t.daily)
+    assert Files(spark, f"{store.path}/daily-digests").names() == []
+    assert store.changed_dates("daily", store.read("daily")) == [] and store.correct() == []
+
+
+def test_digests_go_with_their_rows(spark):
+    """Dates that are replaced or dropped lose their digests, also where the write fails; the others keep theirs."""
+    tables = DatedTables(spark, scratch(spark, "t"), {"x": "tanggal"})
+    df = spark.range(60).select("id", F.date_add(F.lit(DAY), (F.col("id") % 3).cast("int")).alias("tanggal"))
+    a, b = DAY, DAY + dt.timedelta(1)
+    tables.write("x", df)
+    assert rows(tables.digests("x").select("rows")) == [(20,)] * 3
+    kept = Files(spark, f"{tables.path}/x-digests/tanggal={b}").names()
+    with pytest.raises(Exception, match="boom"):
+        tables.replace("x", df.withColumn("id", F.raise_error(F.lit("boom")).cast("long")), [a])
+    tables.replace("x", df.where((F.col("tanggal") == a) & (F.col("id") > 30)), [a])
+    assert Files(spark, f"{tables.path}/x-digests").names().count(f"tanggal={a}") == 0
+    assert rows(tables.digests("x").select("rows")) == [(20,), (20,), (9,)]
+    assert Files(spark, f"{tables.path}/x-digests/tanggal={b}").names() == kept and tables.changed_dates("x", df) == [a]
+
+
+def test_schedules_are_not_broadcast(t):
+    """Schedules and shifts grow with the data; employees are dealt out before they are multiplied by dates."""
+    assert "BroadcastHashJoin" not in plan(t.ev) and plan(t.ev).count("ShuffledHashJoin") == 3
+    assert "Exchange hashpartitioning(pegawai_id" in plan(t.pop).split("BroadcastNestedLoopJoin")[1].split("BroadcastExchange")[0]
