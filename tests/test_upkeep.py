@@ -8,9 +8,9 @@ import types
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.operators import curated, hierarchy, incremental, mart, people, search
+from rollcall.operators import checks, curated, hierarchy, incremental, mart, people, search
 from rollcall.operators.incremental import KEYS
-from rollcall.plans import kpi, upkeep
+from rollcall.plans import kpi, tables, upkeep
 from rollcall.plans.tables import Served, Tables
 from rollcall.plans.upkeep import CuratedStore, MartStore
 from rollcall.sources import export, scans
@@ -302,3 +302,16 @@ def test_schedules_are_not_broadcast(t):
     """Schedules and shifts grow with the data; employees are dealt out before they are multiplied by dates."""
     assert "BroadcastHashJoin" not in plan(t.ev) and plan(t.ev).count("ShuffledHashJoin") == 3
     assert "Exchange hashpartitioning(pegawai_id" in plan(t.pop).split("BroadcastNestedLoopJoin")[1].split("BroadcastExchange")[0]
+
+
+def test_records_of_many_employees_are_dealt_out(spark, t, monkeypatch):
+    """Tasks grow in number with the employees, not in size; the check of the grain computes its facts once."""
+    assert t.parts is None
+    small = checks.QUERIES["grain_unique"][0](t)
+    monkeypatch.setattr(tables, "EMPLOYEES_A_TASK", 10)
+    many = Tables(spark, SF)
+    assert many.parts == 15
+    grain = checks.QUERIES["grain_unique"][0](many)
+    assert plan(grain).count("BroadcastNestedLoopJoin") == 1 and plan(grain).count(", 15)") >= 4
+    assert rows(grain) == rows(small)
+    assert rows(many.daily) == rows(t.daily)
